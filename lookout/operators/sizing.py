@@ -1,0 +1,20 @@
+"""Join-side sizing.
+
+A broadcast hint is only placed after its bound is proven: the candidate
+side is counted with ``limit(max_rows + 1).count()`` (a job that stops
+after ``max_rows + 1`` rows) and hinted only when it fits. Otherwise the
+plain join is left to the planner (sort-merge join, AQE skew splitting, or
+AQE's own runtime broadcast when measured stage sizes allow it)."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows a hinted broadcast side may hold (a query batch is far below this).
+DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
