@@ -92,10 +92,14 @@ def clean_basic(col: Column) -> Column:
     return F.lower(_strip_ws(F.coalesce(col, F.lit(""))))
 
 
-def _strip_ws(col: Column) -> Column:
+def strip(col: Column) -> Column:
+    """Remove leading and trailing whitespace (Unicode, as str.strip())."""
     return F.regexp_replace(col, "^" + WS + "+|" + WS + "+$", "")
 
 
+_strip_ws = strip
+
+
 def clean_field_words(col: Column) -> Column:
     """T9 as an array: lower, strip, drop all but word chars, blanks and
     apostrophes, split on whitespace, drop the combined stop words."""

@@ -128,3 +128,221 @@ select doc_id from tf where term = '{TERM_B}'
     "ranked_search": _ranked(QTF_SINGLE),
     "ranked_search_batch": _ranked(QTF_BATCH),
 }
+
+
+# ------------------------------------------------------- places / facets --
+
+from ..functions.html import ENTITIES, FIRST_H1, HOST, HREF, NAV_BLOCK, TAG  # noqa: E402
+from ..sources.tables import GEO_SQL  # noqa: E402
+from .queries import (FILTER_BANDS, FILTER_CARDS, FILTER_FACILITIES, FILTER_REGIONS,  # noqa: E402
+                      PREF_CUISINE, PREF_FACILITY, REQUEST)
+
+L = X.lit
+
+
+def _ordinal(x):
+    return (f"(case {x} when '€' then 1 when '€€' then 2 when '€€€' then 3 "
+            f"when '€€€€' then 4 end)::integer")
+
+
+def _band_no(b):
+    return ["€", "€€", "€€€", "€€€€"].index(b) + 1
+
+
+def _list(values):
+    return "[" + ", ".join(L(v) for v in values) + "]"
+
+
+def _has_all(col, want):
+    return (f"list_has_all(list_transform(coalesce({col}, []::varchar[]), lambda x: lower(x)), "
+            f"{_list([w.lower() for w in want])})")
+
+
+def _composite(cos, cuisine, facilities, price):
+    return (f"(coalesce({cos}, 0.0::double) * 0.5::double"
+            f" + case when coalesce(contains({cuisine}, {L(PREF_CUISINE)}), false) then 0.2::double else 0.0::double end"
+            f" + case when coalesce(list_contains({facilities}, {L(PREF_FACILITY)}), false) then 0.2::double else 0.0::double end"
+            f" + case {price} when '€' then 0.1::double when '€€' then 0.08::double"
+            f" when '€€€' then 0.05::double else 0.0::double end)")
+
+
+FIELD_INDEX = f"""
+fvals as (select doc_id, 'name' as field, {X.clean_field('name')} as v from catalog
+          union all select doc_id, 'city', {X.clean_basic('city')} from catalog
+          union all select doc_id, 'cuisine', {X.clean_field('cuisine')} from catalog),
+fi as (select distinct field, term, doc_id
+       from (select field, unnest({X.words('v')}) as term, doc_id from fvals))
+"""
+
+REQ_TERMS = f"""
+req as (select 'name' as field, {X.clean_field(L(REQUEST.name))} as v
+        union all select 'city', {X.clean_basic(L(REQUEST.city))}
+        union all select 'cuisine', {X.clean_field(L(REQUEST.cuisine))}),
+rt as (select field, term, count(*) as mult
+       from (select field, unnest({X.words('v')}) as term from req) group by field, term),
+fs as (select doc_id, sum(mult)::bigint as score from fi join rt using (field, term) group by doc_id)
+"""
+
+COS_BATCH = f"""
+{TF}, {QTF_BATCH}, {IDF}, {WEIGHTS}, {QVEC},
+cos as (select query_id, doc_id, sum(weights.weight * qvec.weight) as score
+        from weights join qvec using (term) group by query_id, doc_id)
+"""
+
+CONJ = f"""
+q as (select distinct item_id as query_id, unnest({X.normalized_tokens('text')}) as term
+      from benchmark),
+hits as (select q.query_id, tf.doc_id, tf.term from tf join q using (term)),
+known as (select query_id, count(distinct term) as n_known from hits group by query_id),
+m as (select query_id, doc_id, count(*) as n_hit from hits group by query_id, doc_id),
+cand as (select query_id, doc_id from m join known using (query_id) where n_hit = n_known)
+"""
+
+TWO_STAGE = f"""
+ts_scored as (select cand.query_id, cand.doc_id,
+                     round({_composite('cos.score', 'c.cuisine', 'c.facilities', 'c.price_range')}, 6) as score
+              from cand left join cos using (query_id, doc_id) left join catalog c using (doc_id)),
+ts as (select query_id, doc_id, score,
+              row_number() over (partition by query_id order by score desc, doc_id)::bigint as rank
+       from ts_scored qualify rank <= {TWO_STAGE_K})
+"""
+
+GEO = f"""
+geo_t as ({GEO_SQL}),
+g as (select postal_code,
+             coalesce(nullif(address['city'], ''), nullif(address['town'], ''),
+                      nullif(address['village'], ''), nullif(address['municipality'], '')) as geo_city,
+             coalesce(nullif(address['region'], ''), nullif(address['state'], '')) as geo_region,
+             latitude, longitude from geo_t),
+enriched as (select c.doc_id, c.name, c.address, c.postal_code, c.price_range, c.cuisine,
+                    c.facilities, c.cards, coalesce(g.geo_city, c.city) as city,
+                    g.geo_region as region, g.latitude, g.longitude, g.geo_city
+             from catalog c left join g using (postal_code))
+"""
+
+AVG = f"""
+avgp as (select region, avg({_ordinal('price_range')}) as price_numeric
+         from enriched where region is not null group by region)
+"""
+
+ATTR = "(price_range || ' · ' || cuisine)"
+
+
+def _strip(x):
+    return X._strip_ws(x)
+
+
+def _element_text(x):
+    out = f"regexp_replace({x}, {L(TAG)}, '', 'g')"
+    for name, char in ENTITIES:
+        out = f"replace({out}, {L(name)}, {L(char)})"
+    return _strip(out)
+
+
+PAGE_LINKS = f"""
+pl as (select page_id, (generate_subscripts(l, 1) - 1)::bigint as pos,
+              regexp_extract(url, {L(HOST)}, 1) || unnest(l) as link
+       from (select page_id, url, regexp_extract_all(html, {L(HREF)}, 1) as l from pages))
+"""
+
+
+def _py_list(col):
+    q = ("list_transform(coalesce({c}, []::varchar[]), lambda x: case when contains(x, '''') "
+         "and not contains(x, '\"') then '\"' || replace(x, '\\', '\\\\') || '\"' "
+         "else '''' || replace(replace(x, '\\', '\\\\'), '''', '\\''') || '''' end)").format(c=col)
+    return f"('[' || array_to_string({q}, ', ') || ']')"
+
+
+MISSING_COLS = [("name", "s"), ("address", "s"), ("city", "s"), ("postal_code", "s"),
+                ("price_range", "s"), ("cuisine", "s"), ("facilities", "a"), ("cards", "a"),
+                ("region", "s"), ("latitude", "n")]
+
+
+def _missing_sql():
+    parts = []
+    for col, kind in MISSING_COLS:
+        cond = {"s": f"{col} is null or {col} = ''",
+                "a": f"{col} is null or len({col}) = 0",
+                "n": f"{col} is null"}[kind]
+        parts.append(f"select '{col}' as field, count(*) filter (where {cond})::bigint as missing "
+                     f"from enriched")
+    return " union all ".join(parts)
+
+
+ORACLE.update({
+    "price_ordinal": f"with {CATALOG} select doc_id, price_range, {_ordinal('price_range')} as price_numeric from catalog",
+    "filter_price": f"""with {CATALOG} select doc_id, price_range from catalog
+        where {_ordinal('price_range')} between {_band_no(FILTER_BANDS[0])} and {_band_no(FILTER_BANDS[1])}""",
+    "filter_contains_all": f"""with {CATALOG}
+        select doc_id, array_to_string(facilities, ',') as facilities, array_to_string(cards, ',') as cards
+        from catalog where {_has_all('cards', FILTER_CARDS)} and {_has_all('facilities', FILTER_FACILITIES)}""",
+    "filter_region": f"with {CATALOG} select doc_id, region from catalog where region in ({', '.join(L(r) for r in FILTER_REGIONS)})",
+    "clean_field": f"select doc_id, {X.clean_field('text')} as cleaned from documents",
+    "clean_basic": f"select doc_id, {X.clean_basic('text')} as cleaned from documents",
+    "field_index": f"with {CATALOG}, {FIELD_INDEX} select field, term, doc_id from fi",
+    "field_match_score": f"with {CATALOG}, {FIELD_INDEX}, {REQ_TERMS} select doc_id, score from fs",
+    "advanced_search": f"""with {CATALOG}, {FIELD_INDEX}, {REQ_TERMS}
+        select doc_id, name, city, cuisine, price_range, region, score
+        from fs join catalog using (doc_id)
+        where {_ordinal('price_range')} between {_band_no(REQUEST.price_range[0])} and {_band_no(REQUEST.price_range[1])}
+          and {_has_all('cards', REQUEST.cards)} and {_has_all('facilities', REQUEST.facilities)}
+          {"and region in (" + ", ".join(L(r) for r in REQUEST.regions) + ")" if REQUEST.regions else ""}
+        order by score desc, doc_id limit {ADVANCED_TOP_N}""",
+    "composite_score": f"""with {COS_BATCH}, {CATALOG}
+        select query_id, doc_id,
+               round({_composite('cos.score', 'c.cuisine', 'c.facilities', 'c.price_range')}, 6) as score
+        from cos left join catalog c using (doc_id)""",
+    "two_stage_search": f"""with {COS_BATCH}, {CATALOG}, {CONJ}, {TWO_STAGE}
+        select query_id, doc_id, score, rank from ts""",
+    "geo_enrich": f"""with {CATALOG}, {GEO}
+        select doc_id, postal_code, city, region, latitude, longitude from enriched""",
+    "address_coalesce": f"with {CATALOG}, {GEO} select doc_id, geo_city as city, region from enriched",
+    "geo_known": f"""with {CATALOG}, {GEO} select doc_id, latitude, longitude from enriched
+        where latitude is not null and longitude is not null""",
+    "geo_missing_keys": f"""with {CATALOG}, geo_t as ({GEO_SQL})
+        select distinct postal_code from catalog where postal_code is not null
+        and postal_code not in (select postal_code from geo_t
+                                where latitude is not null and longitude is not null)""",
+    "avg_price_by_region": f"with {CATALOG}, {GEO}, {AVG} select region, round(price_numeric, 6) as price_numeric from avgp",
+    "region_price_table": f"""with {CATALOG}, {GEO}, {AVG}
+        select r.r_regionkey, r.r_name, round(a.price_numeric, 6) as price_numeric
+        from region r join avgp a on r.r_name = a.region""",
+    "marker_rows": f"""with {CATALOG}, {GEO}
+        select doc_id, latitude, longitude,
+               concat_ws('<br>', coalesce(name, 'nan'), coalesce(address, 'nan'),
+                         coalesce(city, 'nan'), coalesce(region, 'nan')) as popup,
+               name as tooltip
+        from enriched where latitude is not null and longitude is not null""",
+    "semi_by_text": f"""{_ranked(QTF_BATCH).replace('select r.query_id, r.doc_id, c.name, r.score, r.rank::bigint as rank', ', top as (select r.doc_id').replace(f'where r.rank <= {RANKED_K}', f'where r.rank <= {RANKED_K})')}
+        select doc_id from documents where text in (select d.text from top join documents d using (doc_id))""",
+    "semi_by_id": f"""with {COS_BATCH}, {CATALOG}, {CONJ}, {TWO_STAGE}, {GEO}
+        select doc_id, latitude, longitude from enriched where doc_id in (select doc_id from ts)""",
+    "split_location": f"""with {CATALOG},
+        s as (select doc_id, string_split(concat_ws(', ', address, city, postal_code, region), ',') as p from catalog)
+        select doc_id, {_strip('p[1]')} as address, {_strip('p[2]')} as city,
+               {_strip('p[3]')} as postal_code, {_strip('p[4]')} as country from s""",
+    "price_band": f"with {CATALOG} select doc_id, regexp_extract({ATTR}, '€+', 0) as price_band from catalog",
+    "cuisine_label": f"with {CATALOG} select doc_id, {_strip(f'string_split({ATTR}, {L(chr(183))})[-1]')} as cuisine from catalog",
+    "missing_report": f"with {CATALOG}, {GEO} {_missing_sql()}",
+    "place_union": f"""with {CATALOG}
+        select doc_id, name, price_range from catalog where {_ordinal('price_range')} between 1 and 2
+        union all
+        select doc_id, name, price_range from catalog where {_ordinal('price_range')} between 3 and 4""",
+    "page_scan": """select page_id, url, regexp_extract(string_split(url, '/')[-1], '([0-9]+)', 1) as file_no,
+        length(html)::bigint as n_chars from pages""",
+    "page_bucket": "select page_id, (floor(page_id / 20) + 1)::bigint as bucket from pages",
+    "url_sort": """select url, case when regexp_full_match(string_split(url, '/')[-1], '[0-9]{1,18}')
+        then cast(string_split(url, '/')[-1] as bigint) else 1 end as sort_key from pages""",
+    "url_dedup": f"with {PAGE_LINKS} select distinct link from pl",
+    "path_token": """select page_id, upper(left(t, 1)) || lower(substr(t, 2)) as token
+        from (select page_id, string_split(string_split(url, '/')[-1], '-')[1] as t from pages)""",
+    "page_title": f"select page_id, {_element_text(f'regexp_extract(html, {L(FIRST_H1)}, 1)')} as title from pages",
+    "page_links": f"with {PAGE_LINKS} select page_id, pos, link from pl",
+    "nav_links": f"""select page_id, (generate_subscripts(k, 1) - 1)::bigint as pos, unnest(k) as href
+        from (select page_id, list_slice(l, 1, greatest(len(l) - 1, 0)) as k
+              from (select page_id, regexp_extract_all(regexp_extract(html, {L(NAV_BLOCK)}, 1), {L(HREF)}, 1) as l
+                    from pages))""",
+    "decode_list": f"""with {CATALOG}
+        select doc_id, {_py_list('facilities')} as printed, array_to_string(facilities, '|') as decoded
+        from catalog""",
+})

@@ -172,3 +172,278 @@ QUERIES = {
     "ranked_search": q_ranked_search,
     "ranked_search_batch": q_ranked_search_batch,
 }
+
+
+# ------------------------------------------------------- places / facets --
+
+from ..functions import html as H  # noqa: E402
+from ..operators import geo as G  # noqa: E402
+from ..operators import places as PL  # noqa: E402
+
+# The search request of the advanced search (values a user would pick).
+REQUEST = S.SearchRequest(name="Blue bolt and the red gear", city="  NATION_7 ",
+                          cuisine="economy brushed", price_range=("€", "€€€"),
+                          regions=["ASIA", "EUROPE", "AMERICA"], cards=["f"], facilities=["R"])
+# Composite-score preferences (cuisine substring, wanted facility).
+PREF_CUISINE = "ECONOMY"
+PREF_FACILITY = "R"
+FILTER_BANDS = ("€€", "€€€")
+FILTER_CARDS = ["F"]
+FILTER_FACILITIES = ["A", "R"]
+FILTER_REGIONS = ["ASIA", "EUROPE"]
+
+
+def _catalog(spark, d):
+    return tables.catalog(spark, d)
+
+
+def _joined(col):
+    return F.array_join(F.col(col), ",").alias(col)
+
+
+def q_price_ordinal(spark, d):
+    return _catalog(spark, d).select("doc_id", "price_range",
+                                     S.price_ordinal(F.col("price_range")).alias("price_numeric"))
+
+
+def q_filter_price(spark, d):
+    return S.filter_price(_catalog(spark, d), *FILTER_BANDS).select("doc_id", "price_range")
+
+
+def q_filter_contains_all(spark, d):
+    c = _catalog(spark, d)
+    c = S.filter_contains_all(c, "cards", FILTER_CARDS)
+    c = S.filter_contains_all(c, "facilities", FILTER_FACILITIES)
+    return c.select("doc_id", _joined("facilities"), _joined("cards"))
+
+
+def q_filter_region(spark, d):
+    return S.filter_region(_catalog(spark, d), FILTER_REGIONS).select("doc_id", "region")
+
+
+def q_clean_field(spark, d):
+    return tables.documents(spark, d).select("doc_id", T.clean_field(F.col("text")).alias("cleaned"))
+
+
+def q_clean_basic(spark, d):
+    return tables.documents(spark, d).select("doc_id", T.clean_basic(F.col("text")).alias("cleaned"))
+
+
+def q_field_index(spark, d):
+    return S.place_field_index(_catalog(spark, d))
+
+
+def _request_terms(spark):
+    return S.field_query_terms(spark, {"name": (REQUEST.name, "field"),
+                                       "city": (REQUEST.city, "basic"),
+                                       "cuisine": (REQUEST.cuisine, "field")})
+
+
+def q_field_match_score(spark, d):
+    return S.field_match_score(q_field_index(spark, d), _request_terms(spark))
+
+
+def q_advanced_search(spark, d):
+    c = _catalog(spark, d)
+    return S.advanced_search(c, S.place_field_index(c), REQUEST, ADVANCED_TOP_N)
+
+
+def q_composite_score(spark, d):
+    m = RankedModel(spark, d)
+    cos = S.cosine_scores(m.weights, m.query_vectors(tables.query_batch(spark, d)))
+    c = _catalog(spark, d).select("doc_id", "cuisine", "facilities", "price_range")
+    return (cos.join(c, "doc_id", "left")
+            .select("query_id", "doc_id",
+                    F.round(S.composite_score(F.col("score"), F.col("cuisine"), F.col("facilities"),
+                                              F.col("price_range"), PREF_CUISINE, PREF_FACILITY),
+                            6).alias("score")))
+
+
+def q_two_stage_search(spark, d):
+    m = RankedModel(spark, d)
+    queries = tables.query_batch(spark, d)
+    qt = C.query_counts(queries).select("query_id", "term")
+    return S.two_stage_search(m.tf, qt, m.weights, m.query_vectors(queries), _catalog(spark, d),
+                              PREF_CUISINE, PREF_FACILITY, price=True, k=TWO_STAGE_K)
+
+
+# ------------------------------------------------------------- geography --
+
+def _enriched(spark, d, keep_parsed_city=True):
+    return G.enrich(_catalog(spark, d), tables.geo(spark, d), keep_parsed_city)
+
+
+def q_geo_enrich(spark, d):
+    return _enriched(spark, d).select("doc_id", "postal_code", "city", "region",
+                                      "latitude", "longitude")
+
+
+def q_address_coalesce(spark, d):
+    return _enriched(spark, d, keep_parsed_city=False).select("doc_id", "city", "region")
+
+
+def q_geo_known(spark, d):
+    return G.known_coordinates(_enriched(spark, d)).select("doc_id", "latitude", "longitude")
+
+
+def q_geo_missing_keys(spark, d):
+    known = G.known_coordinates(tables.geo(spark, d))
+    return G.missing_keys(_catalog(spark, d), known)
+
+
+def q_avg_price_by_region(spark, d):
+    return G.avg_price_by_region(_enriched(spark, d)) \
+        .withColumn("price_numeric", F.round("price_numeric", 6))
+
+
+def q_region_price_table(spark, d):
+    avg = G.avg_price_by_region(_enriched(spark, d))
+    regions = tables.table(spark, d, "region")
+    return (G.region_price_table(regions, avg, "r_name")
+            .select("r_regionkey", "r_name", F.round("price_numeric", 6).alias("price_numeric")))
+
+
+def q_marker_rows(spark, d):
+    return G.marker_rows(G.known_coordinates(_enriched(spark, d)))
+
+
+def q_semi_by_text(spark, d):
+    docs = tables.documents(spark, d)
+    top = _ranked(spark, d, tables.query_batch(spark, d)).join(docs, "doc_id")
+    return G.semi_by_text(docs, top).select("doc_id")
+
+
+def q_semi_by_id(spark, d):
+    top = q_two_stage_search(spark, d)
+    return G.semi_by_id(_enriched(spark, d), top).select("doc_id", "latitude", "longitude")
+
+
+# ---------------------------------------------------------- place records --
+
+def q_split_location(spark, d):
+    c = _catalog(spark, d)
+    loc = F.concat_ws(", ", "address", "city", "postal_code", "region")
+    return c.select("doc_id", *PL.split_location(loc))
+
+
+def _attributes():
+    """Attribute line of a place: ``<price band> · <cuisine>``."""
+    return F.concat(F.col("price_range"), F.lit(" · "), F.col("cuisine"))
+
+
+def q_price_band(spark, d):
+    return _catalog(spark, d).select("doc_id", PL.price_band(_attributes()).alias("price_band"))
+
+
+def q_cuisine_label(spark, d):
+    return _catalog(spark, d).select("doc_id", PL.cuisine_label(_attributes()).alias("cuisine"))
+
+
+def q_missing_report(spark, d):
+    e = _enriched(spark, d).select("name", "address", "city", "postal_code", "price_range",
+                                   "cuisine", "facilities", "cards", "region", "latitude")
+    return PL.missing_report(e)
+
+
+def q_place_union(spark, d):
+    c = _catalog(spark, d).select("doc_id", "name", "price_range")
+    cheap = S.filter_price(c, "€", "€€")
+    dear = S.filter_price(c, "€€€", "€€€€").select("name", "doc_id", "price_range")
+    return cheap.unionByName(dear)
+
+
+# ------------------------------------------------------------ pages / urls --
+
+def _pages(spark, d):
+    return tables.table(spark, d, "pages")
+
+
+def q_page_scan(spark, d):
+    p = _pages(spark, d)
+    last = T.url_last_segment(F.col("url"))
+    return p.select("page_id", "url",
+                    F.regexp_extract(last, "([0-9]+)", 1).alias("file_no"),
+                    F.length("html").cast("bigint").alias("n_chars"))
+
+
+def q_page_bucket(spark, d):
+    return _pages(spark, d).select("page_id", (F.floor(F.col("page_id") / 20) + 1)
+                                   .cast("bigint").alias("bucket"))
+
+
+def q_url_sort(spark, d):
+    return _pages(spark, d).select("url", T.url_sort_key(F.col("url")).alias("sort_key"))
+
+
+def q_url_dedup(spark, d):
+    return q_page_links(spark, d).select("link").distinct()
+
+
+def q_path_token(spark, d):
+    return _pages(spark, d).select("page_id", PL.path_token(F.col("url")).alias("token"))
+
+
+def q_page_title(spark, d):
+    return _pages(spark, d).select("page_id", H.first_h1_text(F.col("html")).alias("title"))
+
+
+def q_page_links(spark, d):
+    p = _pages(spark, d)
+    return p.select("page_id", F.posexplode(H.hrefs(F.col("html"))).alias("pos", "href"),
+                    H.host_of(F.col("url")).alias("host")) \
+        .select("page_id", F.col("pos").cast("bigint").alias("pos"),
+                F.concat(F.col("host"), F.col("href")).alias("link"))
+
+
+def q_nav_links(spark, d):
+    """Anchors of the navigation list without the last one (the first
+    pass of the listing crawl drops the 'next' arrow)."""
+    p = _pages(spark, d)
+    links = H.nav_hrefs(F.col("html"))
+    kept = F.slice(links, 1, F.greatest(F.size(links) - 1, F.lit(0)))
+    return p.select("page_id", F.posexplode(kept).alias("pos", "href")) \
+        .select("page_id", F.col("pos").cast("bigint").alias("pos"), "href")
+
+
+def q_decode_list(spark, d):
+    c = _catalog(spark, d).select("doc_id", PL.encode_list(F.col("facilities")).alias("printed"))
+    return c.select("doc_id", "printed",
+                    F.array_join(PL.decode_list(F.col("printed")), "|").alias("decoded"))
+
+
+QUERIES.update({
+    "price_ordinal": q_price_ordinal,
+    "filter_price": q_filter_price,
+    "filter_contains_all": q_filter_contains_all,
+    "filter_region": q_filter_region,
+    "clean_field": q_clean_field,
+    "clean_basic": q_clean_basic,
+    "field_index": q_field_index,
+    "field_match_score": q_field_match_score,
+    "advanced_search": q_advanced_search,
+    "composite_score": q_composite_score,
+    "two_stage_search": q_two_stage_search,
+    "geo_enrich": q_geo_enrich,
+    "address_coalesce": q_address_coalesce,
+    "geo_known": q_geo_known,
+    "geo_missing_keys": q_geo_missing_keys,
+    "avg_price_by_region": q_avg_price_by_region,
+    "region_price_table": q_region_price_table,
+    "marker_rows": q_marker_rows,
+    "semi_by_text": q_semi_by_text,
+    "semi_by_id": q_semi_by_id,
+    "split_location": q_split_location,
+    "price_band": q_price_band,
+    "cuisine_label": q_cuisine_label,
+    "missing_report": q_missing_report,
+    "place_union": q_place_union,
+    "page_scan": q_page_scan,
+    "page_bucket": q_page_bucket,
+    "url_sort": q_url_sort,
+    "url_dedup": q_url_dedup,
+    "path_token": q_path_token,
+    "page_title": q_page_title,
+    "page_links": q_page_links,
+    "nav_links": q_nav_links,
+    "decode_list": q_decode_list,
+})

@@ -33,7 +33,8 @@ def query_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Places with facets, derived from the TPC-H-like tables.
 
-    ``doc_id, name, cuisine, price_range, facilities, cards, city, region``.
+    ``doc_id, name, cuisine, price_range, facilities, cards, city, region,
+    address, postal_code``.
     Lists are sorted distinct flag values of large-quantity line items; the
     line-item aggregation is the only shuffle of size (partial aggregation
     first, so each task ships at most one row per part); the dimension joins
@@ -45,7 +46,7 @@ def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
           .agg(F.sort_array(F.collect_set("l_returnflag")).alias("facilities"),
                F.sort_array(F.collect_set("l_linestatus")).alias("cards"),
                F.min("l_suppkey").alias("suppkey")))
-    supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     region = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     band = F.least(F.lit(4), F.lit(1) + F.floor((F.col("p_retailprice") - 900) / 25)).cast("int")
@@ -59,14 +60,17 @@ def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.repeat(F.lit("€"), band).alias("price_range"),
                     "facilities", "cards",
                     F.col("n_name").alias("city"),
-                    F.col("r_name").alias("region")))
+                    F.col("r_name").alias("region"),
+                    F.col("s_name").alias("address"),
+                    F.lpad(F.col("n_nationkey").cast("string"), 5, "0").alias("postal_code")))
 
 
 # SQL text of the same view for the DuckDB oracle.
 CATALOG_SQL = """
 select p.p_partkey as doc_id, p.p_name as name, p.p_type as cuisine,
        repeat('€', cast(least(4, 1 + floor((p.p_retailprice - 900) / 25)) as int)) as price_range,
-       l.facilities, l.cards, n.n_name as city, r.r_name as region
+       l.facilities, l.cards, n.n_name as city, r.r_name as region,
+       s.s_name as address, lpad(cast(n.n_nationkey as varchar), 5, '0') as postal_code
 from part p
 join (select l_partkey,
              list_sort(list(distinct l_returnflag)) as facilities,
@@ -77,3 +81,38 @@ join supplier s on s.s_suppkey = l.suppkey
 join nation n on n.n_nationkey = s.s_nationkey
 join region r on r.r_regionkey = n.n_regionkey
 """
+
+
+def geo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Geocoder results keyed by postal code, derived from ``nation`` and
+    ``region``: ``(postal_code, address map<string,string>, latitude,
+    longitude)``. The address map has the shapes a geocoder returns: some
+    nations carry a city, some only a town (city empty), region or only a
+    state; one region has no coordinates."""
+    nation = table(spark, sf_dir, "nation")
+    region = table(spark, sf_dir, "region")
+    j = nation.join(region, nation.n_regionkey == region.r_regionkey)
+    address = F.create_map(
+        F.lit("city"), F.when(F.col("n_regionkey") <= 1, F.col("n_name")).otherwise(F.lit("")),
+        F.lit("town"), F.when(F.col("n_regionkey") == 2, F.lower(F.col("n_name"))),
+        F.lit("village"), F.when(F.col("n_regionkey") == 3, F.concat(F.lit("v-"), F.col("n_name"))),
+        F.lit("region"), F.when(F.col("n_regionkey") != 4, F.col("r_name")),
+        F.lit("state"), F.concat(F.lit("state of "), F.col("r_name")),
+    )
+    lat = F.when(F.col("n_regionkey") != 4, F.lit(36.0) + F.col("n_nationkey") * 0.4)
+    return j.select(F.lpad(F.col("n_nationkey").cast("string"), 5, "0").alias("postal_code"),
+                    address.alias("address"), lat.alias("latitude"),
+                    (F.lit(6.5) + F.col("n_regionkey") * 2.5).alias("longitude"))
+
+
+GEO_SQL = """
+select lpad(cast(n_nationkey as varchar), 5, '0') as postal_code,
+       map {'city': case when n_regionkey <= 1 then n_name else '' end,
+            'town': case when n_regionkey = 2 then lower(n_name) end,
+            'village': case when n_regionkey = 3 then 'v-' || n_name end,
+            'region': case when n_regionkey <> 4 then r_name end,
+            'state': 'state of ' || r_name} as address,
+       case when n_regionkey <> 4 then 36.0::double + n_nationkey * 0.4::double end as latitude,
+       6.5::double + n_regionkey * 2.5::double as longitude
+from nation join region on n_regionkey = r_regionkey
+"""
