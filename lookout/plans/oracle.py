@@ -346,3 +346,36 @@ ORACLE.update({
         select doc_id, {_py_list('facilities')} as printed, array_to_string(facilities, '|') as decoded
         from catalog""",
 })
+
+
+ORACLE.update({
+    "monotone_route": """
+with pts as (select l_orderkey as case_id, l_linenumber as x, cast(l_quantity as integer) as y from lineitem),
+st as (select case_id, x, y,
+              coalesce(lag(x) over w, 0) as px, coalesce(lag(y) over w, 0) as py
+       from pts window w as (partition by case_id order by x, y)),
+s2 as (select case_id, x, y, (x >= px and y >= py) as ok,
+              repeat('R', greatest(x - px, 0)) || repeat('U', greatest(y - py, 0)) as moves from st)
+select case_id, case when bool_and(ok) then 'YES' else 'NO' end as answer,
+       case when bool_and(ok) then string_agg(moves, '' order by x, y) end as path
+from s2 group by case_id
+""",
+    "index_roundtrip": f"""
+with {TF}, {IDF}, {WEIGHTS}
+select term, doc_id, tf, round(weight, 6) as weight from weights
+""",
+    "place_scan": f"""
+with {CATALOG}
+select c.doc_id, c.name as restaurantName, c.postal_code as postalCode, c.price_range as priceRange,
+       d.text as description, array_to_string(c.facilities, '|') as facilities,
+       array_to_string(c.cards, '|') as cards, '' as phoneNumber
+from catalog c left join documents d using (doc_id)
+""",
+    "extract_places": f"""
+select page_id, {_element_text(f'regexp_extract(html, {L(FIRST_H1)}, 1)')} as restaurantName,
+       '' as address, null::varchar as city, null::varchar as postal_code, null::varchar as country,
+       '' as priceRange, '' as cuisineType, '' as description, '' as facilitiesServices,
+       '' as creditCards, '' as phoneNumber, '' as website
+from pages
+""",
+})

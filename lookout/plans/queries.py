@@ -411,6 +411,62 @@ def q_decode_list(spark, d):
                     F.array_join(PL.decode_list(F.col("printed")), "|").alias("decoded"))
 
 
+# ------------------------------------------------ routes, I/O, extraction --
+
+from ..operators import extract as EX  # noqa: E402
+from ..operators import routes as RT  # noqa: E402
+from ..sources import index_store as IS  # noqa: E402
+from ..sources import places as SP  # noqa: E402
+
+
+def q_monotone_route(spark, d):
+    li = tables.table(spark, d, "lineitem")
+    pts = li.select(F.col("l_orderkey").alias("case_id"), F.col("l_linenumber").alias("x"),
+                    F.col("l_quantity").cast("int").alias("y"))
+    return RT.monotone_route(pts)
+
+
+def q_index_roundtrip(spark, d):
+    m = RankedModel(spark, d)
+    path = IS.scratch_path(spark, "postings")
+    IS.write_postings(m.weights.select("term", "doc_id", "tf", "weight"), path)
+    return _rounded(IS.read_postings(spark, path))
+
+
+def _typed_places(spark, d):
+    c = _catalog(spark, d)
+    docs = tables.documents(spark, d)
+    return c.join(docs, "doc_id", "left").select(
+        "doc_id", F.col("name").alias("restaurantName"), "address", "city",
+        F.col("postal_code").alias("postalCode"), F.col("region").alias("country"),
+        F.col("price_range").alias("priceRange"), F.col("cuisine").alias("cuisineType"),
+        F.col("text").alias("description"), F.col("facilities").alias("facilitiesServices"),
+        F.col("cards").alias("creditCards"), F.lit("").alias("phoneNumber"),
+        F.lit("").alias("website"))
+
+
+def q_place_scan(spark, d):
+    path = IS.scratch_path(spark, "places-tsv")
+    SP.write_places_tsv(_typed_places(spark, d), path)
+    back = SP.read_places_tsv(spark, path)
+    return back.select("doc_id", "restaurantName", "postalCode", "priceRange", "description",
+                       F.array_join("facilitiesServices", "|").alias("facilities"),
+                       F.array_join("creditCards", "|").alias("cards"), "phoneNumber")
+
+
+def q_extract_places(spark, d):
+    out = EX.extract_places(_pages(spark, d))
+    return out.select(*[F.array_join(c, "|").alias(c) if c in SP.LIST_COLUMNS else c
+                        for c in out.columns])
+
+
+QUERIES.update({
+    "monotone_route": q_monotone_route,
+    "index_roundtrip": q_index_roundtrip,
+    "place_scan": q_place_scan,
+    "extract_places": q_extract_places,
+})
+
 QUERIES.update({
     "price_ordinal": q_price_ordinal,
     "filter_price": q_filter_price,
