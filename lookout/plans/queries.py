@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..operators import corpus as C
 from ..operators import search as S
+from ..operators import stemming as ST
 from ..session import materialize
 from ..sources import tables
 
@@ -91,16 +92,36 @@ def q_inverted_index(spark, d):
 
 class RankedModel:
     """Fitted ranked-search state for one corpus: postings with counts, the
-    idf model, document weights and a way to vectorise query batches."""
+    idf model, document weights and a way to vectorise query batches.
 
-    def __init__(self, spark, d, min_cf=VOCAB_MIN_CF, max_cf=VOCAB_MAX_CF, persist_tf=True):
+    ``stem`` stems every term (T7). ``passes=2`` builds the frequency-bounded
+    vocabulary from twice-normalised text, as the original engine did, while
+    documents and queries keep their once-normalised terms."""
+
+    def __init__(self, spark, d, min_cf=VOCAB_MIN_CF, max_cf=VOCAB_MAX_CF, persist_tf=True,
+                 stem=False, passes=1):
         docs = tables.documents(spark, d)
-        self.tf = _tf(spark, d, persist=persist_tf)
-        self.idf = C.fit_idf(self.tf, C.document_count(docs), min_cf=min_cf, max_cf=max_cf)
+        self.stem = stem
+        stems = ST.corpus_stems(docs) if stem else None
+        tf = C.term_counts(docs, stems=stems)
+        if stem:
+            # the vectoriser's own tokeniser drops one-character terms
+            tf = tf.where(F.length("term") >= 2)
+        self.tf = materialize(tf, "tf") if persist_tf else tf
+        n = C.document_count(docs)
+        if passes == 2:
+            vocab = C.bounded_terms(ST.second_pass(self.tf), min_cf, max_cf)
+            self.idf = C.fit_idf(self.tf, n, terms=vocab)
+        else:
+            self.idf = C.fit_idf(self.tf, n, min_cf=min_cf, max_cf=max_cf)
         self.weights = C.transform(self.tf, self.idf)
 
+    def query_counts(self, queries: DataFrame) -> DataFrame:
+        stems = ST.query_stems(queries) if self.stem else None
+        return C.query_counts(queries, stems=stems)
+
     def query_vectors(self, queries: DataFrame) -> DataFrame:
-        return C.transform(C.query_counts(queries), self.idf, id_col="query_id")
+        return C.transform(self.query_counts(queries), self.idf, id_col="query_id")
 
 
 def _rounded(df, col="weight"):
@@ -503,3 +524,43 @@ QUERIES.update({
     "nav_links": q_nav_links,
     "decode_list": q_decode_list,
 })
+
+
+# ------------------------------------------------------------- stemming --
+# Rows-only in the driver (no stemmer in the SQL engine); checked by unit
+# tests against a brute-force Python evaluation of the same definitions.
+
+def q_stem_dictionary(spark, d):
+    return ST.corpus_stems(tables.documents(spark, d))
+
+
+def q_normalized_text_stemmed(spark, d):
+    docs = tables.documents(spark, d)
+    return ST.stemmed_text(docs, C.tokens(docs), ST.corpus_stems(docs))
+
+
+def q_conjunctive_search_stemmed(spark, d):
+    docs = tables.documents(spark, d)
+    tf = materialize(C.term_counts(docs, stems=ST.corpus_stems(docs)), "tf")
+    queries = tables.query_batch(spark, d)
+    qt = C.query_counts(queries, stems=ST.query_stems(queries)).select("query_id", "term")
+    return S.conjunctive_search(tf, qt)
+
+
+def q_ranked_search_stemmed(spark, d):
+    m = RankedModel(spark, d, stem=True)
+    return S.ranked_search(m.weights, m.query_vectors(tables.query_batch(spark, d)), RANKED_K)
+
+
+def q_ranked_search_two_pass(spark, d):
+    m = RankedModel(spark, d, stem=True, passes=2)
+    return S.ranked_search(m.weights, m.query_vectors(tables.query_batch(spark, d)), RANKED_K)
+
+
+QUERIES.update({
+    "stem_dictionary": q_stem_dictionary,
+    "normalized_text_stemmed": q_normalized_text_stemmed,
+    "conjunctive_search_stemmed": q_conjunctive_search_stemmed,
+    "ranked_search_stemmed": q_ranked_search_stemmed,
+    "ranked_search_two_pass": q_ranked_search_two_pass,
+})
