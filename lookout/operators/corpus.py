@@ -10,11 +10,13 @@ Shapes (all long/COO rows, never one row per term with a list in it):
 
 Physical plan choices:
 
-* Documents are hash-partitioned by ``doc_id`` once, before tokens are
-  exploded. The per-document count aggregation and the per-document norm
-  window then reuse that partitioning; the only other shuffle of size is the
-  per-term aggregation (with map-side partial aggregation, so a hot term
-  ships one partial count per task, never its postings).
+* Term counts are computed inside each document row (sort + run lengths),
+  so producing postings shuffles nothing. Postings that are reused are
+  written once as a table bucketed by ``doc_id``; the per-document norm
+  window and per-(query, doc) score aggregation then plan without an
+  exchange. The only other shuffle of size is the per-term aggregation
+  (map-side partial aggregation first, so a hot term ships one partial
+  count per task, never its postings).
 * The idf model is written to the checkpoint folder before it is joined back
   (see :func:`fit_idf`), so the planner sees its real size: it is broadcast
   only when under ``spark.sql.autoBroadcastJoinThreshold``; otherwise the
@@ -29,18 +31,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..session import materialize
+from ..session import materialize, materialize_bucketed, spread
 
 
 # ---------------------------------------------------------------- tokens --
 
-def by_document(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, text)`` hash-partitioned by document id."""
-    return (docs.select(F.col(id_col).alias("doc_id"),
-                        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-            .repartition("doc_id"))
-
-
 def tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
            stems: DataFrame | None = None) -> DataFrame:
     """T1..T7: kept tokens with their position among kept tokens.
@@ -62,21 +57,50 @@ def apply_stems(df: DataFrame, stems: DataFrame, col: str = "term") -> DataFrame
             .drop("_raw", "_stem"))
 
 
+def _runs(df: DataFrame, sorted_col: str) -> DataFrame:
+    """Explode a sorted token array into ``(term, tf)`` rows, one per run of
+    equal terms: all tokens of a document come from the task that read the
+    document, so counting them in the row needs no shuffle. The array is a
+    column of its own (not an expression) so the lambdas read it instead of
+    re-sorting per element."""
+    s = F.col(sorted_col)
+    n = F.size(s)
+    starts = F.filter(F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
+                      lambda i: (n > 0) & ((i == 1) | (F.element_at(s, i)
+                                                       != F.try_element_at(s, (i - 1).cast("int")))))
+    with_starts = df.withColumn("_starts", starts)
+    st = F.col("_starts")
+    runs = F.transform(st, lambda x, j: F.struct(
+        F.element_at(s, x).alias("term"),
+        (F.coalesce(F.try_element_at(st, (j + 2).cast("int")), n + 1) - x).cast("bigint").alias("tf")))
+    return with_starts.select(*[c for c in df.columns if c != sorted_col], F.inline(runs))
+
+
 def term_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 stems: DataFrame | None = None) -> DataFrame:
     """``(doc_id, term, tf)``: raw term frequency per document.
 
-    Tokens of one document never leave the task that read the document:
-    documents are partitioned by id first and counted per partition."""
-    d = by_document(docs, id_col, text_col)
-    toks = d.select("doc_id", F.explode(T.normalized_tokens(F.col("text"))).alias("term"))
-    tf = toks.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"))
+    Counted inside each document row (no shuffle of tokens or postings);
+    small inputs are first spread over the cluster's cores. With ``stems``
+    the counts are re-aggregated per stem, which does shuffle postings
+    (several raw terms of a document may share a stem)."""
+    d = spread(docs.select(F.col(id_col).alias("doc_id"),
+                           F.coalesce(F.col(text_col), F.lit("")).alias("text")))
+    sorted_tokens = d.select("doc_id", F.array_sort(T.normalized_tokens(F.col("text"))).alias("_s"))
+    tf = _runs(sorted_tokens, "_s")
     if stems is not None:
         tf = (apply_stems(tf, stems)
               .groupBy("doc_id", "term").agg(F.sum("tf").alias("tf")))
     return tf
 
 
+def index_postings(tf: DataFrame, buckets: int | None = None) -> DataFrame:
+    """Persist ``(doc_id, term, tf)`` as a table bucketed by ``doc_id`` in the
+    checkpoint folder: later per-document windows and per-(query, doc)
+    aggregations read it without an exchange."""
+    return materialize_bucketed(tf, "tf", "doc_id", buckets)
+
+
 def normalized_documents(docs: DataFrame, id_col: str = "doc_id",
                          text_col: str = "text") -> DataFrame:
     """``(doc_id, normalized)``; a row-local expression, no shuffle."""

@@ -16,7 +16,7 @@ from ..functions import text as T
 from ..operators import corpus as C
 from ..operators import search as S
 from ..operators import stemming as ST
-from ..session import materialize
+from . import index_cache as IC
 from ..sources import tables
 
 # Parameters of the original ranked engine as its driver called it.
@@ -61,9 +61,31 @@ def q_normalized_text(spark, d):
 
 # -------------------------------------------------------------- corpus --
 
-def _tf(spark, d, persist=True):
-    tf = C.term_counts(tables.documents(spark, d))
-    return materialize(tf, "tf") if persist else tf
+def _docs_path(d):
+    return f"{d}/documents.parquet"
+
+
+def _tf(spark, d, persist=True, stem=False, min_len=1):
+    """Postings with counts. With ``persist`` they are written once per
+    corpus as a table bucketed by doc_id (see :mod:`.index_cache`) and every
+    query over the corpus reads that table. ``min_len=2`` drops the
+    one-character stems the vectoriser's tokeniser never sees."""
+    if not persist:
+        return C.term_counts(tables.documents(spark, d))
+
+    def build():
+        docs = tables.documents(spark, d)
+        stems = _stems(spark, d) if stem else None
+        tf = C.term_counts(docs, stems=stems)
+        if min_len > 1:
+            tf = tf.where(F.length("term") >= min_len)
+        return C.index_postings(tf)
+    return IC.cached(spark, "postings", [_docs_path(d)], (stem, min_len), build)
+
+
+def _stems(spark, d):
+    return IC.cached(spark, "stems", [_docs_path(d)], (),
+                     lambda: ST.corpus_stems(tables.documents(spark, d)))
 
 
 def q_vocabulary(spark, d):
@@ -98,16 +120,10 @@ class RankedModel:
     vocabulary from twice-normalised text, as the original engine did, while
     documents and queries keep their once-normalised terms."""
 
-    def __init__(self, spark, d, min_cf=VOCAB_MIN_CF, max_cf=VOCAB_MAX_CF, persist_tf=True,
-                 stem=False, passes=1):
+    def __init__(self, spark, d, min_cf=VOCAB_MIN_CF, max_cf=VOCAB_MAX_CF, stem=False, passes=1):
         docs = tables.documents(spark, d)
         self.stem = stem
-        stems = ST.corpus_stems(docs) if stem else None
-        tf = C.term_counts(docs, stems=stems)
-        if stem:
-            # the vectoriser's own tokeniser drops one-character terms
-            tf = tf.where(F.length("term") >= 2)
-        self.tf = materialize(tf, "tf") if persist_tf else tf
+        self.tf = _tf(spark, d, stem=stem, min_len=2 if stem else 1)
         n = C.document_count(docs)
         if passes == 2:
             vocab = C.bounded_terms(ST.second_pass(self.tf), min_cf, max_cf)
@@ -116,6 +132,12 @@ class RankedModel:
             self.idf = C.fit_idf(self.tf, n, min_cf=min_cf, max_cf=max_cf)
         self.weights = C.transform(self.tf, self.idf)
 
+    @classmethod
+    def of(cls, spark, d, **params):
+        """The fitted model of a corpus, built once per corpus and parameters."""
+        return IC.cached(spark, "ranked", [_docs_path(d)], tuple(sorted(params.items())),
+                         lambda: cls(spark, d, **params))
+
     def query_counts(self, queries: DataFrame) -> DataFrame:
         stems = ST.query_stems(queries) if self.stem else None
         return C.query_counts(queries, stems=stems)
@@ -129,17 +151,17 @@ def _rounded(df, col="weight"):
 
 
 def q_tfidf(spark, d):
-    return _rounded(RankedModel(spark, d).weights)
+    return _rounded(RankedModel.of(spark, d).weights)
 
 
 def q_weighted_postings(spark, d):
-    m = RankedModel(spark, d)
+    m = RankedModel.of(spark, d)
     vocab = C.dense_ids(m.idf.select("term"), "term", "term_id")
     return _rounded(m.weights.join(vocab, "term").select("term_id", "doc_id", "weight"))
 
 
 def q_query_vectors(spark, d):
-    m = RankedModel(spark, d)
+    m = RankedModel.of(spark, d)
     return _rounded(m.query_vectors(tables.query_batch(spark, d)))
 
 
@@ -162,7 +184,7 @@ def q_term_intersect(spark, d):
 
 
 def _ranked(spark, d, queries):
-    m = RankedModel(spark, d)
+    m = RankedModel.of(spark, d)
     res = S.ranked_search(m.weights, m.query_vectors(queries), RANKED_K)
     return _with_names(spark, d, res).select("query_id", "doc_id", "name", "score", "rank")
 
@@ -270,7 +292,7 @@ def q_advanced_search(spark, d):
 
 
 def q_composite_score(spark, d):
-    m = RankedModel(spark, d)
+    m = RankedModel.of(spark, d)
     cos = S.cosine_scores(m.weights, m.query_vectors(tables.query_batch(spark, d)))
     c = _catalog(spark, d).select("doc_id", "cuisine", "facilities", "price_range")
     return (cos.join(c, "doc_id", "left")
@@ -281,7 +303,7 @@ def q_composite_score(spark, d):
 
 
 def q_two_stage_search(spark, d):
-    m = RankedModel(spark, d)
+    m = RankedModel.of(spark, d)
     queries = tables.query_batch(spark, d)
     qt = C.query_counts(queries).select("query_id", "term")
     return S.two_stage_search(m.tf, qt, m.weights, m.query_vectors(queries), _catalog(spark, d),
@@ -376,7 +398,7 @@ def q_place_union(spark, d):
 # ------------------------------------------------------------ pages / urls --
 
 def _pages(spark, d):
-    return tables.table(spark, d, "pages")
+    return tables.pages(spark, d)
 
 
 def q_page_scan(spark, d):
@@ -448,7 +470,7 @@ def q_monotone_route(spark, d):
 
 
 def q_index_roundtrip(spark, d):
-    m = RankedModel(spark, d)
+    m = RankedModel.of(spark, d)
     path = IS.scratch_path(spark, "postings")
     IS.write_postings(m.weights.select("term", "doc_id", "tf", "weight"), path)
     return _rounded(IS.read_postings(spark, path))
@@ -531,29 +553,28 @@ QUERIES.update({
 # tests against a brute-force Python evaluation of the same definitions.
 
 def q_stem_dictionary(spark, d):
-    return ST.corpus_stems(tables.documents(spark, d))
+    return _stems(spark, d)
 
 
 def q_normalized_text_stemmed(spark, d):
     docs = tables.documents(spark, d)
-    return ST.stemmed_text(docs, C.tokens(docs), ST.corpus_stems(docs))
+    return ST.stemmed_text(docs, C.tokens(docs), _stems(spark, d))
 
 
 def q_conjunctive_search_stemmed(spark, d):
-    docs = tables.documents(spark, d)
-    tf = materialize(C.term_counts(docs, stems=ST.corpus_stems(docs)), "tf")
+    tf = _tf(spark, d, stem=True)
     queries = tables.query_batch(spark, d)
     qt = C.query_counts(queries, stems=ST.query_stems(queries)).select("query_id", "term")
     return S.conjunctive_search(tf, qt)
 
 
 def q_ranked_search_stemmed(spark, d):
-    m = RankedModel(spark, d, stem=True)
+    m = RankedModel.of(spark, d, stem=True)
     return S.ranked_search(m.weights, m.query_vectors(tables.query_batch(spark, d)), RANKED_K)
 
 
 def q_ranked_search_two_pass(spark, d):
-    m = RankedModel(spark, d, stem=True, passes=2)
+    m = RankedModel.of(spark, d, stem=True, passes=2)
     return S.ranked_search(m.weights, m.query_vectors(tables.query_batch(spark, d)), RANKED_K)
 
 

@@ -72,6 +72,47 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def materialize_bucketed(df: DataFrame, name: str, key: str, buckets: int | None = None) -> DataFrame:
+    """Write ``df`` under the checkpoint folder as a table bucketed by
+    ``key`` and read it back.
+
+    The scan of a bucketed table reports hash partitioning on ``key``, so
+    later per-key windows, aggregations and joins on ``key`` plan without an
+    exchange. The one repartition before the write puts each bucket in one
+    task, so every task writes one file per bucket it holds."""
+    spark = df.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = f"lookout_{name.replace('-', '_')}_{uuid.uuid4().hex[:12]}"
+    path = os.path.join(checkpoint_root(spark), table)
+    (df.repartition(n, key).write.mode("overwrite").bucketBy(n, key)
+     .option("path", path).saveAsTable(table))
+    return spark.table(table)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give a small input enough tasks for CPU-heavy text work.
+
+    A scan is split by row groups, so a small file can land in a single
+    task however many cores there are. When the input's size (the
+    optimizer's estimate, exact for a file scan) cannot fill every core
+    with a full split, its rows are dealt round-robin over the cores. A
+    large input already yields far more splits than cores and is returned
+    unchanged, so at scale this adds no shuffle."""
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    split = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
+    return df.repartition(cores) if plan_size_bytes(df) < cores * split else df
+
+
+def _bytes(value: str) -> int:
+    v = value.strip().lower()
+    for unit, mult in (("k", 1 << 10), ("m", 1 << 20), ("g", 1 << 30), ("t", 1 << 40)):
+        if v.endswith(unit + "b") or v.endswith(unit):
+            return int(float(v.rstrip("b")[:-1]) * mult)
+    return int(v.rstrip("b"))
+
+
 def plan_size_bytes(df: DataFrame) -> int:
     """Optimizer size estimate of ``df``; exact for a plain file scan."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(size.toString()) if hasattr(size, "toString") else int(size)

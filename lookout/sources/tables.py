@@ -10,6 +10,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import spread
+
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
 
@@ -19,9 +21,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Corpus ``(doc_id, text)``; a null text counts as empty."""
-    return table(spark, sf_dir, "documents").select(
-        "doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    """Corpus ``(doc_id, text)``; a null text counts as empty. Text work is
+    CPU-bound, so a scan with fewer splits than cores is spread first."""
+    return spread(table(spark, sf_dir, "documents").select(
+        "doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text")))
+
+
+def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw pages ``(page_id, url, html)``, spread like :func:`documents`."""
+    return spread(table(spark, sf_dir, "pages"))
 
 
 def query_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
