@@ -57,7 +57,7 @@ def apply_stems(df: DataFrame, stems: DataFrame, col: str = "term") -> DataFrame
             .drop("_raw", "_stem"))
 
 
-def _runs(df: DataFrame, sorted_col: str) -> DataFrame:
+def run_counts(df: DataFrame, sorted_col: str) -> DataFrame:
     """Explode a sorted token array into ``(term, tf)`` rows, one per run of
     equal terms: all tokens of a document come from the task that read the
     document, so counting them in the row needs no shuffle. The array is a
@@ -87,7 +87,7 @@ def term_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     d = spread(docs.select(F.col(id_col).alias("doc_id"),
                            F.coalesce(F.col(text_col), F.lit("")).alias("text")))
     sorted_tokens = d.select("doc_id", F.array_sort(T.normalized_tokens(F.col("text"))).alias("_s"))
-    tf = _runs(sorted_tokens, "_s")
+    tf = run_counts(sorted_tokens, "_s")
     if stems is not None:
         tf = (apply_stems(tf, stems)
               .groupBy("doc_id", "term").agg(F.sum("tf").alias("tf")))
