@@ -206,13 +206,17 @@ def place_field_index(places: DataFrame) -> DataFrame:
 
 
 def advanced_search(places: DataFrame, index: DataFrame, request: SearchRequest,
-                    top_n: int = 10) -> DataFrame:
+                    top_n: int = 10, strict: bool = False) -> DataFrame:
     """Field match score, then price/cards/facilities/region filters,
-    then the top ``top_n`` by score (ties by doc id). No word hit, no row."""
+    then the top ``top_n`` by score (ties by doc id). No word hit, no row.
+
+    The query city is cleaned like the indexed city (T10). ``strict`` cleans
+    it with the field cleaner (T9) instead, as the original did, so a city
+    with punctuation (``Forlì-Cesena``) cannot match."""
     spark = places.sparkSession
     terms = field_query_terms(spark, {
         "name": (request.name, "field"),
-        "city": (request.city, "basic"),
+        "city": (request.city, "field" if strict else "basic"),
         "cuisine": (request.cuisine, "field"),
     })
     scores = field_match_score(index, terms)
