@@ -42,28 +42,40 @@ TOKENISER_STEPS = [
 TOKEN_RULE = r"^[\p{L}\p{N}]{3,}$"
 SPLIT_RE = WS + "+"
 
-
-def _java_group(group: int | None) -> str:
-    return " " if group is None else " $" + str(group)
+# The Spark expressions run Java-only forms of the same rules: they match
+# the same text but cost less per character (one predicate call for
+# whitespace; a look-behind instead of an alternation with ``^``). The
+# portable forms above stay the definition (the SQL oracle runs them), and
+# the tests compare both over whole corpora.
+J_WS = r"[\p{javaWhitespace}\x{85}\x{A0}\x{2007}\x{202F}]"
+J_ZERO_WORD = r"(?<![\p{L}\p{N}_])0[\p{L}\p{N}_]*"
+J_TOKENISER_STEPS = [
+    (TOKENISER_STEPS[0][0], " "),
+    (TOKENISER_STEPS[1][0], " $1"),
+    (r"('s|'m|'d|'ll|'re|'ve|n't)(" + J_WS + "|$)", " $2"),
+    (r"(?<![^" + J_WS[1:-1] + "])'+", " "),
+    (r"['.]+(" + J_WS + "|$)", " $1"),
+]
+J_SPLIT = J_WS + "+"
 
 
 def strip_zero_words(col: Column) -> Column:
     """Delete words that start with ``0``."""
-    return F.regexp_replace(col, ZERO_WORD, "$1")
+    return F.regexp_replace(col, J_ZERO_WORD, "")
 
 
 def tokenizer_text(col: Column) -> Column:
     """T1 + T2 + tokeniser steps: a lower-cased string whose whitespace
     separated pieces are the raw tokens."""
     out = strip_zero_words(F.lower(F.coalesce(col, F.lit(""))))
-    for pattern, group in TOKENISER_STEPS:
-        out = F.regexp_replace(out, pattern, _java_group(group))
+    for pattern, replacement in J_TOKENISER_STEPS:
+        out = F.regexp_replace(out, pattern, replacement)
     return out
 
 
 def raw_tokens(col: Column) -> Column:
     """Array of raw tokens, in text order (empty pieces removed)."""
-    return F.filter(F.split(tokenizer_text(col), SPLIT_RE), lambda t: t != F.lit(""))
+    return F.filter(F.split(tokenizer_text(col), J_SPLIT), lambda t: t != F.lit(""))
 
 
 def keep_token(t: Column, stop_words=ENGLISH_STOP_WORDS) -> Column:
@@ -73,7 +85,7 @@ def keep_token(t: Column, stop_words=ENGLISH_STOP_WORDS) -> Column:
 
 def normalized_tokens(col: Column, stop_words=ENGLISH_STOP_WORDS) -> Column:
     """T1..T6 as one array expression (before stemming)."""
-    return F.filter(F.split(tokenizer_text(col), SPLIT_RE),
+    return F.filter(F.split(tokenizer_text(col), J_SPLIT),
                     lambda t: keep_token(t, stop_words))
 
 
