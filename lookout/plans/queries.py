@@ -16,6 +16,7 @@ from ..functions import text as T
 from ..operators import corpus as C
 from ..operators import search as S
 from ..operators import stemming as ST
+from ..session import materialize, materialize_bucketed
 from . import index_cache as IC
 from ..sources import tables
 
@@ -89,15 +90,15 @@ def _stems(spark, d):
 
 
 def q_vocabulary(spark, d):
-    return C.vocabulary(_tf(spark, d, persist=False))
+    return C.vocabulary(_tf(spark, d))
 
 
 def q_term_frequency(spark, d):
-    return C.term_frequency(_tf(spark, d, persist=False))
+    return C.term_frequency(_tf(spark, d))
 
 
 def q_bounded_vocabulary(spark, d):
-    return C.bounded_vocabulary(_tf(spark, d, persist=False), VOCAB_MIN_CF, VOCAB_MAX_CF)
+    return C.bounded_vocabulary(_tf(spark, d), VOCAB_MIN_CF, VOCAB_MAX_CF)
 
 
 def q_vocab_size(spark, d):
@@ -130,7 +131,8 @@ class RankedModel:
             self.idf = C.fit_idf(self.tf, n, terms=vocab)
         else:
             self.idf = C.fit_idf(self.tf, n, min_cf=min_cf, max_cf=max_cf)
-        self.weights = C.transform(self.tf, self.idf)
+        # the weighted index: written once, bucketed by document like the postings
+        self.weights = materialize_bucketed(C.transform(self.tf, self.idf), "weights", "doc_id")
 
     @classmethod
     def of(cls, spark, d, **params):
@@ -143,7 +145,10 @@ class RankedModel:
         return C.query_counts(queries, stems=stems)
 
     def query_vectors(self, queries: DataFrame) -> DataFrame:
-        return C.transform(self.query_counts(queries), self.idf, id_col="query_id")
+        """Unit-length query vectors, written once per call so the searches
+        that use them see their real size and never recompute them."""
+        return materialize(C.transform(self.query_counts(queries), self.idf, id_col="query_id"),
+                           "query-vectors")
 
 
 def _rounded(df, col="weight"):
@@ -168,7 +173,7 @@ def q_query_vectors(spark, d):
 # -------------------------------------------------------------- search --
 
 def _with_names(spark, d, df):
-    names = tables.catalog(spark, d).select("doc_id", "name")
+    names = _catalog(spark, d).select("doc_id", "name")
     return df.join(names, "doc_id", "left")
 
 
@@ -179,8 +184,7 @@ def q_conjunctive_search(spark, d):
 
 
 def q_term_intersect(spark, d):
-    tf = _tf(spark, d, persist=False)
-    return S.term_intersect(tf, TERM_A, TERM_B)
+    return S.term_intersect(_tf(spark, d), TERM_A, TERM_B)
 
 
 def _ranked(spark, d, queries):
@@ -236,8 +240,15 @@ FILTER_FACILITIES = ["A", "R"]
 FILTER_REGIONS = ["ASIA", "EUROPE"]
 
 
+CATALOG_INPUTS = ("part", "lineitem", "supplier", "nation", "region")
+
+
 def _catalog(spark, d):
-    return tables.catalog(spark, d)
+    """The place table, derived from the TPC-H-like tables once per input
+    and written to the checkpoint folder (places are parsed once and
+    searched many times)."""
+    return IC.cached(spark, "catalog", [f"{d}/{t}.parquet" for t in CATALOG_INPUTS], (),
+                     lambda: materialize(tables.catalog(spark, d), "catalog"))
 
 
 def _joined(col):

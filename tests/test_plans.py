@@ -38,7 +38,9 @@ def test_single_top_n_is_take_ordered(spark):
 
 
 def test_norm_window_reads_bucketed_postings_without_exchange(spark):
-    plan = _plan(Q.RankedModel.of(spark, SF).weights)
+    from lookout.operators.corpus import transform
+    m = Q.RankedModel.of(spark, SF)
+    plan = _plan(transform(m.tf, m.idf))
     assert "Bucketed: true" in plan
     assert "Exchange" not in plan.split("Window")[1].split("BroadcastExchange")[0]
 
@@ -51,6 +53,15 @@ def test_filters_reach_scans(spark):
     assert "GreaterThanOrEqual(l_quantity,45.0)" in li
 
 
+def test_search_scores_without_postings_exchange(spark):
+    # the weighted index is bucketed by doc_id: (query, doc) sums need no exchange
+    from lookout.operators.search import cosine_scores
+    from lookout.sources import tables
+    m = Q.RankedModel.of(spark, SF)
+    plan = _plan(cosine_scores(m.weights, m.query_vectors(tables.query_batch(spark, SF))))
+    assert "Exchange hashpartitioning" not in plan
+
+
 def test_scan_reads_only_needed_columns(spark):
     plan = _plan(Q.q_page_bucket(spark, SF))
     assert "ReadSchema: struct<page_id:bigint>" in plan
