@@ -35,8 +35,14 @@ def stem_udf(terms: pd.Series) -> pd.Series:
 
 
 def stem_dictionary(terms: DataFrame, col: str = "term", persist: bool = True) -> DataFrame:
-    """``(term, stem)`` for the distinct values of ``col``."""
-    d = terms.select(F.col(col).alias("term")).distinct().select("term", stem_udf("term").alias("stem"))
+    """``(term, stem)`` for the distinct values of ``col``.
+
+    The distinct terms are dealt over the cluster's cores before the Python
+    step: AQE would otherwise coalesce a small vocabulary into one task and
+    stem it on one core."""
+    cores = terms.sparkSession.sparkContext.defaultParallelism
+    d = (terms.select(F.col(col).alias("term")).distinct().repartition(cores)
+         .select("term", stem_udf("term").alias("stem")))
     return materialize(d, "stems") if persist else d
 
 
@@ -47,6 +53,15 @@ def corpus_stems(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return stem_dictionary(toks)
 
 
+def stem_postings(tf: DataFrame, stems: DataFrame) -> DataFrame:
+    """``(doc_id, term, tf)`` in stems, from unstemmed postings: each term
+    is replaced by its stem and counts are summed per (doc, stem). When
+    ``tf`` is bucketed by ``doc_id`` the re-aggregation needs no exchange."""
+    d = stems.select(F.col("term").alias("_t"), F.col("stem").alias("_s"))
+    return (tf.join(d, tf.term == d._t)
+            .groupBy("doc_id", F.col("_s").alias("term")).agg(F.sum("tf").alias("tf")))
+
+
 def second_pass(tf: DataFrame) -> DataFrame:
     """Normalise already-normalised terms once more, as the original ranked
     engine did when it built its vocabulary from processed text: the token

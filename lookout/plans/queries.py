@@ -75,9 +75,11 @@ def _tf(spark, d, persist=True, stem=False, min_len=1):
         return C.term_counts(tables.documents(spark, d))
 
     def build():
-        docs = tables.documents(spark, d)
-        stems = _stems(spark, d) if stem else None
-        tf = C.term_counts(docs, stems=stems)
+        if stem:
+            # stemmed postings come from the unstemmed ones: no second tokenising
+            tf = ST.stem_postings(_tf(spark, d), _stems(spark, d))
+        else:
+            tf = C.term_counts(tables.documents(spark, d))
         if min_len > 1:
             tf = tf.where(F.length("term") >= min_len)
         return C.index_postings(tf)
@@ -85,8 +87,10 @@ def _tf(spark, d, persist=True, stem=False, min_len=1):
 
 
 def _stems(spark, d):
+    """Stem dictionary of the corpus vocabulary (distinct terms of the
+    postings), built once per corpus."""
     return IC.cached(spark, "stems", [_docs_path(d)], (),
-                     lambda: ST.corpus_stems(tables.documents(spark, d)))
+                     lambda: ST.stem_dictionary(_tf(spark, d).select("term")))
 
 
 def q_vocabulary(spark, d):

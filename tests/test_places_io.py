@@ -74,3 +74,13 @@ def test_postings_lookup_prunes(spark):
     two = IS.read_postings(spark, p, ["a", "c"])
     assert "In(term, [a,c])" in two._jdf.queryExecution().executedPlan().toString()
     assert sorted(r.term for r in two.collect()) == ["a", "c"]
+
+
+def test_split_location_modes(spark):
+    df = spark.createDataFrame([("Via del Corso, 12, Roma, 00186, Italia",), ("Only street",)], "loc string")
+    default = [tuple(r) for r in df.select(*PL.split_location(F.col("loc"))).collect()]
+    assert default == [("Via del Corso", "12", "Roma", "00186"), ("Only street", None, None, None)]
+    tail = [tuple(r) for r in df.select(*PL.split_location(F.col("loc"), from_end=True)).collect()]
+    assert tail[0] == ("Via del Corso, 12", "Roma", "00186", "Italia")
+    strict = df.select(*PL.split_location(F.col("loc"), strict=True)).first()
+    assert tuple(strict) == ("Via del Corso", " 12", " Roma", " 00186")
