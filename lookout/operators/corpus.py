@@ -85,7 +85,7 @@ def term_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     the counts are re-aggregated per stem, which does shuffle postings
     (several raw terms of a document may share a stem)."""
     d = spread(docs.select(F.col(id_col).alias("doc_id"),
-                           F.coalesce(F.col(text_col), F.lit("")).alias("text")))
+                           F.coalesce(F.col(text_col), F.lit("")).alias("text")), key="doc_id")
     sorted_tokens = d.select("doc_id", F.array_sort(T.normalized_tokens(F.col("text"))).alias("_s"))
     tf = run_counts(sorted_tokens, "_s")
     if stems is not None:

@@ -84,24 +84,39 @@ def materialize_bucketed(df: DataFrame, name: str, key: str, buckets: int | None
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     table = f"lookout_{name.replace('-', '_')}_{uuid.uuid4().hex[:12]}"
     path = os.path.join(checkpoint_root(spark), table)
-    (df.repartition(n, key).write.mode("overwrite").bucketBy(n, key)
-     .option("path", path).saveAsTable(table))
+    if not hash_partitioned_by(df, key, n):
+        df = df.repartition(n, key)
+    df.write.mode("overwrite").bucketBy(n, key).option("path", path).saveAsTable(table)
     return spark.table(table)
 
 
-def spread(df: DataFrame) -> DataFrame:
+def hash_partitioned_by(df: DataFrame, key: str, n: int) -> bool:
+    """True when ``df`` is already hash-partitioned on ``key`` alone into
+    ``n`` partitions (the layout of ``n`` buckets on ``key``)."""
+    part = df._jdf.queryExecution().sparkPlan().outputPartitioning().toString()
+    return part.startswith(f"hashpartitioning({key}#") and part.endswith(f", {n})") \
+        and part.count("#") == 1
+
+
+def spread(df: DataFrame, key: str | None = None) -> DataFrame:
     """Give a small input enough tasks for CPU-heavy text work.
 
     A scan is split by row groups, so a small file can land in a single
     task however many cores there are. When the input's size (the
     optimizer's estimate, exact for a file scan) cannot fill every core
-    with a full split, its rows are dealt round-robin over the cores. A
-    large input already yields far more splits than cores and is returned
-    unchanged, so at scale this adds no shuffle."""
+    with a full split, its rows are dealt over the cores: round-robin, or
+    with ``key`` hashed on it into the shuffle partition count, which is
+    the layout of a table bucketed on ``key`` (a later bucketed write then
+    needs no second shuffle). A large input already yields far more splits
+    than cores and is returned unchanged, so at scale this adds no shuffle."""
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
     split = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
-    return df.repartition(cores) if plan_size_bytes(df) < cores * split else df
+    if plan_size_bytes(df) >= cores * split:
+        return df
+    if key is None:
+        return df.repartition(cores)
+    return df.repartition(max(cores, int(spark.conf.get("spark.sql.shuffle.partitions"))), key)
 
 
 def _bytes(value: str) -> int:

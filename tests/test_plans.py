@@ -73,6 +73,14 @@ def test_term_counts_do_not_shuffle(spark):
     from lookout.operators.corpus import term_counts
     from lookout.sources import tables
     docs = tables.table(spark, SF, "documents")
+    # small input: the only exchange spreads the text before tokens exist
     plan = _plan(term_counts(docs))
-    # only the round-robin spread of a small input may appear
-    assert "hashpartitioning" not in plan
+    assert plan.count("Exchange") == 1
+    assert plan.index("Generate") < plan.index("Exchange")   # exchange sits below the generator
+    # an input large enough to fill every core: no exchange at all
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    try:
+        assert "Exchange" not in _plan(term_counts(docs))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
