@@ -93,8 +93,14 @@ def _stems(spark, d):
                      lambda: ST.stem_dictionary(_tf(spark, d).select("term")))
 
 
+def _vocab(spark, d):
+    """``(term_id, term)`` of the corpus, numbered once per corpus."""
+    return IC.cached(spark, "vocabulary", [_docs_path(d)], (),
+                     lambda: C.vocabulary(_tf(spark, d)))
+
+
 def q_vocabulary(spark, d):
-    return C.vocabulary(_tf(spark, d))
+    return _vocab(spark, d)
 
 
 def q_term_frequency(spark, d):
@@ -113,8 +119,7 @@ def q_vocab_size(spark, d):
 
 
 def q_inverted_index(spark, d):
-    tf = _tf(spark, d)
-    return C.inverted_index(tf, C.vocabulary(tf))
+    return C.inverted_index(_tf(spark, d), _vocab(spark, d))
 
 
 class RankedModel:

@@ -111,12 +111,15 @@ def spread(df: DataFrame, key: str | None = None) -> DataFrame:
     than cores and is returned unchanged, so at scale this adds no shuffle."""
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
+    n = max(cores, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    if key is not None and hash_partitioned_by(df, key, n):
+        return df                                   # already spread on the key
+    if key is None and df._jdf.queryExecution().sparkPlan().outputPartitioning().numPartitions() >= cores:
+        return df                                   # already spread
     split = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
     if plan_size_bytes(df) >= cores * split:
         return df
-    if key is None:
-        return df.repartition(cores)
-    return df.repartition(max(cores, int(spark.conf.get("spark.sql.shuffle.partitions"))), key)
+    return df.repartition(cores) if key is None else df.repartition(n, key)
 
 
 def _bytes(value: str) -> int:

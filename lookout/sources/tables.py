@@ -24,7 +24,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Corpus ``(doc_id, text)``; a null text counts as empty. Text work is
     CPU-bound, so a scan with fewer splits than cores is spread first."""
     return spread(table(spark, sf_dir, "documents").select(
-        "doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text")))
+        "doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text")), key="doc_id")
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
