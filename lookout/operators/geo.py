@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .search import price_ordinal
+from .sizing import broadcast_if_small
 
 CITY_KEYS = ("city", "town", "village", "municipality")
 REGION_KEYS = ("region", "state")
@@ -85,10 +86,18 @@ def marker_rows(places: DataFrame) -> DataFrame:
 
 def semi_by_text(places: DataFrame, result: DataFrame, col: str = "text") -> DataFrame:
     """Rows whose text equals the text of any result row (so every copy
-    of a matching text is returned)."""
-    return places.join(result.select(col).distinct(), col, "left_semi")
+    of a matching text is returned).
+
+    Texts are wide, so only a 64-bit hash of each result text is broadcast
+    (after its row count is checked); the corpus streams past it without a
+    shuffle, and the few candidates that share a hash are then compared on
+    the full text, so the result is exact."""
+    texts = result.select(F.xxhash64(col).alias("_h"), col).distinct()
+    hashes = broadcast_if_small(texts.select("_h").distinct())
+    candidates = places.withColumn("_h", F.xxhash64(col)).join(hashes, "_h", "left_semi")
+    return candidates.join(texts, ["_h", col], "left_semi").drop("_h")
 
 
 def semi_by_id(places: DataFrame, result: DataFrame, col: str = "doc_id") -> DataFrame:
-    """Rows whose id is in the result."""
-    return places.join(result.select(col), col, "left_semi")
+    """Rows whose id is in the result (checked broadcast, as above)."""
+    return places.join(broadcast_if_small(result.select(col).distinct()), col, "left_semi")

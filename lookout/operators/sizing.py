@@ -4,7 +4,12 @@ A broadcast hint is only placed after its bound is proven: the candidate
 side is counted with ``limit(max_rows + 1).count()`` (a job that stops
 after ``max_rows + 1`` rows) and hinted only when it fits. Otherwise the
 plain join is left to the planner (sort-merge join, AQE skew splitting, or
-AQE's own runtime broadcast when measured stage sizes allow it)."""
+AQE's own runtime broadcast when measured stage sizes allow it).
+
+The bound is in rows, so it is only used for narrow rows (ids, terms,
+weights: a few dozen bytes each, so the default bound is tens of MB);
+wide values such as whole texts are reduced to a hash first (see
+:func:`lookout.operators.geo.semi_by_text`)."""
 
 from __future__ import annotations
 
@@ -12,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Rows a hinted broadcast side may hold (a query batch is far below this).
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:

@@ -63,3 +63,11 @@ def test_monotone_route_cases(spark):
     got = {r.case_id: (r.answer, r.path) for r in monotone_route(df).collect()}
     assert got == {c: _brute_route(p) for c, p in cases.items()}
     assert got[1] == ("YES", "RUUURR") and got[2] == ("NO", None)
+
+
+def test_semi_joins_return_every_copy(spark):
+    docs = spark.createDataFrame([(1, "same text"), (2, "same text"), (3, "other"), (4, "same text ")],
+                                 "doc_id bigint, text string")
+    result = spark.createDataFrame([(1, "same text")], "doc_id bigint, text string")
+    assert sorted(r.doc_id for r in G.semi_by_text(docs, result).collect()) == [1, 2]
+    assert [r.doc_id for r in G.semi_by_id(docs, result).collect()] == [1]
