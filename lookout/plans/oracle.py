@@ -5,10 +5,12 @@ Tables are the pre-registered views ``documents``, ``benchmark``, ``part``,
 
 from __future__ import annotations
 
+from ..functions.html import ENTITIES, FIRST_H1, HOST, HREF, NAV_BLOCK, TAG
+from ..sources.tables import CATALOG_SQL, GEO_SQL
 from . import sqltext as X
-from .queries import (ADVANCED_TOP_N, RANKED_K, SINGLE_QUERY, TERM_A, TERM_B, TWO_STAGE_K,
-                      VOCAB_MAX_CF, VOCAB_MIN_CF)
-from ..sources.tables import CATALOG_SQL
+from .queries import (ADVANCED_TOP_N, FILTER_BANDS, FILTER_CARDS, FILTER_FACILITIES,
+                      FILTER_REGIONS, PREF_CUISINE, PREF_FACILITY, RANKED_K, REQUEST,
+                      SINGLE_QUERY, TERM_A, TERM_B, TWO_STAGE_K, VOCAB_MAX_CF, VOCAB_MIN_CF)
 
 NORM = X.normalized_tokens("text")
 
@@ -132,10 +134,6 @@ select doc_id from tf where term = '{TERM_B}'
 
 # ------------------------------------------------------- places / facets --
 
-from ..functions.html import ENTITIES, FIRST_H1, HOST, HREF, NAV_BLOCK, TAG  # noqa: E402
-from ..sources.tables import GEO_SQL  # noqa: E402
-from .queries import (FILTER_BANDS, FILTER_CARDS, FILTER_FACILITIES, FILTER_REGIONS,  # noqa: E402
-                      PREF_CUISINE, PREF_FACILITY, REQUEST)
 
 L = X.lit
 

@@ -12,12 +12,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import html as H
 from ..functions import text as T
 from ..operators import corpus as C
+from ..operators import extract as EX
+from ..operators import geo as G
+from ..operators import places as PL
+from ..operators import routes as RT
 from ..operators import search as S
 from ..operators import stemming as ST
-from ..session import materialize, materialize_bucketed
+from ..session import bucket_count, materialize, materialize_bucketed, plan_size_bytes
 from . import index_cache as IC
+from ..sources import index_store as IS
+from ..sources import places as SP
 from ..sources import tables
 
 # Parameters of the original ranked engine as its driver called it.
@@ -82,10 +89,15 @@ def _tf(spark, d, persist=True, stem=False, min_len=1):
             tf = C.term_counts(tables.documents(spark, d))
         if min_len > 1:
             tf = tf.where(F.length("term") >= min_len)
-        return C.index_postings(tf)
+        return C.index_postings(tf, _buckets(spark, d))
     return IC.cached(spark, "postings", [_docs_path(d)], (stem, min_len), build)
 
 
+def _buckets(spark, d):
+    """Bucket count of the corpus index tables, from the corpus size."""
+    return bucket_count(spark, plan_size_bytes(tables.table(spark, d, "documents")))
+
+
 def _stems(spark, d):
     """Stem dictionary of the corpus vocabulary (distinct terms of the
     postings), built once per corpus."""
@@ -141,7 +153,8 @@ class RankedModel:
         else:
             self.idf = C.fit_idf(self.tf, n, min_cf=min_cf, max_cf=max_cf)
         # the weighted index: written once, bucketed by document like the postings
-        self.weights = materialize_bucketed(C.transform(self.tf, self.idf), "weights", "doc_id")
+        self.weights = materialize_bucketed(C.transform(self.tf, self.idf), "weights", "doc_id",
+                                            _buckets(spark, d))
 
     @classmethod
     def of(cls, spark, d, **params):
@@ -238,9 +251,6 @@ QUERIES = {
 
 # ------------------------------------------------------- places / facets --
 
-from ..functions import html as H  # noqa: E402
-from ..operators import geo as G  # noqa: E402
-from ..operators import places as PL  # noqa: E402
 
 # The search request of the advanced search (values a user would pick).
 REQUEST = S.SearchRequest(name="Blue bolt and the red gear", city="  NATION_7 ",
@@ -482,10 +492,6 @@ def q_decode_list(spark, d):
 
 # ------------------------------------------------ routes, I/O, extraction --
 
-from ..operators import extract as EX  # noqa: E402
-from ..operators import routes as RT  # noqa: E402
-from ..sources import index_store as IS  # noqa: E402
-from ..sources import places as SP  # noqa: E402
 
 
 def q_monotone_route(spark, d):

@@ -90,6 +90,16 @@ def materialize_bucketed(df: DataFrame, name: str, key: str, buckets: int | None
     return spark.table(table)
 
 
+def bucket_count(spark: SparkSession, input_bytes: int) -> int:
+    """Buckets for a table derived from ``input_bytes`` of input: about one
+    per input split (``spark.sql.files.maxPartitionBytes``), so a bucket
+    stays a task-sized piece of work at any scale; never fewer than the
+    shuffle partition count."""
+    split = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
+    floor = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(floor, -(-input_bytes // split))
+
+
 def hash_partitioned_by(df: DataFrame, key: str, n: int) -> bool:
     """True when ``df`` is already hash-partitioned on ``key`` alone into
     ``n`` partitions (the layout of ``n`` buckets on ``key``)."""
