@@ -71,3 +71,19 @@ def test_semi_joins_return_every_copy(spark):
     result = spark.createDataFrame([(1, "same text")], "doc_id bigint, text string")
     assert sorted(r.doc_id for r in G.semi_by_text(docs, result).collect()) == [1, 2]
     assert [r.doc_id for r in G.semi_by_id(docs, result).collect()] == [1]
+
+
+def test_monotone_route_hot_case_split_over_partitions(spark):
+    import random
+    rnd = random.Random(7)
+    cases = {1: [(i, i // 3) for i in range(300)],                       # one huge feasible case
+             2: [(i, 300 - i) for i in range(40)],                       # infeasible
+             3: [(5, 5)]}
+    for c in range(4, 30):
+        cases[c] = [(rnd.randint(0, 9), rnd.randint(0, 9)) for _ in range(rnd.randint(1, 6))]
+        cases[c] = list(dict.fromkeys(cases[c]))
+    rows = [(c, x, y) for c, pts in cases.items() for x, y in pts]
+    rnd.shuffle(rows)
+    df = spark.createDataFrame(rows, "case_id bigint, x int, y int")
+    got = {r.case_id: (r.answer, r.path) for r in monotone_route(df, partitions=7).collect()}
+    assert got == {c: _brute_route(p) for c, p in cases.items()}
