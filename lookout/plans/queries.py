@@ -20,6 +20,7 @@ from ..operators import geo as G
 from ..operators import places as PL
 from ..operators import routes as RT
 from ..operators import search as S
+from ..operators.sizing import broadcast_if_small
 from ..operators import stemming as ST
 from ..session import bucket_count, materialize, materialize_bucketed, plan_size_bytes
 from . import index_cache as IC
@@ -388,8 +389,10 @@ def q_marker_rows(spark, d):
 
 def q_semi_by_text(spark, d):
     docs = tables.documents(spark, d)
-    top = _ranked(spark, d, tables.query_batch(spark, d)).join(docs, "doc_id")
-    return G.semi_by_text(docs, top).select("doc_id")
+    top_ids = _ranked(spark, d, tables.query_batch(spark, d)).select("doc_id").distinct()
+    # texts of the result rows: the corpus streams past the checked, broadcast ids
+    top_texts = docs.join(broadcast_if_small(top_ids), "doc_id", "left_semi")
+    return G.semi_by_text(docs, top_texts).select("doc_id")
 
 
 def q_semi_by_id(spark, d):

@@ -16,6 +16,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # joins on (query_id, doc_id) between two tables bucketed by doc_id
+    # reuse that bucketing instead of re-shuffling both sides
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
