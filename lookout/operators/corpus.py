@@ -216,15 +216,17 @@ def query_counts(queries: DataFrame, id_col: str = "query_id", text_col: str = "
 # -------------------------------------------------------- field indexes --
 
 def field_index(places: DataFrame, fields: dict[str, Column], id_col: str = "doc_id") -> DataFrame:
-    """V9: ``(field, term, doc_id)`` distinct, for already-cleaned fields.
+    """V9: ``(field, term, doc_id)`` without duplicates, for already-cleaned
+    fields.
 
-    ``fields`` maps a field name to a column of cleaned text; the fields are
-    unpivoted into rows, split on whitespace and exploded. No shuffle other
-    than the final ``distinct``."""
+    ``fields`` maps a field name to a column of cleaned text. ``id_col`` is
+    the place key (one row per place), so each (field, place) is one row and
+    its words are de-duplicated inside the row: the index is built with no
+    shuffle at all."""
     stacked = places.select(
         F.col(id_col).alias("doc_id"),
         F.explode(F.array(*[F.struct(F.lit(name).alias("field"), col.alias("value"))
                             for name, col in fields.items()])).alias("f"))
-    return (stacked.select(F.col("f.field").alias("field"),
-                           F.explode(T.words(F.col("f.value"))).alias("term"), "doc_id")
-            .distinct())
+    return stacked.select(F.col("f.field").alias("field"),
+                          F.explode(F.array_distinct(T.words(F.col("f.value")))).alias("term"),
+                          "doc_id")
