@@ -204,13 +204,15 @@ def transform(tf: DataFrame, idf: DataFrame, id_col: str = "doc_id") -> DataFram
 
 def query_counts(queries: DataFrame, id_col: str = "query_id", text_col: str = "text",
                  stems: DataFrame | None = None) -> DataFrame:
-    """``(query_id, term, tf)`` for a batch of query texts (no repartition:
-    query batches are small and stay where they are read)."""
+    """``(query_id, term, tf)`` for a batch of query texts, counted inside
+    each query row like document terms (``query_id`` is the query key)."""
     toks = queries.select(F.col(id_col).alias("query_id"),
-                          F.explode(T.normalized_tokens(F.col(text_col))).alias("term"))
+                          F.array_sort(T.normalized_tokens(F.col(text_col))).alias("_s"))
+    tf = run_counts(toks, "_s")
     if stems is not None:
-        toks = apply_stems(toks, stems)
-    return toks.groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("tf"))
+        tf = (apply_stems(tf, stems)
+              .groupBy("query_id", "term").agg(F.sum("tf").alias("tf")))
+    return tf
 
 
 # -------------------------------------------------------- field indexes --
