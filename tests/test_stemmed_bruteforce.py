@@ -46,3 +46,12 @@ def test_normalized_text_stemmed(spark, sf_small):
     got = {r["doc_id"]: r["normalized"] for r in Q.q_normalized_text_stemmed(spark, sf_small).collect()}
     docs, _ = _inputs(spark, sf_small)
     assert got == {d: " ".join(B.stemmed(t)) for d, t in docs.items()}
+
+
+def test_corpus_stems_from_raw_documents(spark, sf_small):
+    from lookout.operators.stemming import corpus_stems
+    docs = tables.documents(spark, sf_small)
+    got = {r["term"]: r["stem"] for r in corpus_stems(docs).collect()}
+    texts, _ = _inputs(spark, sf_small)
+    terms = {t for text in texts.values() for t in B.tokens(text)}
+    assert got == {t: B.porter2.stem(t) for t in terms}
