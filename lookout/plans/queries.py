@@ -22,7 +22,8 @@ from ..operators import routes as RT
 from ..operators import search as S
 from ..operators import stemming as ST
 from ..operators.sizing import broadcast_if_small
-from ..session import bucket_count, materialize, materialize_bucketed, plan_size_bytes
+from ..index import SearchIndex
+from ..session import bucket_count, materialize, plan_size_bytes
 from ..sources import index_store as IS
 from ..sources import places as SP
 from ..sources import tables
@@ -73,24 +74,25 @@ def _docs_path(d):
     return f"{d}/documents.parquet"
 
 
-def _tf(spark, d, persist=True, stem=False, min_len=1):
-    """Postings with counts. With ``persist`` they are written once per
-    corpus as a table bucketed by doc_id (see :mod:`.index_cache`) and every
-    query over the corpus reads that table. ``min_len=2`` drops the
-    one-character stems the vectoriser's tokeniser never sees."""
-    if not persist:
-        return C.term_counts(tables.documents(spark, d))
-
+def _index(spark, d, stem=False, passes=1) -> SearchIndex:
+    """The search index of a corpus with the original driver's vocabulary
+    bounds, built once per corpus and settings (see :mod:`.index_cache`).
+    Indexes with other settings share the tables they have in common."""
     def build():
-        if stem:
-            # stemmed postings come from the unstemmed ones: no second tokenising
-            tf = ST.stem_postings(_tf(spark, d), _stems(spark, d))
-        else:
-            tf = C.term_counts(tables.documents(spark, d))
-        if min_len > 1:
-            tf = tf.where(F.length("term") >= min_len)
-        return C.index_postings(tf, _buckets(spark, d))
-    return IC.cached(spark, "postings", [_docs_path(d)], (stem, min_len), build)
+        reuse = None
+        if passes != 1:
+            reuse = _index(spark, d, stem=stem)
+        elif stem:
+            reuse = _index(spark, d)
+        return SearchIndex(tables.documents(spark, d), stem=stem, min_cf=VOCAB_MIN_CF,
+                           max_cf=VOCAB_MAX_CF, passes=passes, buckets=_buckets(spark, d),
+                           reuse=reuse)
+    return IC.cached(spark, "index", [_docs_path(d)], (stem, passes), build)
+
+
+def _tf(spark, d, stem=False):
+    """Postings with counts, as a table bucketed by doc_id."""
+    return _index(spark, d, stem=stem).postings
 
 
 def _buckets(spark, d):
@@ -99,16 +101,11 @@ def _buckets(spark, d):
 
 
 def _stems(spark, d):
-    """Stem dictionary of the corpus vocabulary (distinct terms of the
-    postings), built once per corpus."""
-    return IC.cached(spark, "stems", [_docs_path(d)], (),
-                     lambda: ST.stem_dictionary(_tf(spark, d).select("term")))
+    return _index(spark, d, stem=True).stems
 
 
 def _vocab(spark, d):
-    """``(term_id, term)`` of the corpus, numbered once per corpus."""
-    return IC.cached(spark, "vocabulary", [_docs_path(d)], (),
-                     lambda: C.vocabulary(_tf(spark, d)))
+    return _index(spark, d).vocabulary
 
 
 def q_vocabulary(spark, d):
@@ -134,43 +131,9 @@ def q_inverted_index(spark, d):
     return C.inverted_index(_tf(spark, d), _vocab(spark, d))
 
 
-class RankedModel:
-    """Fitted ranked-search state for one corpus: postings with counts, the
-    idf model, document weights and a way to vectorise query batches.
-
-    ``stem`` stems every term (T7). ``passes=2`` builds the frequency-bounded
-    vocabulary from twice-normalised text, as the original engine did, while
-    documents and queries keep their once-normalised terms."""
-
-    def __init__(self, spark, d, min_cf=VOCAB_MIN_CF, max_cf=VOCAB_MAX_CF, stem=False, passes=1):
-        docs = tables.documents(spark, d)
-        self.stem = stem
-        self.tf = _tf(spark, d, stem=stem, min_len=2 if stem else 1)
-        n = C.document_count(docs)
-        if passes == 2:
-            vocab = C.bounded_terms(ST.second_pass(self.tf), min_cf, max_cf)
-            self.idf = C.fit_idf(self.tf, n, terms=vocab)
-        else:
-            self.idf = C.fit_idf(self.tf, n, min_cf=min_cf, max_cf=max_cf)
-        # the weighted index: written once, bucketed by document like the postings
-        self.weights = materialize_bucketed(C.transform(self.tf, self.idf), "weights", "doc_id",
-                                            _buckets(spark, d))
-
-    @classmethod
-    def of(cls, spark, d, **params):
-        """The fitted model of a corpus, built once per corpus and parameters."""
-        return IC.cached(spark, "ranked", [_docs_path(d)], tuple(sorted(params.items())),
-                         lambda: cls(spark, d, **params))
-
-    def query_counts(self, queries: DataFrame) -> DataFrame:
-        stems = ST.query_stems(queries) if self.stem else None
-        return C.query_counts(queries, stems=stems)
-
-    def query_vectors(self, queries: DataFrame) -> DataFrame:
-        """Unit-length query vectors, written once per call so the searches
-        that use them see their real size and never recompute them."""
-        return materialize(C.transform(self.query_counts(queries), self.idf, id_col="query_id"),
-                           "query-vectors")
+def _model(spark, d, stem=False, passes=1) -> SearchIndex:
+    """The fitted ranked-search state (idf, weighted index) of a corpus."""
+    return _index(spark, d, stem=stem, passes=passes)
 
 
 def _rounded(df, col="weight"):
@@ -178,17 +141,17 @@ def _rounded(df, col="weight"):
 
 
 def q_tfidf(spark, d):
-    return _rounded(RankedModel.of(spark, d).weights)
+    return _rounded(_model(spark, d).weights)
 
 
 def q_weighted_postings(spark, d):
-    m = RankedModel.of(spark, d)
+    m = _model(spark, d)
     vocab = C.dense_ids(m.idf.select("term"), "term", "term_id")
     return _rounded(m.weights.join(vocab, "term").select("term_id", "doc_id", "weight"))
 
 
 def q_query_vectors(spark, d):
-    m = RankedModel.of(spark, d)
+    m = _model(spark, d)
     return _rounded(m.query_vectors(tables.query_batch(spark, d)))
 
 
@@ -216,7 +179,7 @@ def q_term_intersect(spark, d):
 
 
 def _ranked(spark, d, queries):
-    m = RankedModel.of(spark, d)
+    m = _model(spark, d)
     res = S.ranked_search(m.weights, m.query_vectors(queries), RANKED_K)
     return _with_names(spark, d, res).select("query_id", "doc_id", "name", "score", "rank")
 
@@ -328,7 +291,7 @@ def q_advanced_search(spark, d):
 
 
 def q_composite_score(spark, d):
-    m = RankedModel.of(spark, d)
+    m = _model(spark, d)
     cos = S.cosine_scores(m.weights, m.query_vectors(tables.query_batch(spark, d)))
     c = _catalog(spark, d).select("doc_id", "cuisine", "facilities", "price_range")
     return (cos.join(c, "doc_id", "left")
@@ -339,10 +302,10 @@ def q_composite_score(spark, d):
 
 
 def q_two_stage_search(spark, d):
-    m = RankedModel.of(spark, d)
+    m = _model(spark, d)
     queries = tables.query_batch(spark, d)
     qt = _query_terms(queries)
-    return S.two_stage_search(m.tf, qt, m.weights, m.query_vectors(queries), _catalog(spark, d),
+    return S.two_stage_search(m.postings, qt, m.weights, m.query_vectors(queries), _catalog(spark, d),
                               PREF_CUISINE, PREF_FACILITY, price=True, k=TWO_STAGE_K)
 
 
@@ -504,7 +467,7 @@ def q_monotone_route(spark, d):
 
 
 def q_index_roundtrip(spark, d):
-    m = RankedModel.of(spark, d)
+    m = _model(spark, d)
     path = IS.scratch_path(spark, "postings")
     IS.write_postings(m.weights.select("term", "doc_id", "tf", "weight"), path)
     return _rounded(IS.read_postings(spark, path))
@@ -602,12 +565,12 @@ def q_conjunctive_search_stemmed(spark, d):
 
 
 def q_ranked_search_stemmed(spark, d):
-    m = RankedModel.of(spark, d, stem=True)
+    m = _model(spark, d, stem=True)
     return S.ranked_search(m.weights, m.query_vectors(tables.query_batch(spark, d)), RANKED_K)
 
 
 def q_ranked_search_two_pass(spark, d):
-    m = RankedModel.of(spark, d, stem=True, passes=2)
+    m = _model(spark, d, stem=True, passes=2)
     return S.ranked_search(m.weights, m.query_vectors(tables.query_batch(spark, d)), RANKED_K)
 
 

@@ -39,8 +39,8 @@ def test_single_top_n_is_take_ordered(spark):
 
 def test_norm_window_reads_bucketed_postings_without_exchange(spark):
     from lookout.operators.corpus import transform
-    m = Q.RankedModel.of(spark, SF)
-    plan = _plan(transform(m.tf, m.idf))
+    m = Q._model(spark, SF)
+    plan = _plan(transform(m.postings, m.idf))
     assert "Bucketed: true" in plan
     assert "Exchange" not in plan.split("Window")[1].split("BroadcastExchange")[0]
 
@@ -59,7 +59,7 @@ def test_search_scores_without_postings_exchange(spark):
     # the weighted index is bucketed by doc_id: (query, doc) sums need no exchange
     from lookout.operators.search import cosine_scores
     from lookout.sources import tables
-    m = Q.RankedModel.of(spark, SF)
+    m = Q._model(spark, SF)
     plan = _plan(cosine_scores(m.weights, m.query_vectors(tables.query_batch(spark, SF))))
     assert "Exchange hashpartitioning" not in plan
 
