@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from .operators import corpus as C
 from .operators import search as S
 from .operators import stemming as ST
+from .operators.sizing import broadcast_if_small
 from .session import bucket_count, materialize, materialize_bucketed, plan_size_bytes
 
 
@@ -105,9 +106,12 @@ class SearchIndex:
         return materialize(self.query_counts(queries).select("query_id", "term"), "query-terms")
 
     def query_vectors(self, queries: DataFrame) -> DataFrame:
-        """Unit-length query vectors with the fitted idf, written once."""
-        return materialize(C.transform(self.query_counts(queries), self.idf, id_col="query_id"),
-                           "query-vectors")
+        """Unit-length query vectors with the fitted idf, written once. The
+        batch's term counts are the (checked) broadcast side, so a
+        vocabulary-sized idf table streams past them instead of being
+        shuffled for every batch."""
+        counts = broadcast_if_small(materialize(self.query_counts(queries), "query-counts"))
+        return materialize(C.transform(counts, self.idf, id_col="query_id"), "query-vectors")
 
     def conjunctive(self, queries: DataFrame) -> DataFrame:
         """Documents holding every known term of each query."""
