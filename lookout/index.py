@@ -98,20 +98,23 @@ class SearchIndex:
     # ----------------------------------------------------------- queries --
 
     def query_counts(self, queries: DataFrame) -> DataFrame:
+        """``(query_id, term, tf)`` of a batch in index terms, written once."""
         stems = ST.query_stems(queries) if self.stem else None
-        return C.query_counts(queries, stems=stems)
+        return materialize(C.query_counts(queries, stems=stems), "query-counts")
 
-    def query_terms(self, queries: DataFrame) -> DataFrame:
-        """Distinct ``(query_id, term)``, written once per call."""
-        return materialize(self.query_counts(queries).select("query_id", "term"), "query-terms")
+    def query_terms(self, queries: DataFrame, counts: DataFrame | None = None) -> DataFrame:
+        """Distinct ``(query_id, term)`` of a batch."""
+        counts = counts if counts is not None else self.query_counts(queries)
+        return counts.select("query_id", "term")
 
-    def query_vectors(self, queries: DataFrame) -> DataFrame:
+    def query_vectors(self, queries: DataFrame, counts: DataFrame | None = None) -> DataFrame:
         """Unit-length query vectors with the fitted idf, written once. The
         batch's term counts are the (checked) broadcast side, so a
         vocabulary-sized idf table streams past them instead of being
         shuffled for every batch."""
-        counts = broadcast_if_small(materialize(self.query_counts(queries), "query-counts"))
-        return materialize(C.transform(counts, self.idf, id_col="query_id"), "query-vectors")
+        counts = counts if counts is not None else self.query_counts(queries)
+        return materialize(C.transform(broadcast_if_small(counts), self.idf, id_col="query_id"),
+                           "query-vectors")
 
     def conjunctive(self, queries: DataFrame) -> DataFrame:
         """Documents holding every known term of each query."""
@@ -123,6 +126,9 @@ class SearchIndex:
 
     def two_stage(self, queries: DataFrame, places: DataFrame, cuisine: str, facility: str,
                   price: bool = True, k: int = 10) -> DataFrame:
-        """Conjunctive filter, composite score, true top ``k``."""
-        return S.two_stage_search(self.postings, self.query_terms(queries), self.weights,
-                                  self.query_vectors(queries), places, cuisine, facility, price, k)
+        """Conjunctive filter, composite score, true top ``k``. The batch
+        is tokenised and written once for both stages."""
+        counts = self.query_counts(queries)
+        return S.two_stage_search(self.postings, self.query_terms(queries, counts), self.weights,
+                                  self.query_vectors(queries, counts), places, cuisine, facility,
+                                  price, k)

@@ -162,16 +162,9 @@ def _with_names(spark, d, df):
     return df.join(names, "doc_id", "left")
 
 
-def _query_terms(queries, stems=None):
-    """Distinct ``(query_id, term)`` of a query batch, written once: both
-    branches of the conjunctive search and its size check read the file."""
-    return materialize(C.query_counts(queries, stems=stems).select("query_id", "term"), "query-terms")
-
-
 def q_conjunctive_search(spark, d):
-    tf = _tf(spark, d)
-    qt = _query_terms(tables.query_batch(spark, d))
-    return _with_names(spark, d, S.conjunctive_search(tf, qt)).select("query_id", "doc_id", "name")
+    res = _index(spark, d).conjunctive(tables.query_batch(spark, d))
+    return _with_names(spark, d, res).select("query_id", "doc_id", "name")
 
 
 def q_term_intersect(spark, d):
@@ -302,11 +295,8 @@ def q_composite_score(spark, d):
 
 
 def q_two_stage_search(spark, d):
-    m = _model(spark, d)
-    queries = tables.query_batch(spark, d)
-    qt = _query_terms(queries)
-    return S.two_stage_search(m.postings, qt, m.weights, m.query_vectors(queries), _catalog(spark, d),
-                              PREF_CUISINE, PREF_FACILITY, price=True, k=TWO_STAGE_K)
+    return _model(spark, d).two_stage(tables.query_batch(spark, d), _catalog(spark, d),
+                                      PREF_CUISINE, PREF_FACILITY, price=True, k=TWO_STAGE_K)
 
 
 # ------------------------------------------------------------- geography --
@@ -559,9 +549,7 @@ def q_normalized_text_stemmed(spark, d):
 
 
 def q_conjunctive_search_stemmed(spark, d):
-    tf = _tf(spark, d, stem=True)
-    queries = tables.query_batch(spark, d)
-    return S.conjunctive_search(tf, _query_terms(queries, ST.query_stems(queries)))
+    return _index(spark, d, stem=True).conjunctive(tables.query_batch(spark, d))
 
 
 def q_ranked_search_stemmed(spark, d):

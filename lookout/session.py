@@ -25,12 +25,16 @@ DEFAULT_CONF = {
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
-                  app_name: str = "lookout") -> SparkSession:
+                  app_name: str = "lookout", driver_memory: str | None = None) -> SparkSession:
     """Session for scripts and tests. On a cluster, pass no master and let
-    spark-submit decide; only settings that are unset are filled in."""
+    spark-submit decide; only settings that are unset are filled in.
+    ``driver_memory`` matters in local mode, where the driver JVM is also the
+    only executor (it applies only when this call starts the JVM)."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
+    if driver_memory:
+        builder = builder.config("spark.driver.memory", driver_memory)
     for key, value in DEFAULT_CONF.items():
         builder = builder.config(key, value)
     if shuffle_partitions:
