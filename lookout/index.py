@@ -50,6 +50,7 @@ class SearchIndex:
                 self.__dict__["stems"] = reuse.stems
             if reuse.stem == stem:
                 self.__dict__["postings"] = reuse.postings
+                self.__dict__["term_stats"] = reuse.term_stats
 
     # ------------------------------------------------------------ tables --
 
@@ -70,18 +71,26 @@ class SearchIndex:
             return self.raw_postings
         return C.index_postings(ST.stem_postings(self.raw_postings, self.stems), self.buckets)
 
+    @cached_property
+    def term_stats(self) -> DataFrame:
+        """``(term, df, cf)`` of every index term: the one aggregation of the
+        postings by term, written once; the idf, the vocabulary and the
+        known-term check of conjunctive search all read it."""
+        return materialize(C.term_stats(self.postings), "term-stats")
+
     @cached_property
     def idf(self) -> DataFrame:
         """``(term, df, cf, idf)`` of the bounded ranked vocabulary."""
-        tf = self.postings
+        stats = self.term_stats
         if self.stem:
             # the vectoriser's own tokeniser never sees one-character terms
-            tf = tf.where(F.length("term") >= 2)
+            stats = stats.where(F.length("term") >= 2)
         n = C.document_count(self.docs)
         if self.passes == 2:
+            tf = self.postings.where(F.length("term") >= 2) if self.stem else self.postings
             vocab = C.bounded_terms(ST.second_pass(tf), self.min_cf, self.max_cf)
-            return C.fit_idf(tf, n, terms=vocab)
-        return C.fit_idf(tf, n, min_cf=self.min_cf, max_cf=self.max_cf)
+            return C.idf_from_stats(stats, n, terms=vocab)
+        return C.idf_from_stats(stats, n, min_cf=self.min_cf, max_cf=self.max_cf)
 
     @cached_property
     def weights(self) -> DataFrame:
@@ -93,7 +102,7 @@ class SearchIndex:
     @cached_property
     def vocabulary(self) -> DataFrame:
         """``(term_id, term)`` of every index term, dense in term order."""
-        return C.vocabulary(self.postings)
+        return C.dense_ids(self.term_stats.select("term"), "term", "term_id")
 
     # ----------------------------------------------------------- queries --
 
@@ -118,7 +127,7 @@ class SearchIndex:
 
     def conjunctive(self, queries: DataFrame) -> DataFrame:
         """Documents holding every known term of each query."""
-        return S.conjunctive_search(self.postings, self.query_terms(queries))
+        return S.conjunctive_search(self.postings, self.query_terms(queries), self.term_stats)
 
     def ranked(self, queries: DataFrame, k: int = 5) -> DataFrame:
         """R2: top ``k`` documents per query by TF-IDF cosine."""
@@ -131,4 +140,4 @@ class SearchIndex:
         counts = self.query_counts(queries)
         return S.two_stage_search(self.postings, self.query_terms(queries, counts), self.weights,
                                   self.query_vectors(queries, counts), places, cuisine, facility,
-                                  price, k)
+                                  price, k, term_dictionary=self.term_stats)

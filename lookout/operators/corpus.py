@@ -170,17 +170,21 @@ def document_count(docs: DataFrame) -> Column:
     return docs.select(F.count(F.lit(1)).cast("double")).scalar()
 
 
-def fit_idf(tf: DataFrame, n_docs: Column, terms: DataFrame | None = None,
-            min_cf: int | None = None, max_cf: int | None = None,
-            persist: bool = True) -> DataFrame:
-    """V6 fit: ``(term, df, cf, idf)`` with the smoothed idf
-    ``ln((1 + n) / (1 + df)) + 1``.
-
-    ``terms`` restricts the model to a vocabulary; ``min_cf``/``max_cf``
-    apply the V3 bounds in the same aggregation. With ``persist`` the model
-    is written to the checkpoint folder, so joins against it are planned
-    with its real size."""
-    stats = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
+def term_stats(tf: DataFrame) -> DataFrame:
+    """``(term, df, cf)``: document frequency and total occurrences per term,
+    one partial + final aggregation of the postings (a hot term ships one
+    partial row per task)."""
+    return tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
+
+
+def idf_from_stats(stats: DataFrame, n_docs: Column, terms: DataFrame | None = None,
+                   min_cf: int | None = None, max_cf: int | None = None,
+                   persist: bool = True) -> DataFrame:
+    """V6 fit from per-term statistics: ``(term, df, cf, idf)`` with the
+    smoothed idf ``ln((1 + n) / (1 + df)) + 1``. ``terms`` restricts the
+    model to a vocabulary; ``min_cf``/``max_cf`` apply the V3 bounds. With
+    ``persist`` the model is written to the checkpoint folder, so joins
+    against it are planned with its real size."""
     if min_cf is not None:
         stats = stats.where(F.col("cf") >= min_cf)
     if max_cf is not None:
@@ -192,6 +196,13 @@ def fit_idf(tf: DataFrame, n_docs: Column, terms: DataFrame | None = None,
     return materialize(model, "idf") if persist else model
 
 
+def fit_idf(tf: DataFrame, n_docs: Column, terms: DataFrame | None = None,
+            min_cf: int | None = None, max_cf: int | None = None,
+            persist: bool = True) -> DataFrame:
+    """V6 fit straight from postings (see :func:`idf_from_stats`)."""
+    return idf_from_stats(term_stats(tf), n_docs, terms, min_cf, max_cf, persist)
+
+
 def transform(tf: DataFrame, idf: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """V6/V8 transform: ``(id, term, tf, weight)`` for terms of the model,
     tf * idf scaled to unit length per ``id``. Terms outside the model are

@@ -38,7 +38,8 @@ def top_k(scores: DataFrame, k: int, group_col: str = "query_id", score_col: str
 
 # -------------------------------------------------------- R1 conjunctive --
 
-def conjunctive_search(tf: DataFrame, query_terms: DataFrame) -> DataFrame:
+def conjunctive_search(tf: DataFrame, query_terms: DataFrame,
+                       term_dictionary: DataFrame | None = None) -> DataFrame:
     """``(query_id, doc_id)`` of documents holding every *known* query
     term. Unknown terms are ignored; a query with no known term matches
     nothing.
@@ -46,11 +47,17 @@ def conjunctive_search(tf: DataFrame, query_terms: DataFrame) -> DataFrame:
     ``tf`` has one row per (doc, term); ``query_terms`` is ``(query_id, term)``.
     Equivalent to intersecting posting lists, done as one count per
     (query, doc) -- keyed by document, so a frequent term is spread over
-    all tasks."""
+    all tasks. ``term_dictionary`` (any table with one row per index term)
+    decides which query terms are known: the broadcast query terms are
+    matched against it, so the postings are read once. Without it the known
+    terms are taken from the matched postings."""
     q = broadcast_if_small(query_terms.select("query_id", "term").distinct())
     hits = tf.select("doc_id", "term").join(q, "term")
-    known = (hits.select("query_id", "term").distinct()
-             .groupBy("query_id").agg(F.count(F.lit(1)).alias("n_known")))
+    if term_dictionary is not None:
+        known_terms = q.join(term_dictionary.select("term"), "term")
+    else:
+        known_terms = hits.select("query_id", "term").distinct()
+    known = known_terms.groupBy("query_id").agg(F.count(F.lit(1)).alias("n_known"))
     matched = hits.groupBy("query_id", "doc_id").agg(F.count(F.lit(1)).alias("n_hit"))
     return (matched.join(F.broadcast(known), "query_id")
             .where(F.col("n_hit") == F.col("n_known"))
@@ -112,10 +119,11 @@ def composite_score(cosine: Column, cuisine_col: Column, facilities_col: Column,
 
 def two_stage_search(tf: DataFrame, query_terms: DataFrame, weights: DataFrame,
                      query_vectors: DataFrame, places: DataFrame, cuisine: str,
-                     facility: str, price: bool = True, k: int = 10) -> DataFrame:
+                     facility: str, price: bool = True, k: int = 10,
+                     term_dictionary: DataFrame | None = None) -> DataFrame:
     """Conjunctive filter, then the composite score, then the true top k
     per query (ties by doc id)."""
-    candidates = conjunctive_search(tf, query_terms)
+    candidates = conjunctive_search(tf, query_terms, term_dictionary)
     cos = cosine_scores(weights, query_vectors)
     p = places.select("doc_id", "cuisine", "facilities", "price_range")
     scored = (candidates.join(cos, ["query_id", "doc_id"], "left")

@@ -113,16 +113,17 @@ def q_vocabulary(spark, d):
 
 
 def q_term_frequency(spark, d):
-    return C.term_frequency(_tf(spark, d))
+    return _index(spark, d).term_stats.select("term", "cf")
 
 
 def q_bounded_vocabulary(spark, d):
-    return C.bounded_vocabulary(_tf(spark, d), VOCAB_MIN_CF, VOCAB_MAX_CF)
+    stats = _index(spark, d).term_stats
+    return C.dense_ids(stats.where(F.col("cf").between(VOCAB_MIN_CF, VOCAB_MAX_CF)),
+                       "term", "term_id")
 
 
 def q_vocab_size(spark, d):
-    tf = _tf(spark, d)
-    cf = C.term_frequency(tf)
+    cf = _index(spark, d).term_stats
     return cf.agg(F.count(F.lit(1)).alias("n_terms"),
                   F.count_if(F.col("cf").between(VOCAB_MIN_CF, VOCAB_MAX_CF)).alias("n_bounded"))
 
