@@ -17,6 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ship_library
 from . import places as PL
 
 # FIXED VALUES -- the page blocks a place record is read from.
@@ -144,6 +145,7 @@ def _parse_batches(batches):
 
 def raw_blocks(pages: DataFrame) -> DataFrame:
     """The Python part: ``pages(page_id, html)`` -> raw blocks per page."""
+    ship_library(pages.sparkSession)
     return pages.select("page_id", "html").mapInPandas(_parse_batches, RAW_SCHEMA)
 
 

@@ -19,7 +19,7 @@ from pyspark.sql.types import StringType
 
 from ..functions import stem as porter2
 from ..functions import text as T
-from ..session import materialize
+from ..session import materialize, ship_library
 
 
 @F.pandas_udf(StringType())
@@ -40,6 +40,7 @@ def stem_dictionary(terms: DataFrame, col: str = "term", persist: bool = True) -
     The distinct terms are dealt over the cluster's cores before the Python
     step: AQE would otherwise coalesce a small vocabulary into one task and
     stem it on one core."""
+    ship_library(terms.sparkSession)
     cores = terms.sparkSession.sparkContext.defaultParallelism
     d = (terms.select(F.col(col).alias("term")).distinct().repartition(cores)
          .select("term", stem_udf("term").alias("stem")))

@@ -66,6 +66,32 @@ def checkpoint_root(spark: SparkSession) -> str:
     return conf_dir
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_library(spark: SparkSession) -> None:
+    """Make this package importable in the executors' Python workers.
+
+    The HTML extraction job and the stem dictionary run Python functions of
+    this package on executors. The package is zipped once per application
+    and added with ``SparkContext.addPyFile``, which serves it to every
+    executor (the zip is read only by the driver)."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    import zipfile
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="lookout-py-"), "lookout.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, files in os.walk(root):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(folder, f)
+                    z.write(full, os.path.join("lookout", os.path.relpath(full, root)))
+    sc.addPyFile(path)
+    _SHIPPED.add(sc.applicationId)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under the checkpoint folder and read it back.
 
