@@ -32,3 +32,19 @@ def test_spread_small_inputs_only(spark):
         assert spread(small) is small                         # "large" input: unchanged
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_ship_library_adds_the_package_once(spark):
+    import os
+    import zipfile
+
+    from pyspark import SparkFiles
+
+    from lookout.session import _SHIPPED, ship_library
+    ship_library(spark)
+    ship_library(spark)                                       # once per application
+    assert spark.sparkContext.applicationId in _SHIPPED
+    shipped = os.path.join(SparkFiles.getRootDirectory(), "lookout.zip")
+    assert os.path.exists(shipped)
+    names = zipfile.ZipFile(shipped).namelist()
+    assert "lookout/__init__.py" in names and "lookout/operators/extract.py" in names
