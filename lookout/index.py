@@ -127,7 +127,8 @@ class SearchIndex:
 
     def conjunctive(self, queries: DataFrame) -> DataFrame:
         """Documents holding every known term of each query."""
-        return S.conjunctive_search(self.postings, self.query_terms(queries), self.term_stats)
+        return S.conjunctive_search(self.postings, self.query_terms(queries), self.term_stats,
+                                    terms_distinct=True)
 
     def ranked(self, queries: DataFrame, k: int = 5) -> DataFrame:
         """R2: top ``k`` documents per query by TF-IDF cosine."""
@@ -140,4 +141,4 @@ class SearchIndex:
         counts = self.query_counts(queries)
         return S.two_stage_search(self.postings, self.query_terms(queries, counts), self.weights,
                                   self.query_vectors(queries, counts), places, cuisine, facility,
-                                  price, k, term_dictionary=self.term_stats)
+                                  price, k, term_dictionary=self.term_stats, terms_distinct=True)

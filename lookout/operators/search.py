@@ -39,7 +39,8 @@ def top_k(scores: DataFrame, k: int, group_col: str = "query_id", score_col: str
 # -------------------------------------------------------- R1 conjunctive --
 
 def conjunctive_search(tf: DataFrame, query_terms: DataFrame,
-                       term_dictionary: DataFrame | None = None) -> DataFrame:
+                       term_dictionary: DataFrame | None = None,
+                       terms_distinct: bool = False) -> DataFrame:
     """``(query_id, doc_id)`` of documents holding every *known* query
     term. Unknown terms are ignored; a query with no known term matches
     nothing.
@@ -50,8 +51,10 @@ def conjunctive_search(tf: DataFrame, query_terms: DataFrame,
     all tasks. ``term_dictionary`` (any table with one row per index term)
     decides which query terms are known: the broadcast query terms are
     matched against it, so the postings are read once. Without it the known
-    terms are taken from the matched postings."""
-    q = broadcast_if_small(query_terms.select("query_id", "term").distinct())
+    terms are taken from the matched postings. ``terms_distinct`` says the
+    query terms are already one row per (query, term)."""
+    q = query_terms.select("query_id", "term")
+    q = broadcast_if_small(q if terms_distinct else q.distinct())
     hits = tf.select("doc_id", "term").join(q, "term")
     if term_dictionary is not None:
         known_terms = q.join(term_dictionary.select("term"), "term")
@@ -120,10 +123,11 @@ def composite_score(cosine: Column, cuisine_col: Column, facilities_col: Column,
 def two_stage_search(tf: DataFrame, query_terms: DataFrame, weights: DataFrame,
                      query_vectors: DataFrame, places: DataFrame, cuisine: str,
                      facility: str, price: bool = True, k: int = 10,
-                     term_dictionary: DataFrame | None = None) -> DataFrame:
+                     term_dictionary: DataFrame | None = None,
+                     terms_distinct: bool = False) -> DataFrame:
     """Conjunctive filter, then the composite score, then the true top k
     per query (ties by doc id)."""
-    candidates = conjunctive_search(tf, query_terms, term_dictionary)
+    candidates = conjunctive_search(tf, query_terms, term_dictionary, terms_distinct)
     cos = cosine_scores(weights, query_vectors)
     p = places.select("doc_id", "cuisine", "facilities", "price_range")
     scored = (candidates.join(cos, ["query_id", "doc_id"], "left")
