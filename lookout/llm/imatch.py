@@ -47,25 +47,14 @@ def term_ids(text: Column) -> Column:
 
 
 def lexicon(docs: DataFrame, least: float = LEAST, most: float = MOST) -> DataFrame:
-    """Terms (``t``) within the band, each with the bits of its subsets."""
+    """Terms (``t``) within the band, each with the numbers of its subsets."""
     rows = docs.count()
     counts = docs.select(F.explode(term_ids(F.col("text"))).alias("t")).groupBy("t") \
         .agg(F.count(F.lit(1)).alias("df")) \
         .where((F.col("df") >= max(2, least * rows)) & (F.col("df") <= max(2, most * rows)))
-    bits = F.lit(0).cast("long")
-    for k, size in enumerate(SUBSETS):
-        chosen = F.pmod(F.xxhash64("t", F.lit(k + 1)), F.lit(size)) == 0
-        bits = bits + F.when(chosen, F.lit(1 << k)).otherwise(F.lit(0))
-    return counts.select("t", bits.alias("subsets"))
-
-
-def _hashes(terms: Column) -> Column:
-    """One hash per subset of the sorted (term, subsets) structs, ``-`` for none."""
-    def one(k: int) -> Column:
-        mine = F.filter(terms, lambda x: x["subsets"].bitwiseAND(F.lit(1 << k).cast("long")) != 0)
-        text = F.array_join(F.transform(mine, lambda x: x["t"].cast("string")), " ")
-        return F.when(F.size(mine) > 0, F.substring(F.sha1(text), 1, 10)).otherwise(F.lit("-"))
-    return F.array(*(one(k) for k in range(len(SUBSETS))))
+    chosen = F.array(*(F.when(F.pmod(F.xxhash64("t", F.lit(k + 1)), F.lit(size)) == 0, F.lit(k))
+                       for k, size in enumerate(SUBSETS)))
+    return counts.select("t", F.filter(chosen, lambda k: k.isNotNull()).alias("subsets"))
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -76,6 +65,11 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(F.size(held) == 0, F.lit(1.0)).otherwise(total / F.size(held))
 
 
+def _listed(hashes: Column) -> Column:
+    """The hash of every subset, ``-`` where the text has no term in it."""
+    return F.array(*(F.coalesce(F.try_element_at(hashes, F.lit(k)), F.lit("-")) for k in range(len(SUBSETS))))
+
+
 def _with_next(docs: DataFrame) -> DataFrame:
     """Rows (``block``, ``ghost``, ``doc_id``, ``text``, ``next_text``); a ghost is the row after
     a block's last one, without a next text of its own."""
@@ -109,7 +103,7 @@ def fingerprints(docs: DataFrame, least: float = LEAST, most: float = MOST) -> D
     alike its fingerprint is to the edited text's and the next document's."""
     checkpoint_root(docs.sparkSession)
     docs = id_text(docs)
-    terms = materialize(lexicon(docs, least, most), "imatch-lexicon")
+    terms = materialize(lexicon(docs, least, most).where("size(subsets) > 0"), "imatch-lexicon")
     if terms.count() <= LEXICON_BOUND:
         terms = F.broadcast(terms)
 
@@ -125,12 +119,18 @@ def fingerprints(docs: DataFrame, least: float = LEAST, most: float = MOST) -> D
                     F.array(F.struct(F.lit(None).cast("long").alias("t"), F.lit(0).alias("w"))))
     long = rows.select("block", "place", "ghost", "doc_id", F.posexplode(both).alias("pos", "x"), meta.alias("meta")) \
         .select("block", "place", "ghost", "doc_id", "x.t", "x.w", F.when(F.col("x.w") == 0, F.col("meta")).alias("meta"))
-    kept = long.join(terms, "t", "left").where("w = 0 or subsets is not null")
-    term = F.struct("t", "subsets")
-    docs_ = kept.groupBy("block", "place").agg(
+    kept = long.join(terms, "t", "left").where("w = 0 or subsets is not null") \
+        .select("block", "place", "ghost", "doc_id", "meta", "w", "t", F.explode_outer("subsets").alias("k"))
+    # the sorted terms of each (row, text, subset) make a hash, a row's hashes its fingerprints
+    sets = kept.groupBy("block", "place", "w", "k").agg(
+        F.max("ghost").alias("ghost"), F.max("doc_id").alias("doc_id"), F.max("meta").alias("meta"),
+        F.sort_array(F.collect_list("t")).cast("array<string>").alias("terms"))
+    hashed = F.struct("k", F.substring(F.sha1(F.array_join("terms", " ")), 1, 10).alias("h"))
+    docs_ = sets.groupBy("block", "place").agg(
         F.max("ghost").alias("ghost"), F.max("doc_id").alias("doc_id"), F.max("meta").alias("meta"),
-        _hashes(F.array_sort(F.collect_list(F.when(F.col("w") == 1, term)))).alias("a"),
-        _hashes(F.array_sort(F.collect_list(F.when(F.col("w") == 2, term)))).alias("b"))
+        F.map_from_entries(F.collect_list(F.when(F.col("w") == 1, hashed))).alias("a"),
+        F.map_from_entries(F.collect_list(F.when(F.col("w") == 2, hashed))).alias("b")) \
+        .withColumn("a", _listed(F.col("a"))).withColumn("b", _listed(F.col("b")))
     order = Window.partitionBy("block").orderBy("place")
     out = docs_.withColumn("c", F.lead("a").over(order)).where("ghost = 0")
     return out.select("doc_id", "meta.n_chars", "meta.edited_sha256", F.array_join("a", ".").alias("fingerprint"),
