@@ -25,8 +25,8 @@ from __future__ import annotations
 
 import hashlib
 import json
-import pickle
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,19 +34,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from lookout.llm.common import id_text, prepare
-from lookout.llm.tokens import TextEncoder, library, slices
+from lookout.llm.tokens import TextEncoder, byte_alphabet, library, slices
 
 OUT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
-def byte_alphabet() -> dict[str, int]:
-    """The printable stand-ins of byte-level vocabularies: printable Latin-1
-    bytes stand for themselves, the others for U+0100 upwards in order."""
-    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = [b for b in range(256) if b not in set(own)]
-    return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
-
-
 class Automaton:
     """Tables of the automaton: ``target[t]`` is the state after token ``t``,
     ``arcs`` has a row of state bits for each token."""
@@ -96,35 +88,48 @@ class Automaton:
         self.trie, self.ends = trie, ends
 
     def encode(self, word: bytes) -> list[int]:
-        """The accepted token sequence of one pre-split word."""
+        """The accepted token sequence of one pre-split word.
+
+        Arcs are tried longest first; where no arc goes on, the last one is taken
+        back. A prefix has one accepted sequence, so a position that led nowhere
+        is never tried again, and time stays linear in the word's length."""
         n = len(word)
-        state, last = [-1] * (n + 1), [-1] * (n + 1)
-        state[0] = 0
         trie, ends, arcs, row, target = self.trie, self.ends, self.arcs, self.row, self.target
-        for j in range(n):
-            s = state[j]
-            if s < 0:
-                continue
-            byte, bit, node = s >> 3, 1 << (s & 7), 0
-            for k in range(j, n):
+        out: list[int] = []
+        at, state = 0, 0
+        open_: list[tuple[int, int, list]] = []             # (position, state, shorter arcs) of each token in out
+        dead: set[int] = set()
+        while at < n:
+            proposed, node, k = [], 0, at
+            while k < n:
                 node = trie.get(node << 8 | word[k])
                 if node is None:
                     break
-                t = ends[node]
-                if t >= 0 and arcs[t * row + byte] & bit:
-                    state[k + 1], last[k + 1] = target[t], t
-        out, j = [], n
-        while j:
-            out.append(last[j])
-            j -= len(self.labels[last[j]])
-        return out[::-1]
+                k += 1
+                if ends[node] >= 0:
+                    proposed.append((ends[node], k))
+            while True:
+                while proposed:
+                    t, end = proposed.pop()
+                    if arcs[t * row + (state >> 3)] >> (state & 7) & 1 and end not in dead:
+                        break
+                else:
+                    dead.add(at)
+                    at, state, proposed = open_.pop()
+                    out.pop()
+                    continue
+                break
+            open_.append((at, state, proposed))
+            out.append(t)
+            at, state = end, target[t]
+        return out
 
 
 def compile_vocabulary(path: str) -> Automaton:
     """The automaton of a byte-level BPE vocabulary file."""
     with open(path, encoding="utf-8") as f:
         model = json.load(f)["model"]
-    alphabet, vocab = byte_alphabet(), model["vocab"]
+    alphabet, vocab = {c: b for b, c in byte_alphabet().items()}, model["vocab"]
     labels = {i: bytes(alphabet[c] for c in token) for token, i in vocab.items() if all(c in alphabet for c in token)}
     pairs = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
     return Automaton(labels, [(vocab[a], vocab[b], vocab[a + b]) for a, b in pairs])
@@ -145,12 +150,12 @@ def split_words(piece: str) -> list[str]:
     return _SPLIT.findall(piece)
 
 
-_LOADED: dict[str, tuple[TextEncoder, list[bytes]]] = {}
+_LOADED: dict[str, tuple[TextEncoder, list[bytes], list[str]]] = {}
 
 
-def _loaded(path: str, shared) -> tuple[TextEncoder, list[bytes]]:
+def _loaded(path: str, automaton: Automaton) -> tuple[TextEncoder, list[bytes], list[str]]:
+    """Encoder, labels and decimal names of all ids, once per worker process."""
     if path not in _LOADED:
-        automaton: Automaton = pickle.loads(shared.value)
         special = {t.content: i for i, t in library(path).get_added_tokens_decoder().items()}
         labels = [b""] * (max([*automaton.labels, *special.values()]) + 1)
         for i, label in [*automaton.labels.items(), *((i, s.encode()) for s, i in special.items())]:
@@ -159,16 +164,19 @@ def _loaded(path: str, shared) -> tuple[TextEncoder, list[bytes]]:
             if special else None
 
         def ids(piece: str) -> list[int]:
-            return [t for word in split_words(piece) for t in automaton.encode(word.encode("utf-8"))]
+            # a space and letters are one word to the splitting rule
+            words = [piece] if (piece[1:] if piece[0] == " " else piece).isalpha() else split_words(piece)
+            return [t for word in words for t in automaton.encode(word.encode("utf-8"))]
 
         def pieces(keys: list[str]) -> list[bytes]:
-            return [np.array(ids(k), "<u4").tobytes() for k in keys]
+            return [array("I", ids(k)).tobytes() for k in keys]
 
         def whole(text: str) -> bytes:
-            return np.array([t for part in cut.split(text) if part
-                             for t in ([special[part]] if part in special else ids(part))], "<u4").tobytes()
+            return array("I", [t for part in cut.split(text) if part
+                               for t in ([special[part]] if part in special else ids(part))]).tobytes()
 
-        _LOADED[path] = TextEncoder(pieces, whole, b"".join, list(special), lower=False), labels
+        _LOADED[path] = (TextEncoder(pieces, whole, b"".join, list(special), lower=False), labels,
+                         list(map(str, range(len(labels)))))
     return _LOADED[path]
 
 
@@ -182,10 +190,10 @@ def encode_decode(docs: DataFrame, tokenizer: str, with_ids: bool = False) -> Da
     ``with_ids`` adds the ids themselves. ``tokenizer``: a vocabulary file."""
     spark = docs.sparkSession
     prepare(spark)
-    shared = spark.sparkContext.broadcast(pickle.dumps(compile_vocabulary(tokenizer)))
+    shared = spark.sparkContext.broadcast(compile_vocabulary(tokenizer))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, labels = _loaded(tokenizer, shared)
+        encoder, labels, names = _loaded(tokenizer, shared.value)
         for b in batches:
             docs_, texts = b.column("doc_id"), b.column("text").to_pylist()
             for lo, hi in slices(texts):
@@ -193,7 +201,7 @@ def encode_decode(docs: DataFrame, tokenizer: str, with_ids: bool = False) -> Da
                 for data in encoder.encode(texts[lo:hi]):
                     ids = np.frombuffer(data, "<u4").tolist()
                     counts.append(len(ids))
-                    ids_sha.append(hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
+                    ids_sha.append(hashlib.sha256(",".join(map(names.__getitem__, ids)).encode()).hexdigest())
                     text_sha.append(hashlib.sha256(decode(ids, labels).encode("utf-8")).hexdigest())
                     if with_ids:
                         kept.append(ids)

@@ -15,7 +15,7 @@ import re
 from array import array
 from collections.abc import Callable, Iterable
 
-CACHE_WORDS = 150_000
+CACHE_WORDS = 250_000
 
 # White space as the tokenizers' pattern engine sees it (the Unicode property).
 _WIDE = "".join(map(chr, (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
@@ -116,6 +116,52 @@ def specials(tok) -> list[str]:
     return [t.content for t in tok.get_added_tokens_decoder().values()]
 
 
+def byte_alphabet() -> dict[int, str]:
+    """The printable stand-ins of byte-level vocabularies: printable Latin-1
+    bytes stand for themselves, the others for U+0100 upwards in order."""
+    own = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = [b for b in range(256) if b not in own]
+    return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
+_ALPHABET = byte_alphabet()
+_MARKS = ".,!?;:"
+
+
+def word_pieces(tok, lower: bool) -> Callable[[list[str]], list[bytes]]:
+    """Encoder of pieces to serialised ids. A piece of letters, but for a
+    leading space or line feed and one mark at its end, is one word to the
+    splitting rule and goes straight to the library's merge model; any other
+    piece takes the library's whole way."""
+    def plain(keys: list[str]) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for e in tok.encode_batch_fast(keys, add_special_tokens=False)]
+
+    merge = tok.model.tokenize
+    fixed = dict(zip([*_MARKS, "\n"], plain([*_MARKS, "\n"])))
+    fixed[""] = b""
+
+    def pieces(keys: list[str]) -> list[bytes]:
+        out: list = [None] * len(keys)
+        rest = []
+        for i, key in enumerate(keys):
+            lead = "" if lower or key[0] not in " \n" else key[0]
+            word, mark = (key[len(lead):-1], key[-1]) if key[-1] in _MARKS else (key[len(lead):], "")
+            if not word.isalpha():
+                rest.append(i)
+                continue
+            if not word.isascii():
+                word = word.encode("utf-8").decode("latin-1").translate(_ALPHABET)
+            if lead == " ":
+                word = _ALPHABET[32] + word
+            ids = array("I", [t.id for t in merge(word)]).tobytes() + fixed[mark]
+            out[i] = fixed["\n"] + ids if lead == "\n" else ids
+        for i, ids in zip(rest, plain([keys[i] for i in rest])):
+            out[i] = ids
+        return out
+
+    return pieces
+
+
 _ENCODERS: dict[tuple[str, bool], TextEncoder] = {}
 
 
@@ -125,12 +171,10 @@ def id_encoder(path: str, lower: bool) -> TextEncoder:
     if (path, lower) not in _ENCODERS:
         tok = library(path)
 
-        def pieces(keys: list[str]) -> list[bytes]:
-            return [array("I", e.ids).tobytes()
-                    for e in tok.encode_batch_fast(keys, add_special_tokens=False)]
+        def whole(text: str) -> bytes:
+            return array("I", tok.encode(text, add_special_tokens=False).ids).tobytes()
 
-        _ENCODERS[path, lower] = TextEncoder(pieces, lambda t: pieces([t])[0], b"".join,
-                                             specials(tok), lower)
+        _ENCODERS[path, lower] = TextEncoder(word_pieces(tok, lower), whole, b"".join, specials(tok), lower)
     return _ENCODERS[path, lower]
 
 
