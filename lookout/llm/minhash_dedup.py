@@ -16,7 +16,10 @@ pairs of a bucket:
 3. in each bucket all members are compared with one centre, the member with the
    smallest such share, and the links give components;
 4. in buckets that still hold several components, the pairs across components
-   that the bound allows are compared, each in the first bucket it shares.
+   that the bound allows are compared, each in the first bucket it shares. Here
+   the bound is taken per hash class of shingles (two sets share at most the
+   smaller count in each class), which tells apart copies of one text that were
+   changed in different places.
 
 Links are found within a component only as far as they are needed to connect it;
 no link between two components is left out among candidates.
@@ -44,6 +47,7 @@ WORDS = 5
 THRESHOLD = 80          # per cent
 KEYS = 8                # partial keys in each of the two collections
 ROWS = 2                # minhashes in a partial key
+CLASSES = 64            # hash classes of shingles in the bound on what two sets share
 
 _P = np.uint64(0x9E3779B97F4A7C15)
 _Q = np.uint64(0xC2B2AE3D27D4EB4F)
@@ -132,7 +136,9 @@ def _set_rows(words: int):
                 sets = [s.view("int64") for s in shingle_sets(texts[lo:hi], words)]
                 yield pa.RecordBatch.from_pydict({
                     "id": ids.slice(lo, hi - lo), "n": pa.array([len(s) for s in sets], pa.int64()),
-                    "shingles": pa.array(sets, pa.list_(pa.int64()))})
+                    "shingles": pa.array(sets, pa.list_(pa.int64())),
+                    "classes": pa.array([np.bincount(s & (CLASSES - 1), minlength=CLASSES) for s in sets],
+                                        pa.list_(pa.int32()))})
     return run
 
 
@@ -206,13 +212,17 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, threshold: int = THRESH
     # full sets of the candidates, and how many of their shingles no other has
     some = bucketed.select(F.col("id").alias("doc_id")).distinct()
     sets = materialize(docs.join(some, "doc_id", "left_semi").mapInArrow(
-        _set_rows(words), "id long, n long, shingles array<long>"), "shingle-sets")
+        _set_rows(words), "id long, n long, shingles array<long>, classes array<int>"), "shingle-sets")
     alone = sets.select("id", F.explode("shingles").alias("s")).groupBy("s") \
         .agg(F.count(F.lit(1)).alias("c"), F.min("id").alias("id")).where("c = 1") \
-        .groupBy("id").agg(F.count(F.lit(1)).alias("u"))
-    sizes = sets.select("id", "n").join(alone, "id", "left").select("id", "n", F.coalesce("u", F.lit(0)).alias("u")) \
-        .where(100 * (F.col("n") - F.col("u")) >= threshold * F.col("n"))
-    members = materialize(bucketed.join(sizes, "id"), "bucket-members")
+        .groupBy("id", F.col("s").bitwiseAND(F.lit(CLASSES - 1).cast("long")).cast("int").alias("class")) \
+        .agg(F.count(F.lit(1)).cast("int").alias("c")) \
+        .groupBy("id").agg(F.sum("c").alias("u"), F.map_from_entries(F.collect_list(F.struct("class", "c"))).alias("own"))
+    common = F.expr("transform(classes, (c, k) -> if(own is null, c, c - coalesce(try_element_at(own, k), 0)))")
+    sizes = materialize(sets.select("id", "n", "classes").join(alone, "id", "left")
+                        .select("id", "n", F.coalesce("u", F.lit(0)).alias("u"), common.alias("common"))
+                        .where(100 * (F.col("n") - F.col("u")) >= threshold * F.col("n")), "set-sizes")
+    members = materialize(bucketed.join(sizes.select("id", "n", "u"), "id"), "bucket-members")
 
     # every member against its bucket's centre
     centres = materialize(members.groupBy("key").agg(F.min(F.struct(
@@ -229,15 +239,19 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, threshold: int = THRESH
     mixed = materialize(of.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
                         .where("lo < hi").select("key"), "mixed-keys")
     partial = heads.select(F.col("doc_id").alias("id"), "a", "b").dropDuplicates(["id"])
-    left = materialize(of.join(mixed, "key", "left_semi").join(partial, "id"), "mixed-members")
+    common = sizes.select("id", "common").dropDuplicates(["id"])
+    left = materialize(of.join(mixed, "key", "left_semi").join(partial, "id").join(common, "id"), "mixed-members")
     x = left.select("key", "i", "j", F.col("id").alias("x"), F.col("n").alias("nx"), F.col("u").alias("ux"),
-                    F.col("component").alias("cx"), F.col("a").alias("ax"), F.col("b").alias("bx"))
+                    F.col("component").alias("cx"), F.col("a").alias("ax"), F.col("b").alias("bx"), F.col("common").alias("hx"))
     y = left.select("key", F.col("id").alias("y"), F.col("n").alias("ny"), F.col("u").alias("uy"),
-                    F.col("component").alias("cy"), F.col("a").alias("ay"), F.col("b").alias("by"))
+                    F.col("component").alias("cy"), F.col("a").alias("ay"), F.col("b").alias("by"), F.col("common").alias("hy"))
     first = F.expr("array_position(zip_with(ax, ay, (p, q) -> p = q), true) = i + 1 and "
                    "array_position(zip_with(bx, by, (p, q) -> p = q), true) = j + 1")
+    most = "aggregate(zip_with(hx, hy, (p, q) -> least(p, q)), 0, (s, v) -> s + v)"
+    by_class_ok = F.expr(f"{100 + threshold} * {most} >= {threshold} * (nx + ny)")
     across = x.join(y, (x["key"] == y["key"]) & (F.col("cx") < F.col("cy"))
-                    & _may_reach("nx", "ux", "ny", "uy", threshold) & first).select("x", "y").distinct()
+                    & _may_reach("nx", "ux", "ny", "uy", threshold) & first & by_class_ok)
+    across = materialize(across.select("x", "y").distinct(), "across-pairs")
     all_links = linked.unionByName(_links(across, sets, threshold))
     final = materialize(components(all_links), "components")
 
