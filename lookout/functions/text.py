@@ -137,6 +137,10 @@ def url_last_segment(col: Column) -> Column:
 
 
 def url_sort_key(col: Column) -> Column:
-    """The last path segment as a number when it is all digits, else 1."""
+    """The last path segment as a number when it is all digits, else 1.
+
+    The number is given as a struct of its digit count and its digits without
+    leading zeros, which orders as the number does at any length."""
     last = url_last_segment(col)
-    return F.when(last.rlike(r"^[0-9]{1,18}$"), last.cast("bigint")).otherwise(F.lit(1).cast("bigint"))
+    digits = F.when(last.rlike("^[0-9]+$"), F.regexp_replace(last, "^0+", "")).otherwise(F.lit("1"))
+    return F.struct(F.length(digits).alias("n_digits"), digits.alias("digits"))

@@ -62,7 +62,7 @@ def conjunctive_search(tf: DataFrame, query_terms: DataFrame,
         known_terms = hits.select("query_id", "term").distinct()
     known = known_terms.groupBy("query_id").agg(F.count(F.lit(1)).alias("n_known"))
     matched = hits.groupBy("query_id", "doc_id").agg(F.count(F.lit(1)).alias("n_hit"))
-    return (matched.join(F.broadcast(known), "query_id")
+    return (matched.join(known, "query_id")
             .where(F.col("n_hit") == F.col("n_known"))
             .select("query_id", "doc_id"))
 

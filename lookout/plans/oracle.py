@@ -329,8 +329,10 @@ ORACLE.update({
     "page_scan": """select page_id, url, regexp_extract(string_split(url, '/')[-1], '([0-9]+)', 1) as file_no,
         length(html)::bigint as n_chars from pages""",
     "page_bucket": "select page_id, (floor(page_id / 20) + 1)::bigint as bucket from pages",
-    "url_sort": """select url, case when regexp_full_match(string_split(url, '/')[-1], '[0-9]{1,18}')
-        then cast(string_split(url, '/')[-1] as bigint) else 1 end as sort_key from pages""",
+    "url_sort": """select url, cast(length(digits) as int) as n_digits, digits from (
+        select url, case when regexp_full_match(string_split(url, '/')[-1], '[0-9]+')
+        then ltrim(string_split(url, '/')[-1], '0') else '1' end as digits from pages)
+        order by n_digits, digits, url""",
     "url_dedup": f"with {PAGE_LINKS} select distinct link from pl",
     "path_token": """select page_id, upper(left(t, 1)) || lower(substr(t, 2)) as token
         from (select page_id, string_split(string_split(url, '/')[-1], '-')[1] as t from pages)""",

@@ -407,7 +407,8 @@ def q_page_bucket(spark, d):
 
 
 def q_url_sort(spark, d):
-    return _pages(spark, d).select("url", T.url_sort_key(F.col("url")).alias("sort_key"))
+    keyed = _pages(spark, d).select("url", T.url_sort_key(F.col("url")).alias("sort_key"))
+    return keyed.orderBy("sort_key", "url").select("url", "sort_key.n_digits", "sort_key.digits")
 
 
 def q_url_dedup(spark, d):

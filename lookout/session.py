@@ -24,6 +24,9 @@ DEFAULT_CONF = {
 }
 
 
+MAX_BUCKETS = 100_000          # spark.sql.sources.bucketing.maxBuckets by default
+
+
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "lookout", driver_memory: str | None = None) -> SparkSession:
     """Session for scripts and tests. On a cluster, pass no master and let
@@ -59,6 +62,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
         conf_dir = jdir.get() if jdir.isDefined() else None
     if not conf_dir:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         conf_dir = tempfile.mkdtemp(prefix="lookout-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
@@ -126,11 +131,12 @@ def materialize_bucketed(df: DataFrame, name: str, key: str, buckets: int | None
 def bucket_count(spark: SparkSession, input_bytes: int) -> int:
     """Buckets for a table derived from ``input_bytes`` of input: about one
     per input split (``spark.sql.files.maxPartitionBytes``), so a bucket
-    stays a task-sized piece of work at any scale; never fewer than the
-    shuffle partition count."""
+    stays a task-sized piece of work; never fewer than the shuffle partition
+    count, never more than the ``MAX_BUCKETS`` that Spark accepts (beyond that
+    a bucket grows with the input, and spills)."""
     split = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
     floor = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(floor, -(-input_bytes // split))
+    return min(MAX_BUCKETS, max(floor, -(-input_bytes // split)))
 
 
 def hash_partitioned_by(df: DataFrame, key: str, n: int) -> bool:

@@ -19,7 +19,7 @@ from ..session import checkpoint_root
 def write_postings(postings: DataFrame, path: str, partitions: int | None = None) -> None:
     spark = postings.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    (postings.repartitionByRange(n, "term")
+    (postings.repartitionByRange(n, "term", "doc_id")
      .sortWithinPartitions("term", "doc_id")
      .write.mode("overwrite").parquet(path))
 

@@ -43,30 +43,33 @@ def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     ``doc_id, name, cuisine, price_range, facilities, cards, city, region,
     address, postal_code``.
-    Lists are sorted distinct flag values of large-quantity line items; the
+    Every part is a place. Lists are sorted distinct flag values of its
+    large-quantity line items, the supplier is the smallest of all its line
+    items; a part without line items has empty lists and no supplier. The
     line-item aggregation is the only shuffle of size (partial aggregation
     first, so each task ships at most one row per part); the dimension joins
     are on tables bounded by the part count."""
+    large = F.col("l_quantity") >= 45
     part = table(spark, sf_dir, "part")
     li = (table(spark, sf_dir, "lineitem")
-          .where(F.col("l_quantity") >= 45)
           .groupBy("l_partkey")
-          .agg(F.sort_array(F.collect_set("l_returnflag")).alias("facilities"),
-               F.sort_array(F.collect_set("l_linestatus")).alias("cards"),
+          .agg(F.sort_array(F.collect_set(F.when(large, F.col("l_returnflag")))).alias("facilities"),
+               F.sort_array(F.collect_set(F.when(large, F.col("l_linestatus")))).alias("cards"),
                F.min("l_suppkey").alias("suppkey")))
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     region = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     band = F.least(F.lit(4), F.lit(1) + F.floor((F.col("p_retailprice") - 900) / 25)).cast("int")
-    return (part.join(li, part.p_partkey == li.l_partkey)
-            .join(supplier, F.col("suppkey") == supplier.s_suppkey)
-            .join(nation, F.col("s_nationkey") == nation.n_nationkey)
-            .join(region, F.col("n_regionkey") == region.r_regionkey)
+    none = F.array().cast("array<string>")
+    return (part.join(li, part.p_partkey == li.l_partkey, "left")
+            .join(supplier, F.col("suppkey") == supplier.s_suppkey, "left")
+            .join(nation, F.col("s_nationkey") == nation.n_nationkey, "left")
+            .join(region, F.col("n_regionkey") == region.r_regionkey, "left")
             .select(F.col("p_partkey").alias("doc_id"),
                     F.col("p_name").alias("name"),
                     F.col("p_type").alias("cuisine"),
                     F.repeat(F.lit("€"), band).alias("price_range"),
-                    "facilities", "cards",
+                    F.coalesce("facilities", none).alias("facilities"), F.coalesce("cards", none).alias("cards"),
                     F.col("n_name").alias("city"),
                     F.col("r_name").alias("region"),
                     F.col("s_name").alias("address"),
@@ -77,17 +80,17 @@ def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
 CATALOG_SQL = """
 select p.p_partkey as doc_id, p.p_name as name, p.p_type as cuisine,
        repeat('€', cast(least(4, 1 + floor((p.p_retailprice - 900) / 25)) as int)) as price_range,
-       l.facilities, l.cards, n.n_name as city, r.r_name as region,
+       coalesce(l.facilities, []) as facilities, coalesce(l.cards, []) as cards, n.n_name as city, r.r_name as region,
        s.s_name as address, lpad(cast(n.n_nationkey as varchar), 5, '0') as postal_code
 from part p
-join (select l_partkey,
-             list_sort(list(distinct l_returnflag)) as facilities,
-             list_sort(list(distinct l_linestatus)) as cards,
+left join (select l_partkey,
+             list_sort(list(distinct l_returnflag) filter (where l_quantity >= 45)) as facilities,
+             list_sort(list(distinct l_linestatus) filter (where l_quantity >= 45)) as cards,
              min(l_suppkey) as suppkey
-      from lineitem where l_quantity >= 45 group by l_partkey) l on l.l_partkey = p.p_partkey
-join supplier s on s.s_suppkey = l.suppkey
-join nation n on n.n_nationkey = s.s_nationkey
-join region r on r.r_regionkey = n.n_regionkey
+      from lineitem group by l_partkey) l on l.l_partkey = p.p_partkey
+left join supplier s on s.s_suppkey = l.suppkey
+left join nation n on n.n_nationkey = s.s_nationkey
+left join region r on r.r_regionkey = n.n_regionkey
 """
 
 

@@ -47,9 +47,11 @@ def test_clean_field_and_basic(spark):
 
 def test_url_sort_key(spark):
     df = spark.createDataFrame([("https://x/en/restaurants/page/12",), ("https://x/en/restaurants",),
-                                ("https://x/a/",)], "u string")
-    keys = [r[0] for r in df.select(T.url_sort_key(F.col("u"))).collect()]
-    assert keys == [12, 1, 1]
+                                ("https://x/a/",), ("https://x/" + "9" * 30,), ("https://x/0007",),
+                                ("https://x/000",)], "u string")
+    keys = [tuple(r[0]) for r in df.select(T.url_sort_key(F.col("u"))).collect()]
+    assert keys == [(2, "12"), (1, "1"), (1, "1"), (30, "9" * 30), (1, "7"), (0, "")]
+    assert sorted(keys) == sorted(keys, key=lambda k: int(k[1] or 0))
 
 
 def test_stop_word_lists():
