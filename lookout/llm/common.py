@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lookout.session import checkpoint_root, materialize, ship_library
 
 BATCH_ROWS = 1000
+BATCH_BYTES = 8 << 20
 
 __all__ = ["checkpoint_root", "documents", "id_text", "materialize", "pages",
            "parts_for", "prepare", "uniform01"]
@@ -19,13 +20,15 @@ def prepare(spark: SparkSession) -> None:
     """Make the package importable in Python workers and the checkpoint
     folder known. Every operator that runs Python calls it.
 
-    Texts reach Python ``BATCH_ROWS`` at a time, where the session still has
-    Spark's default of 10,000: whole texts can be long, and a worker's memory
-    holds a few batches."""
+    Texts reach Python ``BATCH_ROWS`` and about ``BATCH_BYTES`` at a time, where the
+    session still has Spark's defaults (10,000 and 64 MB): whole texts can be
+    long, and a worker's memory holds a few batches."""
     checkpoint_root(spark)
     ship_library(spark)
     if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) == f"{64 << 20}b":
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", f"{BATCH_BYTES}b")
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -161,7 +161,8 @@ def read_store(spark: SparkSession, folder: str) -> DataFrame:
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for row in b.to_pylist():
+            for i in range(b.num_rows):               # one block's payload at a time
+                row, = b.slice(i, 1).to_pylist()
                 z = _decompressor(row["dict_hash"], shared.value)
                 data = memoryview(row["payload"])
                 ids = [widen(z.decompress(data[o:o + n])) for o, n in zip(row["offsets"], row["lengths"])]

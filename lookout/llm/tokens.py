@@ -15,7 +15,7 @@ import re
 from array import array
 from collections.abc import Callable, Iterable
 
-CACHE_WORDS = 250_000
+CACHE_WORDS = 120_000
 
 # White space as the tokenizers' pattern engine sees it (the Unicode property).
 _WIDE = "".join(map(chr, (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
@@ -178,7 +178,7 @@ def id_encoder(path: str, lower: bool) -> TextEncoder:
     return _ENCODERS[path, lower]
 
 
-def slices(texts: list[str], chars: int = 1_000_000) -> Iterable[tuple[int, int]]:
+def slices(texts: list[str], chars: int = 500_000) -> Iterable[tuple[int, int]]:
     """Ranges of ``texts`` of about ``chars`` characters, for bounded memory."""
     start = total = 0
     for i, t in enumerate(texts):
