@@ -39,8 +39,11 @@ from lookout.llm.tokens import id_encoder, slices
 SAMPLE_DOCS = 1000
 SAMPLE_BYTES = 16_384
 DICT_BYTES = 65_536
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 256 << 10
 SHARD_BYTES = 32 << 20
+# A reader holds one row group of blocks, so these are small; payloads are compressed already.
+BLOCK_FILES = {"compression": "uncompressed", "parquet.block.size": str(4 << 20),
+               "parquet.block.size.row.check.min": "4", "parquet.page.size.row.check.min": "1"}
 LEVEL = 3
 
 FRAMES = "doc_id long, n_tokens int, frame binary"
@@ -148,7 +151,7 @@ def write_store(docs: DataFrame, tokenizer: str, lower: bool, end_id: int,
 
     ordered = frames.repartitionByRange(n, F.col("doc_id").asc_nulls_first()) \
         .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "frame")
-    ordered.mapInArrow(block, BLOCKS).write.parquet(f"{folder}/blocks")
+    ordered.mapInArrow(block, BLOCKS).write.options(**BLOCK_FILES).parquet(f"{folder}/blocks")
     return folder
 
 
