@@ -58,9 +58,12 @@ def path_token(col: Column) -> Column:
 def decode_list(col: Column) -> Column:
     """L1: a printed Python list of strings -> ``array<string>``; null,
     ``nan`` or unparsable text -> empty array. Single and double quotes and
-    backslash escapes are accepted; nothing is evaluated."""
-    parsed = F.from_json(col, "array<string>",
+    backslash escapes (``\\xNN`` too) and raw control characters are accepted;
+    nothing is evaluated."""
+    json = F.regexp_replace(col, r"(?<!\\)((?:\\\\)*)\\x([0-9a-fA-F]{2})", r"$1\\u00$2")
+    parsed = F.from_json(json, "array<string>",
                          {"allowSingleQuotes": "true",
+                          "allowUnquotedControlChars": "true",
                           "allowBackslashEscapingAnyCharacter": "true"})
     return F.coalesce(parsed, F.array().cast("array<string>"))
 
@@ -69,6 +72,8 @@ def encode_list(col: Column) -> Column:
     """L2: ``array<string>`` -> the text Python prints for a list of str."""
     def quote(x):
         escaped = F.replace(x, F.lit("\\"), F.lit("\\\\"))
+        for char, name in (("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
+            escaped = F.replace(escaped, F.lit(char), F.lit(name))
         double = F.concat(F.lit('"'), escaped, F.lit('"'))
         single = F.concat(F.lit("'"), F.replace(escaped, F.lit("'"), F.lit("\\'")), F.lit("'"))
         return F.when(x.contains("'") & ~x.contains('"'), double).otherwise(single)

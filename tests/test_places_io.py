@@ -41,6 +41,16 @@ def test_encode_list_matches_python(spark):
     assert got == [f"{v}" for v in values]
 
 
+def test_list_codec_keeps_control_characters(spark):
+    values = [["a\nb", "ok"], ["tab\there", "cr\r"], ["back\\nslash", "\\x41", "it's\n"]]
+    df = spark.createDataFrame([(v, f"{v}") for v in values], "v array<string>, printed string")
+    rows = df.select(PL.encode_list(F.col("v")), PL.decode_list(PL.encode_list(F.col("v"))),
+                     PL.decode_list(F.col("printed"))).collect()
+    assert [tuple(r) for r in rows] == [(f"{v}", v, v) for v in values]
+    other = spark.createDataFrame([("['x\\xa0y']",), ('["raw\nline"]',)], "t string")
+    assert [r[0] for r in other.select(PL.decode_list(F.col("t"))).collect()] == [["x\xa0y"], ["raw\nline"]]
+
+
 def test_csv_and_url_sinks(spark):
     vocab = spark.createDataFrame([(0, "abc"), (1, "cucina")], "term_id bigint, term string")
     p = IS.scratch_path(spark, "test-csv")
