@@ -6,18 +6,20 @@ record extraction from pages that are not well-formed lives in
 
 from __future__ import annotations
 
+import json
+from html import unescape
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .text import strip
 
-# FIXED VALUES -- named character references decoded in text fragments
-# (name, character); '&amp;' is decoded last so '&amp;lt;' stays '&lt;'.
-ENTITIES = [
-    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
-    ("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&euro;", "€"),
-    ("&amp;", "&"),
-]
+# Characters by reference name: the published HTML table, and the numbers that
+# stand for another character than their own code point.
+REFERENCES = {name: char for name, char in html5.items() if name.endswith(";")}
+REFERENCES |= {f"#{n};": unescape(f"&#{n};") for n in (0, 13, *range(0x80, 0xA0))}
+REFERENCE = "&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
 
 FIRST_H1 = r"(?s)<h1[^>]*>(.*?)</h1>"
 NAV_BLOCK = r"(?s)<nav[^>]*>(.*?)</nav>"
@@ -26,11 +28,26 @@ TAG = r"<[^>]*>"
 HOST = r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]+)"
 
 
+def _character(ref: Column) -> Column:
+    """The text a character reference stands for; an unknown name stays."""
+    digits = F.when(ref.rlike("^&#[xX]"), F.conv(F.regexp_extract(ref, "([0-9a-fA-F]+);", 1), 16, 10)) \
+        .when(ref.startswith("&#"), F.regexp_extract(ref, "([0-9]+);", 1))
+    number = digits.cast("bigint")
+    key = F.when(number.isNull(), F.substr(ref, F.lit(2))).otherwise(F.concat(F.lit("#"), number.cast("string"),
+                                                                             F.lit(";")))
+    valid = (number <= 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
+    own = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
+    table = F.from_json(F.lit(json.dumps(REFERENCES)), "map<string,string>")
+    return F.coalesce(F.try_element_at(table, key), F.when(valid, own), F.when(number.isNotNull(), F.lit(chr(0xFFFD))),
+                      ref)
+
+
 def decode_entities(col: Column) -> Column:
-    out = col
-    for name, char in ENTITIES:
-        out = F.replace(out, F.lit(name), F.lit(char))
-    return out
+    """Every character reference replaced, each once: what a decoded reference
+    leaves is not read again, so ``&amp;lt;`` gives ``&lt;``."""
+    between, refs = F.split(col, REFERENCE, -1), F.regexp_extract_all(col, F.lit(REFERENCE), F.lit(0))
+    parts = F.zip_with(between, refs, lambda text, ref: F.concat(text, F.coalesce(_character(ref), F.lit(""))))
+    return F.when(col.contains("&"), F.array_join(parts, "")).otherwise(col)
 
 
 def element_text(fragment: Column) -> Column:
@@ -53,5 +70,10 @@ def host_of(url: Column) -> Column:
     return F.regexp_extract(url, HOST, 1)
 
 
+def absolute(href: Column, host: Column) -> Column:
+    """A link from the root of its site gets the page's host; any other stays."""
+    return F.when(href.startswith("/"), F.concat(host, href)).otherwise(href)
+
+
 def nav_hrefs(html: Column) -> Column:
     return hrefs(F.regexp_extract(F.coalesce(html, F.lit("")), NAV_BLOCK, 1))

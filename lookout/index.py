@@ -22,7 +22,6 @@ from pyspark.sql import functions as F
 from .operators import corpus as C
 from .operators import search as S
 from .operators import stemming as ST
-from .operators.sizing import broadcast_if_small
 from .session import bucket_count, materialize, materialize_bucketed, plan_size_bytes
 
 
@@ -118,11 +117,10 @@ class SearchIndex:
 
     def query_vectors(self, queries: DataFrame, counts: DataFrame | None = None) -> DataFrame:
         """Unit-length query vectors with the fitted idf, written once. The
-        batch's term counts are the (checked) broadcast side, so a
-        vocabulary-sized idf table streams past them instead of being
-        shuffled for every batch."""
+        batch's term counts are a written table, so a small batch is the
+        broadcast side and a vocabulary-sized idf table streams past it."""
         counts = counts if counts is not None else self.query_counts(queries)
-        return materialize(C.transform(broadcast_if_small(counts), self.idf, id_col="query_id"),
+        return materialize(C.transform(counts, self.idf, id_col="query_id"),
                            "query-vectors")
 
     def conjunctive(self, queries: DataFrame) -> DataFrame:

@@ -10,8 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .search import price_ordinal
-from .sizing import broadcast_if_small
 
 CITY_KEYS = ("city", "town", "village", "municipality")
 REGION_KEYS = ("region", "state")
@@ -35,12 +35,16 @@ def resolve_geo(geo: DataFrame) -> DataFrame:
 def enrich(places: DataFrame, geo: DataFrame, keep_parsed_city: bool = True) -> DataFrame:
     """Left join places to resolved geocoder rows on postal code.
 
-    Places without a match keep null coordinates. The geocoder table is
-    keyed by distinct postal codes; the planner broadcasts it only when its
+    Places without a match keep null coordinates. A postal code with several
+    geocoder rows takes one of them (located rows first, then the smallest), so
+    no place is doubled; the planner broadcasts the table only when its
     measured size is under the broadcast threshold. With
     ``keep_parsed_city`` the parsed city is the fallback when the geocoder
     has none (the original overwrote it)."""
-    g = resolve_geo(geo)
+    row = F.struct((F.col("latitude").isNull() | F.col("longitude").isNull()).alias("unlocated"),
+                   "geo_city", "geo_region", "latitude", "longitude")
+    g = resolve_geo(geo).groupBy("postal_code").agg(F.min(row).alias("g")) \
+        .select("postal_code", "g.geo_city", "g.geo_region", "g.latitude", "g.longitude")
     j = places.join(g, places.postal_code == g.postal_code, "left").drop(g.postal_code)
     city = F.coalesce(F.col("geo_city"), F.col("city")) if keep_parsed_city else F.col("geo_city")
     return (j.withColumn("city", city)
@@ -88,16 +92,16 @@ def semi_by_text(places: DataFrame, result: DataFrame, col: str = "text") -> Dat
     """Rows whose text equals the text of any result row (so every copy
     of a matching text is returned).
 
-    Texts are wide, so only a 64-bit hash of each result text is broadcast
-    (after its row count is checked); the corpus streams past it without a
-    shuffle, and the few candidates that share a hash are then compared on
-    the full text, so the result is exact."""
+    Texts are wide, so only a 64-bit hash of each result text meets the corpus.
+    The hashes are written first, so ``result`` is not evaluated for its size
+    and the planner broadcasts them only below its threshold; the few candidates
+    that share a hash are then compared on the full text, so the result is exact."""
     texts = result.select(F.xxhash64(col).alias("_h"), col).distinct()
-    hashes = broadcast_if_small(texts.select("_h").distinct())
+    hashes = materialize(texts.select("_h").distinct(), "text-hashes")
     candidates = places.withColumn("_h", F.xxhash64(col)).join(hashes, "_h", "left_semi")
     return candidates.join(texts, ["_h", col], "left_semi").drop("_h")
 
 
 def semi_by_id(places: DataFrame, result: DataFrame, col: str = "doc_id") -> DataFrame:
-    """Rows whose id is in the result (checked broadcast, as above)."""
-    return places.join(broadcast_if_small(result.select(col).distinct()), col, "left_semi")
+    """Rows whose id is in the result (broadcast by measured size only)."""
+    return places.join(result.select(col).distinct(), col, "left_semi")

@@ -5,8 +5,13 @@ right (R) or up (U). Feasible iff no point lies left of or below its
 predecessor; the path is R x dx then U x dy per step, which is the
 lexicographically smallest shortest path. All cases run in one job.
 
-The predecessor of each point is found without putting a case in one task
-(a single case may hold a large share of all points): points are
+:func:`monotone_route` returns the path as one string per case, so a case must
+fit in a task anyway (the problem bounds it at 100 points): one shuffle by
+case serves the window and the aggregation. :func:`route_steps` returns the
+steps as rows instead, for cases of any size.
+
+There the predecessor of each point is found without putting a case in one
+task (a single case may hold a large share of all points): points are
 range-partitioned on (case, x, y) -- boundaries come from a sample, so a
 huge case is cut into several balanced partitions -- sorted and numbered
 inside each partition, and written so the numbering is fixed. Inside a
@@ -15,13 +20,11 @@ partition, all partitions about equally large); for the first row of a
 partition it is the last row of the previous non-empty partition when that
 row belongs to the same case. That boundary table has one row per range
 partition. Feasibility is then a ``bool_and`` with partial aggregation.
-The path string is assembled per case in walking order: it is the answer
-itself (the problem bounds a case at 100 points).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
@@ -29,6 +32,13 @@ from ..session import materialize
 LOCAL_BITS = 33
 
 
+def _step() -> list[Column]:
+    """``ok`` and ``moves`` of the step from ``(_px, _py)`` to ``(x, y)``."""
+    return [((F.col("x") >= F.col("_px")) & (F.col("y") >= F.col("_py"))).alias("ok"),
+            F.concat(F.repeat(F.lit("R"), F.greatest(F.col("x") - F.col("_px"), F.lit(0))),
+                     F.repeat(F.lit("U"), F.greatest(F.col("y") - F.col("_py"), F.lit(0)))).alias("moves")]
+
+
 def route_steps(points: DataFrame, case_col: str = "case_id", x: str = "x", y: str = "y",
                 partitions: int | None = None) -> DataFrame:
     """``(case_id, x, y, ok, moves)`` per point, with its walking order
@@ -58,18 +68,17 @@ def route_steps(points: DataFrame, case_col: str = "case_id", x: str = "x", y: s
     px = F.when(same_case, prev["x"]).otherwise(F.lit(0))
     py = F.when(same_case, prev["y"]).otherwise(F.lit(0))
     return (with_prev.select("case_id", "x", "y", "seq", px.alias("_px"), py.alias("_py"))
-            .select("case_id", "x", "y", "seq",
-                    ((F.col("x") >= F.col("_px")) & (F.col("y") >= F.col("_py"))).alias("ok"),
-                    F.concat(F.repeat(F.lit("R"), F.greatest(F.col("x") - F.col("_px"), F.lit(0))),
-                             F.repeat(F.lit("U"), F.greatest(F.col("y") - F.col("_py"), F.lit(0))))
-                    .alias("moves")))
+            .select("case_id", "x", "y", "seq", *_step()))
 
 
-def monotone_route(points: DataFrame, case_col: str = "case_id", x: str = "x", y: str = "y",
-                   partitions: int | None = None) -> DataFrame:
+def monotone_route(points: DataFrame, case_col: str = "case_id", x: str = "x", y: str = "y") -> DataFrame:
     """``(case_id, answer, path)``: ``YES`` with the path, or ``NO`` with a
     null path."""
-    steps = route_steps(points, case_col, x, y, partitions)
+    pts = points.select(F.col(case_col).alias("case_id"), F.col(x).alias("x"), F.col(y).alias("y"))
+    w = Window.partitionBy("case_id").orderBy("x", "y")
+    steps = pts.select("case_id", "x", "y", F.row_number().over(w).alias("seq"),
+                       F.coalesce(F.lag("x").over(w), F.lit(0)).alias("_px"),
+                       F.coalesce(F.lag("y").over(w), F.lit(0)).alias("_py")).select("case_id", "seq", *_step())
     agg = steps.groupBy("case_id").agg(
         F.bool_and("ok").alias("_feasible"),
         F.expr("listagg(moves, '') within group (order by seq)").alias("_path"))

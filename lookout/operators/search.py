@@ -1,8 +1,8 @@
 """Search and ranking over postings DataFrames (R1..R6).
 
 Every search takes a *batch* of queries as a DataFrame, so many queries run
-as one distributed job. Query-side tables are small and are broadcast only
-after their size is checked (:func:`lookout.operators.sizing.broadcast_if_small`);
+as one distributed job. Query-side tables carry no broadcast hint: written
+tables have a known size, so the planner broadcasts those below its threshold;
 postings are never collected, never cross-joined with queries, and never
 grouped by term alone (a hot term would become one task): every shuffle of
 postings is keyed by ``(query_id, doc_id)``.
@@ -16,7 +16,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from .sizing import broadcast_if_small
 
 SCORE_DIGITS = 6
 
@@ -49,12 +48,12 @@ def conjunctive_search(tf: DataFrame, query_terms: DataFrame,
     Equivalent to intersecting posting lists, done as one count per
     (query, doc) -- keyed by document, so a frequent term is spread over
     all tasks. ``term_dictionary`` (any table with one row per index term)
-    decides which query terms are known: the broadcast query terms are
+    decides which query terms are known: the query terms are
     matched against it, so the postings are read once. Without it the known
     terms are taken from the matched postings. ``terms_distinct`` says the
     query terms are already one row per (query, term)."""
     q = query_terms.select("query_id", "term")
-    q = broadcast_if_small(q if terms_distinct else q.distinct())
+    q = q if terms_distinct else q.distinct()
     hits = tf.select("doc_id", "term").join(q, "term")
     if term_dictionary is not None:
         known_terms = q.join(term_dictionary.select("term"), "term")
@@ -79,7 +78,7 @@ def term_intersect(tf: DataFrame, term_a: str, term_b: str) -> DataFrame:
 def cosine_scores(weights: DataFrame, query_vectors: DataFrame) -> DataFrame:
     """``(query_id, doc_id, score)``: dot product of unit-length document and
     query vectors = cosine. Only documents sharing a term appear."""
-    q = broadcast_if_small(query_vectors.select("query_id", "term", F.col("weight").alias("_wq")))
+    q = query_vectors.select("query_id", "term", F.col("weight").alias("_wq"))
     return (weights.select("doc_id", "term", "weight").join(q, "term")
             .groupBy("query_id", "doc_id")
             .agg(F.sum(F.col("weight") * F.col("_wq")).alias("score")))
@@ -155,8 +154,7 @@ def field_query_terms(spark, fields: dict[str, tuple[str, str]]) -> DataFrame:
 
 def field_match_score(index: DataFrame, request: DataFrame) -> DataFrame:
     """``(doc_id, score)``, +1 per (field, query word) hit."""
-    r = broadcast_if_small(request)
-    return (index.join(r, ["field", "term"])
+    return (index.join(request, ["field", "term"])
             .groupBy("doc_id").agg(F.sum("mult").cast("bigint").alias("score")))
 
 

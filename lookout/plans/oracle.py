@@ -5,7 +5,7 @@ Tables are the pre-registered views ``documents``, ``benchmark``, ``part``,
 
 from __future__ import annotations
 
-from ..functions.html import ENTITIES, FIRST_H1, HOST, HREF, NAV_BLOCK, TAG
+from ..functions.html import FIRST_H1, HOST, HREF, NAV_BLOCK, TAG
 from ..sources.tables import CATALOG_SQL, GEO_SQL
 from . import sqltext as X
 from .queries import (ADVANCED_TOP_N, FILTER_BANDS, FILTER_CARDS, FILTER_FACILITIES,
@@ -131,6 +131,8 @@ select doc_id from tf where term = '{TERM_B}'
     "ranked_search_batch": _ranked(QTF_BATCH),
 }
 
+ORACLE["vocabulary_csv"] = ORACLE["vocabulary"]
+
 
 # ------------------------------------------------------- places / facets --
 
@@ -230,6 +232,15 @@ def _strip(x):
     return X._strip_ws(x)
 
 
+# The character references that occur in the given pages, '&amp;' last so that
+# '&amp;lt;' gives '&lt;'; the library decodes all of them (see tests).
+ENTITIES = [
+    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
+    ("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&euro;", "€"),
+    ("&amp;", "&"),
+]
+
+
 def _element_text(x):
     out = f"regexp_replace({x}, {L(TAG)}, '', 'g')"
     for name, char in ENTITIES:
@@ -238,9 +249,10 @@ def _element_text(x):
 
 
 PAGE_LINKS = f"""
-pl as (select page_id, (generate_subscripts(l, 1) - 1)::bigint as pos,
-              regexp_extract(url, {L(HOST)}, 1) || unnest(l) as link
-       from (select page_id, url, regexp_extract_all(html, {L(HREF)}, 1) as l from pages))
+pl as (select page_id, pos, case when starts_with(href, '/')
+              then regexp_extract(url, {L(HOST)}, 1) || href else href end as link
+       from (select page_id, url, (generate_subscripts(l, 1) - 1)::bigint as pos, unnest(l) as href
+             from (select page_id, url, regexp_extract_all(html, {L(HREF)}, 1) as l from pages)))
 """
 
 
@@ -334,6 +346,7 @@ ORACLE.update({
         then ltrim(string_split(url, '/')[-1], '0') else '1' end as digits from pages)
         order by n_digits, digits, url""",
     "url_dedup": f"with {PAGE_LINKS} select distinct link from pl",
+    "url_list": f"with {PAGE_LINKS} select distinct link as url from pl",
     "path_token": """select page_id, upper(left(t, 1)) || lower(substr(t, 2)) as token
         from (select page_id, string_split(string_split(url, '/')[-1], '-')[1] as t from pages)""",
     "page_title": f"select page_id, {_element_text(f'regexp_extract(html, {L(FIRST_H1)}, 1)')} as title from pages",

@@ -21,7 +21,6 @@ from ..operators import places as PL
 from ..operators import routes as RT
 from ..operators import search as S
 from ..operators import stemming as ST
-from ..operators.sizing import broadcast_if_small
 from ..index import SearchIndex
 from ..session import bucket_count, materialize, plan_size_bytes
 from ..sources import index_store as IS
@@ -112,6 +111,13 @@ def q_vocabulary(spark, d):
     return _vocab(spark, d)
 
 
+def q_vocabulary_csv(spark, d):
+    """The vocabulary written as CSV (S5) and read back (S3)."""
+    path = IS.scratch_path(spark, "vocabulary-csv")
+    SP.write_csv(_vocab(spark, d), path)
+    return SP.read_csv(spark, path, "term_id bigint, term string")
+
+
 def q_term_frequency(spark, d):
     return _index(spark, d).term_stats.select("term", "cf")
 
@@ -192,6 +198,7 @@ QUERIES = {
     "tokens_nostop": q_tokens_nostop,
     "normalized_text": q_normalized_text,
     "vocabulary": q_vocabulary,
+    "vocabulary_csv": q_vocabulary_csv,
     "term_frequency": q_term_frequency,
     "bounded_vocabulary": q_bounded_vocabulary,
     "vocab_size": q_vocab_size,
@@ -343,8 +350,8 @@ def q_marker_rows(spark, d):
 def q_semi_by_text(spark, d):
     docs = tables.documents(spark, d)
     top_ids = _ranked(spark, d, tables.query_batch(spark, d)).select("doc_id").distinct()
-    # texts of the result rows: the corpus streams past the checked, broadcast ids
-    top_texts = docs.join(broadcast_if_small(top_ids), "doc_id", "left_semi")
+    # texts of the result rows; the ids are written so that the search runs once
+    top_texts = docs.join(materialize(top_ids, "top-ids"), "doc_id", "left_semi")
     return G.semi_by_text(docs, top_texts).select("doc_id")
 
 
@@ -415,6 +422,13 @@ def q_url_dedup(spark, d):
     return q_page_links(spark, d).select("link").distinct()
 
 
+def q_url_list(spark, d):
+    """The URL list written as text (S7) and read back."""
+    path = IS.scratch_path(spark, "urls")
+    SP.write_url_list(q_url_dedup(spark, d), path, col="link")
+    return spark.read.text(path).withColumnRenamed("value", "url")
+
+
 def q_path_token(spark, d):
     return _pages(spark, d).select("page_id", PL.path_token(F.col("url")).alias("token"))
 
@@ -428,7 +442,7 @@ def q_page_links(spark, d):
     return p.select("page_id", F.posexplode(H.hrefs(F.col("html"))).alias("pos", "href"),
                     H.host_of(F.col("url")).alias("host")) \
         .select("page_id", F.col("pos").cast("bigint").alias("pos"),
-                F.concat(F.col("host"), F.col("href")).alias("link"))
+                H.absolute(F.col("href"), F.col("host")).alias("link"))
 
 
 def q_nav_links(spark, d):
@@ -529,6 +543,7 @@ QUERIES.update({
     "page_bucket": q_page_bucket,
     "url_sort": q_url_sort,
     "url_dedup": q_url_dedup,
+    "url_list": q_url_list,
     "path_token": q_path_token,
     "page_title": q_page_title,
     "page_links": q_page_links,

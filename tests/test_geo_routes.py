@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from lookout.operators import geo as G
-from lookout.operators.routes import monotone_route
+from lookout.operators.routes import monotone_route, route_steps
 
 GEO = [
     ("00100", {"town": "Frascati", "state": "Lazio"}, 41.8, 12.7),      # town only, state only
@@ -32,6 +32,15 @@ def test_enrich_and_fallbacks(spark):
     assert strict[4].city is None
 
 
+def test_enrich_takes_one_geocoder_row_per_key(spark):
+    geo, places = _frames(spark)
+    more = spark.createDataFrame([("00100", {"town": "Albano"}, 41.7, 12.6), ("00300", {"city": "X"}, 45.0, 9.0),
+                                  ("00200", {"city": "Aaa"}, None, None)], geo.schema)
+    rows = {r.doc_id: r for r in G.enrich(places, geo.union(more)).collect()}
+    assert len(rows) == 5 and G.enrich(places, geo.union(more)).count() == 5
+    assert rows[1].city == "Albano" and rows[2].city == "Borgo" and rows[3].latitude == 45.0
+
+
 def test_missing_keys_known_markers_and_avg(spark):
     geo, places = _frames(spark)
     known = G.known_coordinates(geo)
@@ -73,7 +82,7 @@ def test_semi_joins_return_every_copy(spark):
     assert [r.doc_id for r in G.semi_by_id(docs, result).collect()] == [1]
 
 
-def test_monotone_route_hot_case_split_over_partitions(spark):
+def test_route_steps_hot_case_split_over_partitions(spark):
     import random
     rnd = random.Random(7)
     cases = {1: [(i, i // 3) for i in range(300)],                       # one huge feasible case
@@ -85,5 +94,11 @@ def test_monotone_route_hot_case_split_over_partitions(spark):
     rows = [(c, x, y) for c, pts in cases.items() for x, y in pts]
     rnd.shuffle(rows)
     df = spark.createDataFrame(rows, "case_id bigint, x int, y int")
-    got = {r.case_id: (r.answer, r.path) for r in monotone_route(df, partitions=7).collect()}
+    steps = route_steps(df, partitions=7).orderBy("case_id", "seq").collect()
+    got = {}
+    for c in cases:
+        mine = [s for s in steps if s.case_id == c]
+        ok = all(s.ok for s in mine)
+        got[c] = ("YES" if ok else "NO", "".join(s.moves for s in mine) if ok else None)
     assert got == {c: _brute_route(p) for c, p in cases.items()}
+    assert got == {r.case_id: (r.answer, r.path) for r in monotone_route(df).collect()}

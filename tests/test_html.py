@@ -1,3 +1,5 @@
+from html import unescape
+
 from pyspark.sql import functions as F
 
 from lookout.functions import html as H
@@ -12,11 +14,22 @@ def test_title_links_and_nav(spark):
     df = spark.createDataFrame([("https://guide.example.com/en/rest/12", PAGE)], "url string, html string")
     r = df.select(H.first_h1_text(F.col("html")).alias("title"), H.hrefs(F.col("html")).alias("links"),
                   H.nav_hrefs(F.col("html")).alias("nav"), H.host_of(F.col("url")).alias("host")).first()
-    # tags inside the first h1 are dropped, listed entities decoded, text stripped
-    assert r.title == "Caf&eacute; Roma & Bar"
+    # tags inside the first h1 are dropped, references decoded, text stripped
+    assert r.title == "Café Roma & Bar"
     assert r.links == ["/a", "/b?page=2", "/next", "https://other.example/x"]
     assert r.nav == ["/a", "/b?page=2", "/next"]
     assert r.host == "https://guide.example.com"
+    links = df.select(F.transform(H.hrefs(F.col("html")), lambda h: H.absolute(h, H.host_of(F.col("url"))))).first()[0]
+    assert links[0] == "https://guide.example.com/a" and links[3] == "https://other.example/x"
+
+
+def test_every_character_reference_is_decoded_once(spark):
+    texts = ["plain", "", "a & b", "&amp;lt; &lt;", "&eacute;&Eacute;&euro;", "&#8364;&#x20AC;&#X1f600;", "&#128;&#x96;",
+             "&#0;&#xD800;&#1114112;", "&unknown; &#; &;", "&&#35;38;", "&NotEqualTilde;&hellip;"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = {r.i: r.o for r in df.select("i", H.decode_entities(F.col("t")).alias("o")).collect()}
+    assert got == {i: unescape(t) for i, t in enumerate(texts)}
+    assert df.limit(1).select(H.decode_entities(F.lit(None).cast("string"))).first()[0] is None
 
 
 def test_no_h1_gives_empty_title(spark):
