@@ -9,7 +9,8 @@ weak identifier next to a secret, an endpoint next to an identifier and a secret
 
 The join is an equi-join on (document, bin of ``SCOPE`` code points) with the
 distance as a further condition, so a document of any length spreads over many
-tasks and a part meets only what fits into three bins.
+tasks and a part meets only what fits into the bins it covers and one on either
+side.
 
 Defined results: null text is empty (no findings); equal ``doc_id`` and repeated
 rows give a row each, with equal findings for equal rows; null ``doc_id`` stays
@@ -100,7 +101,8 @@ def link_parts(found: DataFrame, scope: int = SCOPE) -> DataFrame:
     start, end), from rows (doc_id, text_key, parts)."""
     one = found.where(F.size("parts") > 0).select("doc_id", "text_key", F.explode("parts").alias("p")) \
         .select("doc_id", "text_key", "p.*").distinct()
-    weak = one.where("weak").withColumn("bin", F.expr(f"start div {scope}"))
+    # a part lies in all bins that it covers; what is in scope of any of its code points shares one of them
+    weak = one.where("weak").withColumn("bin", F.explode(F.expr(f"sequence(start div {scope}, end div {scope})")))
     near = one.select(F.col("doc_id").alias("d"), "text_key", F.col("role").alias("r"), F.col("start").alias("s"),
                       F.col("end").alias("e"),
                       F.explode(F.expr(f"sequence(start div {scope} - 1, end div {scope} + 1)")).alias("bin")) \

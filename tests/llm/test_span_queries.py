@@ -1,5 +1,6 @@
 """Secrets and personal data: base kinds against plain patterns, and linking."""
 import hashlib
+import random
 import re
 from collections import Counter
 
@@ -76,6 +77,50 @@ def test_secret_linking(spark):
                    6: ["ident", "keystring"]}
 
 
+def linked_by_hand(parts):
+    """Weak parts with their complement, by comparing all pairs."""
+    out = set()
+    for kind, role, weak, a, b in parts:
+        roles = {r for _, r, _, c, d in parts if r != role and c - b <= secrets.SCOPE and a - d <= secrets.SCOPE}
+        needs = {"secret": [{"id"}, {"endpoint"}], "id": [{"secret"}], "endpoint": [{"id", "secret"}]}[role]
+        if weak and any(n <= roles for n in needs):
+            out.add((kind, a, b))
+    return out
+
+
+def test_secret_linking_equals_all_pairs(spark):
+    schema = f"doc_id long, text_key long, parts array<{secrets.PART}>"
+    # a long weak part before, or after its complement, at every start offset and gap
+    pairs = spark.sql(f"""select id doc_id, id text_key, gap, array(
+        named_struct('kind', 'keystring', 'role', 'secret', 'weak', true, 'start', if(first, at, at + 12 + gap),
+                     'end', if(first, at, at + 12 + gap) + size),
+        named_struct('kind', 'ident', 'role', 'id', 'weak', true, 'start', if(first, at + size + gap, at),
+                     'end', if(first, at + size + gap, at) + 12)) parts
+        from (select monotonically_increasing_id() id, a.id at, int(g.id) gap, size, first
+              from range({secrets.SCOPE}) a, range({secrets.SCOPE + 3}) g,
+                   (select explode(array(true, false)) first), (select explode(array(40, 200, 700)) size)
+              where size = array(40, 200, 700)[(a.id + g.id) % 3])""")
+    pairs = pairs.select("doc_id", "text_key", "gap", pairs["parts"].cast(f"array<{secrets.PART}>").alias("parts"))
+    n = pairs.where(f"gap <= {secrets.SCOPE}").count()
+    linked = secrets.link_parts(pairs.where(f"gap <= {secrets.SCOPE}")).groupBy("doc_id").count()
+    assert (linked.count(), linked.agg({"count": "sum"}).first()[0]) == (n, 2 * n)
+    assert secrets.link_parts(pairs.where(f"gap > {secrets.SCOPE}")).count() == 0
+    rng, docs = random.Random(3), []
+    for d in range(400):
+        parts, at = [], rng.randrange(600)
+        for _ in range(rng.randint(2, 7)):
+            kind, role, weak = rng.choice([("keystring", "secret", True), ("ident", "id", True), ("hex", "secret", False),
+                                           ("endpoint", "endpoint", True), ("access", "id", False)])
+            end = at + rng.choice([8, 40, 200, 299, 300, 301, 1500])
+            parts.append((kind, role, weak, at, end))
+            at = max(0, end + rng.choice([-5, 0, 1, 130, 280, 299, 300, 301, 450]))
+        docs.append((d, d, parts))
+    got = {}
+    for r in secrets.link_parts(spark.createDataFrame(docs, schema)).collect():
+        got.setdefault(r.doc_id, set()).add((r.kind, r.start, r.end))
+    assert got == {d: want for d, _, parts in docs if (want := linked_by_hand(parts))}
+
+
 def test_pii(spark, sf_small, odd_docs, odd_rows, no_docs):
     check(odd_rows, pii.find_pii(odd_docs).collect(), pii_base, pii.BASE_KINDS)
     assert pii.find_pii(no_docs).collect() == []
