@@ -39,9 +39,9 @@ ENTROPY = 4.0           # bits a character that a weak secret has at least
 _ASSIGN = re.compile(r"""(?ai:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")
-_IDENT = re.compile(r"""(?ai:access_?key_?id|client_?id|account_?id|user_?name|login)["']?\x20?[:=]\x20?["']?([A-Za-z0-9@._-]{4,80})""")
-_TOKEN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{32,128}(?![A-Za-z0-9+/_=-])")
-_ENDPOINT = re.compile(r"(?a)(?:https?|ftp|postgres|postgresql|mysql|mongodb|redis|amqp)://[A-Za-z0-9._~:/?#@!$&*+=%-]{4,200}")
+_IDENT = re.compile(r"""(?ai:access_?key_?id|client_?id|account_?id|user_?name|login)["']?\x20?[:=]\x20?["']?([A-Za-z0-9@._-]{4,})""")
+_TOKEN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{32,}(?![A-Za-z0-9+/_=-])")
+_ENDPOINT = re.compile(r"(?a)(?:https?|ftp|postgres|postgresql|mysql|mongodb|redis|amqp)://[A-Za-z0-9._~:/?#@!$&*+=%-]{4,}")
 
 PART = "struct<kind:string,role:string,weak:boolean,start:int,end:int>"
 SCANNED = ("doc_id long, text_key long, n_assign long, n_access long, n_hex long, base_sha256 string, base string,"

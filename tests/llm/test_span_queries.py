@@ -77,6 +77,23 @@ def test_secret_linking(spark):
                    6: ["ident", "keystring"]}
 
 
+def test_long_parts_stay_whole(spark):
+    rng = random.Random(4)
+    key = "".join(rng.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/") for _ in range(5000))
+    name, url = "alice." * 100, "https://db.internal/" + "path/" * 300
+    text = f"login={name} {key} {url}"
+    a, b = len(f"login={name} "), len(f"login={name} {key} ")
+    got = secrets.find_secrets(spark.createDataFrame([(1, text)], "doc_id long, text string")).first().spans
+    assert got == f"ident:0:{a - 1},keystring:{a}:{b - 1}"  # the endpoint is out of the identifier's scope
+    text = f"login={name} {url} password=hunter2222"
+    a, b = len(f"login={name} "), len(f"login={name} {url} ")
+    got = secrets.find_secrets(spark.createDataFrame([(1, f"{text} login=robert")], "doc_id long, text string")).first().spans
+    assert got == f"endpoint:{a}:{b - 1},assign:{b}:{len(text)},ident:{len(text) + 1}:{len(text) + 13}"
+    text = f"{key} user_name: robert"
+    got = secrets.find_secrets(spark.createDataFrame([(1, text)], "doc_id long, text string")).first().spans
+    assert got == f"keystring:0:5000,ident:5001:{len(text)}"
+
+
 def linked_by_hand(parts):
     """Weak parts with their complement, by comparing all pairs."""
     out = set()
