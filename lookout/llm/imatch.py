@@ -1,37 +1,45 @@
 """I-Match document fingerprints.
 
 A document's terms are its distinct words. Of these only terms within a band of
-inverse document frequency count (found in at least ``LEAST`` and at most ``MOST`` of
-all documents: neither junk nor function words). For each of several random
-subsets of this lexicon, the document's terms in it are sorted and hashed;
-the fingerprint is the list of hashes (``-`` for no term). Subsets of four sizes let
-fingerprints of partly equal texts agree in part: the likeness of two is the
-share of equal hashes among those that either has.
-
-All terms' document frequencies are counted. A lexicon term stands in at least
-``LEAST`` of the documents, so there are at most (mean distinct terms a document) /
-``LEAST`` of them at any corpus size; only this lexicon, its size measured against
-``LEXICON_BOUND``, is broadcast (a larger one is joined by shuffle).
+inverse document frequency count (found in at least ``LEAST_DOCS`` and at most a share of
+``MOST`` of all documents: neither words of one text nor function words). For each of
+several random subsets of this lexicon, the document's terms in it are sorted and
+hashed; the fingerprint is the list of hashes (``-`` for no term). Subsets of four
+sizes let fingerprints of partly equal texts agree in part: the likeness of two is
+the share of equal hashes among those that either has.
+
+With ``whole``, a text without any hash of lexicon terms takes all its words for
+lexicon: the first hash is that of all its terms, the others are those of the subsets.
+A text like that is compared with any other by the hashes of all words of both.
+Without it, such texts share the fingerprint of dashes.
+
+All terms' document frequencies are counted, over rows or, with ``whole``, over
+distinct texts, so that a group of copies doesn't move its words out of the band.
+The lexicon grows with the corpus; its size is measured against ``LEXICON_BOUND``, a
+larger one is joined by shuffle.
 
 The next document's text comes by one shuffle: documents go to blocks of
 consecutive ids, each block's first document to the block before it as well, and a
 window takes the next row in the block. All later steps keep that partitioning.
 
 Only DataFrame operations are used. Defined results: null text is empty, with no
-terms, and two fingerprints without any hash have likeness 1 if both texts lack
-terms; rows with null ``doc_id`` come first in order, equal ``doc_id`` in the order of
+terms, and two fingerprints without any hash have likeness 1 (with ``whole``, only texts
+without any word have one); rows with null ``doc_id`` come first in order, equal ``doc_id`` in the order of
 their texts; one document alone is its own next; an empty table gives no rows;
 other columns are ignored.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lookout.llm.common import checkpoint_root, id_text, materialize
 
-LEAST = 0.002           # share of documents that a term stands in
+LEAST_DOCS = 2          # documents that a term stands in
+LEAST = 0.0             # share of them, for callers that want a smaller lexicon
 MOST = 0.05
 # random subsets of the lexicon: each keeps one term in so many
 SUBSETS = (4,) * 2 + (16,) * 4 + (64,) * 6 + (256,) * 12
@@ -46,14 +54,26 @@ def term_ids(text: Column) -> Column:
     return F.transform(F.array_distinct(words), lambda w: F.xxhash64(w))
 
 
-def lexicon(docs: DataFrame, least: float = LEAST, most: float = MOST) -> DataFrame:
-    """Terms (``t``) within the band, each with the numbers of its subsets."""
-    rows = docs.count()
-    counts = docs.select(F.explode(term_ids(F.col("text"))).alias("t")).groupBy("t") \
-        .agg(F.count(F.lit(1)).alias("df")) \
-        .where((F.col("df") >= max(2, least * rows)) & (F.col("df") <= max(2, most * rows)))
-    chosen = F.array(*(F.when(F.pmod(F.xxhash64("t", F.lit(k + 1)), F.lit(size)) == 0, F.lit(k))
-                       for k, size in enumerate(SUBSETS)))
+def _in_subset(k: int) -> Callable[[Column], Column]:
+    """Whether subset ``k`` holds a term."""
+    return lambda t: F.pmod(F.xxhash64(t, F.lit(k + 1)), F.lit(SUBSETS[k])) == 0
+
+
+def lexicon(docs: DataFrame, least: float = LEAST, most: float = MOST, whole: bool = False) -> DataFrame:
+    """Terms (``t``) within the band, each with the numbers of its subsets. Document
+    frequencies are counted over rows, or with ``whole`` over distinct texts."""
+    if whole:
+        copies = materialize(docs.groupBy(F.xxhash64("text").alias("h")).agg(F.count(F.lit(1)).alias("copies")),
+                             "imatch-copies")
+        n = copies.count()
+        keyed = docs.select("text", F.xxhash64("text").alias("h")).join(copies.where("copies > 1"), "h", "left")
+        # a row counts one by its copies; the shares of a text add up to one but for rounding
+        df = F.round(F.sum(1 / F.coalesce("copies", F.lit(1)))).cast("long")
+    else:
+        n, keyed, df = docs.count(), docs.select("text", F.lit(1).alias("copies")), F.count(F.lit(1))
+    counts = keyed.select("copies", F.explode(term_ids(F.col("text"))).alias("t")).groupBy("t").agg(df.alias("df")) \
+        .where((F.col("df") >= max(LEAST_DOCS, least * n)) & (F.col("df") <= max(LEAST_DOCS, most * n)))
+    chosen = F.array(*(F.when(_in_subset(k)(F.col("t")), F.lit(k)) for k in range(len(SUBSETS))))
     return counts.select("t", F.filter(chosen, lambda k: k.isNotNull()).alias("subsets"))
 
 
@@ -70,6 +90,28 @@ def _listed(hashes: Column) -> Column:
     return F.array(*(F.coalesce(F.try_element_at(hashes, F.lit(k)), F.lit("-")) for k in range(len(SUBSETS))))
 
 
+def _hash(terms: Column) -> Column:
+    return F.substring(F.sha1(F.array_join(terms.cast("array<string>"), " ")), 1, 10)
+
+
+def _of_all_terms(text: Column) -> Column:
+    """A fingerprint from all words of a text: their hash, and those of the subsets."""
+    def hashes(terms: Column) -> Column:
+        kept = [terms] + [F.filter(terms, _in_subset(k)) for k in range(1, len(SUBSETS))]
+        return F.array(*(F.when(F.size(x) > 0, _hash(x)).otherwise(F.lit("-")) for x in kept))
+    return F.element_at(F.transform(F.array(F.sort_array(term_ids(text))), hashes), 1)
+
+
+def _no_hash(hashes: Column) -> Column:
+    return F.forall(hashes, lambda h: h == "-")
+
+
+def _compared(a: Column, b: Column, text_a: Column, text_b: Column) -> Column:
+    """Likeness by lexicon terms, or by all where one of the texts has none."""
+    return F.when(_no_hash(a) | _no_hash(b), likeness(_of_all_terms(text_a), _of_all_terms(text_b))) \
+        .otherwise(likeness(a, b))
+
+
 def _with_next(docs: DataFrame) -> DataFrame:
     """Rows (``block``, ``ghost``, ``doc_id``, ``text``, ``next_text``); a ghost is the row after
     a block's last one, without a next text of its own."""
@@ -97,13 +139,14 @@ def _with_next(docs: DataFrame) -> DataFrame:
                        F.row_number().over(order).alias("place"))
 
 
-def fingerprints(docs: DataFrame, least: float = LEAST, most: float = MOST) -> DataFrame:
+def fingerprints(docs: DataFrame, least: float = LEAST, most: float = MOST, whole: bool = False) -> DataFrame:
     """Per row of ``docs`` (``doc_id``, ``text``): fingerprints of its text and of its
     edited text (second half replaced by the next document's start), and how
-    alike its fingerprint is to the edited text's and the next document's."""
+    alike its fingerprint is to the edited text's and the next document's; for
+    ``whole`` see above."""
     checkpoint_root(docs.sparkSession)
     docs = id_text(docs)
-    terms = materialize(lexicon(docs, least, most).where("size(subsets) > 0"), "imatch-lexicon")
+    terms = materialize(lexicon(docs, least, most, whole).where("size(subsets) > 0"), "imatch-lexicon")
     if terms.count() <= LEXICON_BOUND:
         terms = F.broadcast(terms)
 
@@ -111,12 +154,13 @@ def fingerprints(docs: DataFrame, least: float = LEAST, most: float = MOST) -> D
     rows = _with_next(docs).withColumn("n_chars", F.length("text").cast("long")) \
         .withColumn("edited", F.concat(F.expr("left(text, int(length(text) - length(text) div 2))"),
                                        F.coalesce(F.left("next_text", half), F.lit(""))))
-    meta = F.struct("n_chars", F.sha2("edited", 256).alias("edited_sha256"))
+    meta = F.struct("n_chars", F.sha2("edited", 256).alias("edited_sha256"), "text", "edited")
     own, other = term_ids(F.col("text")), term_ids(F.col("edited"))
-    # one row per term and text of it, with a bit for each text; a row without terms keeps a null
+    # one row per term and text of it, with a bit for each text; a row of bit 0, under a
+    # number of its own so that a shuffle spreads them, keeps what stands once per row
     both = F.concat(F.transform(own, lambda t: F.struct(t.alias("t"), F.lit(1).alias("w"))),
                     F.transform(other, lambda t: F.struct(t.alias("t"), F.lit(2).alias("w"))),
-                    F.array(F.struct(F.lit(None).cast("long").alias("t"), F.lit(0).alias("w"))))
+                    F.array(F.struct(F.xxhash64("block", "place", "doc_id").alias("t"), F.lit(0).alias("w"))))
     long = rows.select("block", "place", "ghost", "doc_id", F.posexplode(both).alias("pos", "x"), meta.alias("meta")) \
         .select("block", "place", "ghost", "doc_id", "x.t", "x.w", F.when(F.col("x.w") == 0, F.col("meta")).alias("meta"))
     kept = long.join(terms, "t", "left").where("w = 0 or subsets is not null") \
@@ -124,16 +168,24 @@ def fingerprints(docs: DataFrame, least: float = LEAST, most: float = MOST) -> D
     # the sorted terms of each (row, text, subset) make a hash, a row's hashes its fingerprints
     sets = kept.groupBy("block", "place", "w", "k").agg(
         F.max("ghost").alias("ghost"), F.max("doc_id").alias("doc_id"), F.max("meta").alias("meta"),
-        F.sort_array(F.collect_list("t")).cast("array<string>").alias("terms"))
-    hashed = F.struct("k", F.substring(F.sha1(F.array_join("terms", " ")), 1, 10).alias("h"))
+        F.sort_array(F.collect_list("t")).alias("terms"))
+    hashed = F.struct("k", _hash(F.col("terms")).alias("h"))
     docs_ = sets.groupBy("block", "place").agg(
         F.max("ghost").alias("ghost"), F.max("doc_id").alias("doc_id"), F.max("meta").alias("meta"),
         F.map_from_entries(F.collect_list(F.when(F.col("w") == 1, hashed))).alias("a"),
         F.map_from_entries(F.collect_list(F.when(F.col("w") == 2, hashed))).alias("b")) \
         .withColumn("a", _listed(F.col("a"))).withColumn("b", _listed(F.col("b")))
     order = Window.partitionBy("block").orderBy("place")
-    out = docs_.withColumn("c", F.lead("a").over(order)).where("ghost = 0")
-    return out.select("doc_id", "meta.n_chars", "meta.edited_sha256", F.array_join("a", ".").alias("fingerprint"),
-                      F.array_join("b", ".").alias("edited_fingerprint"),
-                      likeness(F.col("a"), F.col("b")).alias("near_edited"),
-                      likeness(F.col("a"), F.col("c")).alias("near_next"))
+    out = docs_.withColumn("c", F.lead("a").over(order)) \
+        .withColumn("next_text", F.lead("meta.text").over(order)).where("ghost = 0")
+    pairs = (("b", "meta.edited"), ("c", "next_text"))
+    if whole:
+        shown = [F.when(_no_hash(F.col(x)), _of_all_terms(F.col(text))).otherwise(F.col(x))
+                 for x, text in (("a", "meta.text"), ("b", "meta.edited"))]
+        near = [_compared(F.col("a"), F.col(x), F.col("meta.text"), F.col(text)) for x, text in pairs]
+    else:
+        shown = [F.col("a"), F.col("b")]
+        near = [likeness(F.col("a"), F.col(x)) for x, _ in pairs]
+    return out.select("doc_id", "meta.n_chars", "meta.edited_sha256", F.array_join(shown[0], ".").alias("fingerprint"),
+                      F.array_join(shown[1], ".").alias("edited_fingerprint"),
+                      near[0].alias("near_edited"), near[1].alias("near_next"))

@@ -36,7 +36,7 @@ def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return imatch.fingerprints(documents(spark, sf_dir))
+    return imatch.fingerprints(documents(spark, sf_dir), whole=True)
 
 
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -57,6 +57,39 @@ def test_fingerprint_by_hand(spark, sf_small):
         assert r.fingerprint == want
 
 
+def test_copies_rare_words_and_texts_without_terms(spark):
+    rng = np.random.default_rng(8)
+    common = [f"w{i}" for i in range(400)]
+    texts = [" ".join(rng.choice(common, 60)) for _ in range(3000)]
+    copy = " ".join(f"copied{i}" for i in range(60))
+    source = [f"rare{i}" for i in range(40)]
+    texts += [" ".join(rng.permutation(source)) for _ in range(5)]      # a source of 0.1% of the rows
+    texts[1::3] = [copy] * len(texts[1::3])                             # a third of the rows
+    texts += ["unrelated", "words", "alone", "alone", "", ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in imatch.fingerprints(docs, whole=True).collect()}
+    own = [got[i].fingerprint for i, t in enumerate(texts) if t == copy]
+    assert len(set(own)) == 1 and set(own[0]) != set("-.")
+    # words of the copies are in one text only; the copies take all their words for terms
+    assert np.mean([got[i].near_edited for i, t in enumerate(texts) if t == copy]) > 0.1
+    assert len({got[i].fingerprint for i, t in enumerate(texts) if t.startswith("rare")}) == 1
+    lex = {r.t for r in imatch.lexicon(docs, whole=True).collect()}
+    ids = spark.createDataFrame([(" ".join(source),)], "text string").select(imatch.term_ids(F.col("text")).alias("t"))
+    assert set(ids.first().t) <= lex
+    n = len(texts)
+    assert len({got[i].fingerprint for i in range(n - 6, n)}) == 4
+    assert [got[i].near_next for i in range(n - 6, n - 1)] == [0.0, 0.0, 1.0, 0.0, 1.0]
+
+
+def test_document_frequency_counts_distinct_texts(spark):
+    texts = ["shared one", "shared two", "shared one"] + ["copied words"] * 50 + ["copied other"] + [f"x{i} y{i}" for i in range(60)]
+    lex = {r.t for r in imatch.lexicon(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"),
+                                          whole=True).collect()}
+    ids = spark.createDataFrame([("shared copied one words",)], "text string").select(imatch.term_ids(F.col("text")).alias("t"))
+    shared, copied, one, words = ids.first().t
+    assert lex == {shared, copied}
+
+
 def test_blocks_with_sparse_ids(spark, monkeypatch):
     monkeypatch.setattr(imatch, "BLOCK_ROWS", 3)
     ids = [1, 2, 3, 900, 901, 5000, 5001, 5002, 5003, 99_999]
