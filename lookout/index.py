@@ -29,17 +29,21 @@ class SearchIndex:
     """Index of one corpus.
 
     ``stem`` stems every term (the original engine's default). ``min_cf`` /
-    ``max_cf`` bound the ranked vocabulary by total occurrences. ``passes=2``
+    ``max_cf`` bound the ranked vocabulary by total occurrences; the upper bound
+    grows with the corpus to ``max_per_doc`` occurrences a document (None: it
+    stays absolute, as the original had it for 2000 records). ``passes=2``
     builds that vocabulary from twice-normalised text as the original did.
     ``buckets`` defaults to about one bucket per input split."""
 
     def __init__(self, docs: DataFrame, *, stem: bool = True, min_cf: int = 2,
-                 max_cf: int = 1800, passes: int = 1, buckets: int | None = None,
+                 max_cf: int = 1800, max_per_doc: float | None = 0.9,
+                 passes: int = 1, buckets: int | None = None,
                  id_col: str = "doc_id", text_col: str = "text",
                  reuse: "SearchIndex | None" = None):
         self.docs = docs.select(F.col(id_col).alias("doc_id"),
                                 F.coalesce(F.col(text_col), F.lit("")).alias("text"))
         self.stem, self.min_cf, self.max_cf, self.passes = stem, min_cf, max_cf, passes
+        self.max_per_doc = max_per_doc
         self.buckets = buckets or bucket_count(docs.sparkSession, plan_size_bytes(docs))
         if reuse is not None:
             # another index over the same documents: share the tables that
@@ -85,11 +89,14 @@ class SearchIndex:
             # the vectoriser's own tokeniser never sees one-character terms
             stats = stats.where(F.length("term") >= 2)
         n = C.document_count(self.docs)
+        top = F.lit(self.max_cf)
+        if self.max_per_doc is not None:
+            top = F.greatest(top, n * self.max_per_doc)
         if self.passes == 2:
             tf = self.postings.where(F.length("term") >= 2) if self.stem else self.postings
-            vocab = C.bounded_terms(ST.second_pass(tf), self.min_cf, self.max_cf)
+            vocab = C.bounded_terms(ST.second_pass(tf), self.min_cf, top)
             return C.idf_from_stats(stats, n, terms=vocab)
-        return C.idf_from_stats(stats, n, min_cf=self.min_cf, max_cf=self.max_cf)
+        return C.idf_from_stats(stats, n, min_cf=self.min_cf, max_cf=top)
 
     @cached_property
     def weights(self) -> DataFrame:

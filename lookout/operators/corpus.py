@@ -147,7 +147,7 @@ def term_frequency(tf: DataFrame) -> DataFrame:
     return tf.groupBy("term").agg(F.sum("tf").alias("cf"))
 
 
-def bounded_terms(tf: DataFrame, min_cf: int = 2, max_cf: int = 1800) -> DataFrame:
+def bounded_terms(tf: DataFrame, min_cf: int = 2, max_cf: int | Column = 1800) -> DataFrame:
     """V3 filter: terms whose total occurrence count lies in [min_cf, max_cf]."""
     return term_frequency(tf).where(F.col("cf").between(min_cf, max_cf)).select("term")
 
@@ -178,7 +178,7 @@ def term_stats(tf: DataFrame) -> DataFrame:
 
 
 def idf_from_stats(stats: DataFrame, n_docs: Column, terms: DataFrame | None = None,
-                   min_cf: int | None = None, max_cf: int | None = None,
+                   min_cf: int | None = None, max_cf: int | Column | None = None,
                    persist: bool = True) -> DataFrame:
     """V6 fit from per-term statistics: ``(term, df, cf, idf)`` with the
     smoothed idf ``ln((1 + n) / (1 + df)) + 1``. ``terms`` restricts the

@@ -84,7 +84,7 @@ def _index(spark, d, stem=False, passes=1) -> SearchIndex:
         elif stem:
             reuse = _index(spark, d)
         return SearchIndex(tables.documents(spark, d), stem=stem, min_cf=VOCAB_MIN_CF,
-                           max_cf=VOCAB_MAX_CF, passes=passes, buckets=_buckets(spark, d),
+                           max_cf=VOCAB_MAX_CF, max_per_doc=None, passes=passes, buckets=_buckets(spark, d),
                            reuse=reuse)
     return IC.cached(spark, "index", [_docs_path(d)], (stem, passes), build)
 
