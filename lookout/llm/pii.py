@@ -1,9 +1,10 @@
 """Personal data by patterns and bootstrapped contextual extraction.
 
 Base kinds (e-mail, IPv4, card and phone numbers) are matched in the whole text
-and are the seeds. Every identifier-like token, seed or not, is an occurrence of
-an instance (its letters and digits) in a lexical pattern (the two words before
-it). The pattern-instance graph is scored for each kind in turns: a pattern by the
+and are the seeds. Every identifier-like token or run of digit groups (joined by single
+separators of the base kinds: space, dot, hyphen, brackets), seed or not, is an
+occurrence of an instance (its letters and digits) in a lexical pattern (the two words
+before it). The pattern-instance graph is scored for each kind in turns: a pattern by the
 share of its occurrences whose instances are believed to be of the kind, an
 instance by its patterns (noisy or; seeds stay at one). Instances above
 ``CONFIDENCE`` are reported wherever they occur outside the base findings.
@@ -41,7 +42,10 @@ _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_CANDIDATE = re.compile(r"[0-9@]\S{0,64}")
+# a run of digit groups between the ends of tokens, brackets may stand beside another separator
+_GROUPS = re.compile(r"(?<![^\s\[{<\"':;,*#|])[(+]{0,2}[0-9]++(?:[\x20().-]{1,2}+[0-9]++)+(?=[.,;:!?\"')\]}>*#|]*+(?:\s|\Z))")
+_CANDIDATE = re.compile(r"\S+")
+_DIGIT_OR_AT = re.compile(r"[0-9@]")
 _PUNCTUATION = ".,;:!?\"'()[]{}<>*#&%$|"
 _OUTSIDE = re.compile(r"[^A-Za-z0-9]+")
 
@@ -87,31 +91,53 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 def _pattern(text: str, start: int) -> str:
     """The two words before ``start``, in lower case and without punctuation."""
-    return " ".join(w.strip(_PUNCTUATION) for w in text[max(0, start - 80):start].lower().split()[-2:])
-
-
-def occurrences(text: str, base: list[tuple[str, int, int]]) -> list[dict]:
-    """Identifier-like tokens: the base findings, and other tokens with four
-    digits or an at sign that overlap none."""
-    out = [(k, a, b) for k, a, b in base]
-    taken = sorted((a, b) for _, a, b in base)
-    at = done = 0
-    for m in _CANDIDATE.finditer(text):
-        a = m.start()
-        while a > max(done, m.start() - 40) and not text[a - 1].isspace():
+    words: list[str] = []
+    end = start
+    while end > 0 and len(words) < 2:
+        while end > 0 and text[end - 1].isspace():
+            end -= 1
+        a = end
+        while a > 0 and not text[a - 1].isspace():
             a -= 1
-        done = m.end()
-        token = text[a:done].strip(_PUNCTUATION)
+        if end > a:
+            words.insert(0, text[a:end].lower().strip(_PUNCTUATION))
+        end = a
+    return " ".join(words)
+
+
+def candidates(text: str) -> Iterator[tuple[int, int, bool]]:
+    """Runs of digit groups and whole tokens, with four digits or an at sign, and whether
+    their pattern counts (not for the first token of a run, which has the run's)."""
+    runs = [m.span() for m in _GROUPS.finditer(text) if sum("0" <= c <= "9" for c in m[0]) >= 4]
+    yield from ((a, b, True) for a, b in runs)
+    at = 0
+    for m in _CANDIDATE.finditer(text):
+        if not _DIGIT_OR_AT.search(m[0]):
+            continue
+        token = m[0].strip(_PUNCTUATION)
         if "@" not in token[1:-1] and sum("0" <= c <= "9" for c in token) < 4:
             continue
-        a = text.index(token, a)
+        a = m.start() + m[0].index(token)
         b = a + len(token)
+        while at < len(runs) and runs[at][1] <= a:
+            at += 1
+        x, y = runs[at] if at < len(runs) else (b, b)
+        if x >= b or not (x >= m.start() and y <= m.end()):
+            yield a, b, not (m.start() <= x < b and text[m.start():x].strip(_PUNCTUATION) == "")
+
+
+def occurrences(text: str, base: list[tuple[str, int, int]]) -> list[dict]:
+    """Identifier-like tokens: the base findings, and the candidates that overlap none."""
+    out = [(k, a, b, True) for k, a, b in base]
+    taken = sorted((a, b) for _, a, b in base)
+    at = 0
+    for a, b, counts in sorted(candidates(text)):
         while at < len(taken) and taken[at][1] <= a:
             at += 1
         if not any(x < b and a < y for x, y in taken[at:at + 8]):
-            out.append((None, a, b))
+            out.append((None, a, b, counts))
     return [{"kind": k, "start": a, "end": b, "instance": _OUTSIDE.sub("", text[a:b]).lower(),
-             "pattern": _pattern(text, a)} for k, a, b in out]
+             "pattern": _pattern(text, a) if counts else None} for k, a, b, counts in out]
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,6 +161,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def score_graph(edges: DataFrame, rounds: int = ROUNDS, support: int = SUPPORT) -> DataFrame:
     """Belief (``instance``, ``kind``, ``belief``) after ``rounds`` turns over stored
     ``edges`` (``pattern``, ``instance``, ``n``, ``seed``: the kind or null)."""
+    edges = edges.where("pattern is not null")
     seeds = edges.where("seed is not null").select("instance", F.col("seed").alias("kind")).distinct()
     belief = materialize(seeds.withColumn("belief", F.lit(1.0)), "pii-seeds")
     first = belief

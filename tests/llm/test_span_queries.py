@@ -156,6 +156,18 @@ def test_bootstrapping_finds_unseen_identifiers(spark):
     assert new[30] == "please call me at [PHONE] today" and new[31] == texts[31] and new[0] == new[30]
 
 
+def test_identifiers_of_several_words_are_found_whole(spark):
+    texts = [f"please call me at +1 (427) 555-{5000 + i} today" for i in range(60)]
+    new = ["427 555 9999", "(020) 7946 0958", "3782 822463 10005", "+44 20 7946 0959", "4" * 150, "5551234 5559876"]
+    texts += [f"please call me at {x} today" for x in new] + ["order number 427 555 7777 shipped", "then 5551234 came"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = {r.doc_id: r.text for r in pii.redact(docs).collect()}
+    assert [out[60 + i] for i in range(len(new))] == ["please call me at [PHONE] today"] * len(new)
+    assert [out[66], out[67]] == texts[66:]
+    far = "please call me at" + " " * 200
+    assert [o["pattern"] for o in pii.occurrences(far + "427 555 9999", [])] == ["me at", "427 555"]
+
+
 def test_redact_keeps_rows_and_columns(odd_docs, no_docs):
     out = pii.redact(odd_docs)
     assert out.schema == odd_docs.schema and out.count() == odd_docs.count()
