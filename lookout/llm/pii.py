@@ -6,7 +6,7 @@ separators of the base kinds: space, dot, hyphen, brackets), seed or not, is an
 occurrence of an instance (its letters and digits) in a lexical pattern (the two words
 before it). The pattern-instance graph is scored for each kind in turns: a pattern by the
 share of its occurrences whose instances are believed to be of the kind, an
-instance by its patterns (noisy or; seeds stay at one). Instances above
+instance by its patterns (noisy or; seeds stay at one), until no belief grows. Instances above
 ``CONFIDENCE`` are reported wherever they occur outside the base findings.
 
 Only patterns with ``SUPPORT`` different seed instances are believed. Graph edges
@@ -25,6 +25,7 @@ import hashlib
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import count
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -35,7 +36,8 @@ from lookout.llm.common import id_text, materialize, prepare
 BASE_KINDS = ("email", "ip", "card", "phone")
 SUPPORT = 3
 CONFIDENCE = 0.9
-ROUNDS = 3
+ROUNDS = None           # turns of scoring; None: until no belief grows by more than TOLERANCE
+TOLERANCE = 1e-3
 
 # written so that no start is tried twice within one run of characters
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -158,15 +160,15 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             "base": pa.array(joined, pa.string()), "seen": pa.array(seen, pa.list_(kind))})
 
 
-def score_graph(edges: DataFrame, rounds: int = ROUNDS, support: int = SUPPORT) -> DataFrame:
-    """Belief (``instance``, ``kind``, ``belief``) after ``rounds`` turns over stored
-    ``edges`` (``pattern``, ``instance``, ``n``, ``seed``: the kind or null)."""
+def score_graph(edges: DataFrame, rounds: int | None = ROUNDS, support: int = SUPPORT) -> DataFrame:
+    """Belief (``instance``, ``kind``, ``belief``) after ``rounds`` turns, or once no belief
+    grows by more than ``TOLERANCE`` (beliefs never fall), over stored ``edges`` (``pattern``, ``instance``, ``n``, ``seed``: the kind or null)."""
     edges = edges.where("pattern is not null")
     seeds = edges.where("seed is not null").select("instance", F.col("seed").alias("kind")).distinct()
     belief = materialize(seeds.withColumn("belief", F.lit(1.0)), "pii-seeds")
     first = belief
     totals = materialize(edges.groupBy("pattern").agg(F.sum("n").alias("total")), "pii-patterns")
-    for _ in range(rounds):
+    for _ in count() if rounds is None else range(rounds):
         votes = edges.groupBy("pattern", "instance").agg(F.sum("n").alias("n")).join(belief, "instance") \
             .groupBy("pattern", "kind").agg(F.sum(F.col("n") * F.col("belief")).alias("w"),
                                             F.count(F.lit(1)).alias("instances")) \
@@ -176,12 +178,17 @@ def score_graph(edges: DataFrame, rounds: int = ROUNDS, support: int = SUPPORT)
                              "pii-scores")
         heard = edges.select("pattern", "instance").distinct().join(scores, "pattern").groupBy("instance", "kind") \
             .agg((1 - F.exp(F.sum(F.log(F.greatest(1 - F.col("score"), F.lit(1e-9)))))).alias("belief"))
-        belief = materialize(first.unionByName(heard).groupBy("instance", "kind")
-                             .agg(F.max("belief").alias("belief")), "pii-belief")
+        old = belief.select("instance", "kind", F.lit(None).cast("double").alias("belief"), F.col("belief").alias("was"))
+        both = materialize(first.unionByName(heard).withColumn("was", F.lit(None).cast("double")).unionByName(old)
+                           .groupBy("instance", "kind").agg(F.max("belief").alias("belief"), F.max("was").alias("was")),
+                           "pii-belief")
+        belief = both.select("instance", "kind", F.greatest("belief", "was").alias("belief"))
+        if both.where(F.col("belief") > F.coalesce("was", F.lit(0.0)) + TOLERANCE).isEmpty():
+            break
     return belief
 
 
-def _discovered(found: DataFrame, confidence: float, rounds: int, support: int) -> DataFrame:
+def _discovered(found: DataFrame, confidence: float, rounds: int | None, support: int) -> DataFrame:
     """Further findings (doc_id, text_key, kind, start, end) of stored scans."""
     seen = found.select("doc_id", "text_key", F.explode("seen").alias("o")).select("doc_id", "text_key", "o.*")
     edges = materialize(seen.where("instance != ''").groupBy("pattern", "instance", F.col("kind").alias("seed"))
@@ -200,7 +207,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return id_text(docs).withColumn("text_key", F.xxhash64("text"))
 
 
-def find_pii(docs: DataFrame, confidence: float = CONFIDENCE, rounds: int = ROUNDS,
+def find_pii(docs: DataFrame, confidence: float = CONFIDENCE, rounds: int | None = ROUNDS,
              support: int = SUPPORT) -> DataFrame:
     """Per row of ``docs`` (``doc_id``, ``text``): counts and digest of the base
     kinds and ``spans``, all findings as ``kind:start:end`` in code points."""
@@ -217,7 +224,7 @@ def find_pii(docs: DataFrame, confidence: float = CONFIDENCE, rounds: int = ROUN
     return rows.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", spans.alias("spans"))
 
 
-def redact(docs: DataFrame, confidence: float = CONFIDENCE, rounds: int = ROUNDS,
+def redact(docs: DataFrame, confidence: float = CONFIDENCE, rounds: int | None = ROUNDS,
            support: int = SUPPORT) -> DataFrame:
     """``docs`` with every finding in ``text`` replaced by its kind in brackets;
     all columns and rows stay."""

@@ -168,6 +168,18 @@ def test_identifiers_of_several_words_are_found_whole(spark):
     assert [o["pattern"] for o in pii.occurrences(far + "427 555 9999", [])] == ["me at", "427 555"]
 
 
+def test_scoring_goes_on_until_beliefs_stay(spark):
+    # the instances of each link are believed only a turn after those of the link before
+    edges = [("p0", f"i0-{j}", 100, "phone") for j in range(3)]
+    for k in range(6):
+        edges += [(f"p{k}", f"i{k + 1}-{j}", 1, None) for j in range(3)]
+        edges += [(f"p{k + 1}", f"i{k + 1}-{j}", 100, None) for j in range(3)]
+    edges += [("other", f"o{j}", 5, None) for j in range(5)]
+    edges = spark.createDataFrame(edges, "pattern string, instance string, n long, seed string")
+    got = {r.instance: r.belief for r in pii.score_graph(edges).collect()}
+    assert set(got) == {f"i{k}-{j}" for k in range(7) for j in range(3)} and min(got.values()) >= pii.CONFIDENCE
+
+
 def test_redact_keeps_rows_and_columns(odd_docs, no_docs):
     out = pii.redact(odd_docs)
     assert out.schema == odd_docs.schema and out.count() == odd_docs.count()
