@@ -7,8 +7,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lookout.llm import (bpe_automaton, imatch, minhash_dedup, packing, pii, quality, secrets, token_store, urls,
-                         vptree)
+from lookout.llm import (bpe_automaton, chat, imatch, minhash_dedup, packing, pii, quality, repair, secrets,
+                         token_store, urls, vafile, vptree)
 from lookout.llm.common import documents, pages
 
 # folder of the public vocabulary files; set LOOKOUT_TOKENIZERS to use another copy
@@ -69,9 +69,22 @@ def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(pages(spark, sf_dir), URL_RULES)
 
 
+def op11_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.digests(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair_report(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+def op13_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vafile.cluster(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op2_token_store, op3_imatch, op4_secrets, op5_quality,
-                                   op6_nearest, op7_packing, op8_bpe, op9_pii, op10_urls)}
+                                   op6_nearest, op7_packing, op8_bpe, op9_pii, op10_urls, op11_chat, op12_repair,
+                                   op13_clusters)}
 
 # The method's own output (near-copy links, ids of a vocabulary, mined rules, fitted
-# weights, ...) has no SQL form; tests/llm holds these queries against brute force.
-ORACLE: dict[str, str] = {}
+# weights, ...) of the others has no SQL form; tests/llm holds them against brute force.
+ORACLE: dict[str, str] = {"op11_chat": chat.oracle(), "op12_repair": repair.oracle(), "op13_clusters": vafile.oracle()}
