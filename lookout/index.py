@@ -7,9 +7,10 @@
 
 ``queries`` is a DataFrame ``(query_id, text)``, so a batch runs as one
 job. Every part is built on first use and written once to the shared
-checkpoint folder: postings ``(doc_id, term, tf)`` and the weighted index
-as tables bucketed by ``doc_id``, the stem dictionary, the idf model and
-the numbered vocabulary as Parquet.
+checkpoint folder as Parquet: the forward index (each document's terms with
+counts), the stem dictionary, per-term statistics, the idf model, the weighted
+postings and the term-ordered :class:`~lookout.sources.index_store.PostingStore` that
+the searches read.
 """
 
 from __future__ import annotations
@@ -22,7 +23,8 @@ from pyspark.sql import functions as F
 from .operators import corpus as C
 from .operators import search as S
 from .operators import stemming as ST
-from .session import bucket_count, materialize, materialize_bucketed, plan_size_bytes
+from .session import materialize
+from .sources.index_store import PostingStore
 
 
 class SearchIndex:
@@ -31,36 +33,41 @@ class SearchIndex:
     ``stem`` stems every term (the original engine's default). ``min_cf`` /
     ``max_cf`` bound the ranked vocabulary by total occurrences; the upper bound
     grows with the corpus to ``max_per_doc`` occurrences a document (None: it
-    stays absolute, as the original had it for 2000 records). ``passes=2``
-    builds that vocabulary from twice-normalised text as the original did.
-    ``buckets`` defaults to about one bucket per input split."""
+    stays absolute, as the original had it for 2000 records; 1900 of them are 0.95
+    a document). ``passes=2`` builds that vocabulary from twice-normalised text as
+    the original did. ``shards`` is the number of the store's files, by default
+    from its size."""
 
     def __init__(self, docs: DataFrame, *, stem: bool = True, min_cf: int = 2,
-                 max_cf: int = 1800, max_per_doc: float | None = 0.9,
-                 passes: int = 1, buckets: int | None = None,
+                 max_cf: int = 1900, max_per_doc: float | None = 0.95,
+                 passes: int = 1, shards: int | None = None,
                  id_col: str = "doc_id", text_col: str = "text",
                  reuse: "SearchIndex | None" = None):
         self.docs = docs.select(F.col(id_col).alias("doc_id"),
                                 F.coalesce(F.col(text_col), F.lit("")).alias("text"))
         self.stem, self.min_cf, self.max_cf, self.passes = stem, min_cf, max_cf, passes
-        self.max_per_doc = max_per_doc
-        self.buckets = buckets or bucket_count(docs.sparkSession, plan_size_bytes(docs))
+        self.max_per_doc, self.shards = max_per_doc, shards
         if reuse is not None:
             # another index over the same documents: share the tables that
             # do not depend on the settings that differ
-            self.__dict__["raw_postings"] = reuse.raw_postings
+            self.__dict__["forward"] = reuse.forward
             if reuse.stem:
                 self.__dict__["stems"] = reuse.stems
             if reuse.stem == stem:
-                self.__dict__["postings"] = reuse.postings
+                self.__dict__["numbered"] = reuse.numbered
                 self.__dict__["term_stats"] = reuse.term_stats
 
     # ------------------------------------------------------------ tables --
 
+    @cached_property
+    def forward(self) -> DataFrame:
+        """``(doc_no, doc_id, terms)`` in unstemmed terms, counted inside document rows."""
+        return C.forward_index(self.docs)
+
     @cached_property
     def raw_postings(self) -> DataFrame:
-        """Unstemmed ``(doc_id, term, tf)``, counted inside document rows."""
-        return C.index_postings(C.term_counts(self.docs), self.buckets)
+        """Unstemmed ``(doc_no, doc_id, term, tf)``."""
+        return self.forward.select("doc_no", "doc_id", F.inline("terms"))
 
     @cached_property
     def stems(self) -> DataFrame:
@@ -68,18 +75,23 @@ class SearchIndex:
         return ST.stem_dictionary(self.raw_postings.select("term"))
 
     @cached_property
-    def postings(self) -> DataFrame:
-        """``(doc_id, term, tf)`` in index terms (stems when ``stem``)."""
+    def numbered(self) -> DataFrame:
+        """``(doc_no, doc_id, term, tf)`` in index terms (stems when ``stem``)."""
         if not self.stem:
             return self.raw_postings
-        return C.index_postings(ST.stem_postings(self.raw_postings, self.stems), self.buckets)
+        return materialize(ST.stem_postings(self.raw_postings, self.stems), "stemmed")
+
+    @cached_property
+    def postings(self) -> DataFrame:
+        """``(doc_id, term, tf)`` in index terms."""
+        return self.numbered.select("doc_id", "term", "tf")
 
     @cached_property
     def term_stats(self) -> DataFrame:
         """``(term, df, cf)`` of every index term: the one aggregation of the
-        postings by term, written once; the idf, the vocabulary and the
-        known-term check of conjunctive search all read it."""
-        return materialize(C.term_stats(self.postings), "term-stats")
+        postings by term, written once; the idf, the vocabulary and the store's
+        directory all read it."""
+        return materialize(C.term_stats(self.numbered), "term-stats")
 
     @cached_property
     def idf(self) -> DataFrame:
@@ -98,17 +110,27 @@ class SearchIndex:
             return C.idf_from_stats(stats, n, terms=vocab)
         return C.idf_from_stats(stats, n, min_cf=self.min_cf, max_cf=top)
 
+    @cached_property
+    def weighted(self) -> DataFrame:
+        """``(doc_no, doc_id, term, tf, weight)`` of all postings, the weight null for
+        terms outside the ranked vocabulary."""
+        return materialize(C.transform(self.numbered, self.idf, "doc_no", keep_unknown=True), "weights")
+
     @cached_property
     def weights(self) -> DataFrame:
-        """The weighted index ``(doc_id, term, tf, weight)``, unit length per
-        document, bucketed by ``doc_id``."""
-        return materialize_bucketed(C.transform(self.postings, self.idf), "weights", "doc_id",
-                                    self.buckets)
+        """The weighted index ``(doc_id, term, tf, weight)``, unit length per document."""
+        return self.weighted.where("weight is not null").select("doc_id", "term", "tf", "weight")
+
+    @cached_property
+    def store(self) -> PostingStore:
+        """The term-ordered posting blocks, bitmaps and directory."""
+        stats = self.term_stats.join(self.idf.select("term", "idf"), "term", "left")
+        return PostingStore.write(self.weighted, materialize(stats, "directory-stats"), shards=self.shards)
 
     @cached_property
     def vocabulary(self) -> DataFrame:
         """``(term_id, term)`` of every index term, dense in term order."""
-        return C.dense_ids(self.term_stats.select("term"), "term", "term_id")
+        return C.dense_ids(self.term_stats, "term", "term_id")
 
     # ----------------------------------------------------------- queries --
 
@@ -117,33 +139,32 @@ class SearchIndex:
         stems = ST.query_stems(queries) if self.stem else None
         return materialize(C.query_counts(queries, stems=stems), "query-counts")
 
-    def query_terms(self, queries: DataFrame, counts: DataFrame | None = None) -> DataFrame:
-        """Distinct ``(query_id, term)`` of a batch."""
-        counts = counts if counts is not None else self.query_counts(queries)
-        return counts.select("query_id", "term")
-
     def query_vectors(self, queries: DataFrame, counts: DataFrame | None = None) -> DataFrame:
-        """Unit-length query vectors with the fitted idf, written once. The
-        batch's term counts are a written table, so a small batch is the
-        broadcast side and a vocabulary-sized idf table streams past it."""
+        """``(query_id, term, tf, weight)``: unit-length query vectors with the fitted idf."""
         counts = counts if counts is not None else self.query_counts(queries)
-        return materialize(C.transform(counts, self.idf, id_col="query_id"),
-                           "query-vectors")
+        return C.transform(counts, self.idf, id_col="query_id")
+
+    def located(self, queries: DataFrame) -> DataFrame:
+        """A batch's terms in the store: ``(query_id, term, tf, weight, shard, ...)``, the weight null
+        for known terms outside the ranked vocabulary."""
+        return self.store.locate(C.transform(self.query_counts(queries), self.idf, id_col="query_id", keep_unknown=True))
 
     def conjunctive(self, queries: DataFrame) -> DataFrame:
         """Documents holding every known term of each query."""
-        return S.conjunctive_search(self.postings, self.query_terms(queries), self.term_stats,
-                                    terms_distinct=True)
+        return S.conjunctive_bitmaps(self.store, self.located(queries))
+
+    def cosines(self, queries: DataFrame) -> DataFrame:
+        """``(query_id, doc_id, score)`` of all documents that share a term with a query."""
+        return S.stored_scores(self.store, self.located(queries))
 
-    def ranked(self, queries: DataFrame, k: int = 5) -> DataFrame:
-        """R2: top ``k`` documents per query by TF-IDF cosine."""
-        return S.ranked_search(self.weights, self.query_vectors(queries), k)
+    def ranked(self, queries: DataFrame, k: int = 5, maxima: bool = True) -> DataFrame:
+        """R2: top ``k`` documents per query by TF-IDF cosine. With ``maxima``, block maxima
+        decide which postings are scored; without, all are, in fewer jobs (for small indexes)."""
+        if not maxima:
+            return S.top_k(self.cosines(queries), k)
+        return S.ranked_blocks(self.store, self.located(queries), k).top
 
     def two_stage(self, queries: DataFrame, places: DataFrame, cuisine: str, facility: str,
                   price: bool = True, k: int = 10) -> DataFrame:
-        """Conjunctive filter, composite score, true top ``k``. The batch
-        is tokenised and written once for both stages."""
-        counts = self.query_counts(queries)
-        return S.two_stage_search(self.postings, self.query_terms(queries, counts), self.weights,
-                                  self.query_vectors(queries, counts), places, cuisine, facility,
-                                  price, k, term_dictionary=self.term_stats, terms_distinct=True)
+        """Conjunctive filter, composite score, true top ``k``."""
+        return S.two_stage_stored(self.store, self.located(queries), places, cuisine, facility, price, k)

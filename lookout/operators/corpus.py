@@ -1,26 +1,26 @@
 """Vocabulary, postings and TF-IDF as DataFrame transformations.
 
-Shapes (all long/COO rows, never one row per term with a list in it):
+Shapes (rows, never one row per term with a whole list in it):
 
-* tokens     ``(doc_id, pos, term)``
-* term counts ``(doc_id, term, tf)``            -- the postings with counts
-* vocabulary ``(term_id, term)``                -- dense ids in code-point order
-* idf model  ``(term, df, cf, idf)``
-* weights    ``(doc_id, term, tf, weight)``     -- L2-normalised per document
+* tokens      ``(doc_id, pos, term)``
+* forward     ``(doc_no, doc_id, terms)``         -- a document's terms with counts
+* term counts ``(doc_id, term, tf)``              -- the postings with counts
+* vocabulary  ``(term_id, term)``                 -- dense ids in code-point order
+* idf model   ``(term, df, cf, idf)``
+* weights     ``(doc_id, term, tf, weight)``      -- L2-normalised per document
 
 Physical plan choices:
 
-* Term counts are computed inside each document row (sort + run lengths),
-  so producing postings shuffles nothing. Postings that are reused are
-  written once as a table bucketed by ``doc_id``; the per-document norm
-  window and per-(query, doc) score aggregation then plan without an
-  exchange. The only other shuffle of size is the per-term aggregation
-  (map-side partial aggregation first, so a hot term ships one partial
-  count per task, never its postings).
+* Term counts are computed inside each document row (sort + run lengths), so
+  producing postings shuffles nothing, and the forward index is written by
+  the tasks that read the text.
+* The per-term aggregation combines in the map tasks first, so a hot term
+  ships one partial count per task, never its postings.
 * The idf model is written to the checkpoint folder before it is joined back
   (see :func:`fit_idf`), so the planner sees its real size: it is broadcast
   only when under ``spark.sql.autoBroadcastJoinThreshold``; otherwise the
-  join is a sort-merge join on ``term`` with AQE splitting hot terms.
+  join is a sort-merge join on ``term`` with AQE splitting hot terms. The
+  norm then takes one shuffle by document.
 * The document count is a scalar subquery, not a collected Python value and
   not a cross join.
 """
@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..session import materialize, materialize_bucketed, spread
+from ..session import materialize, partitions_for, written_bytes
 
 
 # ---------------------------------------------------------------- tokens --
@@ -57,50 +57,62 @@ def apply_stems(df: DataFrame, stems: DataFrame, col: str = "term") -> DataFrame
             .drop("_raw", "_stem"))
 
 
-def run_counts(df: DataFrame, sorted_col: str) -> DataFrame:
-    """Explode a sorted token array into ``(term, tf)`` rows, one per run of
-    equal terms: all tokens of a document come from the task that read the
-    document, so counting them in the row needs no shuffle. The array is a
-    column of its own (not an expression) so the lambdas read it instead of
-    re-sorting per element."""
+def _runs(df: DataFrame, sorted_col: str) -> tuple[DataFrame, Column]:
+    """``df`` with the run starts of a sorted token array, and the array of ``(term, tf)``, one
+    entry per run of equal terms. All tokens of a document come from the task that read the
+    document, so counting them in the row needs no shuffle. Both arrays are columns of their
+    own (not expressions), so the lambdas read them instead of sorting again per element."""
     s = F.col(sorted_col)
     n = F.size(s)
     starts = F.filter(F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
                       lambda i: (n > 0) & ((i == 1) | (F.element_at(s, i)
                                                        != F.try_element_at(s, (i - 1).cast("int")))))
-    with_starts = df.withColumn("_starts", starts)
     st = F.col("_starts")
     runs = F.transform(st, lambda x, j: F.struct(
         F.element_at(s, x).alias("term"),
         (F.coalesce(F.try_element_at(st, (j + 2).cast("int")), n + 1) - x).cast("bigint").alias("tf")))
+    return df.withColumn("_starts", starts), runs
+
+
+def run_lengths(df: DataFrame, sorted_col: str, out: str = "terms") -> DataFrame:
+    """Replace a sorted token array by the array ``out`` of ``(term, tf)``."""
+    with_starts, runs = _runs(df, sorted_col)
+    return with_starts.select(*[c for c in df.columns if c != sorted_col], runs.alias(out))
+
+
+def run_counts(df: DataFrame, sorted_col: str) -> DataFrame:
+    """A sorted token array as ``(term, tf)`` rows."""
+    with_starts, runs = _runs(df, sorted_col)
     return with_starts.select(*[c for c in df.columns if c != sorted_col], F.inline(runs))
 
 
+def sorted_tokens(text: Column) -> Column:
+    return F.array_sort(T.normalized_tokens(F.coalesce(text, F.lit(""))))
+
+
+def forward_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(doc_no, doc_id, terms)``, written: each document's terms with counts. ``doc_no`` numbers
+    documents by input split and place in it (not densely), so neighbours in the input are
+    neighbours in number; writing fixes it."""
+    rows = docs.select(F.monotonically_increasing_id().alias("doc_no"), F.col(id_col).alias("doc_id"),
+                       sorted_tokens(F.col(text_col)).alias("_s"))
+    return materialize(run_lengths(rows, "_s"), "forward")
+
+
 def term_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 stems: DataFrame | None = None) -> DataFrame:
     """``(doc_id, term, tf)``: raw term frequency per document.
 
-    Counted inside each document row (no shuffle of tokens or postings);
-    small inputs are first spread over the cluster's cores. With ``stems``
+    Counted inside each document row (no shuffle of tokens or postings). With ``stems``
     the counts are re-aggregated per stem, which does shuffle postings
     (several raw terms of a document may share a stem)."""
-    d = spread(docs.select(F.col(id_col).alias("doc_id"),
-                           F.coalesce(F.col(text_col), F.lit("")).alias("text")), key="doc_id")
-    sorted_tokens = d.select("doc_id", F.array_sort(T.normalized_tokens(F.col("text"))).alias("_s"))
-    tf = run_counts(sorted_tokens, "_s")
+    tf = run_counts(docs.select(F.col(id_col).alias("doc_id"), sorted_tokens(F.col(text_col)).alias("_s")), "_s")
     if stems is not None:
         tf = (apply_stems(tf, stems)
               .groupBy("doc_id", "term").agg(F.sum("tf").alias("tf")))
     return tf
 
 
-def index_postings(tf: DataFrame, buckets: int | None = None) -> DataFrame:
-    """Persist ``(doc_id, term, tf)`` as a table bucketed by ``doc_id`` in the
-    checkpoint folder: later per-document windows and per-(query, doc)
-    aggregations read it without an exchange."""
-    return materialize_bucketed(tf, "tf", "doc_id", buckets)
-
-
 def normalized_documents(docs: DataFrame, id_col: str = "doc_id",
                          text_col: str = "text") -> DataFrame:
     """``(doc_id, normalized)``; a row-local expression, no shuffle."""
@@ -120,9 +132,9 @@ def dense_ids(values: DataFrame, col: str, id_col: str, partitions: int | None =
     the checkpoint folder so numbering is fixed even if tasks are retried.
     Per-partition counts (one row per partition, a bounded table) then give
     each partition its offset."""
-    spark = values.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (values.select(col).repartitionByRange(n, col).sortWithinPartitions(col)
+    values = materialize(values.select(col), "values")        # its size is known, and sampling reads files
+    n = partitions or partitions_for(values.sparkSession, written_bytes(values))
+    ranged = (values.repartitionByRange(n, col).sortWithinPartitions(col)
               .select(col, F.monotonically_increasing_id().alias("_mono")))
     ranged = materialize(ranged, "dense-ids")
     ranged = ranged.select(col, F.shiftright("_mono", 33).alias("_part"),
@@ -203,14 +215,14 @@ def fit_idf(tf: DataFrame, n_docs: Column, terms: DataFrame | None = None,
     return idf_from_stats(term_stats(tf), n_docs, terms, min_cf, max_cf, persist)
 
 
-def transform(tf: DataFrame, idf: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """V6/V8 transform: ``(id, term, tf, weight)`` for terms of the model,
-    tf * idf scaled to unit length per ``id``. Terms outside the model are
-    dropped (zero weights are never stored)."""
-    w = (tf.join(idf.select("term", "idf"), "term")
+def transform(tf: DataFrame, idf: DataFrame, id_col: str = "doc_id", keep_unknown: bool = False) -> DataFrame:
+    """V6/V8 transform: the columns of ``tf`` and ``weight``, tf * idf scaled to unit length
+    per ``id_col``. Terms outside the model are dropped (zero weights are never stored),
+    or with ``keep_unknown`` stay with a null weight."""
+    w = (tf.join(idf.select("term", "idf"), "term", "left" if keep_unknown else "inner")
          .withColumn("_w", F.col("tf") * F.col("idf")))
     norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(id_col)))
-    return w.select(id_col, "term", "tf", (F.col("_w") / norm).alias("weight"))
+    return w.select(*tf.columns, (F.col("_w") / norm).alias("weight"))
 
 
 def query_counts(queries: DataFrame, id_col: str = "query_id", text_col: str = "text",

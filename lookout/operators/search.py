@@ -1,11 +1,15 @@
-"""Search and ranking over postings DataFrames (R1..R6).
+"""Search and ranking (R1..R6).
 
 Every search takes a *batch* of queries as a DataFrame, so many queries run
-as one distributed job. Query-side tables carry no broadcast hint: written
-tables have a known size, so the planner broadcasts those below its threshold;
-postings are never collected, never cross-joined with queries, and never
-grouped by term alone (a hot term would become one task): every shuffle of
-postings is keyed by ``(query_id, doc_id)``.
+as one distributed job. Searches on a :class:`~lookout.sources.index_store.PostingStore`
+look their terms up in its directory, read only the shards that hold them, and
+decide by block headers (counts and greatest weights, no postings) which blocks of
+postings are worth reading. Postings are never collected, never cross-joined with
+queries, and never grouped by term alone (a hot term would become one task): every
+shuffle is keyed by query and document, or query and block.
+
+The forms on plain postings (``conjunctive_search``, ``cosine_scores``,
+``two_stage_search``) read any ``(doc_id, term, ...)`` rows, without an index.
 """
 
 from __future__ import annotations
@@ -16,8 +20,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..session import materialize
+from ..sources.index_store import BLOCK_BITS, BUCKET_BITS, PostingStore, bucket_position, has_bit
 
 SCORE_DIGITS = 6
+ROUNDING = 1e-6              # scores are ranked as rounded, so a bound this close to a score can tie with it
 
 
 def top_k(scores: DataFrame, k: int, group_col: str = "query_id", score_col: str = "score",
@@ -66,11 +73,60 @@ def conjunctive_search(tf: DataFrame, query_terms: DataFrame,
             .select("query_id", "doc_id"))
 
 
-def term_intersect(tf: DataFrame, term_a: str, term_b: str) -> DataFrame:
-    """U2 for two terms: ``intersect`` of their posting sets."""
-    a = tf.where(F.col("term") == term_a).select("doc_id")
-    b = tf.where(F.col("term") == term_b).select("doc_id")
-    return a.intersect(b)
+def with_known(located: DataFrame) -> DataFrame:
+    """Adds ``n_known``, the number of a query's terms that the index holds (rows are few: the batch's terms)."""
+    known = located.groupBy("query_id").agg(F.count_distinct("term").alias("n_known"))
+    return located.join(known, "query_id")
+
+
+def full_blocks(store: PostingStore, located: DataFrame) -> DataFrame:
+    """(query, block) pairs whose headers show all of the query's known terms: ``query_id, block, n_known``.
+    Reads no postings. Other blocks hold no document with all terms."""
+    heads = store.blocks.select("shard", "term", "block") \
+        .join(with_known(located).where("n > 0").select("query_id", "term", "shard", "n_known"), ["shard", "term"])
+    return heads.groupBy("query_id", "block", "n_known").agg(F.count(F.lit(1)).alias("n")) \
+        .where(F.col("n") == F.col("n_known")).drop("n")
+
+
+def conjunctive_bitmaps(store: PostingStore, located: DataFrame, require: DataFrame | None = None) -> DataFrame:
+    """R1 on bitmaps: ``(query_id, doc_id)`` of documents holding every *known* query term.
+
+    ``located`` is :meth:`PostingStore.locate` of distinct ``(query_id, term)``. Only buckets of
+    documents with a block that holds all terms are looked at. There every term gives a bitmap: the
+    stored one, or for a sparse term one built from its blocks; they are intersected per (query,
+    bucket), and the survivors are read off the postings of the query's rarest term. ``require``
+    (``query_id, n_terms``) also drops queries with unknown terms."""
+    bucket = F.shiftright("block", BUCKET_BITS - BLOCK_BITS).alias("bucket")
+    places = with_known(located).select("query_id", "term", "shard", "n", "df", "n_known")
+    if require is not None:
+        places = places.join(require, "query_id").where(F.col("n_known") == F.col("n_terms")).drop("n_terms")
+    rarest = places.groupBy("query_id").agg(F.min_by("term", F.struct("df", "term")).alias("rarest"))
+    places = places.join(rarest, "query_id").withColumn("rarest", F.col("rarest") == F.col("term"))
+    full = materialize(full_blocks(store, located), "full-blocks").drop("n_known")
+    key = ["query_id", "bucket", "term"]
+
+    # the stored bitmaps of the buckets left, and the postings of the blocks left that have none there
+    wanted = places.drop("rarest", "n", "df").join(full.select("query_id", bucket).distinct(), "query_id")
+    stored = store.prune(store.bitmaps.drop("n"), located).join(wanted, ["shard", "term", "bucket"]) \
+        .select(*key, "n_known", "bitmap")
+    mine = store.blocks.select("shard", "term", "block", bucket, "entries").join(places.where("n > 0").drop("n", "df"), ["shard", "term"]) \
+        .join(full, ["query_id", "block"]).join(stored.select(*key, F.lit(True).alias("stored")), key, "left")
+    mine = materialize(mine.where("rarest or stored is null").select(*key, "n_known", "block", "entries", "rarest", "stored"), "block-entries")
+    sparse = mine.where("stored is null").select(*key, "n_known", "block", F.explode("entries.at").alias("at")) \
+        .groupBy(*key, "n_known").agg(F.bitmap_construct_agg(bucket_position("block", "at")).alias("bitmap"))
+    both = stored.unionByName(sparse).groupBy("query_id", "bucket", "n_known") \
+        .agg(F.bitmap_and_agg("bitmap").alias("bitmap"), F.count(F.lit(1)).alias("n")) \
+        .where((F.col("n") == F.col("n_known")) & (F.bitmap_count("bitmap") > 0)).select("query_id", "bucket", "bitmap")
+    return mine.where("rarest").join(both, ["query_id", "bucket"]).select("query_id", "block", "bitmap", F.inline("entries")) \
+        .where(has_bit(F.col("bitmap"), bucket_position("block", "at"))).select("query_id", "doc_id")
+
+
+def term_intersect(store: PostingStore, term_a: str, term_b: str) -> DataFrame:
+    """U2 for two terms: the documents that hold both."""
+    spark = store.spark
+    terms = spark.range(1).select(F.lit(0).alias("query_id"), F.explode(F.array(F.lit(term_a), F.lit(term_b))).alias("term")).distinct()
+    both = terms.groupBy("query_id").agg(F.count(F.lit(1)).alias("n_terms"))
+    return conjunctive_bitmaps(store, store.locate(terms), both).select("doc_id")
 
 
 # ------------------------------------------------------------ R2 ranked --
@@ -85,10 +141,63 @@ def cosine_scores(weights: DataFrame, query_vectors: DataFrame) -> DataFrame:
 
 
 def ranked_search(weights: DataFrame, query_vectors: DataFrame, k: int = 5) -> DataFrame:
-    """R2: top ``k`` documents per query by cosine similarity."""
+    """R2: top ``k`` documents per query by cosine similarity, scoring every posting."""
     return top_k(cosine_scores(weights, query_vectors), k)
 
 
+def stored_scores(store: PostingStore, located: DataFrame) -> DataFrame:
+    """:func:`cosine_scores` from the store: all documents that share a term with a query."""
+    located = located.where("weight is not null and max_weight is not null")
+    wanted = located.select("query_id", "term", "shard", F.col("weight").alias("wq"))
+    return _score(store, located, wanted, ["shard", "term"])
+
+
+def _score(store: PostingStore, located: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame:
+    """``(query_id, doc_id, score)`` from the postings of the ``wanted`` terms or blocks (joined on ``keys``)."""
+    return store.prune(store.blocks.select("shard", "term", "block", "entries.doc_id", "entries.weight"), located) \
+        .join(wanted, keys).select("query_id", "block", "wq", F.inline(F.arrays_zip("doc_id", "weight"))) \
+        .groupBy("query_id", "block", "doc_id").agg(F.sum(F.col("wq") * F.col("weight")).alias("score")) \
+        .select("query_id", "doc_id", "score")
+
+
+@dataclass(frozen=True)
+class RankedBlocks:
+    """The result of :func:`ranked_blocks`, and what it took."""
+    top: DataFrame               # query_id, doc_id, score, rank
+    bounds: DataFrame            # query_id, block, bound, n: every block's greatest possible score and its postings
+    scored: DataFrame            # query_id, block, n: the blocks that were scored, and their postings
+
+
+def ranked_blocks(store: PostingStore, located: DataFrame, k: int = 5, seeds: int = 16) -> RankedBlocks:
+    """R2 exactly, with block maxima: top ``k`` documents per query by cosine.
+
+    ``located`` is :meth:`PostingStore.locate` of unit query vectors ``(query_id, term, weight)``. From
+    block headers alone, a term's query weight times its greatest weight in the block bounds what it
+    can add to a score there; the sum over terms bounds every score of the block. The ``seeds``
+    blocks of the greatest bounds are scored first. Their ``k``-th best score is a threshold that the
+    true ``k``-th best can't be below, so of the other blocks only those whose bound reaches it are
+    scored. Postings of the rest are neither exploded nor shuffled, and the result is that of
+    scoring all postings."""
+    located = located.where("weight is not null and max_weight is not null")
+    keys, by = ["shard", "term", "block"], ["query_id", "block"]
+    heads = store.blocks.select(*keys, "n", F.col("max_weight").alias("block_max")).where("block_max is not null") \
+        .join(located.where("n > 0").select("query_id", "term", "shard", F.col("weight").alias("wq")), ["shard", "term"])
+    bounds = materialize(heads.groupBy(*by).agg(
+        F.sum(F.col("wq") * F.col("block_max")).alias("bound"), F.sum("n").alias("n"),
+        F.collect_list(F.struct("shard", "term", "wq")).alias("terms")), "block-bounds")
+
+    best = Window.partitionBy("query_id").orderBy(F.desc("bound"), "block")
+    first = materialize(bounds.withColumn("place", F.row_number().over(best)).where(F.col("place") <= seeds)
+                        .select(*by, "n", "terms"), "seed-blocks")
+    found = materialize(top_k(_score(store, located, first.select(*by, F.inline("terms")), keys), k), "seed-scores")
+    threshold = found.where(F.col("rank") == k).select("query_id", (F.col("score") - ROUNDING).alias("least"))
+    rest = bounds.join(threshold, "query_id", "left").where(F.col("bound") >= F.coalesce("least", F.lit(0.0))) \
+        .join(first.select(*by), by, "left_anti").select(*by, "n", "terms")
+    more = _score(store, located, rest.select(*by, F.inline("terms")), keys)
+    return RankedBlocks(top_k(found.drop("rank").unionByName(more), k), bounds.drop("terms"),
+                        first.drop("terms").unionByName(rest.drop("terms")))
+
+
 # --------------------------------------------------------- R3 composite --
 
 @dataclass(frozen=True)
@@ -137,6 +246,28 @@ def two_stage_search(tf: DataFrame, query_terms: DataFrame, weights: DataFrame,
     return top_k(scored, k)
 
 
+def two_stage_stored(store: PostingStore, located: DataFrame, places: DataFrame, cuisine: str, facility: str,
+                     price: bool = True, k: int = 10) -> DataFrame:
+    """R4 in one pass over postings: hit count and dot product of a (query, document) come from one
+    aggregation, and only documents that hold every known term get a score.
+
+    ``located`` is :meth:`PostingStore.locate` of ``(query_id, term, weight)``, the weight null for terms
+    outside the ranked vocabulary. Block headers leave only blocks that hold all terms of a query, so no
+    other posting is read."""
+    full = full_blocks(store, located)
+    hits = store.prune(store.blocks.select("shard", "term", "block", "entries.doc_id", F.col("entries.weight").alias("w")), located) \
+        .join(located.select("query_id", "term", "shard", F.col("weight").alias("wq")), ["shard", "term"]) \
+        .join(full, ["query_id", "block"]) \
+        .select("query_id", "block", "n_known", "wq", F.inline(F.arrays_zip("doc_id", "w")))
+    scored = hits.groupBy("query_id", "block", "doc_id", "n_known").agg(
+        F.count(F.lit(1)).alias("n_hit"), F.sum(F.col("wq") * F.col("w")).alias("cosine")) \
+        .where(F.col("n_hit") == F.col("n_known"))
+    p = places.select("doc_id", "cuisine", "facilities", "price_range")
+    return top_k(scored.join(p, "doc_id", "left").select(
+        "query_id", "doc_id", composite_score(F.col("cosine"), F.col("cuisine"), F.col("facilities"), F.col("price_range"),
+                                              cuisine, facility, price).alias("score")), k)
+
+
 # ----------------------------------------------------- R5/R6 field search --
 
 def field_query_terms(spark, fields: dict[str, tuple[str, str]]) -> DataFrame:

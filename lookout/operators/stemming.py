@@ -55,12 +55,12 @@ def corpus_stems(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def stem_postings(tf: DataFrame, stems: DataFrame) -> DataFrame:
-    """``(doc_id, term, tf)`` in stems, from unstemmed postings: each term
-    is replaced by its stem and counts are summed per (doc, stem). When
-    ``tf`` is bucketed by ``doc_id`` the re-aggregation needs no exchange."""
+    """Postings in stems from unstemmed postings (``term``, ``tf`` and the document's columns): each
+    term is replaced by its stem and counts are summed per (document, stem)."""
     d = stems.select(F.col("term").alias("_t"), F.col("stem").alias("_s"))
+    of = [c for c in tf.columns if c not in ("term", "tf")]
     return (tf.join(d, tf.term == d._t)
-            .groupBy("doc_id", F.col("_s").alias("term")).agg(F.sum("tf").alias("tf")))
+            .groupBy(*of, F.col("_s").alias("term")).agg(F.sum("tf").alias("tf")))
 
 
 def second_pass(tf: DataFrame) -> DataFrame:

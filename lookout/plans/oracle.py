@@ -10,7 +10,7 @@ from ..sources.tables import CATALOG_SQL, GEO_SQL
 from . import sqltext as X
 from .queries import (ADVANCED_TOP_N, FILTER_BANDS, FILTER_CARDS, FILTER_FACILITIES,
                       FILTER_REGIONS, PREF_CUISINE, PREF_FACILITY, RANKED_K, REQUEST,
-                      SINGLE_QUERY, TERM_A, TERM_B, TWO_STAGE_K, VOCAB_MAX_CF, VOCAB_MIN_CF)
+                      SINGLE_QUERY, TERM_A, TERM_B, TWO_STAGE_K, VOCAB_MAX_CF, VOCAB_MAX_PER_DOC, VOCAB_MIN_CF)
 
 NORM = X.normalized_tokens("text")
 
@@ -34,7 +34,7 @@ qtf as (select query_id, term, count(*)::bigint as tf
 IDF = f"""
 idf as (select term, ln((1 + n) / (1 + df)) + 1 as idf
         from (select term, count(*) as df, sum(tf) as cf from tf group by term
-              having sum(tf) between {VOCAB_MIN_CF} and {VOCAB_MAX_CF}) s,
+              having sum(tf) between {VOCAB_MIN_CF} and greatest({VOCAB_MAX_CF}, {VOCAB_MAX_PER_DOC} * (select count(*) from documents))) s,
              (select count(*)::double as n from documents) c)
 """
 
@@ -132,6 +132,7 @@ select doc_id from tf where term = '{TERM_B}'
 }
 
 ORACLE["vocabulary_csv"] = ORACLE["vocabulary"]
+ORACLE["ranked_search_maxima"] = ORACLE["ranked_search_batch"]
 
 
 # ------------------------------------------------------- places / facets --

@@ -22,7 +22,7 @@ from ..operators import routes as RT
 from ..operators import search as S
 from ..operators import stemming as ST
 from ..index import SearchIndex
-from ..session import bucket_count, materialize, plan_size_bytes
+from ..session import materialize
 from ..sources import index_store as IS
 from ..sources import places as SP
 from ..sources import tables
@@ -31,6 +31,8 @@ from . import index_cache as IC
 # Parameters of the original ranked engine as its driver called it.
 VOCAB_MIN_CF = 2
 VOCAB_MAX_CF = 1900
+# Its upper bound was set for 2000 records; beyond them it grows in proportion.
+VOCAB_MAX_PER_DOC = 0.95
 RANKED_K = 5
 TWO_STAGE_K = 10
 ADVANCED_TOP_N = 10
@@ -74,8 +76,8 @@ def _docs_path(d):
 
 
 def _index(spark, d, stem=False, passes=1) -> SearchIndex:
-    """The search index of a corpus with the original driver's vocabulary
-    bounds, built once per corpus and settings (see :mod:`.index_cache`).
+    """The search index of a corpus, built once per corpus and settings (see
+    :mod:`.index_cache`); its upper vocabulary bound grows with the corpus.
     Indexes with other settings share the tables they have in common."""
     def build():
         reuse = None
@@ -83,22 +85,11 @@ def _index(spark, d, stem=False, passes=1) -> SearchIndex:
             reuse = _index(spark, d, stem=stem)
         elif stem:
             reuse = _index(spark, d)
-        return SearchIndex(tables.documents(spark, d), stem=stem, min_cf=VOCAB_MIN_CF,
-                           max_cf=VOCAB_MAX_CF, max_per_doc=None, passes=passes, buckets=_buckets(spark, d),
-                           reuse=reuse)
+        return SearchIndex(tables.documents(spark, d), stem=stem, min_cf=VOCAB_MIN_CF, max_cf=VOCAB_MAX_CF,
+                           max_per_doc=VOCAB_MAX_PER_DOC, passes=passes, reuse=reuse)
     return IC.cached(spark, "index", [_docs_path(d)], (stem, passes), build)
 
 
-def _tf(spark, d, stem=False):
-    """Postings with counts, as a table bucketed by doc_id."""
-    return _index(spark, d, stem=stem).postings
-
-
-def _buckets(spark, d):
-    """Bucket count of the corpus index tables, from the corpus size."""
-    return bucket_count(spark, plan_size_bytes(tables.table(spark, d, "documents")))
-
-
 def _stems(spark, d):
     return _index(spark, d, stem=True).stems
 
@@ -135,7 +126,7 @@ def q_vocab_size(spark, d):
 
 
 def q_inverted_index(spark, d):
-    return C.inverted_index(_tf(spark, d), _vocab(spark, d))
+    return C.inverted_index(_index(spark, d).postings, _vocab(spark, d))
 
 
 def _model(spark, d, stem=False, passes=1) -> SearchIndex:
@@ -175,12 +166,11 @@ def q_conjunctive_search(spark, d):
 
 
 def q_term_intersect(spark, d):
-    return S.term_intersect(_tf(spark, d), TERM_A, TERM_B)
+    return S.term_intersect(_index(spark, d).store, TERM_A, TERM_B)
 
 
-def _ranked(spark, d, queries):
-    m = _model(spark, d)
-    res = S.ranked_search(m.weights, m.query_vectors(queries), RANKED_K)
+def _ranked(spark, d, queries, maxima=False):
+    res = _model(spark, d).ranked(queries, RANKED_K, maxima)
     return _with_names(spark, d, res).select("query_id", "doc_id", "name", "score", "rank")
 
 
@@ -192,6 +182,11 @@ def q_ranked_search_batch(spark, d):
     return _ranked(spark, d, tables.query_batch(spark, d))
 
 
+def q_ranked_search_maxima(spark, d):
+    """The same result as the batch's, with postings skipped by block maxima."""
+    return _ranked(spark, d, tables.query_batch(spark, d), maxima=True)
+
+
 QUERIES = {
     "strip_zero_words": q_strip_zero_words,
     "tokens": q_tokens,
@@ -210,6 +205,7 @@ QUERIES = {
     "term_intersect": q_term_intersect,
     "ranked_search": q_ranked_search,
     "ranked_search_batch": q_ranked_search_batch,
+    "ranked_search_maxima": q_ranked_search_maxima,
 }
 
 
@@ -292,8 +288,7 @@ def q_advanced_search(spark, d):
 
 
 def q_composite_score(spark, d):
-    m = _model(spark, d)
-    cos = S.cosine_scores(m.weights, m.query_vectors(tables.query_batch(spark, d)))
+    cos = _model(spark, d).cosines(tables.query_batch(spark, d))
     c = _catalog(spark, d).select("doc_id", "cuisine", "facilities", "price_range")
     return (cos.join(c, "doc_id", "left")
             .select("query_id", "doc_id",
@@ -473,10 +468,9 @@ def q_monotone_route(spark, d):
 
 
 def q_index_roundtrip(spark, d):
-    m = _model(spark, d)
-    path = IS.scratch_path(spark, "postings")
-    IS.write_postings(m.weights.select("term", "doc_id", "tf", "weight"), path)
-    return _rounded(IS.read_postings(spark, path))
+    """The persisted index opened again by its path, all ranked postings read back."""
+    path = _model(spark, d).store.path
+    return _rounded(IS.PostingStore(spark, path).postings().where("weight is not null"))
 
 
 def _typed_places(spark, d):
@@ -570,13 +564,11 @@ def q_conjunctive_search_stemmed(spark, d):
 
 
 def q_ranked_search_stemmed(spark, d):
-    m = _model(spark, d, stem=True)
-    return S.ranked_search(m.weights, m.query_vectors(tables.query_batch(spark, d)), RANKED_K)
+    return _model(spark, d, stem=True).ranked(tables.query_batch(spark, d), RANKED_K, maxima=False)
 
 
 def q_ranked_search_two_pass(spark, d):
-    m = _model(spark, d, stem=True, passes=2)
-    return S.ranked_search(m.weights, m.query_vectors(tables.query_batch(spark, d)), RANKED_K)
+    return _model(spark, d, stem=True, passes=2).ranked(tables.query_batch(spark, d), RANKED_K, maxima=False)
 
 
 QUERIES.update({

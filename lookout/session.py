@@ -16,17 +16,11 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # joins on (query_id, doc_id) between two tables bucketed by doc_id
-    # reuse that bucketing instead of re-shuffling both sides
-    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
 
-MAX_BUCKETS = 100_000          # spark.sql.sources.bucketing.maxBuckets by default
-
-
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "lookout", driver_memory: str | None = None) -> SparkSession:
     """Session for scripts and tests. On a cluster, pass no master and let
@@ -110,76 +104,21 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def materialize_bucketed(df: DataFrame, name: str, key: str, buckets: int | None = None) -> DataFrame:
-    """Write ``df`` under the checkpoint folder as a table bucketed by
-    ``key`` and read it back.
+def partitions_for(spark: SparkSession, n_bytes: int, target: int = 64 << 20) -> int:
+    """Number of partitions for ``n_bytes`` of data, about ``target`` in each; never
+    fewer than ``spark.sql.shuffle.partitions``, so small data still uses the cores."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_bytes // target))
 
-    The scan of a bucketed table reports hash partitioning on ``key``, so
-    later per-key windows, aggregations and joins on ``key`` plan without an
-    exchange. The one repartition before the write puts each bucket in one
-    task, so every task writes one file per bucket it holds."""
-    spark = df.sparkSession
-    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    table = f"lookout_{name.replace('-', '_')}_{uuid.uuid4().hex[:12]}"
-    path = os.path.join(checkpoint_root(spark), table)
-    if not hash_partitioned_by(df, key, n):
-        df = df.repartition(n, key)
-    df.write.mode("overwrite").bucketBy(n, key).option("path", path).saveAsTable(table)
-    return spark.table(table)
-
-
-def bucket_count(spark: SparkSession, input_bytes: int) -> int:
-    """Buckets for a table derived from ``input_bytes`` of input: about one
-    per input split (``spark.sql.files.maxPartitionBytes``), so a bucket
-    stays a task-sized piece of work; never fewer than the shuffle partition
-    count, never more than the ``MAX_BUCKETS`` that Spark accepts (beyond that
-    a bucket grows with the input, and spills)."""
-    split = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
-    floor = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return min(MAX_BUCKETS, max(floor, -(-input_bytes // split)))
-
-
-def hash_partitioned_by(df: DataFrame, key: str, n: int) -> bool:
-    """True when ``df`` is already hash-partitioned on ``key`` alone into
-    ``n`` partitions (the layout of ``n`` buckets on ``key``)."""
-    part = df._jdf.queryExecution().sparkPlan().outputPartitioning().toString()
-    return part.startswith(f"hashpartitioning({key}#") and part.endswith(f", {n})") \
-        and part.count("#") == 1
-
-
-def spread(df: DataFrame, key: str | None = None) -> DataFrame:
-    """Give a small input enough tasks for CPU-heavy text work.
-
-    A scan is split by row groups, so a small file can land in a single
-    task however many cores there are. When the input's size (the
-    optimizer's estimate, exact for a file scan) cannot fill every core
-    with a full split, its rows are dealt over the cores: round-robin, or
-    with ``key`` hashed on it into the shuffle partition count, which is
-    the layout of a table bucketed on ``key`` (a later bucketed write then
-    needs no second shuffle). A large input already yields far more splits
-    than cores and is returned unchanged, so at scale this adds no shuffle."""
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    n = max(cores, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    if key is not None and hash_partitioned_by(df, key, n):
-        return df                                   # already spread on the key
-    if key is None and df._jdf.queryExecution().sparkPlan().outputPartitioning().numPartitions() >= cores:
-        return df                                   # already spread
-    split = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
-    if plan_size_bytes(df) >= cores * split:
-        return df
-    return df.repartition(cores) if key is None else df.repartition(n, key)
-
-
-def _bytes(value: str) -> int:
-    v = value.strip().lower()
-    for unit, mult in (("k", 1 << 10), ("m", 1 << 20), ("g", 1 << 30), ("t", 1 << 40)):
-        if v.endswith(unit + "b") or v.endswith(unit):
-            return int(float(v.rstrip("b")[:-1]) * mult)
-    return int(v.rstrip("b"))
-
-
-def plan_size_bytes(df: DataFrame) -> int:
-    """Optimizer size estimate of ``df``; exact for a plain file scan."""
+
+def written_bytes(df: DataFrame) -> int:
+    """The planner's size of ``df``; the files' size for a written table."""
     size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
     return int(size.toString()) if hasattr(size, "toString") else int(size)
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Deal the rows of a table scan that has fewer splits than there are cores over
+    the cores, as text work is bound by CPU and a file of one row group can't be split.
+    Input of as many splits as cores or more stays as it is."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan

@@ -1,34 +1,141 @@
-"""Persisted postings.
+"""The persisted index (S6): term-ordered posting blocks, bitmaps and a directory.
 
-Postings are written range-partitioned and sorted by ``term`` so each
-Parquet file and row group covers a narrow, ordered term range: a lookup
-of a few terms is pushed into the scan as ``term IN (...)`` and skips the
-row groups whose min/max statistics exclude them."""
+A document is numbered by its place in the input (``doc_no``, see
+:func:`lookout.operators.corpus.forward_index`); ``2^BLOCK_BITS`` numbers make a
+block, ``2^BUCKET_BITS`` a bucket, which is what one of Spark's bitmaps covers.
+
+``blocks``
+    one row per (term, block): number of postings, greatest weight, and the
+    postings themselves, ``entries``. Ranged on (term, block) into shards, one
+    folder and file each, so a term of any frequency spans as many shards as it needs
+    and a row never holds more than a block.
+``bitmaps``
+    one row per (term, bucket) that at least ``DENSE`` documents share. A term in all
+    documents costs one bitmap a bucket; of sparser ones the blocks are enough.
+``directory``
+    one row per (term, shard): where a term's postings are, with its statistics.
+
+A search looks its terms up in the directory first. The (term, shard) pairs it gets
+are a small written table; joined to ``blocks`` they prune the scan to the
+shards that hold the terms (dynamic partition pruning), and the terms' range
+prunes row groups inside them.
+"""
 
 from __future__ import annotations
 
 import os
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_root
-
+from ..session import checkpoint_root, materialize, partitions_for, written_bytes
 
-def write_postings(postings: DataFrame, path: str, partitions: int | None = None) -> None:
-    spark = postings.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    (postings.repartitionByRange(n, "term", "doc_id")
-     .sortWithinPartitions("term", "doc_id")
-     .write.mode("overwrite").parquet(path))
+BLOCK_BITS = 3
+BUCKET_BITS = 15
+DENSE = 1024
+SHARD_BYTES = 64 << 20
 
-
-def read_postings(spark: SparkSession, path: str, terms: list[str] | None = None) -> DataFrame:
-    df = spark.read.parquet(path)
-    return df.where(F.col("term").isin(terms)) if terms else df
+ENTRY = "array<struct<at:int,doc_id:bigint,tf:bigint,weight:double>>"
+BLOCKS = f"term string, block bigint, n bigint, max_weight double, entries {ENTRY}, shard int"
+BITMAPS = "term string, bucket bigint, n bigint, bitmap binary, shard int"
+DIRECTORY = "term string, shard int, n bigint, max_weight double, df bigint, cf bigint, idf double"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder."""
     return os.path.join(checkpoint_root(spark), f"{name}-{uuid.uuid4().hex}")
+
+
+class PostingStore:
+    """A persisted index: written by :meth:`write`, opened again with its path."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    def _table(self, name: str, schema: str) -> DataFrame:
+        return self.spark.read.schema(schema).parquet(os.path.join(self.path, name))
+
+    @property
+    def blocks(self) -> DataFrame:
+        return self._table("blocks", BLOCKS)
+
+    @property
+    def bitmaps(self) -> DataFrame:
+        return self._table("bitmaps", BITMAPS)
+
+    @property
+    def directory(self) -> DataFrame:
+        return self._table("directory", DIRECTORY)
+
+    # ------------------------------------------------------------- write --
+
+    @classmethod
+    def write(cls, postings: DataFrame, stats: DataFrame, path: str | None = None, shards: int | None = None,
+              dense: int = DENSE) -> "PostingStore":
+        """Write ``postings`` (``doc_no, doc_id, term, tf, weight``; a null weight means that the
+        term isn't in the ranked vocabulary) with the terms' ``stats`` (``term, df, cf, idf``).
+        ``postings`` should be a written table, as its term boundaries are sampled first."""
+        spark = postings.sparkSession
+        path = path or scratch_path(spark, "index")
+        store = cls(spark, path)
+        n = shards or partitions_for(spark, written_bytes(postings), SHARD_BYTES)
+        keyed = postings.withColumn("block", F.shiftright("doc_no", BLOCK_BITS))
+        entry = F.struct(F.col("doc_no").bitwiseAND(F.lit((1 << BLOCK_BITS) - 1)).cast("int").alias("at"),
+                         "doc_id", "tf", "weight")
+        blocks = keyed.repartitionByRange(n, "term", "block").groupBy("term", "block").agg(
+            F.count(F.lit(1)).alias("n"), F.max("weight").alias("max_weight"),
+            F.sort_array(F.collect_list(entry)).alias("entries"))
+        blocks.withColumn("shard", F.spark_partition_id()).sortWithinPartitions("term", "block") \
+            .write.partitionBy("shard").parquet(os.path.join(path, "blocks"))
+
+        places = store.blocks.groupBy("term", "shard").agg(F.sum("n").alias("n"), F.max("max_weight").alias("max_weight"))
+        places.join(stats.select("term", "df", "cf", "idf"), "term") \
+            .select("term", "shard", "n", "max_weight", "df", "cf", "idf") \
+            .repartitionByRange(partitions_for(spark, written_bytes(stats), SHARD_BYTES), "term").sortWithinPartitions("term") \
+            .write.parquet(os.path.join(path, "directory"))
+
+        bucket = F.shiftright("block", BUCKET_BITS - BLOCK_BITS).alias("bucket")
+        crowded = store.blocks.select("term", bucket, "shard", "n").groupBy("term", "bucket") \
+            .agg(F.sum("n").alias("n"), F.min("shard").alias("home")).where(F.col("n") >= dense)
+        crowded = materialize(crowded, "crowded")
+        bits = store.blocks.select("term", "block", bucket, F.explode("entries.at").alias("at")) \
+            .join(crowded, ["term", "bucket"])
+        bits.groupBy("home", "term", "bucket", "n").agg(F.bitmap_construct_agg(bucket_position("block", "at")).alias("bitmap")) \
+            .select("term", "bucket", "n", "bitmap", F.col("home").alias("shard")).repartition("shard") \
+            .sortWithinPartitions("shard", "term", "bucket").write.partitionBy("shard").parquet(os.path.join(path, "bitmaps"))
+        return store
+
+    # -------------------------------------------------------------- read --
+
+    def locate(self, query_terms: DataFrame) -> DataFrame:
+        """Where each term of a batch is: the columns of ``query_terms`` and of the directory, one row per
+        (query, term, shard). Terms that the index doesn't hold drop out. Written once: its size is known."""
+        return materialize(query_terms.join(self.directory, "term"), "located")
+
+    def prune(self, table: DataFrame, located: DataFrame) -> DataFrame:
+        """Rows of ``table`` (blocks or bitmaps) of the located terms. The pairs are few, so the planner
+        broadcasts them and hands their shards to the scan as a partition filter."""
+        pairs = located.where("n > 0").select("shard", "term").distinct()
+        return table.join(pairs, ["shard", "term"], "left_semi")
+
+    def postings(self) -> DataFrame:
+        """All postings as rows: ``term, doc_id, tf, weight``."""
+        return self.blocks.select("term", F.inline("entries")).select("term", "doc_id", "tf", "weight")
+
+    def lookup(self, terms: DataFrame) -> DataFrame:
+        """Postings of the terms of a batch (column ``term``): ``term, doc_id, tf, weight``."""
+        located = self.locate(terms.select("term").distinct())
+        return self.prune(self.blocks, located).select("term", F.inline("entries")).select("term", "doc_id", "tf", "weight")
+
+
+def bucket_position(block: str, at: str):
+    """The bit of a bucket's bitmap that stands for document ``at`` of ``block``."""
+    in_bucket = F.col(block).bitwiseAND(F.lit((1 << (BUCKET_BITS - BLOCK_BITS)) - 1))
+    return F.shiftleft(in_bucket, BLOCK_BITS) + F.col(at)
+
+
+def has_bit(bitmap: Column, position: Column) -> Column:
+    """True where the bitmap holds the bit (byte ``position / 8``, lowest bit first)."""
+    byte = F.conv(F.hex(F.substring(bitmap, F.shiftright(position, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return F.getbit(byte, position.bitwiseAND(F.lit(7)).cast("int")) == 1

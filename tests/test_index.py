@@ -27,16 +27,16 @@ def test_indexes_share_tables(spark, sf_small):
     docs = tables.documents(spark, sf_small)
     plain = SearchIndex(docs, stem=False)
     stemmed = SearchIndex(docs, stem=True, reuse=plain)
-    assert stemmed.raw_postings is plain.raw_postings
+    assert stemmed.forward is plain.forward
     two_pass = SearchIndex(docs, stem=True, passes=2, reuse=stemmed)
-    assert two_pass.postings is stemmed.postings and two_pass.stems is stemmed.stems
+    assert two_pass.numbered is stemmed.numbered and two_pass.stems is stemmed.stems
     assert two_pass.idf.count() > 0
 
 
 def test_vocabulary_bound_grows_with_the_corpus(spark):
-    # the default keeps a word of 1900 of 2200 documents, the absolute bound of 1800 drops it
+    # a relative bound keeps a word of 1900 of 2200 documents, the absolute bound of 1800 drops it
     docs = spark.createDataFrame([(i, "garden" if i < 1900 else "kitchen") for i in range(2200)], "doc_id long, text string")
-    grown = SearchIndex(docs, stem=False, buckets=2)
+    grown = SearchIndex(docs, stem=False, max_cf=1800, max_per_doc=0.9)
     assert {r.term for r in grown.idf.collect()} == {"garden", "kitchen"}
-    fixed = SearchIndex(docs, stem=False, max_per_doc=None, buckets=2, reuse=grown)
+    fixed = SearchIndex(docs, stem=False, max_cf=1800, max_per_doc=None, reuse=grown)
     assert {r.term for r in fixed.idf.collect()} == {"kitchen"}

@@ -72,20 +72,6 @@ def test_page_files(spark, tmp_path):
     assert rows[0].html == "<h1>R3</h1>\n<p>x</p>"
 
 
-def test_postings_lookup_prunes(spark):
-    post = spark.createDataFrame([("a", 1, 1, 0.5), ("b", 1, 2, 0.5), ("c", 2, 1, 1.0)],
-                                 "term string, doc_id bigint, tf bigint, weight double")
-    p = IS.scratch_path(spark, "test-postings")
-    IS.write_postings(post, p, partitions=2)
-    got = IS.read_postings(spark, p, ["b"])
-    assert [tuple(r) for r in got.collect()] == [("b", 1, 2, 0.5)]
-    plan = got._jdf.queryExecution().executedPlan().toString()
-    assert "PushedFilters: [IsNotNull(term), EqualTo(term,b)]" in plan
-    two = IS.read_postings(spark, p, ["a", "c"])
-    assert "In(term, [a,c])" in two._jdf.queryExecution().executedPlan().toString()
-    assert sorted(r.term for r in two.collect()) == ["a", "c"]
-
-
 def test_split_location_modes(spark):
     df = spark.createDataFrame([("Via del Corso, 12, Roma, 00186, Italia",), ("Only street",)], "loc string")
     default = [tuple(r) for r in df.select(*PL.split_location(F.col("loc"))).collect()]

@@ -1,7 +1,4 @@
-from pyspark.sql import functions as F
-
-from lookout.session import (checkpoint_root, hash_partitioned_by, materialize,
-                             materialize_bucketed, spread)
+from lookout.session import checkpoint_root, materialize, partitions_for, spread, written_bytes
 
 
 def test_checkpoint_root_comes_from_session(spark):
@@ -11,25 +8,22 @@ def test_checkpoint_root_comes_from_session(spark):
     assert all(root in f for f in df.inputFiles())
 
 
-def test_bucketed_materialize_has_one_file_per_bucket_and_no_exchange(spark):
-    df = spark.range(1000).select((F.col("id") % 37).alias("doc_id"), F.col("id").alias("v"))
-    t = materialize_bucketed(df, "t", "doc_id", 4)
-    assert len(t.inputFiles()) == 4
-    plan = t.groupBy("doc_id").count()._jdf.queryExecution().executedPlan().toString()
-    assert "Exchange" not in plan and "Bucketed: true" in plan
-    assert sorted(r[0] for r in t.select("v").collect()) == list(range(1000))
+def test_partitions_follow_the_size(spark):
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert partitions_for(spark, 10) == least
+    assert partitions_for(spark, 1000 << 20, 10 << 20) == 100
+    t = materialize(spark.range(1000), "sized")
+    assert 0 < written_bytes(t) < 1 << 20
 
 
-def test_spread_small_inputs_only(spark):
-    small = spark.range(100).toDF("doc_id")
-    s = spread(small, key="doc_id")
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    assert hash_partitioned_by(s, "doc_id", max(n, spark.sparkContext.defaultParallelism))
-    assert spread(s, key="doc_id") is s                       # idempotent
+def test_spread_scans_with_few_splits(spark, sf_small):
+    scan = spark.read.parquet(f"{sf_small}/documents.parquet")
+    assert spread(scan).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    many = materialize(scan.repartition(64), "many")
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
     try:
-        assert spread(small) is small                         # "large" input: unchanged
+        assert spread(many) is many                           # as many splits as cores: unchanged
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
 
