@@ -365,6 +365,7 @@ def advanced_search(places: DataFrame, index: DataFrame, request: SearchRequest,
     p = filter_contains_all(p, "cards", request.cards)
     p = filter_contains_all(p, "facilities", request.facilities)
     p = filter_region(p, request.regions)
-    joined = scores.join(p, "doc_id").select(
-        "doc_id", "name", "city", "cuisine", "price_range", "region", "score")
+    shown = [c for c in ("doc_id", "name", "address", "city", "cuisine", "price_range", "region", "website")
+             if c in places.columns]
+    joined = scores.join(p, "doc_id").select(*shown, "score")
     return joined.orderBy(F.col("score").desc(), F.col("doc_id").asc()).limit(top_n)

@@ -9,7 +9,7 @@ from ..functions.html import FIRST_H1, HOST, HREF, NAV_BLOCK, TAG
 from ..sources.tables import CATALOG_SQL, GEO_SQL
 from . import sqltext as X
 from .queries import (ADVANCED_TOP_N, FILTER_BANDS, FILTER_CARDS, FILTER_FACILITIES,
-                      FILTER_REGIONS, PREF_CUISINE, PREF_FACILITY, RANKED_K, REQUEST,
+                      FILTER_REGIONS, PREF_CUISINE, PREF_FACILITY, RANKED_K, REQUEST, REQUEST_CUISINES, REQUEST_NAMES,
                       SINGLE_QUERY, TERM_A, TERM_B, TWO_STAGE_K, VOCAB_MAX_CF, VOCAB_MAX_PER_DOC, VOCAB_MIN_CF)
 
 NORM = X.normalized_tokens("text")
@@ -51,6 +51,12 @@ qvec as (select query_id, term, tf, w / sqrt(sum(w * w) over (partition by query
 CATALOG = f"catalog as ({CATALOG_SQL})"
 
 
+# the columns of a result's places (r: the result rows)
+SHOWN = "c.name, c.address, t.text as description, g.url as website"
+PLACES = """left join catalog c on c.doc_id = r.doc_id left join documents t on t.doc_id = r.doc_id
+left join pages g on g.page_id = r.doc_id"""
+
+
 def _ranked(qtf: str) -> str:
     return f"""
 with {TF}, {qtf}, {IDF}, {WEIGHTS}, {QVEC}, {CATALOG},
@@ -59,11 +65,16 @@ scores as (select query_id, doc_id, round(sum(weights.weight * qvec.weight), 6)
 ranked as (select query_id, doc_id, score,
                   row_number() over (partition by query_id order by score desc, doc_id) as rank
            from scores)
-select r.query_id, r.doc_id, c.name, r.score, r.rank::bigint as rank
-from ranked r left join catalog c using (doc_id) where r.rank <= {RANKED_K}
+select r.query_id, r.doc_id, {SHOWN}, r.score, r.rank::bigint as rank
+from ranked r {PLACES} where r.rank <= {RANKED_K}
 """
 
 
+def _ranked_ids(qtf: str) -> str:
+    """The ids alone."""
+    return f"select distinct doc_id from ({_ranked(qtf)})"
+
+
 ORACLE = {
     "strip_zero_words": f"select doc_id, {X.strip_zero_words('lower(text)')} as stripped from documents",
     "tokens": f"""
@@ -116,10 +127,9 @@ q as (select distinct item_id as query_id, unnest({X.normalized_tokens('text')})
       from benchmark),
 hits as (select q.query_id, tf.doc_id, tf.term from tf join q using (term)),
 known as (select query_id, count(distinct term) as n_known from hits group by query_id),
-m as (select query_id, doc_id, count(*) as n_hit from hits group by query_id, doc_id)
-select m.query_id, m.doc_id, c.name
-from m join known using (query_id) left join catalog c using (doc_id)
-where m.n_hit = known.n_known
+m as (select query_id, doc_id, count(*) as n_hit from hits group by query_id, doc_id),
+r as (select query_id, doc_id from m join known using (query_id) where n_hit = n_known)
+select r.query_id, r.doc_id, {SHOWN} from r {PLACES}
 """,
     "term_intersect": f"""
 with {TF}
@@ -293,8 +303,8 @@ ORACLE.update({
     "field_index": f"with {CATALOG}, {FIELD_INDEX} select field, term, doc_id from fi",
     "field_match_score": f"with {CATALOG}, {FIELD_INDEX}, {REQ_TERMS} select doc_id, score from fs",
     "advanced_search": f"""with {CATALOG}, {FIELD_INDEX}, {REQ_TERMS}
-        select doc_id, name, city, cuisine, price_range, region, score
-        from fs join catalog using (doc_id)
+        select doc_id, name, address, city, cuisine, price_range, region, url as website, score
+        from fs join catalog using (doc_id) left join pages on page_id = doc_id
         where {_ordinal('price_range')} between {_band_no(REQUEST.price_range[0])} and {_band_no(REQUEST.price_range[1])}
           and {_has_all('cards', REQUEST.cards)} and {_has_all('facilities', REQUEST.facilities)}
           {"and region in (" + ", ".join(L(r) for r in REQUEST.regions) + ")" if REQUEST.regions else ""}
@@ -304,7 +314,7 @@ ORACLE.update({
                round({_composite('cos.score', 'c.cuisine', 'c.facilities', 'c.price_range')}, 6) as score
         from cos left join catalog c using (doc_id)""",
     "two_stage_search": f"""with {COS_BATCH}, {CATALOG}, {CONJ}, {TWO_STAGE}
-        select query_id, doc_id, score, rank from ts""",
+        select r.query_id, r.doc_id, {SHOWN.replace('g.url', "coalesce(g.url, 'N/A')")}, r.score, r.rank from ts r {PLACES}""",
     "geo_enrich": f"""with {CATALOG}, {GEO}
         select doc_id, postal_code, city, region, latitude, longitude from enriched""",
     "address_coalesce": f"with {CATALOG}, {GEO} select doc_id, geo_city as city, region from enriched",
@@ -324,8 +334,8 @@ ORACLE.update({
                          coalesce(city, 'nan'), coalesce(region, 'nan')) as popup,
                name as tooltip
         from enriched where latitude is not null and longitude is not null""",
-    "semi_by_text": f"""{_ranked(QTF_BATCH).replace('select r.query_id, r.doc_id, c.name, r.score, r.rank::bigint as rank', ', top as (select r.doc_id').replace(f'where r.rank <= {RANKED_K}', f'where r.rank <= {RANKED_K})')}
-        select doc_id from documents where text in (select d.text from top join documents d using (doc_id))""",
+    "semi_by_text": f"""select doc_id from documents
+        where text in (select text from documents where doc_id in ({_ranked_ids(QTF_BATCH)}))""",
     "semi_by_id": f"""with {COS_BATCH}, {CATALOG}, {CONJ}, {TWO_STAGE}, {GEO}
         select doc_id, latitude, longitude from enriched where doc_id in (select doc_id from ts)""",
     "split_location": f"""with {CATALOG},
@@ -362,6 +372,38 @@ ORACLE.update({
 })
 
 
+REQUESTS = f"""
+rq as (select n_nationkey::bigint as request_id, {_list(REQUEST_NAMES)}[n_nationkey % {len(REQUEST_NAMES)} + 1] as name,
+              '  ' || lower(n_name) || ' ' as city, {_list(REQUEST_CUISINES)}[n_nationkey % {len(REQUEST_CUISINES)} + 1] as cuisine,
+              1 + n_nationkey % 2 as low, [3, 4, 4][n_nationkey % 3 + 1] as high,
+              case when n_nationkey % 3 = 0 then [] else [r_name, 'ASIA'] end as regions,
+              case when n_nationkey % 2 = 0 then ['f'] else [] end as cards,
+              case n_nationkey % 5 when 0 then ['r', 'a'] when 1 then ['n'] else [] end as facilities
+       from nation join region on n_regionkey = r_regionkey),
+rqv as (select request_id, 'name' as field, {X.clean_field('name')} as v from rq
+        union all select request_id, 'city', {X.clean_basic('city')} from rq
+        union all select request_id, 'cuisine', {X.clean_field('cuisine')} from rq),
+rqs as (select request_id, doc_id, count(*)::bigint as score
+        from (select request_id, field, unnest({X.words('v')}) as term from rqv) join fi using (field, term)
+        group by request_id, doc_id)
+"""
+
+
+def _lower(col):
+    return f"list_transform(coalesce({col}, []::varchar[]), lambda x: lower(x))"
+
+
+ORACLE.update({
+    "field_match_batch": f"with {CATALOG}, {FIELD_INDEX}, {REQUESTS} select request_id, doc_id, score from rqs",
+    "advanced_search_batch": f"""with {CATALOG}, {FIELD_INDEX}, {REQUESTS}
+        select request_id, row_number() over (partition by request_id order by score desc, doc_id) as rank,
+               doc_id, score, c.name, c.address, c.city, c.cuisine, c.price_range, c.region, url as website
+        from rqs join catalog c using (doc_id) join rq using (request_id) left join pages on page_id = doc_id
+        where {_ordinal('c.price_range')} between low and high and (len(regions) = 0 or list_contains(regions, c.region))
+          and list_has_all({_lower('c.cards')}, rq.cards) and list_has_all({_lower('c.facilities')}, rq.facilities)
+        qualify rank <= {ADVANCED_TOP_N}""",
+})
+
 ORACLE.update({
     "monotone_route": """
 with pts as (select l_orderkey as case_id, l_linenumber as x, cast(l_quantity as integer) as y from lineitem),

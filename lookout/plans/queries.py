@@ -16,6 +16,7 @@ from ..functions import html as H
 from ..functions import text as T
 from ..operators import corpus as C
 from ..operators import extract as EX
+from ..operators import facets as FA
 from ..operators import geo as G
 from ..operators import places as PL
 from ..operators import routes as RT
@@ -155,14 +156,21 @@ def q_query_vectors(spark, d):
 
 # -------------------------------------------------------------- search --
 
-def _with_names(spark, d, df):
-    names = _catalog(spark, d).select("doc_id", "name")
-    return df.join(names, "doc_id", "left")
+RESULT_COLUMNS = ["name", "address", "description", "website"]
+
+
+def _with_places(spark, d, df):
+    """Search results with the columns of their places. A result is small and
+    written, so the planner broadcasts it and the place columns stream past."""
+    df = materialize(df, "results")
+    docs = tables.table(spark, d, "documents").select("doc_id", F.col("text").alias("description"))
+    return (df.join(_places(spark, d).select("doc_id", "name", "address", "website"), "doc_id", "left")
+            .join(docs, "doc_id", "left"))
 
 
 def q_conjunctive_search(spark, d):
     res = _index(spark, d).conjunctive(tables.query_batch(spark, d))
-    return _with_names(spark, d, res).select("query_id", "doc_id", "name")
+    return _with_places(spark, d, res).select("query_id", "doc_id", *RESULT_COLUMNS)
 
 
 def q_term_intersect(spark, d):
@@ -171,7 +179,7 @@ def q_term_intersect(spark, d):
 
 def _ranked(spark, d, queries, maxima=False):
     res = _model(spark, d).ranked(queries, RANKED_K, maxima)
-    return _with_names(spark, d, res).select("query_id", "doc_id", "name", "score", "rank")
+    return _with_places(spark, d, res).select("query_id", "doc_id", *RESULT_COLUMNS, "score", "rank")
 
 
 def q_ranked_search(spark, d):
@@ -219,6 +227,9 @@ REQUEST = S.SearchRequest(name="Blue bolt and the red gear", city="  NATION_7 ",
 # Composite-score preferences (cuisine substring, wanted facility).
 PREF_CUISINE = "ECONOMY"
 PREF_FACILITY = "R"
+# Texts of the request batch.
+REQUEST_NAMES = ["Blue bolt and the red gear", "small ring", "hot hot widget"]
+REQUEST_CUISINES = ["economy brushed", "PROMO", "large", ""]
 FILTER_BANDS = ("€€", "€€€")
 FILTER_CARDS = ["F"]
 FILTER_FACILITIES = ["A", "R"]
@@ -236,6 +247,33 @@ def _catalog(spark, d):
                      lambda: materialize(tables.catalog(spark, d), "catalog"))
 
 
+def _places(spark, d):
+    """The place table with its web address (the page of the same number)."""
+    site = tables.table(spark, d, "pages").select(F.col("page_id").alias("doc_id"), F.col("url").alias("website"))
+    return _catalog(spark, d).join(site, "doc_id", "left")
+
+
+def _facets(spark, d) -> FA.FacetIndex:
+    """The stored field index and facet bitmaps of the places, built once."""
+    return IC.cached(spark, "facets", [f"{d}/{t}.parquet" for t in (*CATALOG_INPUTS, "pages")], (),
+                     lambda: FA.FacetIndex.write(_places(spark, d)))
+
+
+def _requests(spark, d):
+    """A batch of search requests, one per nation: its name as the city, and filters of all kinds."""
+    n = F.col("n_nationkey")
+    nation, region = tables.table(spark, d, "nation"), tables.table(spark, d, "region")
+    none = F.array().cast("array<string>")
+    pick = lambda *values: F.element_at(F.array(*[F.lit(v) for v in values]), (n % len(values) + 1).cast("int"))
+    return nation.join(region, nation.n_regionkey == region.r_regionkey).select(
+        n.cast("bigint").alias("request_id"), pick(*REQUEST_NAMES).alias("name"),
+        F.concat(F.lit("  "), F.lower("n_name"), F.lit(" ")).alias("city"), pick(*REQUEST_CUISINES).alias("cuisine"),
+        pick("€", "€€").alias("price_low"), pick("€€€", "€€€€", None).alias("price_high"),
+        F.when(n % 3 == 0, none).otherwise(F.array(F.col("r_name"), F.lit("ASIA"))).alias("regions"),
+        F.when(n % 2 == 0, F.array(F.lit("f"))).otherwise(none).alias("cards"),
+        F.when(n % 5 == 0, F.array(F.lit("R"), F.lit("a"))).when(n % 5 == 1, F.array(F.lit("n"))).alias("facilities"))
+
+
 def _joined(col):
     return F.array_join(F.col(col), ",").alias(col)
 
@@ -269,7 +307,7 @@ def q_clean_basic(spark, d):
 
 
 def q_field_index(spark, d):
-    return S.place_field_index(_catalog(spark, d))
+    return _facets(spark, d).field_index()
 
 
 def _request_terms(spark):
@@ -283,8 +321,17 @@ def q_field_match_score(spark, d):
 
 
 def q_advanced_search(spark, d):
-    c = _catalog(spark, d)
-    return S.advanced_search(c, S.place_field_index(c), REQUEST, ADVANCED_TOP_N)
+    found = S.advanced_search(_places(spark, d), q_field_index(spark, d), REQUEST, ADVANCED_TOP_N)
+    return found.select("doc_id", "name", "address", "city", "cuisine", "price_range", "region", "website", "score")
+
+
+def q_advanced_search_batch(spark, d):
+    """Many requests at once, filtered by bitmaps before scoring."""
+    return _facets(spark, d).search(_requests(spark, d), ADVANCED_TOP_N)
+
+
+def q_field_match_batch(spark, d):
+    return _facets(spark, d).match_scores(_requests(spark, d))
 
 
 def q_composite_score(spark, d):
@@ -297,11 +344,17 @@ def q_composite_score(spark, d):
                             6).alias("score")))
 
 
-def q_two_stage_search(spark, d):
+def _two_stage(spark, d):
     return _model(spark, d).two_stage(tables.query_batch(spark, d), _catalog(spark, d),
                                       PREF_CUISINE, PREF_FACILITY, price=True, k=TWO_STAGE_K)
 
 
+def q_two_stage_search(spark, d):
+    return _with_places(spark, d, _two_stage(spark, d)) \
+        .withColumn("website", F.coalesce("website", F.lit("N/A"))) \
+        .select("query_id", "doc_id", *RESULT_COLUMNS, "score", "rank")
+
+
 # ------------------------------------------------------------- geography --
 
 def _enriched(spark, d, keep_parsed_city=True):
@@ -344,14 +397,14 @@ def q_marker_rows(spark, d):
 
 def q_semi_by_text(spark, d):
     docs = tables.documents(spark, d)
-    top_ids = _ranked(spark, d, tables.query_batch(spark, d)).select("doc_id").distinct()
+    top_ids = _model(spark, d).ranked(tables.query_batch(spark, d), RANKED_K, maxima=False).select("doc_id").distinct()
     # texts of the result rows; the ids are written so that the search runs once
     top_texts = docs.join(materialize(top_ids, "top-ids"), "doc_id", "left_semi")
     return G.semi_by_text(docs, top_texts).select("doc_id")
 
 
 def q_semi_by_id(spark, d):
-    top = q_two_stage_search(spark, d)
+    top = _two_stage(spark, d)
     return G.semi_by_id(_enriched(spark, d), top).select("doc_id", "latitude", "longitude")
 
 
@@ -517,6 +570,8 @@ QUERIES.update({
     "field_index": q_field_index,
     "field_match_score": q_field_match_score,
     "advanced_search": q_advanced_search,
+    "advanced_search_batch": q_advanced_search_batch,
+    "field_match_batch": q_field_match_batch,
     "composite_score": q_composite_score,
     "two_stage_search": q_two_stage_search,
     "geo_enrich": q_geo_enrich,
