@@ -5,21 +5,21 @@ right (R) or up (U). Feasible iff no point lies left of or below its
 predecessor; the path is R x dx then U x dy per step, which is the
 lexicographically smallest shortest path. All cases run in one job.
 
-:func:`monotone_route` returns the path as one string per case, so a case must
-fit in a task anyway (the problem bounds it at 100 points): one shuffle by
-case serves the window and the aggregation. :func:`route_steps` returns the
-steps as rows instead, for cases of any size.
-
-There the predecessor of each point is found without putting a case in one
-task (a single case may hold a large share of all points): points are
-range-partitioned on (case, x, y) -- boundaries come from a sample, so a
-huge case is cut into several balanced partitions -- sorted and numbered
-inside each partition, and written so the numbering is fixed. Inside a
-partition the predecessor is the previous row (a ``lag`` over that
-partition, all partitions about equally large); for the first row of a
-partition it is the last row of the previous non-empty partition when that
-row belongs to the same case. That boundary table has one row per range
-partition. Feasibility is then a ``bool_and`` with partial aggregation.
+A case may hold a large share of all points, so no task gets a case as a whole.
+Points are range-partitioned on (case, x, y) -- boundaries come from a sample, so a
+huge case is cut into several balanced partitions -- and each partition's piece of
+a case is folded to a summary: first point, last point, whether its steps are
+feasible, their length and moves. Summaries of neighbouring pieces merge
+associatively: the step from one's last to the next's first point joins them. What is
+gathered per case is one summary per partition, and the answer's own path string.
+:func:`route_summary` leaves the moves out, for cases whose path is too long for a row.
+
+Repeated points add no step, so they are made distinct first (combined in the map
+tasks); points with a null coordinate are no points.
+
+:func:`route_steps` returns the steps as rows. There the predecessor of a
+partition's first row is the last row of the previous non-empty partition when that
+row belongs to the same case; that boundary table has one row per range partition.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import materialize, partitions_for, written_bytes
 
 LOCAL_BITS = 33
 
@@ -71,17 +71,64 @@ def route_steps(points: DataFrame, case_col: str = "case_id", x: str = "x", y: s
             .select("case_id", "x", "y", "seq", *_step()))
 
 
-def monotone_route(points: DataFrame, case_col: str = "case_id", x: str = "x", y: str = "y") -> DataFrame:
+def _move(to: Column, of: Column, moves: bool) -> Column:
+    """The step from point ``of`` to ``to``: feasible, its length, its moves ('' unless asked for)."""
+    dx, dy = to["x"] - of["x"], to["y"] - of["y"]
+    path = F.concat(F.repeat(F.lit("R"), F.greatest(dx, F.lit(0)).cast("int")),
+                    F.repeat(F.lit("U"), F.greatest(dy, F.lit(0)).cast("int"))) if moves else F.lit("")
+    return F.struct(((dx >= 0) & (dy >= 0)).alias("ok"), (dx + dy).cast("bigint").alias("length"), path.alias("moves"))
+
+
+def route_pieces(points: DataFrame, case_col: str = "case_id", x: str = "x", y: str = "y",
+                 partitions: int | None = None, moves: bool = True) -> DataFrame:
+    """One summary per (case, range partition): ``case_id, piece, n, first, last, ok, length, moves``;
+    ``piece`` ascends along the case."""
+    spark = points.sparkSession
+    pts = points.select(F.col(case_col).alias("case_id"), F.col(x).alias("x"), F.col(y).alias("y")) \
+        .where("x is not null and y is not null").distinct()
+    pts = materialize(pts, "route-points")
+    n = partitions or partitions_for(spark, written_bytes(pts))
+    listed = pts.repartitionByRange(n, "case_id", "x", "y").withColumn("piece", F.spark_partition_id()) \
+        .groupBy("case_id", "piece").agg(F.sort_array(F.collect_list(F.struct("x", "y"))).alias("points"))
+    steps = F.transform(F.sequence(F.lit(2), F.size("points")),
+                        lambda i: _move(F.element_at("points", i), F.element_at("points", i - 1), moves))
+    steps = F.when(F.size("points") > 1, steps).otherwise(F.array().cast("array<struct<ok:boolean,length:bigint,moves:string>>"))
+    stepped = listed.select("case_id", "piece", F.size("points").cast("bigint").alias("n"), F.element_at("points", 1).alias("first"),
+                            F.element_at("points", -1).alias("last"), steps.alias("steps"))
+    return stepped.select("case_id", "piece", "n", "first", "last", F.forall("steps", lambda s: s["ok"]).alias("ok"),
+                          F.aggregate("steps", F.lit(0).cast("bigint"), lambda a, s: a + s["length"]).alias("length"),
+                          F.array_join(F.transform("steps", lambda s: s["moves"]), "").alias("moves"))
+
+
+def _merged(pieces: DataFrame, case_col: str, moves: bool) -> DataFrame:
+    """Pieces of each case in order, with the step that leads to each: the case and ``p``."""
+    listed = pieces.groupBy("case_id").agg(F.sort_array(F.collect_list(
+        F.struct("piece", "n", "first", "last", "ok", "length", "moves"))).alias("p"))
+    origin = F.struct(F.lit(0).alias("x"), F.lit(0).alias("y"))
+    led = F.transform("p", lambda s, i: F.struct(
+        s.alias("own"), _move(s["first"], F.when(i == 0, origin).otherwise(F.get("p", i - 1)["last"]), moves).alias("to")))
+    return listed.select(F.col("case_id").alias(case_col), led.alias("p"))
+
+
+def _answer() -> Column:
+    return F.forall("p", lambda s: s["own"]["ok"] & s["to"]["ok"])
+
+
+def monotone_route(points: DataFrame, case_col: str = "case_id", x: str = "x", y: str = "y",
+                   partitions: int | None = None) -> DataFrame:
     """``(case_id, answer, path)``: ``YES`` with the path, or ``NO`` with a
-    null path."""
-    pts = points.select(F.col(case_col).alias("case_id"), F.col(x).alias("x"), F.col(y).alias("y"))
-    w = Window.partitionBy("case_id").orderBy("x", "y")
-    steps = pts.select("case_id", "x", "y", F.row_number().over(w).alias("seq"),
-                       F.coalesce(F.lag("x").over(w), F.lit(0)).alias("_px"),
-                       F.coalesce(F.lag("y").over(w), F.lit(0)).alias("_py")).select("case_id", "seq", *_step())
-    agg = steps.groupBy("case_id").agg(
-        F.bool_and("ok").alias("_feasible"),
-        F.expr("listagg(moves, '') within group (order by seq)").alias("_path"))
-    return agg.select(F.col("case_id").alias(case_col),
-                      F.when(F.col("_feasible"), F.lit("YES")).otherwise(F.lit("NO")).alias("answer"),
-                      F.when(F.col("_feasible"), F.col("_path")).alias("path"))
+    null path. The moves of an infeasible piece are dropped before they are gathered."""
+    pieces = route_pieces(points, case_col, x, y, partitions).withColumn("moves", F.when(F.col("ok"), F.col("moves")))
+    merged = _merged(pieces, case_col, True).withColumn("yes", _answer())
+    path = F.array_join(F.transform("p", lambda s: F.concat(s["to"]["moves"], s["own"]["moves"])), "")
+    return merged.select(case_col, F.when(F.col("yes"), "YES").otherwise("NO").alias("answer"),
+                         F.when(F.col("yes"), path).alias("path"))
+
+
+def route_summary(points: DataFrame, case_col: str = "case_id", x: str = "x", y: str = "y",
+                  partitions: int | None = None) -> DataFrame:
+    """``(case_id, answer, n_points, path_length)`` without path strings; the length is null for ``NO``."""
+    merged = _merged(route_pieces(points, case_col, x, y, partitions, moves=False), case_col, False).withColumn("yes", _answer())
+    total = lambda f: F.aggregate("p", F.lit(0).cast("bigint"), lambda a, s: a + f(s))           # noqa: E731
+    return merged.select(case_col, F.when(F.col("yes"), "YES").otherwise("NO").alias("answer"), total(lambda s: s["own"]["n"]).alias("n_points"),
+                         F.when(F.col("yes"), total(lambda s: s["own"]["length"] + s["to"]["length"])).alias("path_length"))

@@ -415,6 +415,14 @@ s2 as (select case_id, x, y, (x >= px and y >= py) as ok,
 select case_id, case when bool_and(ok) then 'YES' else 'NO' end as answer,
        case when bool_and(ok) then string_agg(moves, '' order by x, y) end as path
 from s2 group by case_id
+""",
+    "route_summary": """
+with pts as (select distinct l_partkey as case_id, l_orderkey as x, l_orderkey // 8 + l_linenumber as y from lineitem),
+st as (select case_id, x, y, coalesce(lag(x) over w, 0) as px, coalesce(lag(y) over w, 0) as py
+       from pts window w as (partition by case_id order by x, y))
+select case_id, case when bool_and(x >= px and y >= py) then 'YES' else 'NO' end as answer, count(*)::bigint as n_points,
+       case when bool_and(x >= px and y >= py) then sum(x - px + y - py)::bigint end as path_length
+from st group by case_id
 """,
     "index_roundtrip": f"""
 with {TF}, {IDF}, {WEIGHTS}

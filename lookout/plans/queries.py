@@ -513,11 +513,21 @@ def q_decode_list(spark, d):
 
 
 
+def _points(spark, d):
+    li = tables.table(spark, d, "lineitem")
+    return li.select(F.col("l_orderkey").alias("case_id"), F.col("l_linenumber").alias("x"),
+                     F.col("l_quantity").cast("int").alias("y"))
+
+
 def q_monotone_route(spark, d):
+    return RT.monotone_route(_points(spark, d))
+
+
+def q_route_summary(spark, d):
+    """Longer cases, without path strings: the orders of each part."""
     li = tables.table(spark, d, "lineitem")
-    pts = li.select(F.col("l_orderkey").alias("case_id"), F.col("l_linenumber").alias("x"),
-                    F.col("l_quantity").cast("int").alias("y"))
-    return RT.monotone_route(pts)
+    return RT.route_summary(li.select(F.col("l_partkey").alias("case_id"), F.col("l_orderkey").alias("x"),
+                                      (F.floor(F.col("l_orderkey") / 8) + F.col("l_linenumber")).alias("y")))
 
 
 def q_index_roundtrip(spark, d):
@@ -555,6 +565,7 @@ def q_extract_places(spark, d):
 
 QUERIES.update({
     "monotone_route": q_monotone_route,
+    "route_summary": q_route_summary,
     "index_roundtrip": q_index_roundtrip,
     "place_scan": q_place_scan,
     "extract_places": q_extract_places,

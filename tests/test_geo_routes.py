@@ -102,3 +102,25 @@ def test_route_steps_hot_case_split_over_partitions(spark):
         got[c] = ("YES" if ok else "NO", "".join(s.moves for s in mine) if ok else None)
     assert got == {c: _brute_route(p) for c, p in cases.items()}
     assert got == {r.case_id: (r.answer, r.path) for r in monotone_route(df).collect()}
+
+
+def test_routes_hot_case_is_folded_in_pieces(spark):
+    import random
+
+    from lookout.operators.routes import route_pieces, route_summary
+    rnd = random.Random(9)
+    cases = {1: [(i, i // 3) for i in range(5000)], 2: [(i, 40 - i) for i in range(40)], 3: [(5, 5)], 4: [(-1, 2)], 5: [(0, 0)],
+             6: [(i, i + (i == 3000)) for i in range(4000)]}            # infeasible in one step
+    cases |= {c: [(rnd.randint(0, 5), rnd.randint(0, 5)) for _ in range(rnd.randint(1, 5))] for c in range(7, 60)}
+    rows = [(c, x, y, "z") for c, pts in cases.items() for x, y in pts] + [(5, None, 3, "z"), (5, 3, None, "z")]
+    rows += [(3, 5, 5, "z")] * 5000                                     # a third of all rows is one point
+    rnd.shuffle(rows)
+    df = spark.createDataFrame(rows, "case_id bigint, x int, y int, piece string")
+    pieces = route_pieces(df, partitions=9).collect()
+    n = {c: [p.n for p in pieces if p.case_id == c] for c in cases}
+    assert len(n[1]) > 3 and max(n[1]) < 2500 and sum(n[1]) == 5000 and n[3] == [1]
+    want = {c: _brute_route(p) for c, p in cases.items()}
+    assert {r.case_id: (r.answer, r.path) for r in monotone_route(df, partitions=9).collect()} == want
+    got = {r.case_id: (r.answer, r.n_points, r.path_length) for r in route_summary(df, partitions=9).collect()}
+    assert got == {c: (a, len(set(cases[c])), None if p is None else len(p)) for c, (a, p) in want.items()}
+    assert monotone_route(df.limit(0)).collect() == []
