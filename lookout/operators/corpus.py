@@ -122,22 +122,21 @@ def normalized_documents(docs: DataFrame, id_col: str = "doc_id",
 
 # ------------------------------------------------------------ vocabulary --
 
-def dense_ids(values: DataFrame, col: str, id_col: str, partitions: int | None = None) -> DataFrame:
-    """Number the distinct values of ``col`` 0, 1, 2, ... in sort order.
+def number_rows(rows: DataFrame, by: list[str], id_col: str, partitions: int | None = None) -> DataFrame:
+    """The rows with ``id_col``: 0, 1, 2, ... in the order of the columns ``by``.
 
-    A global ``row_number() over (order by col)`` would pull every value
-    into one task. Instead the values are range-partitioned (boundaries from
+    A global ``row_number() over (order by ...)`` would pull every row
+    into one task. Instead the rows are range-partitioned (boundaries from
     a sample, so a crowded prefix is split like any other range), sorted
     inside each partition and numbered by position; the result is written to
     the checkpoint folder so numbering is fixed even if tasks are retried.
     Per-partition counts (one row per partition, a bounded table) then give
     each partition its offset."""
-    values = materialize(values.select(col), "values")        # its size is known, and sampling reads files
-    n = partitions or partitions_for(values.sparkSession, written_bytes(values))
-    ranged = (values.repartitionByRange(n, col).sortWithinPartitions(col)
-              .select(col, F.monotonically_increasing_id().alias("_mono")))
-    ranged = materialize(ranged, "dense-ids")
-    ranged = ranged.select(col, F.shiftright("_mono", 33).alias("_part"),
+    rows = materialize(rows, "rows")                          # its size is known, and sampling reads files
+    n = partitions or partitions_for(rows.sparkSession, written_bytes(rows))
+    ranged = materialize(rows.repartitionByRange(n, *by).sortWithinPartitions(*by)
+                         .withColumn("_mono", F.monotonically_increasing_id()), "dense-ids")
+    ranged = ranged.select(*rows.columns, F.shiftright("_mono", 33).alias("_part"),
                            F.col("_mono").bitwiseAND(F.lit((1 << 33) - 1)).alias("_local"))
     counts = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     # One row per range partition: the window over it is tiny by construction.
@@ -146,7 +145,12 @@ def dense_ids(values: DataFrame, col: str, id_col: str, partitions: int | None =
         (F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, 0))
          - F.col("_n")).alias("_offset"))
     return (ranged.join(F.broadcast(offsets), "_part")
-            .select((F.col("_offset") + F.col("_local")).alias(id_col), col))
+            .select((F.col("_offset") + F.col("_local")).alias(id_col), *rows.columns))
+
+
+def dense_ids(values: DataFrame, col: str, id_col: str, partitions: int | None = None) -> DataFrame:
+    """Number the distinct values of ``col`` 0, 1, 2, ... in sort order (see :func:`number_rows`)."""
+    return number_rows(values.select(col), [col], id_col, partitions)
 
 
 def vocabulary(tf: DataFrame) -> DataFrame:

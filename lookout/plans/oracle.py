@@ -5,8 +5,8 @@ Tables are the pre-registered views ``documents``, ``benchmark``, ``part``,
 
 from __future__ import annotations
 
-from ..functions.html import FIRST_H1, HOST, HREF, NAV_BLOCK, TAG
-from ..sources.tables import CATALOG_SQL, GEO_SQL
+from ..functions.html import HOST
+from ..sources.tables import CATALOG_SQL, GEO_SQL, LISTING, LISTING_HOST
 from . import sqltext as X
 from .queries import (ADVANCED_TOP_N, FILTER_BANDS, FILTER_CARDS, FILTER_FACILITIES,
                       FILTER_REGIONS, PREF_CUISINE, PREF_FACILITY, RANKED_K, REQUEST, REQUEST_CUISINES, REQUEST_NAMES,
@@ -243,6 +243,12 @@ def _strip(x):
     return X._strip_ws(x)
 
 
+# plain patterns, enough for the given pages; the library reads tokens
+FIRST_H1 = r"(?s)<h1[^>]*>(.*?)</h1>"
+NAV_BLOCK = r"(?s)<nav[^>]*>(.*?)</nav>"
+HREF = r"<a\s[^>]*?href=\"([^\"]*)\""
+TAG = r"<[^>]*>"
+
 # The character references that occur in the given pages, '&amp;' last so that
 # '&amp;lt;' gives '&lt;'; the library decodes all of them (see tests).
 ENTITIES = [
@@ -394,6 +400,19 @@ def _lower(col):
 
 
 ORACLE.update({
+    "card_links": f"""with {CATALOG},
+        cards as (select doc_id, 0 as inside, case when doc_id % 5 = 1 then null when doc_id % 3 = 0 then 'https://cdn.example/' || doc_id
+                         else '{LISTING_HOST}/rest/' || doc_id || '?x=1&y=2' end as link from catalog
+                  union all select doc_id, 1, 'https://cdn.example/' || doc_id from catalog where doc_id % 3 = 0 and doc_id % 5 <> 1),
+        placed as (select doc_id // {LISTING} as page, link, row_number() over (partition by doc_id // {LISTING} order by doc_id, inside) - 1 as pos from cards)
+        select page, pos, link from placed where link is not null""",
+    "pagination_links": f"""with {CATALOG}, pages_ as (select distinct doc_id // {LISTING} as page from catalog),
+        links as (select page, i - 1 as pos, '{LISTING_HOST}/p/' || i as link from (select page, unnest(range(1, page % 4 + 2)) as i from pages_)
+                  union all select page, page % 4 + 1, '{LISTING_HOST}/p/next' || page from pages_)
+        select page, 2::bigint as pass, pos, link from links union all
+        select page, 1::bigint, pos, link from links where pos < page % 4 + 1""",
+    "page_files": """select row_number() over (order by page_id) - 1 as rank, page_id, length(html)::bigint as n_chars, md5(html) as html_md5
+        from pages""",
     "field_match_batch": f"with {CATALOG}, {FIELD_INDEX}, {REQUESTS} select request_id, doc_id, score from rqs",
     "advanced_search_batch": f"""with {CATALOG}, {FIELD_INDEX}, {REQUESTS}
         select request_id, row_number() over (partition by request_id order by score desc, doc_id) as rank,

@@ -496,13 +496,36 @@ def q_page_links(spark, d):
 def q_nav_links(spark, d):
     """Anchors of the navigation list without the last one (the first
     pass of the listing crawl drops the 'next' arrow)."""
-    p = _pages(spark, d)
-    links = H.nav_hrefs(F.col("html"))
-    kept = F.slice(links, 1, F.greatest(F.size(links) - 1, F.lit(0)))
-    return p.select("page_id", F.posexplode(kept).alias("pos", "href")) \
+    kept = H.list_hrefs(F.col("html"), tag="nav", drop_last=True)
+    return _pages(spark, d).select("page_id", F.posexplode(kept).alias("pos", "href")) \
         .select("page_id", F.col("pos").cast("bigint").alias("pos"), "href")
 
 
+def q_card_links(spark, d):
+    """H1 on listing pages of the places: the first link of each card."""
+    links = H.card_hrefs(F.col("html"), "card__menu")
+    return tables.listings(_catalog(spark, d)).select("page", F.posexplode(links).alias("pos", "href")).where("href is not null") \
+        .select("page", F.col("pos").cast("bigint").alias("pos"), H.absolute(F.col("href"), F.lit(tables.LISTING_HOST)).alias("link"))
+
+
+def q_pagination_links(spark, d):
+    """H2 on the same pages: the first pass drops the last link, the second keeps all."""
+    listed = tables.listings(_catalog(spark, d))
+    passes = [listed.select("page", F.lit(n).alias("pass"), F.posexplode(H.list_hrefs(F.col("html"), "pagination", drop_last=n == 1))
+                            .alias("pos", "href")) for n in (1, 2)]
+    return passes[0].unionByName(passes[1]).select("page", F.col("pass").cast("bigint").alias("pass"), F.col("pos").cast("bigint").alias("pos"),
+                                                   H.absolute(F.col("href"), F.lit(tables.LISTING_HOST)).alias("link"))
+
+
+def q_page_files(spark, d):
+    """Pages written as files, one each, and read back in the order of their numbers."""
+    path = IS.scratch_path(spark, "page-files")
+    SP.write_page_files(tables.table(spark, d, "pages"), path)
+    html = F.regexp_replace("html", r"\n\z", "")            # the line break that ends a file
+    return SP.ordered_page_files(spark, path).select("rank", "page_id", F.length(html).cast("bigint").alias("n_chars"),
+                                                     F.md5(html).alias("html_md5"))
+
+
 def q_decode_list(spark, d):
     c = _catalog(spark, d).select("doc_id", PL.encode_list(F.col("facilities")).alias("printed"))
     return c.select("doc_id", "printed",
@@ -608,6 +631,9 @@ QUERIES.update({
     "page_title": q_page_title,
     "page_links": q_page_links,
     "nav_links": q_nav_links,
+    "card_links": q_card_links,
+    "pagination_links": q_pagination_links,
+    "page_files": q_page_files,
     "decode_list": q_decode_list,
 })
 

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import spread
@@ -94,6 +94,30 @@ left join region r on r.r_regionkey = n.n_regionkey
 """
 
 
+LISTING = 20                 # cards of a listing page
+LISTING_HOST = "https://guide.example.com"
+
+
+def listings(places: DataFrame) -> DataFrame:
+    """Listing pages ``(page, html)`` of places, ``LISTING`` cards each: with cards inside cards, cards
+    without a link, unclosed and void tags, comments, ``>`` in attributes, both kinds of quotes and
+    a decoy list before the pagination."""
+    doc_id = F.col("doc_id")
+    text = lambda *parts: F.concat(*[p if isinstance(p, Column) else F.lit(p) for p in parts])
+    inner = F.when(doc_id % 3 == 0, text('<div class="js-map card__menu"><br><a href=//cdn.example/', doc_id.cast("string"), ">n</a></div>")) \
+        .otherwise(F.lit(""))
+    card = F.when(doc_id % 5 == 1, text('<div class="card__menu"><!-- <a href="/no">x</a> --><b>', F.col("name"), "</div>")) \
+        .otherwise(text('<DIV class="card__menu js-map" data-x="a>b"><h3>', F.col("name"), "</h3>", inner, "<p>text<p><a class='l' HREF='/rest/",
+                        doc_id.cast("string"), "?x=1&amp;y=2'>go</a><a href=\"/second/", doc_id.cast("string"), '">b</a></DIV>'))
+    page = F.floor(doc_id / LISTING).alias("page")
+    cards = places.select(page, F.struct(doc_id.alias("id"), card.alias("card")).alias("c")).groupBy("page") \
+        .agg(F.array_join(F.transform(F.sort_array(F.collect_list("c")), lambda c: c["card"]), "\n").alias("cards"))
+    links = F.transform(F.sequence(F.lit(1), F.col("page") % 4 + 1), lambda i: F.concat(F.lit('<li><a href="/p/'), i, F.lit('">'), i, F.lit("</a>")))
+    return cards.select("page", text(
+        '<html><ul class="menu"><li><a href="/menu">m</a></ul><a href="/top">t</a><ul class="pagination">', F.array_join(links, ""),
+        "<li><a href='/p/next", F.col("page").cast("string"), "'>&raquo;</a></ul>", F.col("cards"), "</html>").alias("html"))
+
+
 def geo(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Geocoder results keyed by postal code, derived from ``nation`` and
     ``region``: ``(postal_code, address map<string,string>, latitude,
