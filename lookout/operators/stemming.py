@@ -1,8 +1,8 @@
 """Stemming as a vocabulary-sized job.
 
-Stemming is the one text step with no built-in Spark expression. Rather
-than calling Python per token, the distinct terms are stemmed once through
-an Arrow-batched ``pandas_udf`` into a ``(term, stem)`` dictionary, which
+The stemmer is a rule table compiled to a Catalyst expression
+(:mod:`lookout.functions.stem`). Rather than evaluating it per token, the distinct
+terms are stemmed once into a ``(term, stem)`` dictionary, which
 is written to the checkpoint folder and joined back. Its cost grows with
 the vocabulary, not the corpus; the planner broadcasts the dictionary only
 when its written size is under the broadcast threshold, otherwise it is a
@@ -12,38 +12,17 @@ sort-merge join on ``term`` whose input is the per-document term counts
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from ..functions import stem as porter2
 from ..functions import text as T
-from ..session import materialize, ship_library
-
-
-@F.pandas_udf(StringType())
-def stem_udf(terms: pd.Series) -> pd.Series:
-    cache: dict[str, str] = {}
-    out = []
-    for t in terms:
-        s = cache.get(t)
-        if s is None:
-            s = cache[t] = porter2.stem(t)
-        out.append(s)
-    return pd.Series(out, dtype=object)
+from ..session import materialize
 
 
 def stem_dictionary(terms: DataFrame, col: str = "term", persist: bool = True) -> DataFrame:
-    """``(term, stem)`` for the distinct values of ``col``.
-
-    The distinct terms are dealt over the cluster's cores before the Python
-    step: AQE would otherwise coalesce a small vocabulary into one task and
-    stem it on one core."""
-    ship_library(terms.sparkSession)
-    cores = terms.sparkSession.sparkContext.defaultParallelism
-    d = (terms.select(F.col(col).alias("term")).distinct().repartition(cores)
-         .select("term", stem_udf("term").alias("stem")))
+    """``(term, stem)`` for the distinct values of ``col``."""
+    d = terms.select(F.col(col).alias("term")).distinct().select("term", porter2.stem("term").alias("stem"))
     return materialize(d, "stems") if persist else d
 
 

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from ..functions.html import HOST
 from ..sources.tables import CATALOG_SQL, GEO_SQL, LISTING, LISTING_HOST
+from ..functions.stem import stem_sql
 from . import sqltext as X
 from .queries import (ADVANCED_TOP_N, FILTER_BANDS, FILTER_CARDS, FILTER_FACILITIES,
                       FILTER_REGIONS, PREF_CUISINE, PREF_FACILITY, RANKED_K, REQUEST, REQUEST_CUISINES, REQUEST_NAMES,
@@ -57,9 +58,9 @@ PLACES = """left join catalog c on c.doc_id = r.doc_id left join documents t on
 left join pages g on g.page_id = r.doc_id"""
 
 
-def _ranked(qtf: str) -> str:
+def _ranked(qtf: str, tf: str = TF, idf: str = IDF) -> str:
     return f"""
-with {TF}, {qtf}, {IDF}, {WEIGHTS}, {QVEC}, {CATALOG},
+with {tf}, {qtf}, {idf}, {WEIGHTS}, {QVEC}, {CATALOG},
 scores as (select query_id, doc_id, round(sum(weights.weight * qvec.weight), 6) as score
            from weights join qvec using (term) group by query_id, doc_id),
 ranked as (select query_id, doc_id, score,
@@ -453,6 +454,17 @@ select c.doc_id, c.name as restaurantName, c.postal_code as postalCode, c.price_
        d.text as description, array_to_string(c.facilities, '|') as facilities,
        array_to_string(c.cards, '|') as cards, '' as phoneNumber
 from catalog c left join documents d using (doc_id)
+""",
+    "extract_records": f"""
+with {CATALOG}
+select doc_id as page_id, name || ' & Co' as restaurantName, coalesce(address, '') as address, coalesce(city, '') as city,
+       coalesce(postal_code, '') as postal_code, coalesce(region, '') as country, price_range as priceRange, cuisine as cuisineType,
+       case when doc_id % 4 <> 0 then name || ' serves é ' || cuisine else '' end as description,
+       array_to_string(list_transform(facilities, lambda x: 'Item ' || x), '|') as facilitiesServices,
+       array_to_string(list_transform(cards, lambda x: upper(left(x, 1)) || lower(substr(x, 2))), '|') as creditCards,
+       case when doc_id % 3 = 0 then '+39 0' || doc_id else '' end as phoneNumber,
+       case when doc_id % 5 <> 0 then 'https://p' || doc_id || '.example/?a=1&b=2' else '' end as website
+from catalog
 """,
     "extract_places": f"""
 select page_id, {_element_text(f'regexp_extract(html, {L(FIRST_H1)}, 1)')} as restaurantName,
@@ -462,3 +474,48 @@ select page_id, {_element_text(f'regexp_extract(html, {L(FIRST_H1)}, 1)')} as re
 from pages
 """,
 })
+
+
+# ------------------------------------------------------------- stemming --
+# term counts in stems: the rule table's SQL over the distinct terms of documents and queries
+
+RAW_QTF = QTF_BATCH.replace("qtf as", "qraw as")
+STEM_TF = f"""
+{TF.replace('tf as', 'raw as')}, {RAW_QTF},
+stems as materialized (select term, {stem_sql('term', 'duckdb')} as stem
+                       from (select term from raw union select term from qraw)),
+tf as (select doc_id, stem as term, sum(tf)::bigint as tf from raw join stems using (term) group by doc_id, stem)
+"""
+STEM_QTF = "qtf as (select query_id, stem as term, sum(tf)::bigint as tf from qraw join stems using (term) group by query_id, stem)"
+STEM_IDF = IDF.replace("having sum(tf)", "having length(term) >= 2 and sum(tf)")
+# the vocabulary of stems that are normalised and stemmed once more
+TWO_PASS_IDF = f"""
+again as materialized (select term, {stem_sql('term', 'duckdb')} as stem
+  from (select distinct term from tf where regexp_full_match(term, {X.lit(X.T.TOKEN_RULE[1:-1])}) and not list_contains({X.ENGLISH}, term))),
+vocab2 as (select stem as term from tf join again using (term) group by stem
+           having sum(tf) between {VOCAB_MIN_CF} and greatest({VOCAB_MAX_CF}, {VOCAB_MAX_PER_DOC} * (select count(*) from documents))),
+idf as (select term, ln((1 + n) / (1 + df)) + 1 as idf
+        from (select term, count(*) as df from tf where term in (select term from vocab2) group by term having length(term) >= 2) s,
+             (select count(*)::double as n from documents) c)
+"""
+
+ORACLE.update({
+    "stem_dictionary": f"with {TF} select term, {stem_sql('term', 'duckdb')} as stem from (select distinct term from tf)",
+    "normalized_text_stemmed": f"""
+with tok as (select doc_id, generate_subscripts(l, 1) as pos, unnest(l) as term from (select doc_id, {NORM} as l from documents)),
+stems as materialized (select term, {stem_sql('term', 'duckdb')} as stem from (select distinct term from tok)),
+said as (select doc_id, string_agg(stem, ' ' order by pos) as normalized from tok join stems using (term) group by doc_id)
+select doc_id, coalesce(normalized, '') as normalized from documents left join said using (doc_id)
+""",
+    "conjunctive_search_stemmed": f"""
+with {STEM_TF}, {CATALOG},
+q as (select distinct query_id, stem as term from qraw join stems using (term)),
+hits as (select q.query_id, tf.doc_id, tf.term from tf join q using (term)),
+known as (select query_id, count(distinct term) as n_known from hits group by query_id),
+m as (select query_id, doc_id, count(*) as n_hit from hits group by query_id, doc_id),
+r as (select query_id, doc_id from m join known using (query_id) where n_hit = n_known)
+select r.query_id, r.doc_id, {SHOWN} from r {PLACES}
+""",
+    "ranked_search_stemmed": _ranked(STEM_QTF, STEM_TF, STEM_IDF),
+    "ranked_search_two_pass": _ranked(STEM_QTF, STEM_TF, TWO_PASS_IDF),
+})

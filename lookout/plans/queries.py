@@ -581,7 +581,15 @@ def q_place_scan(spark, d):
 
 
 def q_extract_places(spark, d):
-    out = EX.extract_places(_pages(spark, d))
+    return _listed(EX.extract_places(_pages(spark, d)))
+
+
+def q_extract_records(spark, d):
+    """H3 to H10 and H12 on record pages of the places, with every block."""
+    return _listed(EX.extract_places(tables.place_pages(_catalog(spark, d))))
+
+
+def _listed(out):
     return out.select(*[F.array_join(c, "|").alias(c) if c in SP.LIST_COLUMNS else c
                         for c in out.columns])
 
@@ -592,6 +600,7 @@ QUERIES.update({
     "index_roundtrip": q_index_roundtrip,
     "place_scan": q_place_scan,
     "extract_places": q_extract_places,
+    "extract_records": q_extract_records,
 })
 
 QUERIES.update({
@@ -639,8 +648,8 @@ QUERIES.update({
 
 
 # ------------------------------------------------------------- stemming --
-# Rows-only in the driver (no stemmer in the SQL engine); checked by unit
-# tests against a brute-force Python evaluation of the same definitions.
+# The stemmer is one rule table, compiled for both engines; tests hold it against
+# a plain implementation of the algorithm.
 
 def q_stem_dictionary(spark, d):
     return _stems(spark, d)
@@ -652,15 +661,21 @@ def q_normalized_text_stemmed(spark, d):
 
 
 def q_conjunctive_search_stemmed(spark, d):
-    return _index(spark, d, stem=True).conjunctive(tables.query_batch(spark, d))
+    res = _index(spark, d, stem=True).conjunctive(tables.query_batch(spark, d))
+    return _with_places(spark, d, res).select("query_id", "doc_id", *RESULT_COLUMNS)
+
+
+def _ranked_of(spark, d, model):
+    res = model.ranked(tables.query_batch(spark, d), RANKED_K, maxima=False)
+    return _with_places(spark, d, res).select("query_id", "doc_id", *RESULT_COLUMNS, "score", "rank")
 
 
 def q_ranked_search_stemmed(spark, d):
-    return _model(spark, d, stem=True).ranked(tables.query_batch(spark, d), RANKED_K, maxima=False)
+    return _ranked_of(spark, d, _model(spark, d, stem=True))
 
 
 def q_ranked_search_two_pass(spark, d):
-    return _model(spark, d, stem=True, passes=2).ranked(tables.query_batch(spark, d), RANKED_K, maxima=False)
+    return _ranked_of(spark, d, _model(spark, d, stem=True, passes=2))
 
 
 QUERIES.update({

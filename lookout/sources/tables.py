@@ -118,6 +118,25 @@ def listings(places: DataFrame) -> DataFrame:
         "<li><a href='/p/next", F.col("page").cast("string"), "'>&raquo;</a></ul>", F.col("cards"), "</html>").alias("html"))
 
 
+def place_pages(places: DataFrame) -> DataFrame:
+    """Record pages ``(page_id, html)`` of places with every block a record is read from; some lack the
+    description, lists, phone or website, and tags are left open."""
+    n = F.col("doc_id")
+    word = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))                              # noqa: E731
+    block = lambda when, *parts: F.when(when, F.concat(*[p if isinstance(p, Column) else F.lit(p) for p in parts])).otherwise(F.lit(""))
+    each = lambda col, before, after: F.array_join(F.transform(col, lambda v: F.concat(F.lit(before), v, F.lit(after))), "")
+    always = F.lit(True)
+    return places.select(n.alias("page_id"), F.concat(
+        block(always, '<html><script>"</h1>"</script><h1 class="data-sheet__title"> ', word("name"), " &amp; <b>Co</h1>"),
+        block(always, '<div class="data-sheet__block--text">', word("address"), ", ", word("city"), " , ", word("postal_code"), ",", word("region"), "</div>"),
+        block(always, "<div class='x data-sheet__block--text'>", word("price_range"), " · ", word("cuisine"), " </div>"),
+        block(n % 4 != 0, '<div class="data-sheet__description"><p>', word("name"), " <i>serves</i> &eacute; ", word("cuisine"), "<br></div>"),
+        block(F.size("facilities") > 0, '<div class="col col-12 col-lg-6"><ul>', each("facilities", "<li> Item ", " "), "</ul></div>"),
+        block(F.size("cards") > 0, '<div class="col col-12 col-lg-6"><div>', each("cards", '<img data-src="/img/x/', '-icon-2.svg">'), "</div></div>"),
+        block(n % 3 == 0, '<p><a data-event="CTA_tel" href="tel:+39 0', n.cast("string"), '">call</a>'),
+        block(n % 5 != 0, '<p><a data-event=CTA_website href="https://p', n.cast("string"), '.example/?a=1&amp;b=2">site</a>')).alias("html"))
+
+
 def geo(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Geocoder results keyed by postal code, derived from ``nation`` and
     ``region``: ``(postal_code, address map<string,string>, latitude,

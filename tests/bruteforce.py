@@ -9,9 +9,9 @@ from __future__ import annotations
 import math
 from collections import Counter
 
+import porter2
 import regex
 
-from lookout.functions import stem as porter2
 from lookout.functions import text as T
 from lookout.functions.stopwords import ENGLISH_STOP_WORDS
 

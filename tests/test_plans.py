@@ -6,8 +6,7 @@ import __spark_entry__ as E
 from lookout.plans import queries as Q
 
 SF = "/root/testdata/sf0.001"
-PYTHON_QUERIES = {"extract_places", "stem_dictionary", "normalized_text_stemmed",
-                  "conjunctive_search_stemmed", "ranked_search_stemmed", "ranked_search_two_pass"}
+PYTHON_QUERIES = {"extract_places", "extract_records"}
 
 
 def _plan(df):

@@ -1,6 +1,13 @@
+import itertools
+import random
+
+import duckdb
 import pytest
 
-from lookout.functions.stem import stem
+from lookout.functions.stem import stem as stem_column
+from lookout.functions.stem import stem_sql
+
+from porter2 import EXCEPTIONS, R1_PREFIXES, STEP1A_INVARIANTS, STEP1B, STEP2, STEP3, STEP4, stem
 
 # Pairs from the published Porter2 sample vocabulary and the algorithm text.
 PAIRS = """consign consign consigned consign consigning consign consignment consign
@@ -26,3 +33,28 @@ def test_not_idempotent_like_the_original():
 
 def test_short_words_untouched():
     assert stem("at") == "at" and stem("a") == "a"
+
+
+def words():
+    """Words that reach every rule: published pairs, exceptions, all suffixes on many bases, random letters."""
+    rng = random.Random(1)
+    bases = ["", "a", "b", "be", "rap", "hop", "agre", "gener", "commun", "arsen", "sensat", "troubl", "siz", "fall", "snow", "play", "yy", "boyy", "toy", "cry",
+             "rationa", "electr", "adjust", "adopt", "hous", "analog", "homolog", "logi", "controll", "parallel", "ceas", "rat", "ov", "x1y", "\u00e9t", "ion"]
+    suffixes = ["", "s", "es", "ies", "ied", "sses", "us", "ss", "y", "e", "l", "ll", "le", *STEP1B, *[x for x, _ in (*STEP2, *STEP3)], *STEP4]
+    out = {*PAIRS, *EXCEPTIONS, *STEP1A_INVARIANTS, *R1_PREFIXES, "'twas", "dog's", "dogs'", "x's'", "yyy", "ayyyb"}
+    out |= {b + x for b in bases for x in suffixes}
+    out |= {a + x + y for a, x, y in itertools.product(["nat", "gener", "happ"], suffixes, suffixes)}
+    out |= {"".join(rng.choices("aeiouybdglnstz", k=rng.randint(1, 10))) for _ in range(4000)}
+    return sorted(out)
+
+
+def test_rule_table_in_spark_and_sql(spark):
+    want = {w: stem(w) for w in words()}
+    df = spark.createDataFrame([(w,) for w in want], "term string").repartition(8)
+    got = {r.term: r.stem for r in df.select("term", stem_column("term").alias("stem")).collect()}
+    assert {w: (got[w], s) for w, s in want.items() if got[w] != s} == {}
+    con = duckdb.connect()
+    con.execute("create table t (term varchar)")
+    con.executemany("insert into t values (?)", [(w,) for w in want])
+    sql = dict(con.execute(f"select term, {stem_sql('term', 'duckdb')} from t").fetchall())
+    assert {w: (sql[w], s) for w, s in want.items() if sql[w] != s} == {}

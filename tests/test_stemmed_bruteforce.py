@@ -1,5 +1,5 @@
-"""Stemmed variants have no SQL oracle: compare them with a brute-force
-Python evaluation on the smallest corpus."""
+"""Stemmed variants against a brute-force Python evaluation with a stemmer of its own
+(the SQL oracle compiles the library's rule table)."""
 
 from lookout.plans import queries as Q
 from lookout.sources import tables
