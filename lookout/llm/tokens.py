@@ -16,6 +16,7 @@ from array import array
 from collections.abc import Callable, Iterable
 
 CACHE_WORDS = 120_000
+ID_CACHE_WORDS = 300_000         # serialised ids are short, so more words fit
 
 # White space as the tokenizers' pattern engine sees it (the Unicode property).
 _WIDE = "".join(map(chr, (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
@@ -58,11 +59,11 @@ class TextEncoder:
     ``join``. ``pieces`` encodes a list of pieces, ``whole`` one whole text."""
 
     def __init__(self, pieces: Callable[[list[str]], list], whole: Callable[[str], object],
-                 join: Callable[[Iterable], object], specials: list[str], lower: bool):
+                 join: Callable[[Iterable], object], specials: list[str], lower: bool, size: int = CACHE_WORDS):
         self.whole, self.join, self.lower = whole, join, lower
         self.specials = specials
-        self.raw = PieceCache(pieces)
-        self.spaced = PieceCache(lambda keys: pieces([k if k[0] == "\n" else " " + k for k in keys]))
+        self.raw = PieceCache(pieces, size)
+        self.spaced = PieceCache(lambda keys: pieces([k if k[0] == "\n" else " " + k for k in keys]), size)
 
     def _split(self, text: str) -> tuple[PieceCache, list[str]] | None:
         if any(s in text for s in self.specials):
@@ -174,7 +175,7 @@ def id_encoder(path: str, lower: bool) -> TextEncoder:
         def whole(text: str) -> bytes:
             return array("I", tok.encode(text, add_special_tokens=False).ids).tobytes()
 
-        _ENCODERS[path, lower] = TextEncoder(word_pieces(tok, lower), whole, b"".join, specials(tok), lower)
+        _ENCODERS[path, lower] = TextEncoder(word_pieces(tok, lower), whole, b"".join, specials(tok), lower, ID_CACHE_WORDS)
     return _ENCODERS[path, lower]
 
 
