@@ -1,4 +1,4 @@
-from lookout.session import checkpoint_root, materialize, partitions_for, spread, written_bytes
+from lookout.session import checkpoint_root, discard, materialize, partitions_for, spread, written_bytes
 
 
 def test_checkpoint_root_comes_from_session(spark):
@@ -42,3 +42,11 @@ def test_ship_library_adds_the_package_once(spark):
     assert os.path.exists(shipped)
     names = zipfile.ZipFile(shipped).namelist()
     assert "lookout/__init__.py" in names and "lookout/operators/extract.py" in names
+
+
+def test_discard_deletes_a_written_table(spark):
+    import os
+    kept, gone = materialize(spark.range(5), "kept"), materialize(spark.range(5), "gone")
+    discard(gone)
+    assert kept.count() == 5
+    assert not os.path.exists(gone.written_path.removeprefix("file:"))
