@@ -7,7 +7,9 @@ the open bins are lists keyed by free space and one integer bitset tells which
 free spaces occur, so the best bin is one shift and one lowest-bit test. When
 all ``open_bins`` are open and a piece fits none, the fullest bin closes.
 
-Packing runs per partition on piece lengths alone (a few bytes per piece).
+Packing runs per partition on piece lengths alone (a few bytes per piece). Where the ids
+are wanted, pieces carry them in 16 bits while they are stored and shuffled, if all
+fit, and in 32 bits in the result.
 The number of packing partitions comes from the token total, with at least
 ``PART_SEQUENCES`` sequences of tokens each, and every partition's pieces
 arrive longest first, so what bins are left partly filled at a partition's end
@@ -29,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lookout.llm.common import id_text, materialize, parts_for, prepare
+from lookout.llm.token_store import narrow, widen
 from lookout.llm.tokens import id_encoder, slices
 
 OPEN_BINS = 8192
@@ -85,7 +88,7 @@ def cut(ids: bytes, capacity: int) -> list[tuple[int, int, int]]:
 
 def pieces(docs: DataFrame, tokenizer: str, lower: bool, end_id: int, capacity: int,
            with_ids: bool = False) -> DataFrame:
-    """The pieces of all documents; ``with_ids`` adds the token ids."""
+    """The pieces of all documents; ``with_ids`` adds the token ids, narrowed."""
     tail = end_id.to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -99,7 +102,7 @@ def pieces(docs: DataFrame, tokenizer: str, lower: bool, end_id: int, capacity:
                     for k, (start, length, crc) in enumerate(cut(data, capacity)):
                         rows.append((doc, k, start, length, crc))
                         if with_ids:
-                            parts.append(data[4 * start:4 * (start + length)])
+                            parts.append(narrow(data[4 * start:4 * (start + length)]))
                 doc, k, start, length, crc = zip(*rows)
                 cols = {"doc_id": pa.array(doc, pa.int64()), "piece": pa.array(k, pa.int32()),
                         "start": pa.array(start, pa.int64()), "length": pa.array(length, pa.int64()),
@@ -113,16 +116,20 @@ def pieces(docs: DataFrame, tokenizer: str, lower: bool, end_id: int, capacity:
 
 def pack(table: DataFrame, capacity: int, open_bins: int = OPEN_BINS) -> DataFrame:
     """Add ``sequence_id`` and ``offset`` to rows with ``doc_id``, ``piece``
-    and ``length`` of 1 to ``capacity``. ``table`` must be stored data: its total
+    and ``length`` of 1 to ``capacity``. Narrowed ``ids`` are widened. ``table`` must be stored data: its total
     is taken first, then the pieces are dealt by hash and packed."""
     total = table.agg(F.sum("length")).first()[0]
     n = parts_for(total, capacity * PART_SEQUENCES)
+    names = table.columns
     schema = table.schema.add("sequence_id", "long").add("offset", "long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer, base = BestFit(capacity, open_bins), TaskContext.get().partitionId() << 40
         for b in batches:
             placed = [packer.place(x) for x in b.column("length").to_pylist()]
+            if "ids" in names:
+                wide = [widen(x).tobytes() for x in b.column("ids").to_pylist()]
+                b = b.set_column(names.index("ids"), "ids", pa.array(wide, pa.binary()))
             yield b.append_column("sequence_id", pa.array([base + k for k, _ in placed], pa.int64())) \
                 .append_column("offset", pa.array([o for _, o in placed], pa.int64()))
 

@@ -15,7 +15,7 @@ Spark, so any store that Spark writes to will do:
 
 Defined results: null text is empty (only the end id); rows with null
 ``doc_id`` come first; rows of equal ``doc_id`` keep one frame each, ordered by
-content; an empty table gives an empty store; other columns are ignored.
+their frames' hash, and many of them span shards; an empty table gives an empty store; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -52,7 +52,7 @@ BLOCKS = ("shard int, block int, first_doc long, last_doc long, doc_ids array<lo
 READ = "shard int, block int, doc_id long, local_start long, n_tokens long, ids_crc32 long, place int"
 
 
-def _narrow(ids: bytes) -> bytes:
+def narrow(ids: bytes) -> bytes:
     """Serialised ids: unsigned 16 bits where all fit, after a width byte."""
     wide = np.frombuffer(ids, "<u4")
     if len(wide) and wide.max() > 0xFFFF:
@@ -76,13 +76,14 @@ def _train(docs: DataFrame, path: str, lower: bool, end: int) -> bytes:
     def serialise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = b.column("text").to_pylist()
-            data = [_narrow(x)[:SAMPLE_BYTES] for x in _ids(texts, path, lower, end)]
+            data = [narrow(x)[:SAMPLE_BYTES] for x in _ids(texts, path, lower, end)]
             yield pa.RecordBatch.from_pydict({"data": pa.array(data, pa.binary())})
 
-    order = F.xxhash64("doc_id", "text")
-    sample = docs.select("doc_id", F.substring("text", 1, SAMPLE_BYTES).alias("text"), order.alias("_o")) \
-        .orderBy("_o").limit(SAMPLE_DOCS).select("text").mapInArrow(serialise, "data binary")
-    samples = [bytes(r.data) for r in sample.collect()]
+    # the smallest hashes first, eight bytes a row; then the texts that have them, repeated rows once
+    hashed = docs.select(F.xxhash64("doc_id", "text").alias("_o"), F.substring("text", 1, SAMPLE_BYTES).alias("text"))
+    least = [r[0] for r in hashed.select("_o").orderBy("_o").limit(SAMPLE_DOCS).collect()]
+    sample = hashed.where(F.col("_o").isin(least)).groupBy("_o").agg(F.first("text").alias("text")).select("text")
+    samples = sorted(bytes(r.data) for r in sample.mapInArrow(serialise, "data binary").collect())
     try:
         return zstandard.train_dictionary(DICT_BYTES, samples).as_bytes()
     except zstandard.ZstdError:          # too few samples to train on: a raw-content dictionary
@@ -115,7 +116,7 @@ def write_store(docs: DataFrame, tokenizer: str, lower: bool, end_id: int,
                 yield pa.RecordBatch.from_pydict({
                     "doc_id": ids.slice(lo, hi - lo),
                     "n_tokens": pa.array([len(x) // 4 for x in out], pa.int32()),
-                    "frame": pa.array([z.compress(_narrow(x)) for x in out], pa.binary())})
+                    "frame": pa.array([z.compress(narrow(x)) for x in out], pa.binary())})
 
     frames = materialize(docs.mapInArrow(compress, FRAMES), "token-frames")
     size = frames.agg(F.sum(F.length("frame"))).first()[0]
@@ -149,8 +150,8 @@ def write_store(docs: DataFrame, tokenizer: str, lower: bool, end_id: int,
         if rows:
             yield flush()
 
-    ordered = frames.repartitionByRange(n, F.col("doc_id").asc_nulls_first()) \
-        .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "frame")
+    by = [F.col("doc_id").asc_nulls_first(), F.xxhash64("frame")]
+    ordered = frames.repartitionByRange(n, *by).sortWithinPartitions(*by, "frame")
     ordered.mapInArrow(block, BLOCKS).write.options(**BLOCK_FILES).parquet(f"{folder}/blocks")
     return folder
 
