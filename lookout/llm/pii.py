@@ -9,7 +9,8 @@ share of its occurrences whose instances are believed to be of the kind, an
 instance by its patterns (noisy or; seeds stay at one), until no belief grows. Instances above
 ``CONFIDENCE`` are reported wherever they occur outside the base findings.
 
-Only patterns with ``SUPPORT`` different seed instances are believed. Graph edges
+Only patterns with ``SUPPORT`` different seed instances and a score of ``TRUST`` are believed,
+so a frequent number doesn't add up a belief from many weak patterns. Graph edges
 are aggregated before every shuffle and stored, so a pattern or instance that
 occurs in a third of all rows is a few edges or a splittable join.
 
@@ -31,13 +32,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lookout.llm.common import id_text, materialize, prepare
+from lookout.llm.common import id_text, materialize, parts_for, prepare
+from lookout.session import discard
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 SUPPORT = 3
 CONFIDENCE = 0.9
 ROUNDS = None           # turns of scoring; None: until no belief grows by more than TOLERANCE
 TOLERANCE = 1e-3
+TRUST = 0.5             # patterns that score less have no say
+PART_EDGES = 500_000    # edges to a task of the scoring
 
 # written so that no start is tried twice within one run of characters
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -160,32 +164,42 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             "base": pa.array(joined, pa.string()), "seen": pa.array(seen, pa.list_(kind))})
 
 
-def score_graph(edges: DataFrame, rounds: int | None = ROUNDS, support: int = SUPPORT) -> DataFrame:
+def score_graph(edges: DataFrame, rounds: int | None = ROUNDS, support: int = SUPPORT, trust: float = TRUST) -> DataFrame:
     """Belief (``instance``, ``kind``, ``belief``) after ``rounds`` turns, or once no belief
-    grows by more than ``TOLERANCE`` (beliefs never fall), over stored ``edges`` (``pattern``, ``instance``, ``n``, ``seed``: the kind or null)."""
+    grows by more than ``TOLERANCE`` (beliefs never fall), over stored ``edges`` (``pattern``, ``instance``, ``n``, ``seed``: the kind or null).
+
+    Occurrences are summed once, and patterns with fewer than ``support`` instances, which can never
+    be believed, are left out of the turns, with the seeds that stand in no other pattern. What
+    a turn writes replaces what the turn before wrote."""
     edges = edges.where("pattern is not null")
-    seeds = edges.where("seed is not null").select("instance", F.col("seed").alias("kind")).distinct()
-    belief = materialize(seeds.withColumn("belief", F.lit(1.0)), "pii-seeds")
-    first = belief
-    totals = materialize(edges.groupBy("pattern").agg(F.sum("n").alias("total")), "pii-patterns")
+    parts = parts_for(edges.count(), PART_EDGES)
+    seeds = edges.where("seed is not null").select("instance", F.col("seed").alias("kind")).distinct() \
+        .withColumn("belief", F.lit(1.0))
+    seeds = materialize(seeds.coalesce(parts), "pii-seeds")
+    summed = edges.groupBy("pattern", "instance").agg(F.sum("n").alias("n"))
+    totals = summed.groupBy("pattern").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("instances")) \
+        .where(F.col("instances") >= support).drop("instances")
+    pairs = materialize(summed.join(totals, "pattern").coalesce(parts), "pii-pairs")
+    first = materialize(seeds.join(pairs.select("instance").distinct(), "instance", "left_semi").coalesce(parts), "pii-first")
+    belief, past = first, []
     for _ in count() if rounds is None else range(rounds):
-        votes = edges.groupBy("pattern", "instance").agg(F.sum("n").alias("n")).join(belief, "instance") \
-            .groupBy("pattern", "kind").agg(F.sum(F.col("n") * F.col("belief")).alias("w"),
-                                            F.count(F.lit(1)).alias("instances")) \
+        votes = pairs.join(belief, "instance").groupBy("pattern", "kind", "total") \
+            .agg(F.sum(F.col("n") * F.col("belief")).alias("w"), F.count(F.lit(1)).alias("instances")) \
             .where(F.col("instances") >= support)
-        scores = materialize(votes.join(totals, "pattern")
-                             .select("pattern", "kind", (F.col("w") / (F.col("total") + 0.1)).alias("score")),
-                             "pii-scores")
-        heard = edges.select("pattern", "instance").distinct().join(scores, "pattern").groupBy("instance", "kind") \
+        scores = votes.select("pattern", "kind", (F.col("w") / (F.col("total") + 0.1)).alias("score")).where(F.col("score") >= trust)
+        scores = materialize(scores.coalesce(parts), "pii-scores")
+        heard = pairs.select("pattern", "instance").join(scores, "pattern").groupBy("instance", "kind") \
             .agg((1 - F.exp(F.sum(F.log(F.greatest(1 - F.col("score"), F.lit(1e-9)))))).alias("belief"))
         old = belief.select("instance", "kind", F.lit(None).cast("double").alias("belief"), F.col("belief").alias("was"))
-        both = materialize(first.unionByName(heard).withColumn("was", F.lit(None).cast("double")).unionByName(old)
-                           .groupBy("instance", "kind").agg(F.max("belief").alias("belief"), F.max("was").alias("was")),
-                           "pii-belief")
+        both = heard.withColumn("was", F.lit(None).cast("double")).unionByName(old).groupBy("instance", "kind") \
+            .agg(F.max("belief").alias("belief"), F.max("was").alias("was"))
+        both = materialize(both.coalesce(parts), "pii-belief")
+        discard(scores, *past)
+        past = [both]
         belief = both.select("instance", "kind", F.greatest("belief", "was").alias("belief"))
         if both.where(F.col("belief") > F.coalesce("was", F.lit(0.0)) + TOLERANCE).isEmpty():
             break
-    return belief
+    return seeds.unionByName(belief).groupBy("instance", "kind").agg(F.max("belief").alias("belief"))
 
 
 def _discovered(found: DataFrame, confidence: float, rounds: int | None, support: int) -> DataFrame:

@@ -186,3 +186,63 @@ def test_redact_keeps_rows_and_columns(odd_docs, no_docs):
     text = {r.doc_id: r.text for r in out.collect()}
     assert text[0] is None and text[14] == "Mail [EMAIL] or [PHONE], ip [IP], card [CARD]."
     assert pii.redact(no_docs).collect() == []
+
+
+def test_many_weak_patterns_find_nothing(spark):
+    # a number that stands after thirty common word pairs, each of which also precedes three seeds
+    rows = [(f"word pair{p}", f"seed{p}-{i}", 1, "phone") for p in range(30) for i in range(3)]
+    rows += [(f"word pair{p}", "2024", 27, None) for p in range(30)]
+    rows += [("call me", f"seed0-{i}", 1, "phone") for i in range(3)] + [("call me", "5550100", 1, None)]
+    rows += [("call now", f"seed1-{i}", 2, "phone") for i in range(3)] + [("call now", "5550100", 1, None)]
+    edges = spark.createDataFrame(rows, "pattern string, instance string, n long, seed string")
+    got = {r.instance: r.belief for r in pii.score_graph(edges).collect()}
+    assert "2024" not in got and got["5550100"] >= pii.CONFIDENCE
+    loose = {r.instance: r.belief for r in pii.score_graph(edges, trust=0.0).collect()}
+    assert loose["2024"] >= pii.CONFIDENCE
+
+
+def beliefs_by_hand(edges, support, trust):
+    """Turn by turn over dictionaries."""
+    n, seeds = {}, {}
+    for p, i, c, k in edges:
+        if k:
+            seeds[i, k] = 1.0
+        if p is not None:
+            n[p, i] = n.get((p, i), 0) + c
+    total = {}
+    for (p, _), c in n.items():
+        total[p] = total.get(p, 0) + c
+    belief = dict(seeds)
+    while True:
+        w, met = {}, {}
+        for (p, i), c in n.items():
+            for (j, k), b in belief.items():
+                if i == j:
+                    w[p, k] = w.get((p, k), 0) + c * b
+                    met[p, k] = met.get((p, k), 0) + 1
+        score = {(p, k): x / (total[p] + 0.1) for (p, k), x in w.items() if met[p, k] >= support and x / (total[p] + 0.1) >= trust}
+        new = dict(belief)
+        for (_, i) in n:
+            for k in {k for _, k in score}:
+                rest = 1.0
+                for (p, j) in n:
+                    if j == i and (p, k) in score:
+                        rest *= max(1 - score[p, k], 1e-9)
+                if rest < 1:
+                    new[i, k] = max(new.get((i, k), 0), 1 - rest)
+        if all(v <= belief.get(x, 0) + pii.TOLERANCE for x, v in new.items()):
+            return new
+        belief = new
+
+
+def test_beliefs_equal_a_plain_evaluation(spark):
+    import random
+    rng = random.Random(12)
+    rows = [(f"p{rng.randint(0, 14)}", f"i{rng.randint(0, 30)}", rng.randint(1, 4)) for _ in range(160)]
+    kind = {f"i{j}": rng.choice(["phone", "email", None, None]) for j in range(31)}
+    edges = [(p, i, c, kind[i]) for p, i, c in rows] + [(None, "i3", 9, kind["i3"])]
+    got = {(r.instance, r.kind): r.belief for r in pii.score_graph(
+        spark.createDataFrame(edges, "pattern string, instance string, n long, seed string"), support=2, trust=0.3).collect()}
+    want = beliefs_by_hand([e for e in edges if e[0] is not None], 2, 0.3)
+    assert got.keys() == want.keys() and all(abs(got[x] - want[x]) < 1e-2 for x in want)
+    assert any(0.3 < v < 1 for v in want.values())
