@@ -49,7 +49,7 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = vptree.clean(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
-    return vptree.nearest(vectors, F.col("vec_id") % 20 == 0, 20)
+    return vptree.nearest(vectors, F.col("vec_id") % 20 == 0, 20, factor=1.0)
 
 
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,7 +10,10 @@ Urls are matched through an inverted index from token to rules: a rule fires
 when all its tokens are met, and the most confident one decides. A url that no
 given rule fits and no mined rule fires on is allowed.
 
-Matching runs once per distinct set of tokens, so a host with a third of all
+Tokens that stand in exactly the same urls (a host implies its suffixes, a url that
+holds a third of all rows brings all its words) are one item to the mining, and a
+rule names all of them; otherwise n such tokens would give 2^n combinations that say the
+same. Matching runs once per distinct set of tokens, so a host with a third of all
 pages is matched few times.
 
 Only DataFrame operations and Spark's own FP-growth are used. Defined results:
@@ -30,6 +33,7 @@ from lookout.llm.common import checkpoint_root, materialize
 SUPPORT = 0.01
 CONFIDENCE = 0.9
 LIFT = 1.05
+MOST_LABELS = 127            # of a host name; of a longer host the suffixes up to here and the whole
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 Rule = tuple[str, str, str]          # verdict, host, path
 
@@ -53,8 +57,10 @@ def given_rule(host: Column, path: Column, rules: list[Rule]) -> Column:
 def tokens(url: Column, host: Column, path: Column) -> Column:
     """Distinct tokens of a url."""
     labels = F.split(host, r"\.")
-    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.concat(
-        F.lit("host:"), F.array_join(F.slice(labels, i, F.size(labels)), ".")))
+    n = F.size(labels)
+    suffixes = F.transform(F.sequence(F.lit(1), F.least(n, F.lit(MOST_LABELS))), lambda i: F.concat(
+        F.lit("host:"), F.array_join(F.slice(labels, n - i + 1, i), ".")))
+    suffixes = F.concat(suffixes, F.array(F.concat(F.lit("host:"), host)))
     words = F.transform(F.filter(F.split(F.lower(path), "[^a-z]+"), lambda w: w != ""), lambda w: F.concat(F.lit("path:"), w))
     query = F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)\?([^#]*)", 1)
     names = F.transform(F.filter(F.split(query, "&"), lambda w: w != ""),
@@ -64,18 +70,50 @@ def tokens(url: Column, host: Column, path: Column) -> Column:
         .otherwise(F.array_distinct(F.concat(scheme, suffixes, words, names)))
 
 
+def groups(rows: DataFrame) -> DataFrame:
+    """``(token, item, members)`` of stored rows (``tokens``): tokens that stand in the same rows have
+    one ``item``, the least of them, and all ``members``. Rows are told apart by their distinct
+    set of tokens; covers are compared by size and three independent sums of hashes."""
+    sets = rows.groupBy(F.sort_array(F.array_distinct("tokens")).alias("tokens")).agg(F.count(F.lit(1)).alias("n"))
+    hashes = [F.sum(F.xxhash64("tokens", F.lit(seed)).cast("decimal(38,0)")).alias(f"h{seed}") for seed in range(3)]
+    marked = sets.select("tokens", "n", F.explode("tokens").alias("token"))
+    cover = marked.groupBy("token").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("sets"), *hashes)
+    listed = cover.groupBy("n", "sets", "h0", "h1", "h2").agg(F.sort_array(F.collect_list("token")).alias("members"))
+    return listed.select(F.explode("members").alias("token"), F.col("members")[0].alias("item"), "members")
+
+
 def mine(labelled: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE,
          lift: float = LIFT) -> DataFrame:
     """Rules (``rule_id``, ``tokens``, ``verdict``, ``confidence``, ``support``) from stored rows
     (``tokens``, ``label``)."""
-    items = labelled.select(F.concat("tokens", F.array(F.concat(F.lit("="), F.col("label")))).alias("items"))
-    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(items)
+    # only frequent tokens can stand in a rule, so only they are grouped
+    n = labelled.count()
+    frequent = labelled.select(F.explode(F.array_distinct("tokens")).alias("token")).groupBy("token") \
+        .agg(F.count(F.lit(1)).alias("c")).where(F.col("c") >= support * n).select("token")
+    frequent = materialize(frequent, "url-frequent")
+    sets = labelled.groupBy(F.sort_array(F.array_distinct("tokens")).alias("tokens"), "label").agg(F.count(F.lit(1)).alias("n")) \
+        .withColumn("set_id", F.xxhash64("tokens"))
+    sets = materialize(sets, "url-sets")
+    kept = sets.select("set_id", "label", "n", F.explode("tokens").alias("token")).join(frequent, "token")
+    kept = kept.groupBy("set_id", "label", "n").agg(F.collect_list("token").alias("tokens"))
+    members = materialize(groups(kept.select("tokens")), "url-groups")
+    items = kept.select("set_id", "label", "n", F.explode("tokens").alias("token")) \
+        .join(members.select("token", "item"), "token").groupBy("set_id", "label", "n").agg(F.collect_set("item").alias("items"))
+    # every row is a transaction, those without a frequent token too
+    rest = sets.join(items.select("set_id", "label"), ["set_id", "label"], "left_anti").select("label", "n", F.array().cast("array<string>").alias("items"))
+    rows = materialize(items.select("label", "n", "items").unionByName(rest), "url-items")
+    transactions = rows.select(F.concat("items", F.array(F.concat(F.lit("="), F.col("label")))).alias("items"),
+                               F.explode(F.sequence(F.lit(1), F.col("n"))).alias("copy")).select("items")
+    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(transactions)
     rules = model.associationRules.where(F.col("consequent")[0].isin("=block", "=allow")
                                          & ~F.exists("antecedent", lambda x: x.startswith("="))
                                          & (F.col("lift") >= lift))
-    rules = rules.select(F.sort_array("antecedent").alias("tokens"), F.expr("substring(consequent[0], 2)").alias("verdict"),
-                         "confidence", "support")
-    return rules.withColumn("rule_id", F.xxhash64("tokens"))
+    rules = materialize(rules.select("antecedent", F.expr("substring(consequent[0], 2)").alias("verdict"), "confidence", "support")
+                        .withColumn("id", F.xxhash64("antecedent", "verdict")), "url-mined")
+    named = rules.select("id", "verdict", "confidence", "support", F.explode("antecedent").alias("item")) \
+        .join(members.where("token = item").select("item", "members"), "item").groupBy("id", "verdict", "confidence", "support") \
+        .agg(F.sort_array(F.flatten(F.collect_list("members"))).alias("tokens"))
+    return named.select("tokens", "verdict", "confidence", "support", F.xxhash64("tokens").alias("rule_id"))
 
 
 def judge(pages: DataFrame, rules: list[Rule], support: float = SUPPORT,

@@ -5,8 +5,9 @@ gets one more component ``sqrt(M^2 - |x|^2)`` and queries get 0, so the distance
 grows as the inner product falls. Vectors are dealt to shards by hash; a task
 builds the tree of its shard and searches it with one block of queries. A
 subtree is skipped when its triangle-inequality bound, multiplied by ``factor``,
-is beyond the query's worst neighbour so far. Factor one is exact search; a
-larger one skips more. The neighbours found in all shards are merged per query,
+is beyond the query's worst neighbour so far. Factor one is exact search, ties included; a
+larger one skips more. Distances come from matrix products, so rows at about the k-th
+distance are compared by their inner products and ids, as the result is. The neighbours found in all shards are merged per query,
 scored again on the original vectors in double precision.
 
 Shards and query blocks have fixed sizes (``SHARD`` and ``BLOCK`` rows), so memory in
@@ -62,22 +63,30 @@ class Tree:
         return (point, float(d[near].max()), float(d[~near].min()), float(d[~near].max()),
                 self._build(inside, rng), self._build(outside, rng))
 
-    def search(self, queries: np.ndarray, k: int, factor: float) -> tuple[np.ndarray, np.ndarray]:
-        """(distances, rows) of the ``k`` nearest found; rows -1 where fewer."""
+    def search(self, queries: np.ndarray, k: int, factor: float, order) -> np.ndarray:
+        """Rows of the ``k`` nearest found for each query, -1 where fewer. Among rows whose distances are
+        within ``tie`` of the k-th, ``order(query, rows)`` decides: it sorts rows, the nearest first."""
         best = np.full((len(queries), k), np.inf)
         found = np.full((len(queries), k), -1)
-        self._visit(self.root, np.arange(len(queries)), queries, best, found, factor)
-        return best, found
+        tie = 1e-7 * (1.0 + float(np.abs(self.x).max(initial=0.0)) * np.sqrt(self.x.shape[1]))
+        self._visit(self.root, np.arange(len(queries)), queries, best, found, factor, tie, order)
+        return found
 
-    def _visit(self, node, at: np.ndarray, q: np.ndarray, best: np.ndarray, found: np.ndarray, factor: float) -> None:
+    def _visit(self, node, at: np.ndarray, q: np.ndarray, best: np.ndarray, found: np.ndarray, factor: float,
+               tie: float, order) -> None:
         if not len(at):
             return
         if isinstance(node, np.ndarray):
+            k = best.shape[1]
             for part in np.array_split(node, -(-len(node) // 4096)):
                 d = np.concatenate([best[at], distances(q[at], self.x[part])], axis=1)
                 ids = np.concatenate([found[at], np.broadcast_to(part, (len(at), len(part)))], axis=1)
-                k = best.shape[1]
                 keep = np.argpartition(d, k - 1, axis=1)[:, :k]
+                kth = np.take_along_axis(d, keep, 1).max(axis=1)
+                tied = np.flatnonzero((np.isfinite(d) & (d <= kth[:, None] + tie)).sum(axis=1) > k)
+                for i in tied:                     # more rows than places at about this distance
+                    near = np.flatnonzero(d[i] <= kth[i] + tie)
+                    keep[i] = near[order(at[i], ids[i, near])[:k]]
                 best[at] = np.take_along_axis(d, keep, 1)
                 found[at] = np.take_along_axis(ids, keep, 1)
             return
@@ -87,8 +96,8 @@ class Tree:
         first = to_inside <= to_outside
         for side, bound, mine in ((inside, to_inside, first), (outside, to_outside, ~first),
                                   (outside, to_outside, first), (inside, to_inside, ~first)):
-            open_ = mine & (bound * factor <= best[at].max(axis=1) + 1e-9)
-            self._visit(side, at[open_], q, best, found, factor)
+            open_ = mine & (bound * factor <= best[at].max(axis=1) + tie)
+            self._visit(side, at[open_], q, best, found, factor, tie, order)
 
 
 def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -140,8 +149,6 @@ def nearest(rows: DataFrame, is_query, k: int, factor: float = FACTOR, shard: in
                         F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("b")) \
         .unionByName(queries.select("vec_id", "v", F.lit(True).alias("q"),
                                     F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("s"), own.alias("b")))
-    wide = k + 1 + 8                              # the query itself, and ties in the last digits
-
     def run(key: tuple, table: pa.Table) -> pa.Table:
         t = table.combine_chunks()
         empty = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())]).empty_table()
@@ -152,7 +159,11 @@ def nearest(rows: DataFrame, is_query, k: int, factor: float = FACTOR, shard: in
         x, xid, q, qid = v[~mine], ids[~mine], v[mine], ids[mine]
         extra = np.sqrt(np.maximum(norm * norm - (x * x).sum(1), 0))
         tree = Tree(np.hstack([x, extra[:, None]]))
-        _, found = tree.search(np.hstack([q, np.zeros((len(q), 1))]), wide, factor)
+
+        def order(i: int, rows_: np.ndarray) -> np.ndarray:
+            return np.lexsort((xid[rows_], -inner(q[i][None], x[rows_])))
+
+        found = tree.search(np.hstack([q, np.zeros((len(q), 1))]), k + 1, factor, order)     # one may be the query itself
         at, col = np.nonzero(found >= 0)
         to = found[at, col]
         other = xid[to] != qid[at]

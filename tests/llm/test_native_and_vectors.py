@@ -144,6 +144,55 @@ def test_mined_rules(spark):
     assert rules == {("a",): ("block", 1.0), ("a", "b"): ("block", 1.0), ("c",): ("allow", 1.0)}
 
 
+def rules_by_hand(rows, support, confidence, lift):
+    """All rules over items that are merged where they stand in the same rows, by enumeration."""
+    import itertools
+    n = len(rows)
+    cover = {}
+    for i, (tokens, _) in enumerate(rows):
+        for t in set(tokens):
+            cover.setdefault(t, set()).add(i)
+    items = {}
+    for t, c in cover.items():
+        if len(c) >= support * n:
+            items.setdefault(frozenset(c), []).append(t)
+    out = {}
+    for size in range(1, len(items) + 1):
+        for some in itertools.combinations(items, size):
+            both = set.intersection(*map(set, some))
+            for verdict in ("block", "allow"):
+                of = {i for i, r in enumerate(rows) if r[1] == verdict}
+                hits = len(both & of)
+                if hits >= support * n and hits >= confidence * len(both) and hits / len(both) / (len(of) / n) >= lift:
+                    out[tuple(sorted(t for c in some for t in items[c])), verdict] = round(hits / len(both), 6)
+    return out
+
+
+def test_mined_rules_equal_enumeration(spark):
+    import random
+    rng = random.Random(6)
+    rows = []
+    for _ in range(160):
+        tokens = [t for t in "abcdef" if rng.random() < 0.45]
+        tokens += [t + "2" for t in tokens if t in "ab"] + (["c2", "c3"] if "c" in tokens else [])
+        label = "block" if "a" in tokens and rng.random() < 0.95 else "allow" if "d" in tokens and "e" in tokens else rng.choice(["none", "allow", "block"])
+        rows.append((tokens, label))
+    got = urls.mine(spark.createDataFrame(rows, "tokens array<string>, label string"), 0.05, 0.8, 1.05)
+    found = {(tuple(r.tokens), r.verdict): round(r.confidence, 6) for r in got.collect()}
+    assert found == rules_by_hand(rows, 0.05, 0.8, 1.05) and any("a2" in t for t, _ in found)
+
+
+def test_forty_tokens_that_stand_together(spark):
+    words = "/".join("w" + chr(97 + i // 26) + chr(97 + i % 26) for i in range(40))
+    hot = f"https://deep.host.example.com/de/{words}"
+    rows = [(i, hot if i % 3 == 0 else f"https://h{i % 7}.example.net/{'en' if i % 2 else 'xx'}/{'wab' if i % 5 == 0 else 'z'}/p") for i in range(2100)]
+    rows += [(5000, f"https://deep.host.example.com/fr/{words}"), (5001, "https://a." + "b." * 5000 + "org/q")]
+    got = {r.page_id: r for r in urls.judge(spark.createDataFrame(rows, "page_id long, url string"), URL_RULES).collect()}
+    assert len(got) == len(rows) and got[0].rule == "example.com/de/" and got[0].verdict == "block"
+    # given rules block the hot url; its words without the rule's path are mined
+    assert got[5000].rule is None and got[5000].verdict == "block" and "path:waz" in got[5000].mined_rule
+
+
 def nearest_by_hand(vectors, k, queries):
     out = {}
     for q in queries:
@@ -199,3 +248,16 @@ def test_recall_on_the_given_vectors(spark):
         found.setdefault(r.query_id, set()).add(r.vec_id)
     assert np.mean([len(found[q] & set(want[q])) / 20 for q in want]) >= 0.97
     assert len(got) == 20 * len(queries)
+
+
+def test_ties_of_different_vectors(spark):
+    # 300 different vectors of one inner product with every query, and a few nearer ones
+    rng = np.random.default_rng(2)
+    vectors = {i: np.concatenate([[1.0], rng.integers(-3, 4, 6)]) for i in range(300)}
+    vectors |= {1000 + i: np.concatenate([[1.0 + i / 8], np.zeros(6)]) for i in range(5)}
+    vectors |= {2000 + 20 * i: np.concatenate([[1.0], np.zeros(6)]) for i in range(3)}
+    rows = vptree.clean(frame(spark, vectors))
+    got = vptree.nearest(rows, F.col("vec_id") >= 2000, 20, factor=1.0, shard=90, block=2).collect()
+    want = nearest_by_hand(vectors, 20, [2000, 2020, 2040])
+    found = {q: [r.vec_id for r in sorted(got, key=lambda r: r["rank"]) if r.query_id == q] for q in want}
+    assert found == want and want[2000][:4] == [1004, 1003, 1002, 1001] and want[2000][4:7] == [0, 1, 2]
