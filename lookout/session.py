@@ -103,9 +103,35 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     df.write.mode("overwrite").parquet(path)
     table = spark.read.parquet(path)
     table.written_path = path
+    if _SCOPES:
+        _SCOPES[-1].append(table)
     return table
 
 
+_SCOPES: list[list[DataFrame]] = []
+
+
+class Scratch:
+    """The tables that :func:`materialize` writes inside a ``with`` block are deleted at its end, but
+    for those given to :meth:`keep`, which the block around it, if any, takes over. What leaves
+    the block may only read tables that are kept."""
+
+    def __enter__(self) -> "Scratch":
+        self.kept: list[DataFrame] = []
+        _SCOPES.append([])
+        return self
+
+    def keep(self, table: DataFrame) -> DataFrame:
+        self.kept.append(table)
+        return table
+
+    def __exit__(self, *error) -> None:
+        written = _SCOPES.pop()
+        if _SCOPES:
+            _SCOPES[-1].extend(self.kept)
+        discard(*[t for t in written if all(t is not k for k in self.kept)])
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete the files of tables that :func:`materialize` returned and that nothing
     still to be computed reads, such as those of an earlier turn of a loop."""

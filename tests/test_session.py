@@ -1,4 +1,4 @@
-from lookout.session import checkpoint_root, discard, materialize, partitions_for, spread, written_bytes
+from lookout.session import Scratch, checkpoint_root, discard, materialize, partitions_for, spread, written_bytes
 
 
 def test_checkpoint_root_comes_from_session(spark):
@@ -50,3 +50,17 @@ def test_discard_deletes_a_written_table(spark):
     discard(gone)
     assert kept.count() == 5
     assert not os.path.exists(gone.written_path.removeprefix("file:"))
+
+
+def test_scratch_keeps_what_is_asked_for(spark):
+    import os
+    exists = lambda t: os.path.exists(t.written_path.removeprefix("file:"))                       # noqa: E731
+    with Scratch() as outer:
+        a = materialize(spark.range(1), "a")
+        with Scratch() as inner:
+            b, c = materialize(spark.range(2), "b"), inner.keep(materialize(spark.range(3), "c"))
+        assert exists(a) and not exists(b) and exists(c)
+        outer.keep(a)
+    assert exists(a) and not exists(c) and a.count() == 1
+    after = materialize(spark.range(1), "after")
+    assert exists(after)
