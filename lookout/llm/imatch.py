@@ -118,8 +118,9 @@ def _with_next(docs: DataFrame) -> DataFrame:
     lo, hi, n = docs.agg(F.min("doc_id"), F.max("doc_id"), F.count(F.lit(1))).first()
     blocks = max(1, min(MOST_BLOCKS, -(-n // BLOCK_ROWS)))
     lo, hi = (0, 0) if lo is None else (lo, hi)
-    width = -(-(hi - lo + 1) // blocks)
-    block = F.coalesce(F.expr(f"(doc_id - {lo}L) div {width}L"), F.lit(0).cast("long"))
+    # in doubles, as ids may span more than a long; only the order of the blocks matters
+    width = (float(hi) - float(lo) + 1) / blocks
+    block = F.coalesce(F.floor((F.col("doc_id").cast("double") - float(lo)) / width), F.lit(0).cast("long"))
     # one row per block: at most MOST_BLOCKS rows, so the broadcast is bounded
     placed = docs.withColumn("block", block)
     heads = placed.groupBy("block").agg(F.min(F.coalesce("doc_id", F.lit(-(1 << 63)))).alias("head"))

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lookout.llm.common import id_text, materialize, parts_for, prepare
-from lookout.session import discard
+from lookout.session import Scratch, discard
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 SUPPORT = 3
@@ -205,14 +205,15 @@ def score_graph(edges: DataFrame, rounds: int | None = ROUNDS, support: int = SU
 def _discovered(found: DataFrame, confidence: float, rounds: int | None, support: int) -> DataFrame:
     """Further findings (doc_id, text_key, kind, start, end) of stored scans."""
     seen = found.select("doc_id", "text_key", F.explode("seen").alias("o")).select("doc_id", "text_key", "o.*")
-    edges = materialize(seen.where("instance != ''").groupBy("pattern", "instance", F.col("kind").alias("seed"))
-                        .agg(F.count(F.lit(1)).alias("n")), "pii-edges")
-    belief = score_graph(edges, rounds, support)
-    best = belief.where(F.col("belief") >= confidence).groupBy("instance") \
-        .agg(F.max(F.struct("belief", "kind")).alias("b")).select("instance", F.col("b.kind").alias("found"))
-    # only instances that also stand outside the base findings matter
-    open_ = edges.where("seed is null").select("instance").distinct()
-    best = materialize(best.join(open_, "instance", "left_semi"), "pii-found")
+    with Scratch() as temp:
+        edges = materialize(seen.where("instance != ''").groupBy("pattern", "instance", F.col("kind").alias("seed"))
+                            .agg(F.count(F.lit(1)).alias("n")), "pii-edges")
+        belief = score_graph(edges, rounds, support)
+        best = belief.where(F.col("belief") >= confidence).groupBy("instance") \
+            .agg(F.max(F.struct("belief", "kind")).alias("b")).select("instance", F.col("b.kind").alias("found"))
+        # only instances that also stand outside the base findings matter
+        open_ = edges.where("seed is null").select("instance").distinct()
+        best = temp.keep(materialize(best.join(open_, "instance", "left_semi"), "pii-found"))
     return seen.where("kind is null").join(best, "instance") \
         .select("doc_id", "text_key", F.concat("found", F.lit("_context")).alias("kind"), "start", "end").distinct()
 
@@ -244,14 +245,15 @@ def redact(docs: DataFrame, confidence: float = CONFIDENCE, rounds: int | None =
     all columns and rows stay."""
     spark = docs.sparkSession
     prepare(spark)
-    found = materialize(_keyed(docs).mapInArrow(_scan, FOUND), "pii-scan")
-    spans = found.where("base != ''").select("doc_id", "text_key", F.explode(F.split("base", ",")).alias("s")) \
-        .select("doc_id", "text_key", F.expr("struct(int(split(s, ':')[1]) as start, int(split(s, ':')[2]) as end,"
-                                             " split(s, ':')[0] as kind)").alias("s"))
-    more = _discovered(found, confidence, rounds, support) \
-        .select("doc_id", "text_key", F.struct("start", "end", F.regexp_replace("kind", "_context$", "").alias("kind")).alias("s"))
-    by_doc = materialize(spans.unionByName(more).groupBy("doc_id", "text_key")
-                         .agg(F.sort_array(F.collect_set("s")).alias("spans")), "pii-spans")
+    with Scratch() as temp:
+        found = materialize(_keyed(docs).mapInArrow(_scan, FOUND), "pii-scan")
+        spans = found.where("base != ''").select("doc_id", "text_key", F.explode(F.split("base", ",")).alias("s")) \
+            .select("doc_id", "text_key", F.expr("struct(int(split(s, ':')[1]) as start, int(split(s, ':')[2]) as end,"
+                                                 " split(s, ':')[0] as kind)").alias("s"))
+        more = _discovered(found, confidence, rounds, support) \
+            .select("doc_id", "text_key", F.struct("start", "end", F.regexp_replace("kind", "_context$", "").alias("kind")).alias("s"))
+        by_doc = temp.keep(materialize(spans.unionByName(more).groupBy("doc_id", "text_key")
+                                       .agg(F.sort_array(F.collect_set("s")).alias("spans")), "pii-spans"))
     names = {n: _free(docs, n) for n in ("d", "k", "spans")}
     by_doc = by_doc.select(F.col("doc_id").alias(names["d"]), F.col("text_key").alias(names["k"]),
                            F.col("spans").alias(names["spans"]))

@@ -38,6 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lookout.llm.common import materialize, prepare
+from lookout.session import discard
 
 SCALE = 1024
 LARGEST = 1 << 26
@@ -268,6 +269,7 @@ def cluster(vectors: DataFrame, k: int = 8, rounds: int = 10, dim: int = 64, pre
 
         keys = materialize(file.select("key", "cells").mapInArrow(unsure, "key long"), "va-open")
         more, n_more = _totals(fetch(file, keys).select("cells", "v"), dim, k, change)
+        discard(keys)
         total, n = total + more, n + n_more
     last = Measure(grid, moved(now.centroids, total, n))
 

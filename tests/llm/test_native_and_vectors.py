@@ -92,8 +92,9 @@ def test_document_frequency_counts_distinct_texts(spark):
 
 def test_blocks_with_sparse_ids(spark, monkeypatch):
     monkeypatch.setattr(imatch, "BLOCK_ROWS", 3)
-    ids = [1, 2, 3, 900, 901, 5000, 5001, 5002, 5003, 99_999]
+    ids = [1, 2, 3, 900, 901, 5000, 5001, 5002, 5003, 99_999, -(2 ** 63), 2 ** 63 - 1, 2 ** 62]
     rows = [(i, f"text of {i} " * (i % 7 + 1)) for i in ids]
+    check_edited(rows[-3:], imatch.fingerprints(spark.createDataFrame(rows[-3:], "doc_id long, text string")).collect())
     check_edited(rows, imatch.fingerprints(spark.createDataFrame(rows, "doc_id long, text string")).collect())
 
 
