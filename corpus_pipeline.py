@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from lookout.llm import minhash_dedup, packing, pii, quality
 from lookout.llm.common import documents, materialize
 from lookout.llm.queries import CAPACITY, tokenizer
+from lookout.session import Scratch, discard
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,8 +24,9 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: that of the smallest id.
     Repeated rows of one id are one document; rows without an id stay."""
-    gone = minhash_dedup.near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("gone")).distinct()
-    gone = materialize(gone, "dropped-ids")
+    with Scratch() as temp:
+        gone = minhash_dedup.near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("gone")).distinct()
+        gone = temp.keep(materialize(gone, "dropped-ids"))
     left = docs.join(gone, F.col("doc_id").cast("long") == F.col("gone"), "left_anti")
     return minhash_dedup.one_row_per_id(left)
 
@@ -49,8 +51,12 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages in order over ``documents``."""
     docs = documents(spark, sf_dir)
+    before = None
     for i, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i < len(STAGES) - 1:
             docs = materialize(docs, f"pipeline-{name}")
+            if before is not None:
+                discard(before)                # the stage after it is written
+            before = docs
     return docs
