@@ -1,12 +1,16 @@
 """Near duplicates against all pairs; the quality classifier on held-out labels."""
+import math
 import random
+from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from lookout.llm import minhash_dedup, quality
+from lookout.llm.common import uniform01
 from lookout.llm.queries import QUERIES
 
 
@@ -99,6 +103,48 @@ def test_quality_on_held_out_labels(spark):
     assert rate[1] > 0.98 and rate.get(0, 0) < 0.15
 
 
+def test_quality_equals_a_plain_evaluation(spark, sf_small):
+    """Counts of both models, ratios, weights, noise, k and the rows kept, by plain Python over all rows."""
+    docs, labels = (spark.read.parquet(f"{sf_small}/{t}.parquet") for t in ("documents", "labels"))
+    buckets = 1 << 12
+    model, scores = quality.fit(docs, labels, buckets=buckets)
+    got = {r.doc_id: r for r in scores.collect()}
+    texts = {r.doc_id: r.text or "" for r in docs.select("doc_id", "text").collect()}
+    mask, hashes = (1 << 64) - 1, {}
+
+    def word(w):
+        if w not in hashes:
+            hashes[w] = int(pd.util.hash_array(np.array([w], dtype=object), categorize=False)[0])
+        return hashes[w]
+
+    def grams(text):
+        h = [word(w) for w in text.lower().split()]
+        pairs = [(a * 0x9E3779B97F4A7C15 + b) & mask for a, b in zip(h, h[1:])]
+        return [(x >> 20) % buckets for x in h + pairs]
+
+    good = {}
+    for r in labels.collect():
+        if r.quality is not None:
+            good[r.doc_id] = good.get(r.doc_id, True) and r.quality == 1
+    assert {d: r.good for d, r in got.items() if r.good is not None} == {d: g for d, g in good.items() if d in texts}
+    every = {d: grams(t) for d, t in texts.items()}
+    raw = Counter(b for g in every.values() for b in g)
+    target = Counter(b for d, g in every.items() if got[d].good and not got[d].held for b in g)
+    share = sum(target.values()) / sum(raw.values())
+    ratio = [math.log((target[b] + quality.PRIOR) / (raw[b] * share + quality.PRIOR)) for b in range(buckets)]
+    assert np.allclose(model.ratio, ratio)
+    u = {r.doc_id: r.u for r in docs.select("doc_id", uniform01(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")),
+                                                               F.lit(7)).alias("u")).collect()}
+    for d, g in every.items():
+        weight = quality.LENGTH * sum(ratio[b] for b in g) / len(g) if g else 0.0
+        assert math.isclose(got[d].log_weight, weight, rel_tol=1e-9, abs_tol=1e-9)
+        assert math.isclose(got[d].perturbed, weight - math.log(-math.log(u[d])), rel_tol=1e-9, abs_tol=1e-9)
+    k = sum(r.log_weight >= model.cut for r in got.values())
+    best = sorted(got, key=lambda d: -got[d].perturbed)[:k]
+    assert {r.doc_id for r in quality.score(docs, labels, buckets=buckets).where("kept").collect()} == set(best)
+    assert {r.doc_id for r in quality.keep(docs, labels, buckets=buckets).collect()} == set(best)
+
+
 def test_quality_odd_rows(spark, odd_docs, odd_rows, no_docs):
     labels = spark.createDataFrame([(6, 1), (7, 1), (10, 0), (None, 1), (5, None), (6, 1)], "doc_id long, quality int")
     none = labels.limit(0)

@@ -1,8 +1,11 @@
 """I-Match and URL rules against plain Python; vector search against all pairs."""
 import hashlib
+import struct
 
 import numpy as np
 import pytest
+import regex
+import xxhash
 from pyspark.sql import functions as F
 
 from lookout.llm import imatch, urls, vptree
@@ -98,6 +101,72 @@ def test_blocks_with_sparse_ids(spark, monkeypatch):
     check_edited(rows, imatch.fingerprints(spark.createDataFrame(rows, "doc_id long, text string")).collect())
 
 
+def signed(data, seed=42):
+    x = xxhash.xxh64_intdigest(data, seed)
+    return x - (1 << 64) if x >> 63 else x
+
+
+def plain_fingerprints(texts):
+    """Every whole text's (n_chars, fingerprint, edited fingerprint, near_edited, near_next), by plain Python."""
+    def terms(text):
+        return {signed(w.encode()) for w in regex.split(r"[^\p{L}\p{N}]+", text.lower()) if w}
+
+    def within(t, k):
+        return signed(struct.pack("<i", k + 1), signed(struct.pack("<q", t)) % (1 << 64)) % imatch.SUBSETS[k] == 0
+
+    def listed(sets):
+        return [hashlib.sha1(" ".join(map(str, sorted(s))).encode()).hexdigest()[:10] if s else "-" for s in sets]
+
+    def alike(a, b):
+        held = [x == y for x, y in zip(a, b) if (x, y) != ("-", "-")]
+        return sum(held) / len(held) if held else 1.0
+
+    distinct, df, all_k = set(texts), {}, range(len(imatch.SUBSETS))
+    for t in (t for text in distinct for t in terms(text)):
+        df[t] = df.get(t, 0) + 1
+    lex = {t for t, c in df.items() if 2 <= c <= max(2, imatch.MOST * len(distinct))}
+
+    def prints(text):
+        mine = terms(text)
+        narrow = listed([{t for t in mine & lex if within(t, k)} for k in all_k])
+        return narrow, listed([mine] + [{t for t in mine if within(t, k)} for k in all_k[1:]])
+
+    def near(a, b):
+        return alike(a[1], b[1]) if "-" * len(all_k) in ("".join(a[0]), "".join(b[0])) else alike(a[0], b[0])
+
+    def shown(a):
+        return ".".join(a[1] if set(a[0]) == {"-"} else a[0])
+
+    own, out = [prints(t) for t in texts], []
+    for i, text in enumerate(texts):
+        j = (i + 1) % len(texts)
+        edited = prints(text[:len(text) - len(text) // 2] + texts[j][:len(text) // 2])
+        out.append((len(text), shown(own[i]), shown(edited), near(own[i], edited), near(own[i], own[j])))
+    return out
+
+
+@pytest.mark.parametrize("by_shuffle", [False, True])
+def test_whole_fingerprints_equal_plain_ones(spark, sf_small, monkeypatch, by_shuffle):
+    """Also with the lexicon over its bound, where every term of a text is joined to it by shuffle."""
+    rows = sorted((r.doc_id, r.text) for r in spark.read.parquet(f"{sf_small}/documents.parquet").collect())[:60]
+    more = ["", "   ", "alone here", "alone here", rows[3][1], rows[3][1] + " and more", "x", "Straight-forward it's 12"]
+    rows += [(10_000 + i, t) for i, t in enumerate(more)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        if by_shuffle:
+            monkeypatch.setattr(imatch, "LEXICON_BOUND", 0)
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        found = imatch.fingerprints(docs, whole=True)
+        assert ("SortMergeJoin" in found._jdf.queryExecution().executedPlan().toString()) == by_shuffle
+        got = [tuple(r)[1:2] + tuple(r)[3:] for r in found.orderBy("doc_id").collect()]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    want = plain_fingerprints([t for _, t in rows])
+    assert [g[:3] for g in got] == [w[:3] for w in want]
+    assert np.allclose([g[3:] for g in got], [w[3:] for w in want])
+
+
 def judged(url):
     host, path = "", ""
     if url and "://" in url:
