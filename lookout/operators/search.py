@@ -147,14 +147,14 @@ def ranked_search(weights: DataFrame, query_vectors: DataFrame, k: int = 5) -> D
 
 def stored_scores(store: PostingStore, located: DataFrame) -> DataFrame:
     """:func:`cosine_scores` from the store: all documents that share a term with a query."""
-    located = located.where("weight is not null and max_weight is not null")
-    wanted = located.select("query_id", "term", "shard", F.col("weight").alias("wq"))
-    return _score(store, located, wanted, ["shard", "term"])
+    wanted = located.where("n > 0 and weight is not null and max_weight is not null")
+    return _score(store.blocks, wanted.select("query_id", "term", "shard", F.col("weight").alias("wq")), ["shard", "term"])
 
 
-def _score(store: PostingStore, located: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame:
-    """``(query_id, doc_id, score)`` from the postings of the ``wanted`` terms or blocks (joined on ``keys``)."""
-    return store.prune(store.blocks.select("shard", "term", "block", "entries.doc_id", "entries.weight"), located) \
+def _score(blocks: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame:
+    """``(query_id, doc_id, score)`` from the postings of the ``wanted`` terms or blocks (joined on ``keys``).
+    One join both prunes the shards and brings the query's weights."""
+    return blocks.select("shard", "term", "block", "entries.doc_id", "entries.weight") \
         .join(wanted, keys).select("query_id", "block", "wq", F.inline(F.arrays_zip("doc_id", "weight"))) \
         .groupBy("query_id", "block", "doc_id").agg(F.sum(F.col("wq") * F.col("weight")).alias("score")) \
         .select("query_id", "doc_id", "score")
@@ -186,14 +186,15 @@ def ranked_blocks(store: PostingStore, located: DataFrame, k: int = 5, seeds: in
         F.sum(F.col("wq") * F.col("block_max")).alias("bound"), F.sum("n").alias("n"),
         F.collect_list(F.struct("shard", "term", "wq")).alias("terms")), "block-bounds")
 
+    mine = store.prune(store.blocks, located)
     best = Window.partitionBy("query_id").orderBy(F.desc("bound"), "block")
     first = materialize(bounds.withColumn("place", F.row_number().over(best)).where(F.col("place") <= seeds)
                         .select(*by, "n", "terms"), "seed-blocks")
-    found = materialize(top_k(_score(store, located, first.select(*by, F.inline("terms")), keys), k), "seed-scores")
+    found = materialize(top_k(_score(mine, first.select(*by, F.inline("terms")), keys), k), "seed-scores")
     threshold = found.where(F.col("rank") == k).select("query_id", (F.col("score") - ROUNDING).alias("least"))
     rest = bounds.join(threshold, "query_id", "left").where(F.col("bound") >= F.coalesce("least", F.lit(0.0))) \
         .join(first.select(*by), by, "left_anti").select(*by, "n", "terms")
-    more = _score(store, located, rest.select(*by, F.inline("terms")), keys)
+    more = _score(mine, rest.select(*by, F.inline("terms")), keys)
     return RankedBlocks(top_k(found.drop("rank").unionByName(more), k), bounds.drop("terms"),
                         first.drop("terms").unionByName(rest.drop("terms")))
 
