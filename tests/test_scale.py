@@ -49,3 +49,8 @@ def test_postings_stay_with_their_document(index):
 def test_result_texts_stream(spark, sf_small):
     found = plan(Q.q_ranked_search_stemmed(spark, sf_small))
     assert len(re.findall("LeftSemi, BuildRight", found)) >= 2
+
+
+def test_semi_by_id_writes_ids(spark, written):
+    got = G.semi_by_id(spark.range(5).withColumnRenamed("id", "doc_id"), spark.createDataFrame([(3,), (3,), (9,)], "doc_id long"))
+    assert [r.doc_id for r in got.collect()] == [3] and written["result-ids"] == ["doc_id"]
