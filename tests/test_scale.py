@@ -54,3 +54,16 @@ def test_result_texts_stream(spark, sf_small):
 def test_semi_by_id_writes_ids(spark, written):
     got = G.semi_by_id(spark.range(5).withColumnRenamed("id", "doc_id"), spark.createDataFrame([(3,), (3,), (9,)], "doc_id long"))
     assert [r.doc_id for r in got.collect()] == [3] and written["result-ids"] == ["doc_id"]
+
+
+def test_scores_are_shuffled_once(spark, index):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    located = index.located(batch(spark))
+    places = spark.range(200).select(F.col("id").alias("doc_id"), F.lit("x").alias("cuisine"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = plan(S.stored_scores(index.store, located).join(places, "doc_id", "left"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    dealt = re.findall(r"Exchange hashpartitioning\((\w+)#\w+, (?:(\w+)#)?", found)
+    assert ("doc_id", "") in dealt and not any(of == "query_id" or second == "doc_id" for of, second in dealt), found
