@@ -56,6 +56,11 @@ def test_semi_by_id_writes_ids(spark, written):
     assert [r.doc_id for r in got.collect()] == [3] and written["result-ids"] == ["doc_id"]
 
 
+def test_bounds_carry_no_terms(spark, index, written):
+    S.ranked_blocks(index.store, index.located(batch(spark)), 3, 1).top.collect()
+    assert written["block-bounds"] == ["query_id", "block", "bound", "n"]
+
+
 def test_scores_are_shuffled_once(spark, index):
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     located = index.located(batch(spark))
