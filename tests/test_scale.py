@@ -61,6 +61,12 @@ def test_bounds_carry_no_terms(spark, index, written):
     assert written["block-bounds"] == ["query_id", "block", "bound", "n"]
 
 
+def test_two_stage_blocks_are_written(spark, index, written):
+    places = spark.createDataFrame([], "doc_id long, cuisine string, facilities array<string>, price_range string")
+    S.two_stage_stored(index.store, index.located(batch(spark)), places, "x", "y").collect()
+    assert "full-blocks" in written
+
+
 def test_scores_are_shuffled_once(spark, index):
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     located = index.located(batch(spark))
