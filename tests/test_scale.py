@@ -78,3 +78,11 @@ def test_scores_are_shuffled_once(spark, index):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     dealt = re.findall(r"Exchange hashpartitioning\((\w+)#\w+, (?:(\w+)#)?", found)
     assert ("doc_id", "") in dealt and not any(of == "query_id" or second == "doc_id" for of, second in dealt), found
+
+
+def test_page_files_by_all_tasks(spark):
+    path = IS.scratch_path(spark, "pages")
+    SP.write_page_files(spark.range(40).selectExpr("id page_id", "'<p>' html").coalesce(1), path)
+    files = SP.read_page_files(spark, path).collect()
+    assert sorted(r.page_id for r in files) == list(range(40))
+    assert len({re.search(r"part-(\d+)", r.path).group(1) for r in files}) > 4
