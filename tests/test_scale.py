@@ -61,6 +61,13 @@ def test_bounds_carry_no_terms(spark, index, written):
     assert written["block-bounds"] == ["query_id", "block", "bound", "n"]
 
 
+def test_second_pass_of_totals(index):
+    totals = ST.second_pass(index.term_stats.select("term", F.col("cf").alias("tf")))
+    each = ST.second_pass(index.postings).groupBy("term").agg(F.sum("tf").alias("tf"))
+    assert sorted(totals.select("term", "tf").collect()) == sorted(each.collect())
+    assert "cour" in {r.term for r in totals.collect()}
+
+
 def test_two_stage_blocks_are_written(spark, index, written):
     places = spark.createDataFrame([], "doc_id long, cuisine string, facilities array<string>, price_range string")
     S.two_stage_stored(index.store, index.located(batch(spark)), places, "x", "y").collect()
