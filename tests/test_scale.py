@@ -68,6 +68,11 @@ def test_second_pass_of_totals(index):
     assert "cour" in {r.term for r in totals.collect()}
 
 
+def test_query_tables_are_written(spark, index, written):
+    assert {r.query_id for r in S.conjunctive_bitmaps(index.store, index.located(batch(spark))).collect()} == {0}
+    assert {"known", "query-places"} <= written.keys()
+
+
 def test_two_stage_blocks_are_written(spark, index, written):
     places = spark.createDataFrame([], "doc_id long, cuisine string, facilities array<string>, price_range string")
     S.two_stage_stored(index.store, index.located(batch(spark)), places, "x", "y").collect()
