@@ -46,6 +46,10 @@ def test_postings_stay_with_their_document(index):
     assert len(norms) == 200 and all(abs(r.n - 1) < 1e-9 for r in norms)
 
 
+def test_weights_are_not_written(index):
+    assert not hasattr(index.weighted, "written_path")
+
+
 def test_result_texts_stream(spark, sf_small):
     found = plan(Q.q_ranked_search_stemmed(spark, sf_small))
     assert len(re.findall("LeftSemi, BuildRight", found)) >= 2
