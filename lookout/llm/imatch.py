@@ -14,9 +14,14 @@ A text like that is compared with any other by the hashes of all words of both.
 Without it, such texts share the fingerprint of dashes.
 
 All terms' document frequencies are counted, over rows or, with ``whole``, over
-distinct texts, so that a group of copies doesn't move its words out of the band.
-The lexicon grows with the corpus; its size is measured against ``LEXICON_BOUND``, a
-larger one is joined by shuffle.
+distinct texts, so that a group of copies doesn't move its words out of the band. No text
+is shuffled for that: a term's least and greatest text hash tell whether it stands in one text
+only, and rows that have copies take their surplus off the terms above the band.
+
+The lexicon grows with the corpus; its size is measured against ``LEXICON_BOUND``. Up to it, all
+tasks get it. Beyond, a text's lexicon terms are found by exclusion (:func:`_by_exclusion`): those
+above the band are few whatever the corpus, and those below it stand in one text, to which they
+are sent, so no posting is shuffled; only the words that cutting a text makes are looked up.
 
 The next document's text comes by one shuffle: documents go to blocks of
 consecutive ids, each block's first document to the block before it as well, and a
@@ -32,11 +37,12 @@ other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lookout.llm.common import checkpoint_root, id_text, materialize
+from lookout.llm.common import checkpoint_root, id_text, materialize, parts_for
 
 LEAST_DOCS = 2          # documents that a term stands in
 LEAST = 0.0             # share of them, for callers that want a smaller lexicon
@@ -44,8 +50,10 @@ MOST = 0.05
 # random subsets of the lexicon: each keeps one term in so many
 SUBSETS = (4,) * 2 + (16,) * 4 + (64,) * 6 + (256,) * 12
 LEXICON_BOUND = 2_000_000
+COPIES_BOUND = 2_000_000    # hashes of texts that have copies, at a time
 BLOCK_ROWS = 2048
 MOST_BLOCKS = 100_000
+BLOCKS_A_TASK = 2           # where a shuffle's number of tasks is fixed
 
 
 def term_ids(text: Column) -> Column:
@@ -59,22 +67,65 @@ def _in_subset(k: int) -> Callable[[Column], Column]:
     return lambda t: F.pmod(F.xxhash64(t, F.lit(k + 1)), F.lit(SUBSETS[k])) == 0
 
 
-def lexicon(docs: DataFrame, least: float = LEAST, most: float = MOST, whole: bool = False) -> DataFrame:
-    """Terms (``t``) within the band, each with the numbers of its subsets. Document
-    frequencies are counted over rows, or with ``whole`` over distinct texts."""
+@dataclass(frozen=True)
+class Band:
+    """Terms by document frequency."""
+    within: DataFrame            # t
+    above: DataFrame             # t; a share of the texts each, so at most 1 / MOST times as many as a text has on average
+    below: DataFrame | None      # h, t: terms that only the text of hash h has; None if those below stand in more
+
+
+def _surplus(docs: DataFrame, copies: DataFrame, terms: DataFrame) -> DataFrame:
+    """(``t``, ``more``): by how much a term's rows outnumber its texts, for ``terms`` in rows that have copies. The
+    hashes of such texts go to all tasks, ``COPIES_BOUND`` at a time."""
+    copied = copies.where("copies > 1")
+    turns = -(-copied.count() // COPIES_BOUND)
+    out = terms.select("t", F.lit(0.0).alias("more"))
+    for i in range(turns):
+        some = F.broadcast(copied.where(F.pmod("h", F.lit(turns)) == i))
+        rows = docs.select("text", F.xxhash64("text").alias("h")).join(some, "h")
+        # a row counts one by its copies; the shares of a text add up to one but for rounding
+        out = out.unionByName(rows.select((1 - 1 / F.col("copies")).alias("more"), F.explode(term_ids(F.col("text"))).alias("t"))
+                              .join(terms.select("t"), "t").select("t", "more"))
+    return out.groupBy("t").agg(F.round(F.sum("more")).cast("long").alias("more"))
+
+
+def band(docs: DataFrame, least: float = LEAST, most: float = MOST, whole: bool = False) -> Band:
+    """Counts all terms, over rows or with ``whole`` over distinct texts."""
+    h = F.xxhash64("text").alias("h")
     if whole:
-        copies = materialize(docs.groupBy(F.xxhash64("text").alias("h")).agg(F.count(F.lit(1)).alias("copies")),
-                             "imatch-copies")
+        copies = materialize(docs.groupBy(h).agg(F.count(F.lit(1)).alias("copies")), "imatch-copies")
         n = copies.count()
-        keyed = docs.select("text", F.xxhash64("text").alias("h")).join(copies.where("copies > 1"), "h", "left")
-        # a row counts one by its copies; the shares of a text add up to one but for rounding
-        df = F.round(F.sum(1 / F.coalesce("copies", F.lit(1)))).cast("long")
     else:
-        n, keyed, df = docs.count(), docs.select("text", F.lit(1).alias("copies")), F.count(F.lit(1))
-    counts = keyed.select("copies", F.explode(term_ids(F.col("text"))).alias("t")).groupBy("t").agg(df.alias("df")) \
-        .where((F.col("df") >= max(LEAST_DOCS, least * n)) & (F.col("df") <= max(LEAST_DOCS, most * n)))
+        n = docs.count()
+    low, top = max(LEAST_DOCS, least * n), max(LEAST_DOCS, most * n)
+    counts = materialize(docs.select(h, F.explode(term_ids(F.col("text"))).alias("t")).groupBy("t").agg(
+        F.count(F.lit(1)).alias("df"), F.min("h").alias("lo"), F.max("h").alias("hi")), "imatch-terms")
+    single = F.col("lo") == F.col("hi") if whole else F.col("df") == 1
+    if whole:
+        # rows are no fewer than texts, so up to the top only one text or more has to be told
+        unsure = F.col("df") > top if low <= 2 else F.col("df") >= low
+        some = materialize(counts.where(unsure & ~single).select("t", "df"), "imatch-unsure")
+        exact = materialize(some.join(_surplus(docs, copies, some), "t").select("t", (F.col("df") - F.col("more")).alias("df")), "imatch-exact")
+        within = exact.where(F.col("df").between(low, top)).select("t")
+        if low <= 2:
+            within = within.unionByName(counts.where(~unsure & ~single).select("t"))
+    else:
+        exact = counts
+        within = counts.where(F.col("df").between(low, top)).select("t")
+    return Band(within, exact.where(F.col("df") > top).select("t"),
+                counts.where(single).select(F.col("lo").alias("h"), "t") if low <= 2 else None)
+
+
+def lexicon(docs: DataFrame, least: float = LEAST, most: float = MOST, whole: bool = False) -> DataFrame:
+    """Terms (``t``) within the band, each with the numbers of its subsets. Document
+    frequencies are counted over rows, or with ``whole`` over distinct texts."""
+    return _with_subsets(band(docs, least, most, whole).within)
+
+
+def _with_subsets(terms: DataFrame) -> DataFrame:
     chosen = F.array(*(F.when(_in_subset(k)(F.col("t")), F.lit(k)) for k in range(len(SUBSETS))))
-    return counts.select("t", F.filter(chosen, lambda k: k.isNotNull()).alias("subsets"))
+    return terms.select("t", F.filter(chosen, lambda k: k.isNotNull()).alias("subsets"))
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -112,9 +163,11 @@ def _compared(a: Column, b: Column, text_a: Column, text_b: Column) -> Column:
         .otherwise(likeness(a, b))
 
 
-def _with_next(docs: DataFrame) -> DataFrame:
-    """Rows (``block``, ``ghost``, ``doc_id``, ``text``, ``next_text``); a ghost is the row after
-    a block's last one, without a next text of its own."""
+def _with_next(docs: DataFrame, below: DataFrame | None = None, tasks: int = 0) -> DataFrame:
+    """Rows (``block``, ``ghost``, ``doc_id``, ``text``, ``next_text``, ``place``); a ghost is the row after
+    a block's last one, without a next text of its own. With ``below`` (``h``, ``t``), also the terms that only the text
+    and only the next text have (``rare``, ``next_rare``): they come to its blocks by the texts' shuffle, which then has
+    so many ``tasks``: as their number is fixed, it is done once for all that reads it."""
     lo, hi, n = docs.agg(F.min("doc_id"), F.max("doc_id"), F.count(F.lit(1))).first()
     blocks = max(1, min(MOST_BLOCKS, -(-n // BLOCK_ROWS)))
     lo, hi = (0, 0) if lo is None else (lo, hi)
@@ -135,11 +188,77 @@ def _with_next(docs: DataFrame) -> DataFrame:
         .otherwise(F.array(F.struct(F.col("block").alias("block"), F.lit(0).alias("ghost")),
                            F.struct(F.col("before").alias("block"), F.lit(1).alias("ghost"))))
     both = joined.select(F.explode(homes).alias("h"), "doc_id", "text").select("h.block", "h.ghost", "doc_id", "text")
+    more = []
+    if below is not None:
+        h = F.xxhash64("text").alias("h")
+        rare = below.groupBy("h").agg(F.collect_list("t").alias("rare")) \
+            .join(both.select("block", h).distinct(), "h").withColumn("mark", F.lit(0))
+        both = both.withColumns({"h": h, "mark": F.lit(1)}).unionByName(rare, allowMissingColumns=True).repartition(tasks, "block")
+        so_far = Window.partitionBy("block", "h").orderBy("mark").rowsBetween(Window.unboundedPreceding, 0)
+        none = F.array().cast("array<long>")
+        both = both.withColumn("rare", F.coalesce(F.first("rare", ignorenulls=True).over(so_far), none)).where("mark = 1")
+        more = ["rare"]
     order = Window.partitionBy("block").orderBy("ghost", F.col("doc_id").asc_nulls_first(), "text")
-    return both.select("block", "ghost", "doc_id", "text", F.lead("text").over(order).alias("next_text"),
+    return both.select("block", "ghost", "doc_id", "text", *more, F.lead("text").over(order).alias("next_text"),
+                       *(F.coalesce(F.lead(c).over(order), none).alias(f"next_{c}") for c in more),
                        F.row_number().over(order).alias("place"))
 
 
+def _edited(rows: DataFrame) -> DataFrame:
+    """The rows with ``n_chars``, the edited text and ``meta``, what stands once per row."""
+    half = F.expr("length(text) div 2")
+    rows = rows.withColumn("n_chars", F.length("text").cast("long")) \
+        .withColumn("edited", F.concat(F.expr("left(text, int(length(text) - length(text) div 2))"),
+                                       F.coalesce(F.left("next_text", half), F.lit(""))))
+    return rows.withColumn("meta", F.struct("n_chars", F.sha2("edited", 256).alias("edited_sha256"), "text", "edited"))
+
+
+def _tagged(own: Column, other: Column) -> Column:
+    """One entry per term and text of it, with a bit for each text; an entry of bit 0, under a
+    number of its own so that a shuffle spreads them, keeps what stands once per row."""
+    return F.concat(F.transform(own, lambda t: F.struct(t.alias("t"), F.lit(1).alias("w"))),
+                    F.transform(other, lambda t: F.struct(t.alias("t"), F.lit(2).alias("w"))),
+                    F.array(F.struct(F.xxhash64("block", "place", "doc_id").alias("t"), F.lit(0).alias("w"))))
+
+
+KEPT = ("block", "place", "ghost", "doc_id", "meta", "w", "t", "k")
+
+
+def _long(rows: DataFrame, own: Column, other: Column) -> DataFrame:
+    return rows.select("block", "place", "ghost", "doc_id", F.explode(_tagged(own, other)).alias("x"), "meta") \
+        .select("block", "place", "ghost", "doc_id", "x.t", "x.w", F.when(F.col("x.w") == 0, F.col("meta")).alias("meta"))
+
+
+def _by_join(docs: DataFrame, terms: DataFrame) -> DataFrame:
+    """A row per (row, text of it, lexicon term, subset ``k``), and one of bit 0 per row; terms joined to the lexicon."""
+    rows = _edited(_with_next(docs))
+    return _long(rows, term_ids(F.col("text")), term_ids(F.col("edited"))).join(terms, "t", "left") \
+        .where("w = 0 or subsets is not null").withColumn("k", F.explode_outer("subsets")).select(*KEPT)
+
+
+def _by_exclusion(docs: DataFrame, terms: DataFrame, found: Band) -> DataFrame:
+    """:func:`_by_join` without shuffling postings. A word of a text or its next one is in the lexicon unless it is above
+    the band or only that text has it. Words of the edited text that neither has, made by the cuts and at most a few, are
+    looked up and come back to their block."""
+    n = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")),
+            min(MOST_BLOCKS, parts_for(docs.count(), BLOCKS_A_TASK * BLOCK_ROWS)))
+    rows = _edited(_with_next(docs, found.below, n)) \
+        .withColumns({"own": term_ids(F.col("text")), "other": term_ids(F.col("edited")),
+                      "next": F.coalesce(term_ids(F.col("next_text")), F.array().cast("array<long>"))})
+    rows = rows.withColumn("both", F.concat("own", "next")).withColumn("out", F.concat("rare", "next_rare"))
+    within = F.array(*(_in_subset(k)(F.col("t")) for k in range(len(SUBSETS))))
+    above = F.broadcast(found.above.withColumn("above", F.lit(True)))
+    known = F.array_intersect(F.array_except("other", "out"), "both")
+    kept = _long(rows, F.array_except("own", "rare"), known).join(above, "t", "left").where("w = 0 or above is null") \
+        .select("*", F.posexplode(within).alias("k", "is_in")).where("if(w = 0, k = 0, is_in)") \
+        .withColumn("k", F.when(F.col("w") > 0, F.col("k"))).select(*KEPT)
+    # the same columns as above, for the same shuffle
+    new = F.array_except(F.array_except("other", "both"), "out")
+    cut = rows.select("block", "place", F.explode(new).alias("t")).join(terms, "t") \
+        .select("block", "place", "t", F.lit(2).alias("w"), F.explode("subsets").alias("k"))
+    return kept.unionByName(cut.repartition(n, "block"), allowMissingColumns=True)
+
+
 def fingerprints(docs: DataFrame, least: float = LEAST, most: float = MOST, whole: bool = False) -> DataFrame:
     """Per row of ``docs`` (``doc_id``, ``text``): fingerprints of its text and of its
     edited text (second half replaced by the next document's start), and how
@@ -147,25 +266,14 @@ def fingerprints(docs: DataFrame, least: float = LEAST, most: float = MOST, whol
     ``whole`` see above."""
     checkpoint_root(docs.sparkSession)
     docs = id_text(docs)
-    terms = materialize(lexicon(docs, least, most, whole).where("size(subsets) > 0"), "imatch-lexicon")
+    found = band(docs, least, most, whole)
+    terms = materialize(_with_subsets(found.within).where("size(subsets) > 0"), "imatch-lexicon")
     if terms.count() <= LEXICON_BOUND:
-        terms = F.broadcast(terms)
-
-    half = F.expr("length(text) div 2")
-    rows = _with_next(docs).withColumn("n_chars", F.length("text").cast("long")) \
-        .withColumn("edited", F.concat(F.expr("left(text, int(length(text) - length(text) div 2))"),
-                                       F.coalesce(F.left("next_text", half), F.lit(""))))
-    meta = F.struct("n_chars", F.sha2("edited", 256).alias("edited_sha256"), "text", "edited")
-    own, other = term_ids(F.col("text")), term_ids(F.col("edited"))
-    # one row per term and text of it, with a bit for each text; a row of bit 0, under a
-    # number of its own so that a shuffle spreads them, keeps what stands once per row
-    both = F.concat(F.transform(own, lambda t: F.struct(t.alias("t"), F.lit(1).alias("w"))),
-                    F.transform(other, lambda t: F.struct(t.alias("t"), F.lit(2).alias("w"))),
-                    F.array(F.struct(F.xxhash64("block", "place", "doc_id").alias("t"), F.lit(0).alias("w"))))
-    long = rows.select("block", "place", "ghost", "doc_id", F.posexplode(both).alias("pos", "x"), meta.alias("meta")) \
-        .select("block", "place", "ghost", "doc_id", "x.t", "x.w", F.when(F.col("x.w") == 0, F.col("meta")).alias("meta"))
-    kept = long.join(terms, "t", "left").where("w = 0 or subsets is not null") \
-        .select("block", "place", "ghost", "doc_id", "meta", "w", "t", F.explode_outer("subsets").alias("k"))
+        kept = _by_join(docs, F.broadcast(terms))
+    elif found.below is None:        # with a share as least, the lexicon is bounded by it
+        kept = _by_join(docs, terms)
+    else:
+        kept = _by_exclusion(docs, terms, found)
     # the sorted terms of each (row, text, subset) make a hash, a row's hashes its fingerprints
     sets = kept.groupBy("block", "place", "w", "k").agg(
         F.max("ghost").alias("ghost"), F.max("doc_id").alias("doc_id"), F.max("meta").alias("meta"),

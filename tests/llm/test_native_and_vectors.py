@@ -1,5 +1,6 @@
 """I-Match and URL rules against plain Python; vector search against all pairs."""
 import hashlib
+import random
 import struct
 
 import numpy as np
@@ -167,6 +168,30 @@ def test_whole_fingerprints_equal_plain_ones(spark, sf_small, monkeypatch, by_sh
     assert np.allclose([g[3:] for g in got], [w[3:] for w in want])
 
 
+def test_no_postings_are_shuffled_beyond_the_bound(spark, monkeypatch):
+    """Copies in several blocks, words that one text has, words that only cutting a text makes."""
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abc") for _ in range(rng.randint(1, 4)))
+    texts = [" ".join(word() for _ in range(rng.randint(0, 9))) for _ in range(40)] + ["only once here"] * 4 + ["bbbcab a", "x"]
+    texts = texts + texts[::3]
+    monkeypatch.setattr(imatch, "LEXICON_BOUND", 0)
+    monkeypatch.setattr(imatch, "BLOCK_ROWS", 7)
+    monkeypatch.setattr(imatch, "COPIES_BOUND", 3, raising=False)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        found = imatch.fingerprints(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), whole=True)
+        got = [tuple(r)[1:2] + tuple(r)[3:] for r in found.orderBy("doc_id").collect()]
+        lines = found._jdf.queryExecution().executedPlan().toString().split("\n")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    by_term = [" ".join(lines[i:i + 3]) for i, x in enumerate(lines) if "Exchange hashpartitioning(t#" in x]
+    assert by_term and not any("meta" in x for x in by_term)
+    want = plain_fingerprints(texts)
+    assert [g[:3] for g in got] == [w[:3] for w in want]
+    assert np.allclose([g[3:] for g in got], [w[3:] for w in want])
+
+
 def judged(url):
     host, path = "", ""
     if url and "://" in url:
