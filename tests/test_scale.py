@@ -5,7 +5,9 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from lookout import session
 from lookout.index import SearchIndex
+from lookout.operators import corpus as C
 from lookout.operators import geo as G
 from lookout.operators import search as S
 from lookout.operators import stemming as ST
@@ -102,3 +104,50 @@ def test_page_files_by_all_tasks(spark):
     files = SP.read_page_files(spark, path).collect()
     assert sorted(r.page_id for r in files) == list(range(40))
     assert len({re.search(r"part-(\d+)", r.path).group(1) for r in files}) > 4
+
+
+@pytest.fixture
+def no_broadcasts(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def above(node, df):
+    """The nodes above the first ``node`` of a plan."""
+    lines = [line for line in plan(df).split("\n") if line.strip()]
+    at = next(i for i, line in enumerate(lines) if node in line)
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))                   # noqa: E731
+    out = []
+    for line in reversed(lines[:at]):
+        if depth(line) < depth(lines[at]) and (not out or depth(line) < depth(out[-1])):
+            out.append(line)
+    return "\n".join(out)
+
+
+def rounded(df, *cols):
+    return sorted((*(r[c] for c in cols), None if r.weight is None else round(r.weight, 9)) for r in df.collect())
+
+
+def test_large_term_tables_come_to_postings(spark, index, no_broadcasts):
+    want = rounded(index.weighted, "doc_id", "term", "tf")
+    found = index.weigh(index.idf.select("term", "idf"))
+    assert "Exchange" not in above("FileScan parquet spark_catalog", found), plan(found)
+    assert rounded(found, "doc_id", "term", "tf") == want and len(want) > 200
+    stemmed = ST.sum_stems(C.with_terms(index.raw_postings, index.raw_terms, index.stems, index.parts))
+    assert "Exchange" not in above("FileScan parquet spark_catalog", stemmed)
+    key = ["doc_id", "term", "tf"]
+    assert sorted(stemmed.select(key).collect()) == sorted(index.postings.select(key).collect())
+
+
+def test_weighted_postings_shuffle_no_postings(spark, sf_small, no_broadcasts):
+    found = Q.q_weighted_postings(spark, sf_small)
+    assert "Exchange" not in above("FileScan parquet spark_catalog", found), plan(found)
+    assert not hasattr(Q._model(spark, sf_small).weighted, "written_path")
+
+
+def test_labels_name_partitions(spark):
+    n = 13
+    at = spark.range(n).withColumn("label", session.label(spark, n, F.col("id"))).repartition(n, "label")
+    assert all(r.id == r.p for r in at.select("id", F.spark_partition_id().alias("p")).collect())
