@@ -151,3 +151,30 @@ def test_labels_name_partitions(spark):
     n = 13
     at = spark.range(n).withColumn("label", session.label(spark, n, F.col("id"))).repartition(n, "label")
     assert all(r.id == r.p for r in at.select("id", F.spark_partition_id().alias("p")).collect())
+
+
+def test_store_is_dealt_without_sampling(spark, index, monkeypatch):
+    """Terms of any frequency in shards of their own places; no weights are written or evaluated twice for it."""
+    monkeypatch.setattr(IS, "SHARD_BYTES", 1 << 10)
+    small = SearchIndex(index.docs, min_cf=1, max_cf=10 ** 9, reuse=index)
+    shards = small.store.blocks.groupBy("term").agg(F.collect_set("shard").alias("s"), F.sum("n").alias("n")).collect()
+    hot = {r.term: len(r.s) for r in shards if r.n == 200}
+    assert hot and min(hot.values()) > 1 and max(len(r.s) for r in shards if r.n == 1) == 1
+    assert small.store.blocks.groupBy("term", "block").count().where("count > 1").isEmpty()
+    key = ["doc_id", "term", "tf"]
+    assert rounded(small.store.postings(), *key) == rounded(index.weighted, *key)
+    q = batch(spark)
+    assert sorted(small.conjunctive(q).collect()) == sorted(index.conjunctive(q).collect())
+    assert sorted(small.ranked(q).collect()) == sorted(small.ranked(q, maxima=False).collect())
+
+
+def test_written_tables_leave_no_shuffle_files(spark):
+    before = spark.conf.get(session.CLEANUP)
+    with session.shuffles_go(spark):
+        assert spark.conf.get(session.CLEANUP) == "true"
+    assert spark.conf.get(session.CLEANUP) == before
+    table = spark.range(1000).groupBy(F.col("id") % 7).count()
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker()
+    spark.sparkContext._jvm.System.gc()
+    old = manager.shuffleStatuses().size()
+    assert session.materialize(table, "counted").count() == 7 and manager.shuffleStatuses().size() <= old + 1      # of count()
